@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,5 +169,3 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     found = hits(docs, benchmark, window, "*")
     return found.where(~((F.col("__n_hit") > 0) & (F.col("__n_hit") * share >= F.col("__n_words")))).select(*docs.columns)
 
-
-_ = pd

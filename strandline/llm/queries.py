@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, sharding, tokens
+from . import decontam, langid, lattice, mixing, quality, sharding, tokens, toxicity
 from .common import scratch, table
 
 
@@ -14,6 +14,14 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40, map_path=scratch(spark, "slot-map"))
 
@@ -30,6 +38,26 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_virtual_slots, op6_mixing_tree, op7_wavelet_tokens, op8_decontamination)}
+def op9_lattice_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_factorisation_machine,
+        op3_language_mixture,
+        op4_virtual_slots,
+        op6_mixing_tree,
+        op7_wavelet_tokens,
+        op8_decontamination,
+        op9_lattice_neighbours,
+        op10_toxicity,
+    )
+}
 #: Operators that DuckDB can express; the others are tested against brute force (tests/llm).
 ORACLES: dict[str, str] = {}

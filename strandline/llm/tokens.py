@@ -309,7 +309,6 @@ def build_shards(encoded: DataFrame, path: str, vocabulary: int, shard_ids: int
     kind = np.dtype("<u4" if wide else "<u2")
     total = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     parts = max(1, -(-total // (shard_ids * kind.itemsize)))
-    key_type = dict(encoded.dtypes)["key"]
 
     def run(batches):
         from pyspark import TaskContext
@@ -332,7 +331,6 @@ def build_shards(encoded: DataFrame, path: str, vocabulary: int, shard_ids: int
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["shard", "n_docs", "n_ids", "payload"])
 
     ordered = encoded.repartitionByRange(parts, F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "ids")
-    _ = key_type
     ordered.mapInArrow(run, "shard long, n_docs long, n_ids long, payload binary").write.parquet(path)
     return encoded.sparkSession.read.parquet(path)
 
