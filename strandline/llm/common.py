@@ -54,6 +54,12 @@ def semi_by_id(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
 
 
+def anti_by_id(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of df whose key is not in ids (distinct), null keys included; see semi_by_id."""
+    small = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if small else ids, key, "left_anti")
+
+
 # ---------------------------------------------------------------- texts as bytes
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lattice, mixing, quality, sharding, tokens, toxicity
+from . import decontam, langid, lattice, minhash, mixing, quality, sharding, tokens, toxicity
 from .common import scratch, table
 
 
@@ -18,6 +18,10 @@ def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_factorisation_machine,
+        op2_weighted_minhash,
         op3_language_mixture,
         op4_virtual_slots,
         op6_mixing_tree,
