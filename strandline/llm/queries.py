@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lattice, minhash, mixing, quality, sharding, tokens, toxicity
+from . import decontam, langid, lattice, linededup, minhash, mixing, quality, sharding, tokens, toxicity
 from .common import scratch, table
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -30,12 +30,16 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 40, map_path=scratch(spark, "slot-map"))
 
 
+def op5_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
 
 
 def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.token_table(table(spark, sf_dir, "documents"), _tokenizer())
+    return tokens.token_table(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +61,7 @@ QUERIES = {
         op2_weighted_minhash,
         op3_language_mixture,
         op4_virtual_slots,
+        op5_line_neighbourhood,
         op6_mixing_tree,
         op7_wavelet_tokens,
         op8_decontamination,
