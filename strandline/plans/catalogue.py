@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import frequency  # noqa: F401
+from . import frequency, ordering, ranges  # noqa: F401
 from .bindings import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
