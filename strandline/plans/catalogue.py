@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import frequency, ordering, ranges, repeats  # noqa: F401
+from . import frequency, ordering, ranges, repeats, methylation  # noqa: F401
 from .bindings import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
