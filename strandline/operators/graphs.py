@@ -169,7 +169,7 @@ def greedy_rank(spark: SparkSession, carriers: DataFrame, steps: int, save, firs
 
     carriers: site_id, sample_id, common (boolean).  first: placed at the top.  related: sample_a, sample_b - a relative of
     a pick is held back, and the held-back are ranked the same way afterwards.  Each step is one aggregation of the
-    uncovered carriers and brings one row to the driver; save(df, name) cuts the lineage every ten steps.
+    uncovered carriers and brings one row to the driver; save(df, name) keeps the shrinking table of uncovered carriers.
     """
     left = save(carriers, "carriers")
     pool = {r["sample_id"] for r in left.select("sample_id").distinct().limit(10_000).collect()}  # members of a cohort, not rows
@@ -188,9 +188,7 @@ def greedy_rank(spark: SparkSession, carriers: DataFrame, steps: int, save, firs
         if tier != "related":
             held.update(friends.get(member, set()) & pool)
         covered = left.where(F.col("sample_id") == member).select("site_id").distinct()
-        left = left.join(covered, "site_id", "left_anti")
-        if len(picked) % 10 == 0:
-            left = save(left, "carriers")
+        left = save(left.join(covered, "site_id", "left_anti"), "carriers")
 
     def gains(members: set) -> list:
         rows = left.where(F.col("sample_id").isin(*members)).groupBy("sample_id").agg(F.count_if("common").alias("c"), F.count("*").alias("n"))
