@@ -58,26 +58,34 @@ def fit(texts: list[str], y: np.ndarray, counts: dict[int, int], penalty: float
     if not len(y) or y.min() == y.max():
         share = counts.get(1, 0) / max(1, sum(counts.values()))
         return np.zeros(size, np.float32), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    docs, feats = [], []
-    for lo, hi, data, offs in byte_chunks(pa.array(texts, pa.large_string()), rows=ROWS):
-        d, f = ngram_features(data, offs)
-        docs.append(d.astype(np.int64) + lo)
-        feats.append(f)
-    doc, feat = np.concatenate(docs), np.concatenate(feats)
-    toxic = np.bincount(feat[y[doc] == 1], minlength=size) + 1.0
-    clean = np.bincount(feat[y[doc] == 0], minlength=size) + 1.0
+    column = pa.array(texts, pa.large_string())
+    toxic, clean = np.ones(size, np.int32), np.ones(size, np.int32)
+    for lo, _, data, offs in byte_chunks(column, rows=ROWS):
+        doc, feat = ngram_features(data, offs)
+        bad = y[doc.astype(np.int64) + lo] == 1
+        toxic += np.bincount(feat[bad], minlength=size).astype(np.int32)
+        clean += np.bincount(feat[~bad], minlength=size).astype(np.int32)
     ratio = np.log((toxic / (y.sum() + 2)) / (clean / ((1 - y).sum() + 2))).astype(np.float32)
     useful = (np.abs(ratio) >= 0.4) & (toxic + clean >= 5)
-    doc, feat = doc[useful[feat]], feat[useful[feat]]
-    cols, feat = np.unique(feat, return_inverse=True)
+    docs, feats = [], []  # the second pass keeps useful features only, so the driver holds little
+    for lo, _, data, offs in byte_chunks(column, rows=ROWS):
+        doc, feat = ngram_features(data, offs)
+        keep = useful[feat]
+        docs.append(doc[keep].astype(np.int32) + lo)
+        feats.append(feat[keep])
+    cols = np.flatnonzero(useful)
+    place = np.zeros(size, np.int32)
+    place[cols] = np.arange(len(cols))
+    doc, feat = np.concatenate(docs), place[np.concatenate(feats)]
+    del docs, feats
     x = ratio[cols][feat]
     w, b = np.zeros(len(cols)), np.zeros(1)
 
     def gradient(params, _):
         w, b = params
-        z = np.bincount(doc, x * w[feat], len(y)) + b[0]
+        z = np.bincount(doc, x * w.astype(np.float32)[feat], len(y)) + b[0]
         e = sigmoid(z) - y
-        return [np.bincount(feat, x * e[doc], len(cols)) / len(y) + penalty * w, np.array([e.mean()])]
+        return [np.bincount(feat, x * e.astype(np.float32)[doc], len(cols)) / len(y) + penalty * w, np.array([e.mean()])]
 
     adam([w, b], gradient, steps, 0.02)
     out = np.zeros(size, np.float32)
