@@ -158,11 +158,21 @@ class PieceEncoder:
         return self.plain and not (CONTROL if text.isascii() else OTHER).search(text) and not any(s in text for s in self.special)
 
 
+_encoders: dict[str, PieceEncoder] = {}
+
+
+def encoder(path: str) -> PieceEncoder:
+    """The worker's encoder: kept between the tasks of a reused Python worker."""
+    if path not in _encoders:
+        _encoders[path] = PieceEncoder(path)
+    return _encoders[path]
+
+
 def encode(docs: DataFrame, path: str, end_id: int | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, ids (packed little-endian ids, the end id appended)."""
 
     def run(batches):
-        enc = PieceEncoder(path)
+        enc = encoder(path)
         end = b"" if end_id is None else np.array([end_id], enc.kind).tobytes()
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
