@@ -371,6 +371,6 @@ def token_table(docs: DataFrame, path: str, end_id: int = 2, vocabulary: int | N
     from tokenizers import Tokenizer
 
     vocabulary = vocabulary or Tokenizer.from_file(path).get_vocab_size()
-    encoded = materialise(encode(docs, path, end_id), "ids")
+    encoded = materialise(encode(docs, path, end_id), "ids", "zstd")
     shards = build_shards(encoded, out or scratch(docs.sparkSession, "shards"), vocabulary)
     return read_shards(shards, dict(encoded.dtypes)["key"]).withColumnRenamed("key", "doc_id")
