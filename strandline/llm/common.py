@@ -99,6 +99,11 @@ for _i in range(1, 256):
     _POWERS[_i] = (int(_POWERS[_i - 1]) * 0x9E3779B97F4A7C15 + 2 * _i) & 0xFFFFFFFFFFFFFFFF | 1
 
 
+#: What a byte counts in a word's hash; borders count nothing.
+_VALUES = np.arange(7, 263, dtype=np.uint64)
+_VALUES[0] = 0
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(31))
@@ -138,14 +143,15 @@ def word_hashes(norm: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of each word's bytes and length."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    place = np.arange(len(norm), dtype=np.int64)
-    base = np.zeros(len(norm), np.int64)
-    base[starts] = starts
-    place -= np.maximum.accumulate(base)
-    terms = (norm.astype(np.uint64) + np.uint64(7)) * _POWERS[place & 255] + (place >> 8).astype(np.uint64)
-    terms *= norm != 0
-    total = np.cumsum(terms)
-    return mix64(total[ends - 1] - total[starts] + terms[starts] + (ends - starts).astype(np.uint64))
+    low = int(starts[0])
+    body = norm[low:]
+    place = np.arange(len(body), dtype=np.int64) - np.repeat(starts - low, np.diff(np.append(starts, len(norm))))
+    terms = _POWERS.take(place & 255)
+    terms *= _VALUES.take(body)
+    sizes = ends - starts
+    if int(sizes.max()) > 256:  # places beyond the table of powers also count their round
+        terms += np.where(body != 0, place >> 8, 0).astype(np.uint64)
+    return mix64(np.add.reduceat(terms, starts - low) + sizes.astype(np.uint64))
 
 
 # ---------------------------------------------------------------- connected components

@@ -194,7 +194,9 @@ def wavelet_pack(ids: np.ndarray, bits: int) -> bytes:
     for bit in range(bits - 1, -1, -1):
         b = (cur >> np.array(bit, cur.dtype)) & np.array(1, cur.dtype) != 0
         plane = np.packbits(b)
-        blocks = np.add.reduceat(b, np.arange(0, len(b), SUPER), dtype=np.uint32) if len(b) else np.zeros(0, np.uint32)
+        ones = np.zeros(-(-len(plane) * 8 // SUPER) * SUPER // 8, np.uint8)
+        ones[: len(plane)] = np.bitwise_count(plane)
+        blocks = ones.reshape(-1, SUPER // 8).sum(axis=1, dtype=np.uint32)
         ranks = (np.cumsum(blocks, dtype=np.uint32) - blocks).astype("<u4")
         low = cur[~b]
         cur = np.concatenate([low, cur[b]])
