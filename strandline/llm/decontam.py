@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,33 +124,34 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int, keep: str) -> DataF
     """docs with __n_words, __words (hit word ranges), __items and __spans (byte ranges) for each row."""
     groups = _groups(benchmark, window)
     names = [c for c in docs.columns if c != "text" or keep == "*"]
-    rows = docs if keep == "*" else docs.select(*names, "text")
-    shape = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n in names) + ", __n_words long, __n_hit long, __items array<string>, __spans array<struct<a:long,b:long>>"
-
-    def scanner(held: list[list]):
-        def run(frames):
-            # one automaton in the usual case; beyond its bound each group scans the batch in turn
-            for f in frames:
-                texts = [t if isinstance(t, str) else None for t in f["text"]]
-                total = [[0, [], set()] for _ in texts]
-                for group in held:
-                    found = automaton(group, window)
-                    for got, t in zip(total, texts):
-                        n, spans, items = scan(t, found)
-                        got[0] = n
-                        got[1] += spans
-                        got[2] |= items
-                out = f[names].copy()
-                runs = [merged(x[1]) for x in total]
-                out["__n_words"] = [x[0] for x in total]
-                out["__n_hit"] = [sum(b - a for a, b in r) for r in runs]
-                out["__items"] = [sorted(str(i) for i in x[2] if i is not None) for x in total]
-                out["__spans"] = [[{"a": o[a][0], "b": o[b - 1][1]} for a, b in r] if r and (o := word_offsets(t)) else [] for r, t in zip(runs, texts)]
-                yield out
-
-        return run
-
-    return rows.mapInPandas(scanner(groups), shape)
+    rows = docs if keep == "*" else docs.select(*dict.fromkeys([*names, "text"]))
+    types = dict(rows.dtypes)
+    shape = ", ".join(f"`{n}` {types[n]}" for n in names) + ", __n_words long, __n_hit long, __items array<string>, __spans array<struct<a:long,b:long>>"
+    places = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+    def run(batches):
+        # one automaton in the usual case; beyond its bound each group scans the batch in turn
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            total = [[0, [], set()] for _ in texts]
+            for group in groups:
+                found = automaton(group, window)
+                for got, t in zip(total, texts):
+                    got[0], spans, items = scan(t, found)
+                    got[1] += spans
+                    got[2] |= items
+            runs = [merged(x[1]) for x in total]
+            where = [[{"a": o[a][0], "b": o[b - 1][1]} for a, b in r] if r and (o := word_offsets(t)) else [] for r, t in zip(runs, texts)]
+            added = [
+                pa.array([x[0] for x in total], pa.int64()),
+                pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()),
+                pa.array([sorted(str(i) for i in x[2] if i is not None) for x in total], pa.list_(pa.string())),
+                pa.array(where, places),
+            ]
+            kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, *added], [*names, "__n_words", "__n_hit", "__items", "__spans"])
+
+    return rows.mapInArrow(run, shape)
 
 
 def judged(found: DataFrame, share: int) -> DataFrame:

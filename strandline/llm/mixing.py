@@ -127,29 +127,29 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7, weights=WEIGHTS, m
         .select(
             "__src",
             "__block",
-            "source_words",
-            "goal",
-            "whole",
-            F.when(F.col("entered"), F.col("due") - (F.col("until") - F.col("words"))).alias("rest"),
+            F.col("source_words").alias("__source_words"),
+            F.col("goal").alias("__goal"),
+            F.col("whole").alias("__whole"),
+            F.when(F.col("entered"), F.col("due") - (F.col("until") - F.col("words"))).alias("__rest"),
             shard_of.alias("__shards"),
         )
     )
     few = blocks.count() <= BROADCAST_BLOCKS
     rows = rows.join(F.broadcast(plan) if few else plan, ["__src", "__block"])
     inside = Window.partitionBy("__src", "__block").orderBy("__order", "__size").rowsBetween(Window.unboundedPreceding, -1)
-    plain = rows.where("rest is null").withColumn("__copies", F.col("whole"))
+    plain = rows.where("__rest is null").withColumn("__copies", F.col("__whole"))
     cut = (
-        rows.where("rest is not null")
+        rows.where("__rest is not null")
         .withColumn("__before", F.coalesce(F.sum("__size").over(inside), F.lit(0)))
-        .withColumn("__copies", F.col("whole") + (F.col("__before") + F.col("__size") / 2 <= F.col("rest")).cast("long"))
+        .withColumn("__copies", F.col("__whole") + (F.col("__before") + F.col("__size") / 2 <= F.col("__rest")).cast("long"))
         .drop("__before")
     )
     out = plain.unionByName(cut).withColumn("__copies", F.when(F.col("__size") > 0, F.col("__copies")).otherwise(F.lit(0)))
     return out.select(
         *docs.columns,
         "__size",
-        F.col("source_words").alias("__source_size"),
-        F.col("goal").alias("__target"),
+        F.col("__source_words").alias("__source_size"),
+        F.col("__goal").alias("__target"),
         "__copies",
         F.expr("slice(__shards, 1, cast(__copies as int))").alias("__shards"),
         "__order",

@@ -46,8 +46,8 @@ class SlotMap:
     def rebalanced(self, weight: dict[int, int], shards: int, tolerance: float = 0.01) -> SlotMap:
         """The next version for new weights or another number of shards, moving few slots.
 
-        Slots of closed shards are free; a shard above the mean gives its lightest slots until it is within the
-        tolerance; free slots go to the lightest shards, heaviest first.
+        Slots of closed shards are free; a shard above the mean gives its heaviest slots that leave it within the tolerance
+        of the mean; free slots go to the lightest shards, heaviest first.
         """
         load, own, free = [0] * shards, [[] for _ in range(shards)], []
         for slot, shard in enumerate(self.shard_of):
@@ -56,13 +56,12 @@ class SlotMap:
                 load[shard] += weight.get(slot, 0)
             else:
                 free.append(slot)
-        most = sum(weight.values()) / shards * (1 + tolerance)
+        least = sum(weight.values()) / shards * (1 - tolerance)
         for shard in range(shards):
-            for slot in sorted(own[shard], key=lambda s: (weight.get(s, 0), s)):
-                if load[shard] <= most:
-                    break
-                free.append(slot)
-                load[shard] -= weight.get(slot, 0)
+            for slot in sorted(own[shard], key=lambda s: (-weight.get(s, 0), s)):
+                if load[shard] - weight.get(slot, 0) >= least and weight.get(slot, 0):
+                    free.append(slot)
+                    load[shard] -= weight.get(slot, 0)
         out, heap = list(self.shard_of), [(x, s) for s, x in enumerate(load)]
         heapq.heapify(heap)
         for slot in sorted(free, key=lambda s: (-weight.get(s, 0), s)):

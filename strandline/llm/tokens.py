@@ -343,8 +343,9 @@ def build_shards(encoded: DataFrame, path: str, vocabulary: int, shard_ids: int
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["shard", "n_docs", "n_ids", "payload"])
 
     ordered = encoded.repartitionByRange(parts, F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "ids")
-    ordered.mapInArrow(run, "shard long, n_docs long, n_ids long, payload binary").write.parquet(path)
-    return encoded.sparkSession.read.parquet(path)
+    shape = "shard long, n_docs long, n_ids long, payload binary"
+    ordered.mapInArrow(run, shape).write.parquet(path)
+    return encoded.sparkSession.read.schema(shape).parquet(path)
 
 
 def read_shards(shards: DataFrame, key_type: str = "long") -> DataFrame:

@@ -1,0 +1,415 @@
+"""Edge cases and brute-force checks of the training-data operators."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from strandline.llm import decontam, langid, lattice, linededup, minhash, mixing, quality, sharding, tokens, toxicity
+from strandline.llm.common import byte_chunks, components
+from strandline.llm.queries import tokenizer_path
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WORDS = [a + b for a in ("ka", "lo", "mi", "nu", "pe", "ra", "so", "tu", "vi", "wo") for b in ("n", "ra", "st", "lim", "dor", "x", "bel", "qua")]
+
+
+def prose(seed, n):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + (r.choice(".,") if r.random() < 0.1 else "") for _ in range(n))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows and columns with clashing names."""
+    long = prose(1, 40_000) + "\n" + "x" * 70_000
+    rows = [
+        (None, prose(2, 60), "en", "a", 10),
+        (1, None, "en", "a", None),
+        (2, "", None, "b", 0),
+        (3, long, "en", None, 9),
+        (4, prose(3, 80), "de", "b", 500),
+        (5, prose(3, 80), "de", "b", 500),
+        (5, prose(3, 80), "de", "b", 500),
+        (6, "...!!! 12", "de", "c", 9),
+        (7, "ÉÈ 日本語 ́ <|endoftext|> don't", "fr", "c", 9),
+        (8, "one two", "en", "a", 7),
+    ] + [(10 + i, prose(10 + i, 50), ["en", "de"][i % 2], "abc"[i % 3], 300) for i in range(20)]
+    df = frame(spark, rows)
+    names = ("size", "rest", "goal", "score", "shard", "slot", "ids", "key", "id", "w", "label", "component", "n")
+    return df.withColumns({n: F.lit(1) for n in names})
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return frame(spark, [])
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(i, i % 2, (i // 2) % 2) for i in range(4, 30)] + [(None, 1, 1), (9, None, None), (4, 1, 1)], "doc_id bigint, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    return spark.createDataFrame([(1, prose(4, 30)), (2, "one two"), (3, None), (4, ""), (None, prose(5, 20)), (2, "one two")], "item_id bigint, text string")
+
+
+def test_every_operator_takes_odd_rows_and_empty_tables(spark, odd, empty, labels, benchmark):
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    nothing = spark.createDataFrame([], "item_id bigint, text string")
+    n = odd.count()
+    assert quality.quality(odd, labels).count() == n and quality.quality(empty, none).count() == 0 and quality.quality(odd, none).count() == n
+    assert toxicity.toxicity(odd, labels).count() == n and toxicity.toxicity(empty, none).count() == 0
+    assert langid.identify(odd).count() == n and langid.identify(empty).count() == 0
+    assert sharding.shard_documents(odd, 4).count() == n and sharding.shard_documents(empty, 4).count() == 0
+    assert linededup.line_dedup(odd).count() == odd.select("doc_id").distinct().count() and linededup.line_dedup(empty).count() == 0
+    assert mixing.mix_table(odd).count() == n and mixing.mix_table(empty).count() == 0
+    assert tokens.token_table(odd, tokenizer_path()).count() == n and tokens.token_table(empty, tokenizer_path()).count() == 0
+    assert decontam.contamination(odd, benchmark).count() == n and decontam.contamination(empty, nothing).count() == 0 and decontam.contamination(odd, nothing).count() == n
+    assert minhash.near_duplicates(odd).count() == n and minhash.near_duplicates(empty).count() == 0
+
+
+def test_stages_keep_columns(spark, odd, empty, benchmark):
+    for df in (odd, empty):
+        for out in (langid.keep_identified(df), minhash.drop_near_duplicates(df), decontam.decontaminate(df, benchmark), linededup.drop_lines(df)):
+            assert out.columns == df.columns
+            out.collect()
+        mixed = mixing.mixed_rows(df)
+        assert mixed.columns[: len(df.columns)] == df.columns
+        mixed.collect()
+    kept = {r["doc_id"] for r in minhash.drop_near_duplicates(odd).collect()}
+    assert 4 in kept and 5 not in kept and None in kept
+    assert minhash.drop_near_duplicates(odd.where("doc_id = 5")).count() == 1
+
+
+# ---------------------------------------------------------------- 1, 10: classifiers
+
+
+def test_classifiers_learn_and_generalise(spark):
+    rows, labels = [], []
+    for i in range(300):
+        toxic, good = i % 3 == 0, i % 2 == 0
+        text = prose(i, 60)
+        if toxic:
+            words = text.split()
+            words[10:10] = ["grobian", "fiesling"]
+            text = " ".join(words)
+        if not good:
+            text = " ".join(w + "$$$" for w in text.split())
+        rows.append((i, text, "en", "a", len(text)))
+        labels.append((i, int(good), int(toxic)))
+    docs, lab = frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    for out, at in ((quality.quality(docs, lab), 1), (toxicity.toxicity(docs, lab), 2)):
+        got = {r["doc_id"]: r for r in out.collect()}
+        held = [x for x in labels if zlib.crc32(str(x[0]).encode()) % 5 == 0]
+        assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
+        assert np.mean([got[x[0]]["predicted"] == x[at] for x in held]) >= 0.95
+        assert all(0 <= r["score"] <= 1 for r in got.values())
+
+
+def test_factorisation_identity():
+    rng = np.random.default_rng(0)
+    doc, feat, x = np.array([0, 0, 0, 1, 1]), np.array([0, 1, 2, 1, 3]), rng.random(5)
+    w, v, b = rng.random(4), rng.random((4, 3)), 0.3
+    z, _ = quality.logit(doc, feat, x, 2, w, v, b)
+    for d in (0, 1):
+        at = np.flatnonzero(doc == d)
+        pairs = sum(v[feat[i]] @ v[feat[j]] * x[i] * x[j] for k, i in enumerate(at) for j in at[k + 1 :])
+        assert np.isclose(z[d], b + w[feat[at]] @ x[at] + pairs)
+
+
+# ---------------------------------------------------------------- 2: MinHash
+
+
+def test_consistent_weighted_samples_estimate_weighted_jaccard():
+    idf = np.random.default_rng(1).uniform(1, 5, 1 << minhash.DF_BITS).astype(np.float32)
+    a, b = prose(1, 300).split(), prose(1, 300).split()
+    b[40], b[200] = "neu", "andere"
+    column = pa.array([" ".join(a), " ".join(b)], pa.large_string())
+    ((_, _, data, offs),) = byte_chunks(column)
+    key, weight, _, _ = minhash.weighted_sets(data, offs, idf)
+    _, s = minhash.samples(key, weight, 3000, minhash.sampling_tables())
+    exact = minhash.similarities(column[:1], column[1:], idf)[0]
+    assert abs((s[0] == s[1]).mean() - exact) < 0.03
+
+
+def test_near_duplicate_classes_equal_brute_force(spark):
+    rows = []
+    for g in range(12):
+        base = prose(100 + g, 120).split()
+        for c in range(6):
+            w = list(base)
+            r = random.Random(g * 10 + c)
+            for _ in range(c * 2):
+                w[r.randrange(len(w))] = f"neu{r.randrange(99)}"
+            rows.append((g * 10 + c, " ".join(w), "en", "a", 1))
+    docs = frame(spark, rows)
+    idf = minhash.inverse_frequencies(*minhash.document_frequencies(docs))
+    parent = {r[0]: r[0] for r in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, p in enumerate(rows):
+        for q in rows[i + 1 :]:
+            if minhash.similarities(pa.array([p[1]], pa.large_string()), pa.array([q[1]], pa.large_string()), idf)[0] >= 0.8:
+                a, b = sorted((find(p[0]), find(q[0])))
+                parent[b] = a
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert got == {x: find(x) for x in parent}
+
+
+# ---------------------------------------------------------------- 3: languages
+
+
+def test_language_mixtures(spark):
+    syllables = {"aa": ["ba", "bo", "bi", "bu"], "zz": ["zek", "zok", "zyk", "zak"]}
+
+    def text(lang, seed, n=60):
+        r = random.Random(seed)
+        return " ".join("".join(r.choice(syllables[lang]) for _ in range(r.randint(1, 4))) for _ in range(n))
+
+    rows = [(i, text("aa" if i % 2 else "zz", i), "aa" if i % 2 else "zz", None, None) for i in range(80)]
+    rows += [(1000, text("aa", 7, 60) + " " + text("zz", 8, 30), None, None, None), (1001, "12 ...", None, None, None), (1002, None, None, None, None)]
+    got = {r["doc_id"]: r for r in langid.identify(frame(spark, rows)).collect()}
+    assert all(got[i]["lang_pred"] == rows[i][2] for i in range(80))
+    assert got[1000]["lang_pred"] == "aa" and 0.55 < got[1000]["score"] < 0.8 and set(got[1000]["shares"]) == {"aa", "zz"}
+    assert got[1001]["lang_pred"] == got[1002]["lang_pred"] == "und" and got[1001]["score"] == 0
+
+
+# ---------------------------------------------------------------- 4: sharding
+
+
+def test_slots_and_shards(spark):
+    rows = [(i, "x" * (i * 37 % 900), None, None, None) for i in range(4000)]
+    out = sharding.shard_documents(frame(spark, rows), 8).collect()
+    load = Counter()
+    for r in out:
+        load[r["shard"]] += r["size"]
+        assert r["size"] == len(rows[r["doc_id"]][1]) + 16 and r["text_crc32"] == zlib.crc32(rows[r["doc_id"]][1].encode())
+    assert max(load.values()) < 1.02 * min(load.values())
+    places = defaultdict(list)
+    for r in out:
+        places[r["shard"]].append(r["slot"])
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_slot_map_versions(spark, tmp_path):
+    weight = {s: s % 17 + 1 for s in range(256)}
+    first = sharding.SlotMap.balanced(weight, 8, 256)
+    grown = first.rebalanced(weight, 9)
+    assert grown.version == 2 and first.moved(grown) < 256 / 9 * 1.6
+    load = Counter()
+    for s, shard in enumerate(grown.shard_of):
+        load[shard] += weight[s]
+    assert max(load.values()) - min(load.values()) <= 0.1 * sum(weight.values()) / 9
+    path = str(tmp_path / "map")
+    first.save(spark, path)
+    grown.save(spark, path)
+    assert sharding.SlotMap.load(spark, path) == grown and sharding.SlotMap.load(spark, path, 1) == first
+
+
+# ---------------------------------------------------------------- 5: lines
+
+
+def near(a, b):
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def test_line_dedup_equals_brute_force(spark):
+    r, rows = random.Random(5), []
+    pool = [prose(500 + i, r.randint(1, 14)).split() for i in range(25)]
+    for d in range(40):
+        lines = []
+        for _ in range(6):
+            w = list(r.choice(pool))
+            op = r.random()
+            if op < 0.2:
+                w[r.randrange(len(w))] = "anders"
+            elif op < 0.35:
+                w.insert(r.randrange(len(w) + 1), "mehr")
+            elif op < 0.5 and len(w) > 1:
+                del w[r.randrange(len(w))]
+            lines.append(" ".join(w))
+        rows.append((d, "\n".join([*lines, ""]), None, None, None))
+    earlier, want = [], {}
+    for d, text, *_ in rows:
+        want[d] = []
+        for i, line in enumerate(text.split("\n")):
+            w = line.lower().split()
+            if w and any(w == e or (len(w) >= 5 and len(e) >= 5 and near(w, e)) for e in earlier):
+                want[d].append(i)
+            if w:
+                earlier.append(w)
+    got = {r["doc_id"]: list(r["dropped"]) for r in linededup.line_dedup(frame(spark, rows)).collect()}
+    assert got == want
+    kept = {r["doc_id"]: r["text"] for r in linededup.drop_lines(frame(spark, rows)).collect()}
+    assert all(kept[d] == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[d]) for d, t, *_ in rows)
+
+
+# ---------------------------------------------------------------- 6: mixing
+
+
+def test_targets_and_tree():
+    assert mixing.targets([100, 100, 100], [5, 2, 1]) == [187.5, 75.0, 37.5]
+    t = mixing.targets([10, 1000], [5, 2])
+    assert t == [30.0, 980.0]
+    q = mixing.split_tree([100, 50, 7], 8, 3)
+    assert q.sum(axis=0).tolist() == [100, 50, 7] and q.sum(axis=1).max() - q.sum(axis=1).min() <= 3
+    assert (q == mixing.split_tree([100, 50, 7], 8, 3)).all()
+
+
+def test_mix_meets_targets(spark):
+    rows = [(i, prose(i, 20 + i % 30), None, f"s{i % 3}" if i % 7 else None, None) for i in range(900)]
+    docs = frame(spark, rows)
+    out = mixing.mix_table(docs, shards=8).collect()
+    assert {tuple(r) for r in map(str, out)} == {tuple(r) for r in map(str, mixing.mix_table(docs.repartition(5), shards=8).collect())}
+    total, taken, sizes, goal = sum(r["size"] for r in out), Counter(), Counter(), {}
+    for r in out:
+        src = rows[r["doc_id"]][3]
+        taken[src] += r["taken"]
+        sizes[src] += r["size"]
+        goal[src] = r["target"]
+        assert r["taken"] <= 3 * r["size"] and r["size"] == len(rows[r["doc_id"]][1].split()) and len(r["shards"]) * r["size"] == r["taken"]
+    assert np.isclose(sum(goal.values()), total)
+    order = sorted((s for s in sizes if s), key=str) + [None]
+    assert [goal[s] for s in order] == pytest.approx(mixing.targets([sizes[s] for s in order], [5, 2, 1, 5]))
+    assert all(abs(taken[s] - goal[s]) <= 40 for s in goal)
+
+
+# ---------------------------------------------------------------- 7: tokens
+
+
+def test_tokens_round_trip(spark, odd):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    got = sorted(tokens.token_table(odd, tokenizer_path()).collect(), key=lambda r: r["start"])
+    rows = sorted(((r["doc_id"], tok.encode(r["text"] or "", add_special_tokens=False).ids + [2]) for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    at = 0
+    for r, (doc, ids) in zip(got, rows):
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (doc, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
+def test_wavelet_queries():
+    ids = (np.random.default_rng(0).zipf(1.4, 5000) % 300).astype("<u2")
+    s = tokens.WaveletShard(tokens.WaveletShard.pack(pa.array([1, None]), np.array([4000, 1000]), ids, 9))
+    assert (s.decode() == ids).all() and s.lengths.tolist() == [4000, 1000]
+    for i in (0, 511, 512, 4999):
+        assert s.access(i) == ids[i]
+    for t in (1, 2, 299):
+        where = np.flatnonzero(ids == t)
+        assert s.count(t) == len(where) and s.rank(t, 1234) == (where < 1234).sum()
+        assert [s.select(t, k) for k in range(min(5, len(where)))] == where[:5].tolist() and s.select(t, len(where)) == -1
+
+
+def test_encoder_equals_library():
+    from tokenizers import Tokenizer
+
+    tok, enc = Tokenizer.from_file(tokenizer_path()), tokens.PieceEncoder(tokenizer_path())
+    texts = ["don't we'll o'clock ''s 's's 12.5%%%", "", "a\x1cb\x85c <|endoftext|>", "ΟΣ Σας", "ﬁ İ é É\r\n\tñ", "x" * 600, prose(1, 500)]
+    assert [np.frombuffer(b, enc.kind).tolist() for b in enc.texts(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+# ---------------------------------------------------------------- 8: decontamination
+
+
+def test_contamination_equals_brute_force(spark):
+    items = [(1, prose(900, 40)), (2, "kurze Frage hier"), (3, "  "), (4, prose(901, 13)), (10, prose(900, 40))]
+    rows = []
+    for i in range(60):
+        words = prose(i, 90).split()
+        if i % 3 == 0:
+            words[20:20] = items[0][1].upper().split()[5 : 5 + i % 25]
+        if i % 5 == 0:
+            words[3:3] = ["Kurze", "--", "Frage;", "hier!"]
+        rows.append((i, " ".join(words), None, None, None))
+    norm = lambda t: [w.decode("latin-1") for w in decontam.normal_words(t)]
+    got = {r["doc_id"]: r for r in decontam.contamination(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    for d, text, *_ in rows:
+        words, hit, found = norm(text), set(), set()
+        for item, t in items:
+            iw = norm(t)
+            n = min(13, len(iw))
+            for k in range(len(iw) - n + 1 if n else 0):
+                for j in range(len(words) - n + 1):
+                    if words[j : j + n] == iw[k : k + n]:
+                        hit.update(range(j, j + n))
+                        found.add(str(item))
+        r = got[d]
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) == (len(words), len(hit), len(found), digest)
+        assert r["contaminated"] == (len(hit) > 0 and 20 * len(hit) >= len(words))
+        covered = " ".join(text.encode()[s["a"] : s["b"]].decode() for s in r["spans"])
+        assert norm(covered) == [words[i] for i in sorted(hit)]
+
+
+def test_several_automata_agree(spark, benchmark, odd, monkeypatch):
+    one = {r["doc_id"]: tuple(r) for r in decontam.contamination(odd, benchmark).collect()}
+    monkeypatch.setattr(decontam, "MAX_WINDOWS", 3)
+    assert one == {r["doc_id"]: tuple(r) for r in decontam.contamination(odd, benchmark).collect()}
+
+
+# ---------------------------------------------------------------- 9: lattice
+
+
+def test_e8_points_are_nearest():
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1.5, (200, 8))
+    y = lattice.decode_e8(x)
+    twice = np.rint(2 * y).astype(int)
+    assert ((twice % 2 == 0).all(axis=1) | (twice % 2 == 1).all(axis=1)).all() and (np.rint(y.sum(axis=1)) % 2 == 0).all()
+    gap = ((x - y) ** 2).sum(axis=1)
+    for v in lattice.NEIGHBOURS:
+        assert (((x - y - v) ** 2).sum(axis=1) >= gap - 1e-9).all()
+
+
+def test_lattice_links_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((60, 16))
+    v = np.concatenate([base, base[:30] + rng.normal(0, 0.05, (30, 16)), base[:5], base[:10] * 2]).astype(np.float32)
+    label = [i % 60 % 4 for i in range(90)] + [i % 4 for i in range(5)] + [i % 4 for i in range(10)]
+    rows = [(i, [float(x) for x in v[i]], label[i]) for i in range(len(v))]
+    rows += [(200, None, 1), (201, [0.0] * 16, 1), (202, [float("nan")] * 16, 1), (203, rows[0][1], None), (204, [1.0] * 8, 0), (5, rows[5][1], label[5])]
+    out = lattice.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").withColumn("rep", F.lit(1))).collect()
+    assert len(out) == len(rows)
+    good = [(i, np.array(e, np.float32).astype(float), lab) for i, e, lab in rows if e is not None and lab is not None and np.isfinite(e).all() and np.any(e)]
+    n, link = Counter(), defaultdict(set)
+    for a in range(len(good)):
+        for b in range(len(good)):
+            x, y = good[a], good[b]
+            if a != b and x[2] == y[2] and len(x[1]) == len(y[1]) and x[1] @ y[1] / np.linalg.norm(x[1]) / np.linalg.norm(y[1]) >= 0.93:
+                n[a] += 1
+                link[x[0]].add(y[0])
+    want = {i: (n[k], None) for k, (i, _, _) in enumerate(good)}
+    for r in out:
+        assert r["n_links"] == want.get(r["vec_id"], (0, None))[0], r
+        seen, todo = {r["vec_id"]}, [r["vec_id"]]
+        if r["vec_id"] not in (200, 201, 202, 203):
+            while todo:
+                for y in link[todo.pop()] - seen:
+                    seen.add(y)
+                    todo.append(y)
+        assert r["component_id"] == min(seen) and r["kept"] == (r["vec_id"] == min(seen))
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
