@@ -1,0 +1,167 @@
+"""Small hand-checked cases of the operators."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strandline.functions import expressions as X
+from strandline.operators import frequency, graphs, identity, methylation, ordering, qtl, ranges, repeats, samples
+from strandline.sources import sinks, text
+
+
+@pytest.fixture
+def save(spark, tmp_path):
+    n = [0]
+
+    def keep(df, name):
+        n[0] += 1
+        df.write.parquet(str(tmp_path / f"{name}{n[0]}"))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / f"{name}{n[0]}"))
+
+    return keep
+
+
+def one(spark, expression):
+    return spark.range(1).select(expression.alias("x")).first()["x"]
+
+
+def test_half_calls_count_under_hemi(spark):
+    gt = spark.createDataFrame([(1, 1, 2, 2), (1, 2, 1, 2), (1, 3, 1, 1), (1, 4, None, 0)], "site_id long, sample_id long, alt int, called int")
+    m = spark.createDataFrame([(1, "XX"), (2, "XY"), (3, ""), (4, "XX"), (5, "XY")], "sample_id long, sex string")
+    r = frequency.allele_freq(gt, m).first()
+    assert (r["AC"], r["AN"], r["NS"], r["AC_Hom"], r["AC_Het"], r["AC_Hemi"]) == (4, 5, 3, 2, 1, 1)
+    assert (r["AC_XX"], r["AN_XX"], r["AC_XY"], r["AN_XY"]) == (2, 2, 1, 2) and r["AF"] == 0.8
+    r = frequency.allele_freq(gt, m, missing_is_ref=True).first()
+    assert (r["AN"], r["NS"], r["AN_XX"], r["AN_XY"]) == (9, 5, 4, 4)
+
+
+def test_support_edges():
+    assert frequency.support_edges(4) == [1, 2, 3]
+    assert frequency.support_edges(864) == [1, 2, 5, 10, 43, 86, 432, 863]
+
+
+def test_value_frequencies(spark):
+    rows = spark.createDataFrame([(1, "a", "XX"), (2, "a", "XY"), (3, "b", "XX"), (4, None, "XX")], "sample_id long, v string, sex string")
+    got = {(r["kind"], r["stratum"], r["value"]): (r["count"], r["fraction"], r["n_called"], r["n_members"]) for r in frequency.freq_table(rows, "v", {"sex": "sex"}, []).collect()}
+    assert got[("all", "all", "a")] == (2, 0.6667, 3, 4) and got[("sex", "XX", "b")] == (1, 0.5, 2, 3)
+
+
+def test_benjamini_hochberg(spark):
+    p = [0.01, 0.04, 0.03, 0.005, 0.8, None, 0.03]
+    df = spark.createDataFrame(list(enumerate(p)), "i int, p double")
+    got = {r["i"]: r["q"] for r in ordering.bh(df, buckets=3).collect()}
+    vals = sorted(x for x in p if x is not None)
+    for i, x in enumerate(p):
+        want = None if x is None else min(min(v * len(vals) / (k + 1) for k, v in enumerate(vals) if v >= x), 1.0)
+        assert got[i] == want or got[i] == pytest.approx(want)
+
+
+def test_intervals(spark):
+    a = spark.createDataFrame([("c", 0, 10), ("c", 5, 20), ("c", 20, 25), ("c", 40, 50)], "chrom string, start long, end long")
+    b = spark.createDataFrame([("c", 3, 8), ("c", 45, 60)], "chrom string, start long, end long")
+    rows = lambda df: sorted((r["start"], r["end"]) for r in df.collect())
+    assert rows(ranges.merge_intervals(a)) == [(0, 25), (40, 50)]
+    assert rows(ranges.intersect_intervals(a, b, 4)) == [(3, 8), (45, 50)]
+    assert rows(ranges.subtract_intervals(a, b, 4)) == [(0, 3), (8, 25), (40, 45)]
+
+
+def test_overlap_join_equals_brute_force(spark):
+    rng = np.random.default_rng(0)
+    make = lambda n, k: [(int(i), f"c{i % 2}", int(s), int(s + w)) for i, s, w in zip(range(n), rng.integers(0, 900, n), rng.integers(1, k, n))]
+    x, y = make(60, 200), make(60, 30)
+    got = ranges.overlap_join(spark.createDataFrame(x, "i long, chrom string, a_start long, a_end long"), spark.createDataFrame(y, "j long, chrom string, b_start long, b_end long"), 16)
+    want = sorted((i, j, min(e, f) - max(s, t)) for i, c, s, e in x for j, d, t, f in y if c == d and s < f and t < e)
+    assert sorted((r["i"], r["j"], r["overlap_bp"]) for r in got.collect()) == want
+
+
+def test_three_quantile_rules(spark):
+    values = [1, 1, 2, 3, 10]
+    df = spark.createDataFrame([("k", v) for v in values], "k string, v long").groupBy("k", "v").agg(F.count("*").alias("w"))
+    r = repeats.wquantiles(df, "k", "v", "w", {"p50": 0.5, "p95": 0.95}).first()
+    assert (r["p50"], r["p95"], r["median"], r["n"]) == (2, 10, 2.0, 5)
+    r = repeats.wquantiles(df.where("v < 10"), "k", "v", "w", {"p50": 0.5}).first()
+    assert (r["p50"], r["median"]) == (1, 1.5)
+
+
+def test_student_t():
+    # two-sided p of known quantiles: t = 2.228 at 10 degrees, 1.96 at many
+    p = qtl.t_two_sided(np.array([2.228139, 1.959964, 0.0, 12.706205]), np.array([10.0, 1e7, 5.0, 1.0]))
+    assert np.allclose(p, [0.05, 0.05, 1.0, 0.05], atol=1e-6)
+
+
+def test_residual_basis_drops_dependent_columns():
+    x = np.random.default_rng(1).normal(size=(20, 2))
+    q = qtl.basis(np.column_stack([x, x[:, 0] + x[:, 1], np.ones(20)]))
+    assert q.shape == (20, 3) and np.allclose(q.T @ q, np.eye(3))
+
+
+def test_greedy_order_and_relatives(spark, save):
+    carriers = [(s, m, s < 6) for m, sites in {1: [0, 1, 2, 3], 2: [0, 1, 2, 7], 3: [4, 5], 4: [6, 7, 8, 9]}.items() for s in sites]
+    df = spark.createDataFrame(carriers, "site_id long, sample_id long, common boolean")
+    got = [(r["sample_id"], r["tier"], r["new_common"], r["new_all"]) for r in graphs.greedy_rank(spark, df, 4, save).orderBy("rank").collect()]
+    assert got == [(1, "unrelated", 4, 4), (3, "unrelated", 2, 2), (4, "unrelated", 0, 4), (2, "unrelated", 0, 0)]
+    related = spark.createDataFrame([(1, 3)], "sample_a long, sample_b long")
+    got = [(r["sample_id"], r["tier"]) for r in graphs.greedy_rank(spark, df, 4, save, related=related).orderBy("rank").collect()]
+    assert got[0] == (1, "unrelated") and got[-1] == (3, "related")
+
+
+def test_growth_of_known_sites(spark):
+    hist = spark.createDataFrame([(1, 10), (3, 4)], "c long, sites long")
+    got = {r["k"]: (r["union"], r["core"]) for r in graphs.growth(hist, 3).collect()}
+    assert got[3] == pytest.approx((14, 4)) and got[1] == pytest.approx((10 / 3 + 4, 10 / 3 + 4))
+    assert got[2][0] == pytest.approx(10 * (1 - math.comb(2, 2) / math.comb(3, 2)) + 4)
+
+
+def test_hubs_pass_list_and_groups(spark, save):
+    pairs = spark.createDataFrame([(1, 2, 0.5, None), (1, 3, 0.5, None), (1, 4, 0.5, None), (3, 4, 0.5, None), (5, 6, 0.99, None), (6, 7, 0.99, 0.5)], "sample_a long, sample_b long, relatedness double, expected double")
+    assert [tuple(r) for r in identity.related_hubs(spark, pairs, 0.2, 0.9, 2, save).collect()] == [(1, 3)]
+    m = spark.createDataFrame([(i, i, "fail" if i == 2 else "pass") for i in range(1, 9)], "sample_id long, position long, status string")
+    got = {r["sample_id"]: r["kept"] for r in identity.identity_pass(m, pairs, 0.2, save).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: True, 6: False, 7: True, 8: True}
+    groups = {r["sample_id"]: r["group_id"] for r in identity.duplicate_groups(pairs, 0.9, save).collect()}
+    assert groups == {5: 5, 6: 5, 7: 5}
+
+
+def test_background_without_oneself(spark):
+    rows = spark.createDataFrame([(i, "r", "ALL", float(v)) for i, v in enumerate([1, 2, 4, 9])], "sample_id long, region_label string, label string, value double")
+    got = {r["sample_id"]: (r["n"], r["mean"], r["stdev"]) for r in methylation.background(rows, True).collect()}
+    assert got[3] == pytest.approx((3, 7 / 3, np.std([1, 2, 4], ddof=1)))
+
+
+def test_texts_and_numbers(spark):
+    assert one(spark, X.seconds(F.lit("1-02:03:04"))) == 93784 and one(spark, X.seconds(F.lit("03:04.5"))) == 184.5 and one(spark, X.seconds(F.lit("Unknown"))) is None
+    assert one(spark, X.megabytes(F.lit("1.5G"))) == 1536 and one(spark, X.megabytes(F.lit("2Gc"), F.lit(3))) == 6144
+    assert one(spark, X.contig_class(F.lit("MT"))) == "chrM" and one(spark, X.contig_class(F.lit("chr23"))) == "other"
+    assert one(spark, X.variant_kind(F.lit("A"), F.array(F.lit("G"), F.lit("AT")))) == "MIXED"
+    assert one(spark, X.repaired_slots(F.lit("2/0/1"), F.array(F.lit("a"), F.lit("b"), F.lit("c")))) == ["c", "a", "b"]
+    assert one(spark, X.fixed(F.lit(2.5), 4)) == "2.5" and one(spark, X.fixed(F.lit(20.0), 2)) == "20"
+    assert one(spark, X.number(F.lit("inf"))) is None and one(spark, X.motif_match(F.lit("CNG"), F.lit("GCT"))) == "iupac_rotation"
+
+
+def test_manifest_conflicts_and_tables(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("Sample,reads,Gender\ns1,a.bam,F\ns1,b.bam,female\ns2,c.bam,M\ns2,c.bam,2\n")
+    out, odd = text.read_manifest(spark, str(tmp_path / "m.csv"), {"sample_id": ["Sample"], "path": ["reads"], "sex": ["Gender"], "father_id": [], "mother_id": []}, ",")
+    assert {r["sample_id"]: r["files"] for r in out.collect()} == {"s1": ["a.bam", "b.bam"], "s2": ["c.bam"]} and [r["sample_id"] for r in odd.collect()] == ["s2"]
+    (tmp_path / "t.tsv").write_text("## x\n#a\tb\tc\n1\t2\n# skip\n3\t4\t5\n")
+    assert [tuple(r) for r in text.read_tsv(spark, str(tmp_path / "t.tsv")).collect()] == [("1", "2", ""), ("3", "4", "5")]
+
+
+def test_vcf_members_by_name(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text("##f\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tm2\tm1\nchr1\t5\tx\tA\tG,T\t.\tq1;q2\tSVLEN=3;FLAG\tGT:DP\t0/1:3\t1|1:4\n")
+    site = text.read_vcf_sites(spark, str(tmp_path / "a.vcf")).first()
+    assert site["alts"] == ["G", "T"] and site["filters"] == ["q1", "q2"] and site["info"] == {"SVLEN": "3", "FLAG": None}
+    rows, missing = text.read_vcf_genotypes(spark, str(tmp_path / "a.vcf"), ["m1", "m9"])
+    assert [(r["sample_id"], r["gt"]) for r in rows.collect()] == [("m1", "1|1")] and missing == ["m9"]
+
+
+def test_export_texts(spark):
+    df = spark.createDataFrame([(None, True, 0.1234567890123, [1, 2], 3.0)], "a string, b boolean, c double, d array<long>, e double")
+    assert tuple(sinks.as_text(df).first()) == ("", "true", "0.123456789", "1,2", "3")
+
+
+def test_haplotypes_collapse(spark):
+    gt = spark.createDataFrame([(1, 1, 0, 0.2), (1, 1, 2, 0.5), (1, 1, 1, 0.3)], "site long, sample_id long, allele int, abundance double")
+    r = samples.haplotype_collapse(gt).first()
+    assert (r["gt"], r["het"]) == ("0/2", True) and r["vaf"] == pytest.approx(0.5 / 0.7)
