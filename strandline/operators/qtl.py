@@ -129,44 +129,46 @@ def residual_tests(pairs: DataFrame, values: DataFrame, doses: DataFrame, design
     """Partial correlation of each (island, variant) on the covariates: r, t, df, slope.
 
     values: island, sample_id, value; doses: variant, sample_id, dose (absent: 0); design: sample_id, covariates (some
-    hundreds of members, broadcast).  Islands' and variants' values meet per pair; the test itself is a small matrix product
-    in a grouped function of one island, whose pairs are bounded by its window.
+    hundreds of members, broadcast).  One row per island carries its values and the doses of the variants in its window, so
+    the residuals are taken once per island and all its variants are tested in one matrix product.
     """
     rows = design.orderBy("sample_id").collect()  # members of a cohort x covariates
-    order = {r["sample_id"]: i for i, r in enumerate(rows)}
-    held = design.sparkSession.sparkContext.broadcast((order, np.array([[float(r[c]) for c in names] for r in rows]).reshape(len(rows), len(names))))
-    y = values.groupBy("island").agg(F.collect_list(F.struct("sample_id", "value")).alias("ys"))
-    x = doses.groupBy("variant").agg(F.collect_list(F.struct("sample_id", "dose")).alias("xs"))
+    ids = np.array([r["sample_id"] for r in rows], np.int64)
+    held = design.sparkSession.sparkContext.broadcast((ids, np.array([[float(r[c]) for c in names] for r in rows]).reshape(len(rows), len(names))))
+    lists = lambda df, key, value, to: df.where(f"{value} is not null and sample_id is not null").groupBy(key).agg(F.collect_list("sample_id").alias(f"{to}_id"), F.collect_list(value).alias(f"{to}_v"))
+    y = lists(values, "island", "value", "y")
+    x = lists(doses, "variant", "dose", "x")
+    near = pairs.select("island", "variant").join(x, "variant").groupBy("island").agg(F.collect_list(F.struct("variant", "x_id", "x_v")).alias("xs"))
+
+    def placed(ids: np.ndarray, own, values, fill: float) -> np.ndarray:
+        out = np.full(len(ids), fill)
+        own, values = np.asarray(own, np.int64), np.asarray(values, float)
+        at = np.minimum(np.searchsorted(ids, own), max(0, len(ids) - 1))
+        hit = ids[at] == own if len(ids) else np.zeros(len(own), bool)
+        out[at[hit]] = values[hit]
+        return out
 
     def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order, design_ = held.value
-        bases: dict[bytes, np.ndarray] = {}
+        ids, design_ = held.value
         for f in frames:
-            out = []
-            for island, variant, ys, xs in zip(f["island"], f["variant"], f["ys"], f["xs"]):
-                yv = np.full(len(order), np.nan)
-                for s in ys:
-                    if s["sample_id"] in order and s["value"] is not None:
-                        yv[order[s["sample_id"]]] = s["value"]
-                xv = np.zeros(len(order))
-                for s in xs:
-                    if s["sample_id"] in order:
-                        xv[order[s["sample_id"]]] = s["dose"]
-                mask = ~np.isnan(yv)
-                q = bases.setdefault(mask.tobytes(), basis(design_[mask]))
-                a, b = xv[mask], yv[mask]
-                a, b = a - q @ (q.T @ a), b - q @ (q.T @ b)
+            for island, y_id, y_v, xs in zip(f["island"], f["y_id"], f["y_v"], f["xs"]):
+                full = placed(ids, y_id, y_v, np.nan)
+                mask = ~np.isnan(full)
+                q = basis(design_[mask])
+                b = full[mask] - q @ (q.T @ full[mask])
+                a = np.array([placed(ids, v["x_id"], v["x_v"], 0.0) for v in xs])[:, mask]
+                a = a - (a @ q) @ q.T
                 df = int(mask.sum()) - q.shape[1] - 1
-                va, vb = a @ a, b @ b
-                if va < 1e-12 or vb < 1e-12 or df <= 0:
-                    out.append((island, variant, None, None, df, None))
-                    continue
-                r = float(np.clip(a @ b / np.sqrt(va * vb), -1, 1))
-                t = r * np.sqrt(df / max(1e-15, 1 - r * r))
-                out.append((island, variant, r, t, df, float(a @ b / va)))
-            yield pd.DataFrame(out, columns=["island", "variant", "r", "t", "df", "slope"])
-
-    joined = pairs.select("island", "variant").join(y, "island").join(x, "variant")
+                va, vb = np.einsum("ij,ij->i", a, a), float(b @ b)
+                ok = (va >= 1e-12) & (vb >= 1e-12) & (df > 0)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    r = np.clip(a @ b / np.sqrt(va * vb), -1, 1)
+                    t = r * np.sqrt(max(df, 0) / np.maximum(1e-15, 1 - r * r))
+                    slope = a @ b / va
+                known = lambda v, ok=ok: pd.Series(np.where(ok, v, np.nan)).astype(object).where(ok, None)
+                yield pd.DataFrame({"island": island, "variant": [v["variant"] for v in xs], "r": known(r), "t": known(t), "df": df, "slope": known(slope)})
+
+    joined = near.join(y, "island").select("island", "y_id", "y_v", "xs")
     return joined.mapInPandas(test, "island long, variant long, r double, t double, df long, slope double")
 
 

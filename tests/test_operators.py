@@ -165,3 +165,27 @@ def test_haplotypes_collapse(spark):
     gt = spark.createDataFrame([(1, 1, 0, 0.2), (1, 1, 2, 0.5), (1, 1, 1, 0.3)], "site long, sample_id long, allele int, abundance double")
     r = samples.haplotype_collapse(gt).first()
     assert (r["gt"], r["het"]) == ("0/2", True) and r["vaf"] == pytest.approx(0.5 / 0.7)
+
+
+def test_residual_tests_equal_regression(spark):
+    rng = np.random.default_rng(4)
+    n, cov = 40, rng.normal(size=(40, 2))
+    y, x = rng.normal(size=(3, n)) + cov[:, 0], rng.integers(0, 3, (5, n)).astype(float)
+    x[4] = 0
+    values = [(i, m, float(y[i, m]) if (i, m) != (1, 7) else None) for i in range(3) for m in range(n)]
+    doses = [(v, m, float(x[v, m])) for v in range(5) for m in range(n) if x[v, m]] + [(4, 999, 1.0)]
+    design = spark.createDataFrame([(m, float(a), float(b)) for m, (a, b) in enumerate(cov)], "sample_id long, a double, b double")
+    pairs = spark.createDataFrame([(i, v) for i in range(3) for v in range(5)], "island long, variant long")
+    frames = spark.createDataFrame(values, "island long, sample_id long, value double"), spark.createDataFrame(doses, "variant long, sample_id long, dose double")
+    out = qtl.residual_tests(pairs, *frames, design, ["a", "b"]).collect()
+    assert len(out) == 15
+    for r in out:
+        keep = np.array([m for m in range(n) if (r["island"], m) != (1, 7)])
+        a = np.column_stack([np.ones(len(keep)), cov[keep], x[r["variant"]][keep]])
+        if r["variant"] == 4:
+            assert r["t"] is None
+            continue
+        beta, rest, _, _ = np.linalg.lstsq(a, y[r["island"]][keep], rcond=None)
+        df = len(keep) - 4
+        error = np.sqrt(rest[0] / df * np.linalg.inv(a.T @ a)[3, 3])
+        assert r["df"] == df and r["slope"] == pytest.approx(beta[3]) and r["t"] == pytest.approx(beta[3] / error)
