@@ -33,9 +33,9 @@ def words(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, w (words) of every line; texts that are null give one row without a line."""
+    """doc_id, line_no, line of every line; texts that are null give one row without a line."""
     rows = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
-    return rows.select("doc_id", F.coalesce("line_no", F.lit(-1)).alias("line_no"), words(F.coalesce("line", F.lit(""))).alias("w"))
+    return rows.select("doc_id", F.coalesce("line_no", F.lit(-1)).alias("line_no"), F.coalesce("line", F.lit("")).alias("line"))
 
 
 def half_keys(w: Column) -> Column:
@@ -57,7 +57,7 @@ def marked_lines(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, f1, f2 (fingerprint; null if blank), halves."""
     w = F.col("w")
     some = F.size(w) > 0
-    return lines_of(docs).select(
+    return lines_of(docs).select("doc_id", "line_no", words(F.col("line")).alias("w")).select(
         "doc_id",
         "line_no",
         F.when(some, F.xxhash64(w)).alias("f1"),
@@ -66,32 +66,23 @@ def marked_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def variant_keys(w: Column) -> Column:
-    """Structs (key, role): x the line itself, y the line without one word, s the line with one word left open."""
-    n = F.size(w)
-    padded = F.concat(F.array(F.lit("\n")), w, F.array(F.lit("\n")))
-
-    def h(a: Column, b: Column) -> Column:
-        return F.shiftrightunsigned(F.xxhash64(a, b), 24)
-
-    at = lambda p, i: F.element_at(p, i)
-    pairs = F.transform(F.sequence(F.lit(1), n + 1), lambda i: h(at(padded, i), at(padded, i + 1)))
-    total = F.aggregate(pairs, F.lit(0).cast("long"), lambda a, x: a + x)
-    # `held` keeps what is used more than once, so that it is computed once for each line
-    held = F.array(F.struct(padded.alias("p"), pairs.alias("g"), total.alias("t"), n.alias("n")))
+def variants_of(lines: DataFrame) -> DataFrame:
+    """(o, key, role) of each line (o, w): x the line itself, y the line without one word, s the line with one word left open.
 
-    def keys(s: Column) -> Column:
-        cut = F.transform(
-            F.sequence(F.lit(1), s["n"]),
-            lambda i: F.struct(i.alias("i"), (s["t"] - at(s["g"], i) - at(s["g"], i + 1) + h(at(s["p"], i), at(s["p"], i + 2))).alias("v")),
-        )
-        own = F.array(F.struct(F.xxhash64(F.lit("d"), s["n"], s["t"]).alias("key"), F.lit("x").alias("role")))
-        less = F.array_distinct(F.transform(cut, lambda c: F.struct(F.xxhash64(F.lit("d"), s["n"] - 1, c["v"]).alias("key"), F.lit("y").alias("role"))))
-        less = F.filter(less, lambda _: s["n"] > MIN_WORDS)
-        open_ = F.transform(cut, lambda c: F.struct(F.xxhash64(F.lit("s"), s["n"], c["i"], c["v"]).alias("key"), F.lit("s").alias("role")))
-        return F.concat(own, less, open_)
-
-    return F.flatten(F.transform(held, keys))
+    One row per place is made first, so the keys are plain expressions over two arrays of numbers.
+    """
+    pair = lambda a, b: F.shiftrightunsigned(F.xxhash64(a, b), 24)
+    rows = lines.select("o", F.size("w").alias("n"), F.transform(F.concat(F.array(F.lit("\n")), "w", F.array(F.lit("\n"))), lambda x: F.xxhash64(x)).alias("p"))
+    rows = rows.withColumn("g", F.zip_with(F.slice("p", F.lit(1), F.col("n") + 1), F.slice("p", F.lit(2), F.col("n") + 1), pair))
+    rows = rows.withColumn("t", F.aggregate("g", F.lit(0).cast("long"), lambda a, x: a + x))
+    own = rows.select("o", F.xxhash64(F.lit("d"), "n", "t").alias("key"), F.lit("x").alias("role"))
+    places = rows.select("o", "n", "t", "p", "g", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    at = F.element_at
+    v = F.col("t") - at("g", F.col("i")) - at("g", F.col("i") + 1) + pair(at("p", F.col("i")), at("p", F.col("i") + 2))
+    places = places.select("o", "n", "i", v.alias("v"))
+    open_ = places.select("o", F.xxhash64(F.lit("s"), "n", "i", "v").alias("key"), F.lit("s").alias("role"))
+    less = places.where(F.col("n") > MIN_WORDS).select("o", F.xxhash64(F.lit("d"), F.col("n") - 1, "v").alias("key"), F.lit("y").alias("role"))
+    return own.unionByName(open_).unionByName(less)
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -118,12 +109,13 @@ def near_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
     shared = halves.groupBy("half").agg(F.min("o").alias("lo"), F.max("o").alias("hi")).where("lo < hi").select("half")
     chosen = materialise(halves.join(shared, "half").select("o").distinct().select("o.doc_id", "o.line_no"), "lines")
     few = chosen.count() <= BROADCAST_IDS
+    ids = chosen.select("doc_id").distinct()
+    docs = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     chosen = chosen.select(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("no_id"), "line_no")
     texts = lines_of(docs).withColumns({"d": F.coalesce("doc_id", F.lit(0)), "no_id": F.col("doc_id").isNull()})
-    texts = texts.join(F.broadcast(chosen) if few else chosen, ["d", "no_id", "line_no"]).select(F.struct("doc_id", "line_no").alias("o"), "w")
+    texts = texts.join(F.broadcast(chosen) if few else chosen, ["d", "no_id", "line_no"]).select(F.struct("doc_id", "line_no").alias("o"), words(F.col("line")).alias("w"))
     texts = materialise(texts.dropDuplicates(["o"]), "candidates")
-    variants = texts.select("o", F.explode(variant_keys(F.col("w"))).alias("k")).select("o", "k.key", "k.role")
-    variants = materialise(variants, "variants")
+    variants = materialise(variants_of(texts), "variants")
     least = lambda role: F.min(F.when(F.col("role") == role, F.col("o"))).alias(role)
     buckets = variants.groupBy("key").agg(least("x"), least("y"), least("s"), F.count("*").alias("n")).where("n > 1").drop("n")
     earlier = F.when(F.col("role") == "x", F.col("y")).when(F.col("role") == "y", F.col("x")).otherwise(F.col("s"))
