@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontam, langid, lattice, linededup, minhash, mixing, quality, sharding, tokens, toxicity
 from .common import scratch, table
@@ -31,7 +32,8 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.line_dedup(table(spark, sf_dir, "documents"))
+    out = linededup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.withColumn("dropped", F.array_join(F.transform("dropped", lambda i: i.cast("string")), ","))
 
 
 def op6_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op9_lattice_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,5 +71,38 @@ QUERIES = {
         op10_toxicity,
     )
 }
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_CONTAMINATION = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+ i AS (SELECT item_id, w, len(w) AS n, least(13, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) t WHERE len(w) > 0),
+ iw AS (SELECT item_id, k, array_to_string(w[j:j + k - 1], ' ') AS win FROM (SELECT *, unnest(range(1, n - k + 2)) AS j FROM i) t),
+ ks AS (SELECT DISTINCT k FROM i),
+ dw AS (SELECT doc_id, j, k, array_to_string(w[j:j + k - 1], ' ') AS win FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS j FROM d, ks) t),
+ m AS (SELECT DISTINCT doc_id, j, k, item_id FROM dw JOIN iw USING (k, win)),
+ h AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + k)) AS place FROM m) t GROUP BY 1),
+ g AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM m GROUP BY 1)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN g USING (doc_id)"""
+
+_LINES = """WITH l AS (SELECT doc_id, i - 1 AS line_no, list_filter(regexp_split_to_array(lower(lines[i]), '[ \\t\\r\\f\\x0B]+'), lambda x: x <> '') AS w
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents) s) t),
+ f AS (SELECT w, len(w) AS n, min((doc_id, line_no)) AS o FROM l WHERE len(w) > 0 GROUP BY w),
+ c AS (SELECT w, n, o, unnest([n, n - 1]) AS c FROM f WHERE n >= 5),
+ h AS (SELECT w, n, o, c, 'front' AS side, w[1:c // 2] AS part FROM c WHERE c >= 5 UNION ALL SELECT w, n, o, c, 'back', w[n - (c - c // 2) + 1:n] FROM c WHERE c >= 5),
+ p AS (SELECT DISTINCT a.o AS o, b.o AS m, a.w AS x, b.w AS y, a.n AS n, b.n AS k FROM h a JOIN h b USING (c, side, part) WHERE b.o < a.o AND abs(a.n - b.n) <= 1),
+ near AS (SELECT DISTINCT o FROM p WHERE CASE WHEN n = k THEN len(list_filter(range(1, n + 1), lambda i: x[i] <> y[i])) <= 1
+  WHEN n = k + 1 THEN len(list_filter(range(1, n + 1), lambda i: list_concat(x[1:i - 1], x[i + 1:n]) = y)) > 0 ELSE len(list_filter(range(1, k + 1), lambda i: list_concat(y[1:i - 1], y[i + 1:k]) = x)) > 0 END),
+ j AS (SELECT l.doc_id, l.line_no, len(l.w) = 0 AS blank, f.o IS NOT NULL AND f.o <> (l.doc_id, l.line_no) AS exact, near.o IS NOT NULL AND f.o = (l.doc_id, l.line_no) AS near FROM l LEFT JOIN f ON f.w = l.w AND len(l.w) > 0 LEFT JOIN near ON near.o = f.o)
+ SELECT doc_id, count(*) AS n_lines, count(CASE WHEN blank THEN 1 END) AS n_blank, count(CASE WHEN exact THEN 1 END) AS n_exact, count(CASE WHEN near THEN 1 END) AS n_near,
+  coalesce(string_agg(CASE WHEN exact OR near THEN CAST(line_no AS VARCHAR) END, ',' ORDER BY line_no), '') AS dropped FROM j GROUP BY 1"""
+_VECTORS = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ g AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+ k AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+ r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT k.b, r.c FROM r JOIN k ON k.a = r.vec_id)
+ SELECT vec_id, (SELECT count(*) FROM k WHERE k.a = v.vec_id) AS n_links, (SELECT min(c) FROM r WHERE r.vec_id = v.vec_id) AS component_id, vec_id = (SELECT min(c) FROM r WHERE r.vec_id = v.vec_id) AS kept FROM v"""
+
 #: Operators that DuckDB can express; the others are tested against brute force (tests/llm).
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_neighbourhood": _LINES,
+    "op8_decontamination": _CONTAMINATION,
+    "op9_lattice_neighbours": _VECTORS,
+}
