@@ -14,13 +14,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 21
+from ..session import ready
+
+CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch: a few megabytes of usual texts, so that a worker and its JVM hold little at a time.
+BATCH_ROWS = 500
 #: Ids that may be broadcast (8 MB of longs); larger sets take a shuffled join.
 BROADCAST_IDS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -43,6 +47,12 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have Spark pass rows to Python in small Arrow batches (a setting of the session; Spark only bounds batches by rows)."""
+    ready(df.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 def fold(column: str, parts: int):
     """crc32 of the id as text, modulo parts; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(0))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_LUT
+from .common import WORD_LUT, small_batches
 
 WINDOW = 13
 #: Windows per automaton (about 60 nodes each): some 150 MB a worker at most.
@@ -125,7 +125,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int, keep: str) -> DataF
     groups = _groups(benchmark, window)
     names = [c for c in docs.columns if c != "text" or keep == "*"]
     rows = docs if keep == "*" else docs.select(*dict.fromkeys([*names, "text"]))
-    types = dict(rows.dtypes)
+    types = dict(small_batches(rows).dtypes)
     shape = ", ".join(f"`{n}` {types[n]}" for n in names) + ", __n_words long, __n_hit long, __items array<string>, __spans array<struct<a:long,b:long>>"
     places = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, fold
+from .common import byte_chunks, fold, small_batches
 
 #: Labelled documents a model is fitted on, per class, and the longest text among them in bytes: bounds the driver's memory.
 SAMPLE_PER_CLASS = 2000
@@ -64,7 +64,7 @@ def score_texts(docs: DataFrame, scorer: Callable[[], Callable], threshold: floa
                 s = score(data, offs, [batch.column(2 + i).slice(lo, hi - lo) for i in range(len(extra))])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(s, pa.float64())], ["doc_id", "score"])
 
-    wanted = docs.select("doc_id", "text", *extra)
+    wanted = small_batches(docs).select("doc_id", "text", *extra)
     scored = wanted.mapInArrow(run, f"doc_id {dict(wanted.dtypes)['doc_id']}, score double")
     return scored.select("doc_id", (fold("doc_id", FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LETTER_LUT, byte_chunks, fold, words_of
+from .common import LETTER_LUT, byte_chunks, fold, small_batches, words_of
 
 BITS = 16
 #: Texts a language model is fitted on, per language, and the longest text among them in bytes.
@@ -159,7 +159,7 @@ def judged(docs: DataFrame, names: list[str], table: np.ndarray, columns: list[s
 
     types = dict(docs.dtypes)
     shape = ", ".join(f"`{c}` {types[c]}" for c in columns) + ", __lang string, __score double, __shares map<string,double>"
-    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, shape)
+    return small_batches(docs).select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, shape)
 
 
 def identify(docs: DataFrame) -> DataFrame:

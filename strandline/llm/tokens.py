@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, materialise, scratch, word_hashes
+from .common import byte_chunks, materialise, scratch, small_batches, word_hashes
 
 MAGIC = b"WMX1"
 #: Ids per shard aimed at: 8 MB of ids before compression.
@@ -180,7 +180,7 @@ def encode(docs: DataFrame, path: str, end_id: int | None = None, text: str = "t
                 ids = [b + end for b in enc.texts(texts.slice(lo, hi - lo).fill_null("").to_pylist())]
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array(ids, pa.binary())], ["key", "ids"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, ids binary")
 
 
