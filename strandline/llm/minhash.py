@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_LUT, anti_by_id, byte_chunks, components, materialise, mix64, semi_by_id, word_hashes, words_of
+from .common import WORD_LUT, anti_by_id, byte_chunks, components, materialise, mix64, semi_by_id, small_batches, word_hashes, words_of
 from .labelled import unique_features
 
 SHINGLE = 5
@@ -39,6 +39,12 @@ LEADERS = 3
 #: Samples that must agree before a pair is compared exactly in the last round: an estimated similarity of 0.64, which a
 #: pair of similarity 0.8 misses with a probability below 1e-4.
 AGREE = 45
+#: Documents whose buckets hold more than so many others in all get FINE further samples, of which FINE_AGREE must agree too
+#: (an estimate of 0.76; a pair of similarity 0.8 misses it with probability 0.001): dense surroundings of a group of copies
+#: would otherwise be compared exactly pair by pair.
+CROWD = 256
+FINE = 960
+FINE_AGREE = 730
 _U = np.uint64
 _LOW = _U((1 << 48) - 1)
 _TURNS = [_U(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -68,7 +74,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([h[0].tobytes() for h in sums.values()], pa.binary()), pa.array([h[1] for h in sums.values()], pa.int64())], ["segment", "counts", "n"])
 
     shape = "segment long, counts binary, n long"
-    rows = docs.select("text").mapInArrow(count, shape).repartition((1 << DF_BITS) // SEGMENT, "segment").mapInArrow(add, shape).collect()
+    rows = small_batches(docs).select("text").mapInArrow(count, shape).repartition((1 << DF_BITS) // SEGMENT, "segment").mapInArrow(add, shape).collect()
     out, n = np.zeros((1 << DF_BITS) // SEGMENT * SEGMENT, np.int64), 0
     for r in rows:
         out[r["segment"] * SEGMENT : (r["segment"] + 1) * SEGMENT] += np.frombuffer(r["counts"], np.int64)
@@ -195,7 +201,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: fl
     """Pairs (a, b) whose texts have the similarity or more.  pairs should be a table."""
     model = texts.sparkSession.sparkContext.broadcast(idf)
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    texts = semi_by_id(texts, ids, "id")
+    texts = semi_by_id(small_batches(texts), ids, "id")
 
     def run(batches):
         for batch in batches:
@@ -207,6 +213,30 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: fl
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def with_samples(rows: DataFrame, marks: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Bucket rows (key, x, c) with the document's bands, bucket keys, samples and, in crowds, fine samples (else null)."""
+    size = rows.groupBy("key").agg(F.count("*").alias("n"))
+    crowded = rows.join(size, "key").groupBy(F.col("x").alias("id")).agg(F.sum(F.col("n") - 1).alias("others")).where(F.col("others") > CROWD).select("id")
+    crowded = materialise(crowded, "crowded")
+    model = texts.sparkSession.sparkContext.broadcast(idf)
+
+    def run(batches):
+        tables = sampling_tables(13)
+        for batch in batches:
+            for lo, hi, data, offs in byte_chunks(batch.column(1), rows=ROWS):
+                key, weight, _, _ = weighted_sets(data, offs, model.value)
+                if not len(key):
+                    continue
+                have, s = samples(key, weight, FINE, tables, 13)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * FINE), pa.array((s >> _U(32)).astype(np.uint32).view(np.int32).ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(have)), lists], ["x", "fine"])
+
+    fine = semi_by_id(texts, crowded, "id").select("id", "text").mapInArrow(run, "x long, fine array<int>").dropDuplicates(["x"])
+    drawn = marks.select(F.col("id").alias("x"), "bands", "samples").dropDuplicates(["x"])
+    keys = F.transform("bands", lambda v, i: F.xxhash64(i, v)).alias("keys")
+    return rows.select("key", "x", "c").join(drawn.select("x", "bands", keys, "samples"), "x").join(fine, "x", "left")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
 
@@ -239,11 +269,14 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     done, rest = pairs, apart(links)
     for final in (False, True):
         if final:
-            drawn = marks.select(F.col("id").alias("x"), "samples").dropDuplicates(["x"])
-            rest = materialise(rest.join(drawn, "x"), "sampled")
-            other = rest.select("key", F.col("x").alias("y"), F.col("c").alias("d"), F.col("samples").alias("s"))
-            agree = F.size(F.filter(F.zip_with("samples", "s", lambda p, q: p == q), lambda z: z))
-            new = rest.join(other, (rest["key"] == other["key"]) & (F.col("c") < F.col("d")) & (agree >= AGREE))
+            rest = materialise(with_samples(rest, marks, texts, idf), "sampled")
+            other = rest.select(*[F.col(c).alias(f"{c}_") for c in rest.columns])
+            same = lambda p, q: F.size(F.filter(F.zip_with(p, q, lambda x, y: x == y), lambda z: z))
+            close = same("samples", "samples_") >= AGREE
+            close &= F.col("fine").isNull() | F.col("fine_").isNull() | (same("fine", "fine_") >= FINE_AGREE)
+            first = F.array_position(F.zip_with("bands", "bands_", lambda x, y: x == y), True) == F.array_position("keys", F.col("key"))
+            new = rest.join(other, (F.col("key") == F.col("key_")) & (F.col("c") < F.col("c_")) & first & close)
+            new = new.select("x", F.col("x_").alias("y"))
         else:
             firsts = rest.groupBy("key").agg(*[F.min_by(F.struct(F.col("x").alias("y"), F.col("c").alias("d")), F.xxhash64(F.lit(i), "x")).alias(f"l{i}") for i in range(LEADERS)])
             firsts = firsts.select("key", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("l")).select("key", "l.y", "l.d")
