@@ -189,3 +189,33 @@ def test_residual_tests_equal_regression(spark):
         df = len(keep) - 4
         error = np.sqrt(rest[0] / df * np.linalg.inv(a.T @ a)[3, 3])
         assert r["df"] == df and r["slope"] == pytest.approx(beta[3]) and r["t"] == pytest.approx(beta[3] / error)
+
+
+@pytest.fixture
+def cohort(spark, tmp_path):
+    """A folder in which members 73 and 75 are the same person and member 150 carries the most sites."""
+    sites = {1: range(1, 4), 73: range(1, 11), 75: range(1, 11), 150: range(20, 40), 200: range(50, 55)}
+    lines = [(m, s) for m, own in sites.items() for s in own]
+    spark.createDataFrame([(i, m) for i, (m, _) in enumerate(lines)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(i, s, 2, 0.02, 5.0) for i, (_, s) in enumerate(lines)], "l_orderkey long, l_partkey long, l_linenumber int, l_tax double, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(m, "a", 1, 0.0) for m in sites], "c_custkey long, c_mktsegment string, c_nationkey long, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    return str(tmp_path)
+
+
+def test_identity_looks_at_all_members(spark, cohort):
+    from strandline.plans.catalogue import QUERIES
+
+    assert {r["sample_id"]: r["group_id"] for r in QUERIES["sta32"](spark, cohort).collect()} == {1: 1, 73: 1, 75: 1}
+    got = {r["sample_id"]: (r["kept"], r["reason"]) for r in QUERIES["sta16"](spark, cohort).collect()}
+    assert got[75] == (False, "related to 1") and got[150] == (True, "") and len(got) == 5
+    assert QUERIES["sta14"](spark, cohort).count() == 0
+    assert [r["sample_id"] for r in QUERIES["sta18"](spark, cohort).orderBy("rank").limit(3).collect()] == [1, 150, 73]
+
+
+def test_hubs_above_the_first_ids(spark, tmp_path):
+    from strandline.plans.catalogue import QUERIES
+
+    lines = [(100, s) for s in range(1, 27)] + [(101 + i, s) for i in range(13) for s in (2 * i + 1, 2 * i + 2, 100 + i)]
+    spark.createDataFrame([(i, m) for i, (m, _) in enumerate(lines)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(i, s, 2, 0.02, 5.0) for i, (_, s) in enumerate(lines)], "l_orderkey long, l_partkey long, l_linenumber int, l_tax double, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert [tuple(r) for r in QUERIES["sta14"](spark, str(tmp_path)).collect()] == [(100, 13)]
