@@ -12,7 +12,8 @@ the same words, or (both of ``MIN_WORDS`` words or more) is within one word edit
    and no bucket is expanded into pairs.
 4. Each candidate pair is verified word by word.
 
-A variant's hash is the sum of its 40-bit hashes of neighbouring words, so all variants of a line cost one pass over it.
+A variant's hash is the exclusive or of 64-bit hashes of its words with their places, so it depends on the order of the
+words, and all variants of a line cost one pass over it.
 
 Defined cases: null and empty texts have no lines to drop; blank lines are never dropped; rows that repeat a doc_id count as
 one document; a null doc_id sorts first; an empty table gives an empty result.
@@ -69,19 +70,23 @@ def marked_lines(docs: DataFrame) -> DataFrame:
 def variants_of(lines: DataFrame) -> DataFrame:
     """(o, key, role) of each line (o, w): x the line itself, y the line without one word, s the line with one word left open.
 
-    One row per place is made first, so the keys are plain expressions over two arrays of numbers.
+    A word is hashed with its place, and with the place before it, where it stands once an earlier word is gone.  One row per
+    place is made first, so the keys are plain expressions over numbers.
     """
-    pair = lambda a, b: F.shiftrightunsigned(F.xxhash64(a, b), 24)
-    rows = lines.select("o", F.size("w").alias("n"), F.transform(F.concat(F.array(F.lit("\n")), "w", F.array(F.lit("\n"))), lambda x: F.xxhash64(x)).alias("p"))
-    rows = rows.withColumn("g", F.zip_with(F.slice("p", F.lit(1), F.col("n") + 1), F.slice("p", F.lit(2), F.col("n") + 1), pair))
-    rows = rows.withColumn("t", F.aggregate("g", F.lit(0).cast("long"), lambda a, x: a + x))
+    either = lambda a, b: a.bitwiseXOR(b)
+    none = F.lit(0).cast("long")
+    rows = lines.select("o", F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("p"))
+    rows = rows.withColumns({"a": F.transform("p", lambda x, i: F.xxhash64(x, i)), "b": F.transform("p", lambda x, i: F.xxhash64(x, i - 1))})
+    rows = rows.withColumn("t", F.aggregate("a", none, either))
+    # c[i]: hashes of the words before place i under both places, from nothing before the first word to all words
+    before = F.aggregate(F.zip_with("a", "b", either), F.array(none), lambda c, x: F.concat(c, F.array(either(F.element_at(c, -1), x))))
+    rows = rows.withColumn("c", before)
     own = rows.select("o", F.xxhash64(F.lit("d"), "n", "t").alias("key"), F.lit("x").alias("role"))
-    places = rows.select("o", "n", "t", "p", "g", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
-    at = F.element_at
-    v = F.col("t") - at("g", F.col("i")) - at("g", F.col("i") + 1) + pair(at("p", F.col("i")), at("p", F.col("i") + 2))
-    places = places.select("o", "n", "i", v.alias("v"))
-    open_ = places.select("o", F.xxhash64(F.lit("s"), "n", "i", "v").alias("key"), F.lit("s").alias("role"))
-    less = places.where(F.col("n") > MIN_WORDS).select("o", F.xxhash64(F.lit("d"), F.col("n") - 1, "v").alias("key"), F.lit("y").alias("role"))
+    moved = either(F.col("t"), F.element_at("c", -1)).alias("tb")  # all words at the place before theirs
+    places = rows.select("o", "n", "t", moved, F.posexplode(F.arrays_zip("a", "b", F.slice("c", F.lit(1), F.col("n")).alias("c"))).alias("i", "at"))
+    open_ = places.select("o", F.xxhash64(F.lit("s"), "n", "i", either(F.col("t"), F.col("at.a"))).alias("key"), F.lit("s").alias("role"))
+    gone = either(either(F.col("tb"), F.col("at.c")), F.col("at.b"))
+    less = places.where(F.col("n") > MIN_WORDS).select("o", F.xxhash64(F.lit("d"), F.col("n") - 1, gone).alias("key"), F.lit("y").alias("role"))
     return own.unionByName(open_).unionByName(less)
 
 

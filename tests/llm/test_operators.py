@@ -262,6 +262,27 @@ def test_line_dedup_equals_brute_force(spark):
     assert all(kept[d] == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[d]) for d, t, *_ in rows)
 
 
+def test_lines_of_the_same_words_in_another_order(spark):
+    rows = [(1, "the cat the dog the end now"), (2, "the dog the cat the end now"), (3, "the dog the cat the end today")]
+    rows += [(4, "a - b - c - d"), (5, "b - a - c - d"), (6, "b - a - c - d x"), (7, "c - b - a - d x y"), (8, "b - a - c x")]
+    r = random.Random(8)
+    for i in range(60):
+        w = ["x", "-", "y", "-", "z", "-", *r.sample("uvw", 2)]
+        if i % 2:
+            r.shuffle(w)
+        if i % 3 == 0:
+            del w[r.randrange(len(w))]
+        rows.append((20 + i, " ".join(w)))
+    earlier, want = [], {}
+    for d, line in rows:
+        w = line.split()
+        want[d] = [0] if any(w == e or near(w, e) for e in earlier) else []
+        earlier.append(w)
+    assert want[3] == [0]
+    got = {r["doc_id"]: list(r["dropped"]) for r in linededup.line_dedup(frame(spark, [(d, t, None, None, None) for d, t in rows])).collect()}
+    assert got == want
+
+
 # ---------------------------------------------------------------- 6: mixing
 
 
