@@ -9,8 +9,9 @@ needs an exact weighted Jaccard similarity of ``SIMILARITY`` or more.
 
 Buckets are never expanded into all their pairs.  Equal word sequences are one class from the start.  Then each member
 of a bucket is compared with the bucket's first document; members still apart, with three more leaders; and only
-documents of a bucket that are then in different components, and whose samples agree well enough, are paired for the exact
-comparison, so no link between components is lost.
+documents of a bucket that are then in different components are paired for the exact comparison, but for those whose weights,
+added up in ``SUMS`` slots by shingle, already rule the similarity out.  That bound holds for every pair, so no link between
+components of a bucket is lost.
 
 Defined cases: a text of one to four words is a single shingle; a null text or one without words is alone in its class; a null
 doc_id is kept and alone; repeated rows of one document are copies of each other; the document with the smallest id of a
@@ -36,15 +37,10 @@ DF_BITS = 18
 SEGMENT = 4096
 ROWS = 1 << 13
 LEADERS = 3
-#: Samples that must agree before a pair is compared exactly in the last round: an estimated similarity of 0.64, which a
-#: pair of similarity 0.8 misses with a probability below 1e-4.
-AGREE = 45
-#: Documents whose buckets hold more than so many others in all get FINE further samples, of which FINE_AGREE must agree too
-#: (an estimate of 0.76; a pair of similarity 0.8 misses it with probability 0.001): dense surroundings of a group of copies
-#: would otherwise be compared exactly pair by pair.
-CROWD = 256
-FINE = 960
-FINE_AGREE = 730
+#: Slots of the weight sums that bound a pair's similarity from above in the last round.
+SUMS = 256
+#: Room for the rounding of the sums to 32 bits.
+SLACK = 1e-5
 _U = np.uint64
 _LOW = _U((1 << 48) - 1)
 _TURNS = [_U(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -141,18 +137,18 @@ def samples(key: np.ndarray, weight: np.ndarray, n_samples: int, tables, seed: i
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """id, f1, f2 (fingerprint of the word sequence; null without words), bands (one key per band), samples (32 bits of each)."""
+    """id, f1, f2 (fingerprint of the word sequence; null without words), bands (one key per band)."""
     model = docs.sparkSession.sparkContext.broadcast(idf)  # 2^DF_BITS floats
 
     def run(batches):
-        tables, names = sampling_tables(), ["id", "f1", "f2", "bands", "samples"]
+        tables, names = sampling_tables(), ["id", "f1", "f2", "bands"]
         for batch in batches:
             for lo, hi, data, offs in byte_chunks(batch.column(1), rows=ROWS):
                 key, weight, h, doc = weighted_sets(data, offs, model.value)
                 ids = batch.column(0).slice(lo, hi - lo)
                 if not len(key):
                     none = pa.nulls(hi - lo, pa.int64())
-                    yield pa.RecordBatch.from_arrays([ids, none, none, pa.nulls(hi - lo, pa.list_(pa.int64())), pa.nulls(hi - lo, pa.list_(pa.int32()))], names)
+                    yield pa.RecordBatch.from_arrays([ids, none, none, pa.nulls(hi - lo, pa.list_(pa.int64()))], names)
                     continue
                 have, s = samples(key, weight, bands * rows, tables)
                 key_of = np.zeros((len(have), bands), _U)
@@ -166,11 +162,10 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int =
                 at[have] = np.arange(len(have))
                 take = pa.array(np.maximum(at, 0), mask=at < 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * bands), pa.array(key_of.ravel().view(np.int64)))
-                all_ = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * s.shape[1]), pa.array((s >> _U(32)).astype(np.uint32).view(np.int32).ravel()))
                 first_two = [pa.array(p.view(np.int64)).take(take) for p in prints]
-                yield pa.RecordBatch.from_arrays([ids, *first_two, lists.take(take), all_.take(take)], names)
+                yield pa.RecordBatch.from_arrays([ids, *first_two, lists.take(take)], names)
 
-    return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(run, "id long, f1 long, f2 long, bands array<long>, samples array<int>")
+    return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(run, "id long, f1 long, f2 long, bands array<long>")
 
 
 def similarities(a: pa.Array, b: pa.Array, idf: np.ndarray) -> np.ndarray:
@@ -213,28 +208,49 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: fl
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def with_samples(rows: DataFrame, marks: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Bucket rows (key, x, c) with the document's bands, bucket keys, samples and, in crowds, fine samples (else null)."""
-    size = rows.groupBy("key").agg(F.count("*").alias("n"))
-    crowded = rows.join(size, "key").groupBy(F.col("x").alias("id")).agg(F.sum(F.col("n") - 1).alias("others")).where(F.col("others") > CROWD).select("id")
-    crowded = materialise(crowded, "crowded")
+def slot_sums(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents that have shingles, and their weights added up by slot of the shingle [document, SUMS]."""
+    have, at = np.unique((key >> _U(48)).astype(np.int64), return_inverse=True)
+    slot = (key & _U(SUMS - 1)).astype(np.int64)
+    return have, np.bincount(at * SUMS + slot, weight, len(have) * SUMS).reshape(-1, SUMS).astype(np.float32)
+
+
+def possible(similarity: float):
+    """Whether a pair of rows (sums, total) and (sums_, total_) can have the similarity: no two documents share more weight
+    than the smaller sum of each slot."""
+    shared = F.aggregate(F.zip_with("sums", "sums_", lambda x, y: F.least(x, y)), F.lit(0.0), lambda a, x: a + x)
+    least = similarity - SLACK
+    return F.coalesce(shared * (1 + least) >= least * (F.col("total") + F.col("total_")), F.lit(True))
+
+
+def with_sums(rows: DataFrame, marks: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Bucket rows (key, x, c) with the document's bands, bucket keys, weight sums and total weight.
+
+    An id with several texts has the largest sum of each slot and the smallest total, so that the bound holds for each of its
+    texts; its bands are null if they differ.
+    """
+    ids = materialise(rows.select(F.col("x").alias("id")).distinct(), "ids")
     model = texts.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
-        tables = sampling_tables(13)
         for batch in batches:
             for lo, hi, data, offs in byte_chunks(batch.column(1), rows=ROWS):
                 key, weight, _, _ = weighted_sets(data, offs, model.value)
                 if not len(key):
                     continue
-                have, s = samples(key, weight, FINE, tables, 13)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * FINE), pa.array((s >> _U(32)).astype(np.uint32).view(np.int32).ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(have)), lists], ["x", "fine"])
-
-    fine = semi_by_id(texts, crowded, "id").select("id", "text").mapInArrow(run, "x long, fine array<int>").dropDuplicates(["x"])
-    drawn = marks.select(F.col("id").alias("x"), "bands", "samples").dropDuplicates(["x"])
+                have, sums = slot_sums(key, weight)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * SUMS), pa.array(sums.ravel()))
+                total = pa.array(sums.sum(axis=1, dtype=np.float64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(have)), lists, total], ["x", "sums", "total"])
+
+    summed = semi_by_id(small_batches(texts), ids, "id").select("id", "text").mapInArrow(run, "x long, sums array<float>, total double")
+    largest = F.aggregate("all", F.element_at("all", 1), lambda a, s: F.zip_with(a, s, lambda x, y: F.greatest(x, y)))
+    summed = summed.groupBy("x").agg(F.collect_set("sums").alias("all"), F.min("total").alias("total"))
+    summed = summed.select("x", F.when(F.size("all") == 1, F.element_at("all", 1)).otherwise(largest).alias("sums"), "total")
+    drawn = semi_by_id(marks, ids, "id").groupBy(F.col("id").alias("x")).agg(F.min("bands").alias("bands"), F.max("bands").alias("last"))
+    drawn = drawn.select("x", F.when(F.col("bands") == F.col("last"), F.col("bands")).alias("bands"))
     keys = F.transform("bands", lambda v, i: F.xxhash64(i, v)).alias("keys")
-    return rows.select("key", "x", "c").join(drawn.select("x", "bands", keys, "samples"), "x").join(fine, "x", "left")
+    return rows.select("key", "x", "c").join(drawn.select("x", "bands", keys), "x").join(summed, "x", "left")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -269,13 +285,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     done, rest = pairs, apart(links)
     for final in (False, True):
         if final:
-            rest = materialise(with_samples(rest, marks, texts, idf), "sampled")
+            rest = materialise(with_sums(rest, marks, texts, idf), "summed")
             other = rest.select(*[F.col(c).alias(f"{c}_") for c in rest.columns])
-            same = lambda p, q: F.size(F.filter(F.zip_with(p, q, lambda x, y: x == y), lambda z: z))
-            close = same("samples", "samples_") >= AGREE
-            close &= F.col("fine").isNull() | F.col("fine_").isNull() | (same("fine", "fine_") >= FINE_AGREE)
             first = F.array_position(F.zip_with("bands", "bands_", lambda x, y: x == y), True) == F.array_position("keys", F.col("key"))
-            new = rest.join(other, (F.col("key") == F.col("key_")) & (F.col("c") < F.col("c_")) & first & close)
+            new = rest.join(other, (F.col("key") == F.col("key_")) & (F.col("c") < F.col("c_")) & F.coalesce(first, F.lit(True)) & possible(similarity))
             new = new.select("x", F.col("x_").alias("y"))
         else:
             firsts = rest.groupBy("key").agg(*[F.min_by(F.struct(F.col("x").alias("y"), F.col("c").alias("d")), F.xxhash64(F.lit(i), "x")).alias(f"l{i}") for i in range(LEADERS)])
@@ -283,12 +296,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             new = rest.join(firsts, "key").where("c != d")
         new = materialise(_ordered(new).join(done, ["a", "b"], "left_anti"), "pairs")
         if new.isEmpty():
-            break
+            continue
         links = materialise(links.union(verified(new, texts, idf, similarity)), "verified")
-        if final:
-            break
-        done = done.union(new)
-        rest = apart(links)
+        if not final:
+            done = done.union(new)
+            rest = apart(links)
     comp = components(links).withColumnRenamed("node", "rep")
     of_copies = copies.select("f1", "f2", "rep").join(comp, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("class_id"))
     out = marks.select("id", "f1", "f2").join(of_copies, ["f1", "f2"]).select(F.col("id").alias("doc_id"), "class_id")

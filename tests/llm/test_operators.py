@@ -170,6 +170,25 @@ def test_near_duplicate_classes_equal_brute_force(spark):
     assert got == {x: find(x) for x in parent}
 
 
+def test_weight_sums_bound_the_similarity():
+    r, texts = random.Random(6), []
+    for i in range(60):
+        w = prose(700 + i % 6, 150).split()
+        for _ in range(r.randint(0, 12)):
+            w[r.randrange(len(w))] = f"neu{r.randrange(99)}"
+        texts.append(" ".join(w))
+    idf = np.ones(1 << minhash.DF_BITS, np.float32)
+    column = pa.array(texts, pa.large_string())
+    (_, _, data, offs), = byte_chunks(column)
+    have, sums = minhash.slot_sums(*minhash.weighted_sets(data, offs, idf)[:2])
+    assert list(have) == list(range(60))
+    a, b = np.triu_indices(60, 1)
+    exact = minhash.similarities(column.take(pa.array(a)), column.take(pa.array(b)), idf)
+    shared = np.minimum(sums[a], sums[b]).sum(axis=1, dtype=float)
+    bound = shared / (sums[a].sum(axis=1, dtype=float) + sums[b].sum(axis=1, dtype=float) - shared)
+    assert (exact >= 0.8).any() and (exact < 0.6).any() and (bound >= exact - minhash.SLACK).all()
+
+
 # ---------------------------------------------------------------- 3: languages
 
 
