@@ -203,7 +203,8 @@ _SHARDS = "(SELECT chrom, k AS shard_no, k * 200000 AS b_start, (k + 1) * 200000
 
 @query("snk04", f"SELECT chrom, CAST(shard_no AS BIGINT) AS shard_no, count(*) AS n, count(CASE WHEN start_pos >= b_start THEN 1 END) AS n_start FROM (SELECT s.*, start_pos, end_pos FROM {{regions}} r JOIN {_SHARDS} s USING (chrom) WHERE start_pos < b_end AND b_start < end_pos) t GROUP BY 1, 2")
 def snk04(b: Bound):
-    shards = b.regions.select("chrom").distinct().withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long"))))
+    last = F.floor((F.greatest(F.max("start_pos") + 1, F.max("end_pos")) - 1) / 200000)
+    shards = b.regions.groupBy("chrom").agg(last.alias("last")).select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("k"))
     shards = shards.select("chrom", F.concat_ws("_", "chrom", F.col("k").cast("string")).alias("shard"), (F.col("k") * 200000).alias("b_start"), ((F.col("k") + 1) * 200000).alias("b_end"))
     rows = b.regions.select("region_id", "chrom", F.col("start_pos").alias("a_start"), F.col("end_pos").alias("a_end"))
     sinks.write_by_shard(rows, shards, f"{b.scratch}/shards")

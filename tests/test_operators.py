@@ -191,6 +191,15 @@ def test_residual_tests_equal_regression(spark):
         assert r["df"] == df and r["slope"] == pytest.approx(beta[3]) and r["t"] == pytest.approx(beta[3] / error)
 
 
+def test_shards_hold_every_region(spark, tmp_path):
+    from strandline.plans.catalogue import QUERIES
+
+    keys = list(range(1, 3001, 7)) + [9_000]
+    spark.createDataFrame([(k, k % 50 + 1, "b") for k in keys], "p_partkey long, p_size int, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    got = QUERIES["snk04"](spark, str(tmp_path)).collect()
+    assert sum(r["n_start"] for r in got) == len(keys) and max(r["shard_no"] for r in got) == 9_000 * 480 // 200_000
+
+
 @pytest.fixture
 def cohort(spark, tmp_path):
     """A folder in which members 73 and 75 are the same person and member 150 carries the most sites."""
