@@ -96,16 +96,20 @@ def mixtures(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.
     order = np.argsort(-pi, axis=1, kind="stable")
     ranked = np.take_along_axis(pi, order, axis=1)
     best, chosen = np.full(len(has), -np.inf), np.ones(len(has), np.int64)
-    for size in range(1, min(k, 4) + 1):  # nested sets by share; none has more than 1 / LEAST_SHARE members
-        inside = np.zeros_like(pi)
-        np.put_along_axis(inside, order[:, :size], ranked[:, :size], axis=1)
+    for size in range(1, min(k, int(1 / LEAST_SHARE)) + 1):  # nested sets by share; none has more than 1 / LEAST_SHARE members
+        open_ = ranked[:, size - 1] >= (LEAST_SHARE if size > 1 else 0)  # shares only fall: who is out stays out
+        if not open_.any():
+            break
+        inside = np.zeros_like(pi[open_])
+        np.put_along_axis(inside, order[open_, :size], ranked[open_, :size], axis=1)
         inside /= inside.sum(axis=1, keepdims=True) + np.float32(1e-30)
-        seen = np.add.reduceat(np.log((like * inside[row]).sum(axis=1) + np.float32(1e-26)), begin)
-        value = seen - PENALTY * size * np.log(m + 1)
-        better = (value > best) & (ranked[:, size - 1] >= (LEAST_SHARE if size > 1 else 0))
+        size_of, used = words[has][open_], open_[row]
+        at = np.repeat(np.arange(len(size_of)), size_of)
+        seen = np.add.reduceat(np.log((like[used] * inside[at]).sum(axis=1) + np.float32(1e-26)), np.cumsum(size_of) - size_of)
+        value = np.full(len(has), -np.inf)
+        value[open_] = seen - PENALTY * size * np.log(m[open_] + 1)
+        better = value > best
         best, chosen = np.where(better, value, best), np.where(better, size, chosen)
-        if size > 1 and not better.any():
-            break
     keep = np.zeros_like(pi)
     np.put_along_axis(keep, order, (np.arange(k) < chosen[:, None]).astype(np.float32), axis=1)
     pi = pi * keep

@@ -207,6 +207,30 @@ def test_language_mixtures(spark):
     assert got[1001]["lang_pred"] == got[1002]["lang_pred"] == "und" and got[1001]["score"] == 0
 
 
+def _mixture(k):
+    """Words that one language each knows, and the table of trigrams."""
+    names = [chr(97 + j) * 3 for j in range(k)]
+    table = np.full((1 << langid.BITS, k), -9.0, np.float32)
+    for j, name in enumerate(names):
+        raw = np.frombuffer(name.encode(), np.uint8)
+        table[langid.trigram_words(raw, np.array([0, 3]))[2], j] = -1.0
+    return names, table
+
+
+def test_mixtures_of_many_languages_and_of_neighbours():
+    names, table = _mixture(8)
+    five = " ".join(n for n, c in zip(names, (35, 20, 15, 15, 15)) for _ in range(c * 4)).encode()
+    one = " ".join(names[5:6] * 60).encode()
+
+    def shares(*texts):
+        offs = np.cumsum([0, *map(len, texts)])
+        return langid.mixtures(np.frombuffer(b"".join(texts), np.uint8), offs, table)[0]
+
+    got = shares(five)[0]
+    assert np.count_nonzero(got) == 5 and np.allclose(got[:5], [0.35, 0.2, 0.15, 0.15, 0.15], atol=0.02)
+    assert np.array_equal(shares(one, five, one)[1], got) and np.array_equal(shares(five, one)[0], got)
+
+
 # ---------------------------------------------------------------- 4: sharding
 
 
