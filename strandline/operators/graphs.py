@@ -168,43 +168,42 @@ def greedy_rank(spark: SparkSession, carriers: DataFrame, steps: int, save, firs
     """Order members by greedy cover: most uncovered common sites, then most uncovered sites, then the smallest id.
 
     carriers: site_id, sample_id, common (boolean).  first: placed at the top.  related: sample_a, sample_b - a relative of
-    a pick is held back, and the held-back are ranked the same way afterwards.  Each step is one aggregation of the
-    uncovered carriers and brings one row to the driver; save(df, name) keeps the shrinking table of uncovered carriers.
+    a pick is held back, and the held-back are ranked the same way afterwards.  Members, relations and uncovered carriers stay
+    tables; each step is one aggregation of the uncovered carriers and brings one row to the driver.  save(df, name) keeps the
+    shrinking table of uncovered carriers.
     """
     left = save(carriers, "carriers")
-    pool = {r["sample_id"] for r in left.select("sample_id").distinct().limit(10_000).collect()}  # members of a cohort, not rows
-    friends: dict = {}
+    pool = save(left.where("sample_id is not null").select("sample_id").distinct(), "members")
+    friends = None
     if related is not None:
-        for r in related.collect():  # filtered pairs of the same members
-            friends.setdefault(r["sample_a"], set()).add(r["sample_b"])
-            friends.setdefault(r["sample_b"], set()).add(r["sample_a"])
+        both = related.select("sample_a", "sample_b")
+        friends = save(both.union(both.select("sample_b", "sample_a")), "relatives")
     picked: list[tuple] = []
-    held: set = set()
+
+    def gains() -> DataFrame:
+        return left.groupBy("sample_id").agg(F.count_if("common").alias("c"), F.count("*").alias("n"))
 
     def pick(member, tier: str, common: int, all_: int) -> None:
         nonlocal left
         picked.append((len(picked) + 1, member, tier, common, all_))
-        pool.discard(member)
-        if tier != "related":
-            held.update(friends.get(member, set()) & pool)
         covered = left.where(F.col("sample_id") == member).select("site_id").distinct()
         left = save(left.join(covered, "site_id", "left_anti"), "carriers")
 
-    def gains(members: set) -> list:
-        rows = left.where(F.col("sample_id").isin(*members)).groupBy("sample_id").agg(F.count_if("common").alias("c"), F.count("*").alias("n"))
-        return rows.orderBy(F.col("c").desc(), F.col("n").desc(), "sample_id").limit(1).collect()
-
     for member in first:
-        got = gains({member})
+        got = gains().where(F.col("sample_id") == member).collect()
         pick(member, "first", got[0]["c"] if got else 0, got[0]["n"] if got else 0)
-    while len(picked) < steps and pool:
-        open_ = pool - held
-        tier, members = ("unrelated", open_) if open_ else ("related", pool)
-        got = gains(members)
-        if got:
-            pick(got[0]["sample_id"], tier, got[0]["c"], got[0]["n"])
+    while len(picked) < steps:
+        rest = pool.where(~F.col("sample_id").isin([p[1] for p in picked]))
+        if friends is not None:
+            of = friends.where(F.col("sample_a").isin([p[1] for p in picked if p[2] != "related"])).select(F.col("sample_b").alias("sample_id")).distinct()
+            rest = rest.join(of.withColumn("held", F.lit(1)), "sample_id", "left").withColumn("held", F.coalesce("held", F.lit(0)))
         else:
-            pick(min(members), tier, 0, 0)
+            rest = rest.withColumn("held", F.lit(0))
+        rest = rest.join(gains(), "sample_id", "left").select("sample_id", "held", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("n", F.lit(0)).alias("n"))
+        best = rest.orderBy("held", F.col("c").desc(), F.col("n").desc(), "sample_id").limit(1).collect()
+        if not best:
+            break
+        pick(best[0]["sample_id"], "related" if best[0]["held"] else "unrelated", best[0]["c"], best[0]["n"])
     return spark.createDataFrame(picked, "rank int, sample_id long, tier string, new_common long, new_all long")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,27 +143,26 @@ def connected(edges: DataFrame, save, rounds: int = 50) -> DataFrame:
 def identity_pass(members: DataFrame, pairs: DataFrame, related: float, save) -> DataFrame:
     """Members in sheet order: kept, or out because failed or related to an earlier kept member.
 
-    Only members of one component of undeclared related pairs depend on each other; each component is decided in order.
+    Decided in rounds by joins: of the members still open, those without an earlier open relative stay and their later relatives
+    go.  Each round settles at least one member; the state is a table of open pairs, and no component is gathered.
     """
-    edges = save(pairs.where((F.col("relatedness") >= related) & F.col("expected").isNull()).select("sample_a", "sample_b"), "related")
-    comp = connected(edges, save)
-    near = edges.union(edges.select("sample_b", "sample_a")).groupBy(F.col("sample_a").alias("sample_id")).agg(F.collect_list("sample_b").alias("near"))
-    rows = members.join(comp.withColumnRenamed("node", "sample_id"), "sample_id", "left").join(near, "sample_id", "left")
-
-    def decide(group: pd.DataFrame) -> pd.DataFrame:
-        kept: set = set()
-        out = []
-        for r in group.sort_values("position").itertuples():
-            earlier = [x for x in (r.near if r.near is not None else []) if x in kept]
-            why = "failed" if r.status == "fail" else f"related to {min(earlier)}" if earlier else ""
-            if not why:
-                kept.add(r.sample_id)
-            out.append((r.sample_id, not why, why))
-        return pd.DataFrame(out, columns=["sample_id", "kept", "reason"])
-
-    alone = rows.where("component is null").select("sample_id", (F.col("status") != "fail").alias("kept"), F.when(F.col("status") == "fail", "failed").otherwise("").alias("reason"))
-    linked = rows.where("component is not null").select("sample_id", "component", "position", "status", "near")
-    return linked.groupBy("component").applyInPandas(decide, "sample_id long, kept boolean, reason string").unionByName(alone)
+    place = lambda side: F.struct(F.col(f"position_{side}"), F.col(f"sample_{side}"))
+    able = members.where(F.col("status").isNull() | (F.col("status") != "fail"))
+    named = lambda side: able.select(F.col("sample_id").alias(f"sample_{side}"), F.col("position").alias(f"position_{side}"))
+    edges = pairs.where((F.col("relatedness") >= related) & F.col("expected").isNull()).select("sample_a", "sample_b")
+    both = edges.union(edges.select("sample_b", "sample_a")).distinct().join(named("a"), "sample_a").join(named("b"), "sample_b")
+    arcs = save(both.where(place("a") < place("b")).select("sample_a", "sample_b"), "related")
+    open_, out = arcs, None
+    while not open_.isEmpty():
+        later = open_.select(F.col("sample_b").alias("sample_a")).distinct()
+        gone = save(open_.join(later, "sample_a", "left_anti").select("sample_b").distinct(), "out")
+        out = gone if out is None else save(out.union(gone), "out")
+        open_ = open_.join(gone, "sample_b", "left_anti").join(gone.withColumnRenamed("sample_b", "sample_a"), "sample_a", "left_anti")
+        open_ = save(open_.select("sample_a", "sample_b"), "related")
+    kept = arcs if out is None else arcs.join(out.withColumnRenamed("sample_b", "sample_a"), "sample_a", "left_anti")
+    why = kept.groupBy(F.col("sample_b").alias("sample_id")).agg(F.min("sample_a").alias("earlier"))
+    reason = F.when(F.col("status") == "fail", "failed").when(F.col("earlier").isNotNull(), F.concat(F.lit("related to "), F.col("earlier").cast("string"))).otherwise("")
+    return members.join(why, "sample_id", "left").select("sample_id", (reason == "").alias("kept"), reason.alias("reason"))
 
 
 def duplicate_groups(pairs: DataFrame, floor: float, save) -> DataFrame:

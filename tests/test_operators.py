@@ -228,3 +228,27 @@ def test_hubs_above_the_first_ids(spark, tmp_path):
     spark.createDataFrame([(i, m) for i, (m, _) in enumerate(lines)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
     spark.createDataFrame([(i, s, 2, 0.02, 5.0) for i, (_, s) in enumerate(lines)], "l_orderkey long, l_partkey long, l_linenumber int, l_tax double, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
     assert [tuple(r) for r in QUERIES["sta14"](spark, str(tmp_path)).collect()] == [(100, 13)]
+
+
+def test_greedy_order_of_many_members(spark, save):
+    best = [19_999 - 1_777 * i for i in range(10)]
+    rows = spark.range(20_000).select(F.col("id").alias("sample_id"), F.explode(F.when(F.col("id").isin(best), F.array(*[F.col("id") * 3 + i for i in range(3)])).otherwise(F.array(F.col("id") * 3))).alias("site_id"), F.lit(True).alias("common"))
+    got = [r["sample_id"] for r in graphs.greedy_rank(spark, rows, 10, save).orderBy("rank").collect()]
+    assert got == sorted(best)
+
+
+def test_pass_list_in_rounds_equals_brute_force(spark, save):
+    rng = np.random.default_rng(2)
+    pairs = sorted({tuple(sorted(map(int, p))) for p in rng.integers(0, 40, (50, 2)) if p[0] != p[1]})
+    members = [(i, int(p), "fail" if i % 9 == 4 else "pass") for i, p in enumerate(rng.permutation(40))]
+    kept, want = set(), {}
+    for i, _, status in sorted(members, key=lambda m: m[1]):
+        near = [a if b == i else b for a, b in pairs if i in (a, b)]
+        earlier = [x for x in near if x in kept]
+        want[i] = "failed" if status == "fail" else f"related to {min(earlier)}" if earlier else ""
+        if not want[i]:
+            kept.add(i)
+    frames = spark.createDataFrame(members, "sample_id long, position long, status string"), spark.createDataFrame([(a, b, 0.9, None) for a, b in pairs], "sample_a long, sample_b long, relatedness double, expected double")
+    out = identity.identity_pass(*frames, 0.5, save)
+    assert {r["sample_id"]: r["reason"] for r in out.collect()} == want and all(r["kept"] == (not r["reason"]) for r in out.collect())
+    assert "InPandas" not in out._jdf.queryExecution().toString()
