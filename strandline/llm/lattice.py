@@ -170,19 +170,21 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     v = vectors.select("vec_id", "embedding", "label")
     good = v.where(usable() & F.col("label").isNotNull())
     members = good.withColumn("name", F.sha2(F.to_json(F.struct("embedding")), 256))
-    sizes = members.groupBy("label", "name").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-    sizes = materialise(sizes.withColumn("rep", F.coalesce("rep", F.xxhash64("label", "name"))), "classes")
-    first = members.select("label", "name", "embedding", F.col("vec_id").alias("rep")).join(sizes, ["label", "name", "rep"]).dropDuplicates(["label", "name"])
-    classes = materialise(first.select("rep", "n", "label", "embedding"), "vectors")
+    sizes = members.groupBy("label", "name").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
+    sizes = materialise(sizes.withColumn("rep", F.coalesce("id", F.xxhash64("label", "name"))), "classes")
+    classes = sizes.select("rep", "n", "label", "embedding")
     pairs = materialise(links(classes, cosine, tables, probes), "pairs")
     both = pairs.union(pairs.select("b", "a"))
-    n = classes.select("rep", "n")
+    n = sizes.select("rep", "n", "id")
     others = both.join(n.select(F.col("rep").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
     per_class = (
         n.join(others.withColumnRenamed("a", "rep"), "rep", "left")
         .join(components(pairs).withColumnRenamed("node", "rep"), "rep", "left")
-        .select("rep", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        .select("rep", "id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )
+    # a class of null ids only is known by a hash, which is no vector's id: the component has its smallest real one, or null
+    named = per_class.groupBy("component").agg(F.min("id").alias("component_id"))
+    per_class = per_class.join(named, "component").select("rep", "n_links", "component_id")
     linked = members.select("vec_id", "label", "name").join(sizes.select("label", "name", "rep"), ["label", "name"]).join(per_class, "rep")
     alone = v.where(~usable() | F.col("label").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.select("vec_id", "n_links", "component_id").unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return linked.select("vec_id", "n_links", "component_id").unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

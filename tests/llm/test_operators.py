@@ -473,6 +473,14 @@ def test_lattice_links_equal_brute_force(spark):
         assert r["component_id"] == min(seen) and r["kept"] == (r["vec_id"] == min(seen))
 
 
+def test_lattice_keeps_null_ids(spark):
+    v = [[1.0, 2.0, 0.0, 4.0, 1.0, 0.0, 3.0, 2.0], [1.0, 2.0, 0.1, 4.0, 1.0, 0.0, 3.0, 2.0], [-5.0, 1.0, 3.0, -2.0, 1.0, 9.0, 0.0, 1.0]]
+    rows = [(None, v[0], 1), (7, v[1], 1), (9, v[1], 1), (None, v[2], 1), (None, v[2], 1), (3, v[0], 2), (None, v[0], 2)]
+    got = lattice.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()
+    want = [(None, 2, 7, False), (7, 2, 7, True), (9, 2, 7, False), (None, 1, None, True), (None, 1, None, True), (3, 1, 3, True), (None, 1, 3, False)]
+    assert sorted((tuple(r[c] for c in ("vec_id", "n_links", "component_id", "kept")) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
