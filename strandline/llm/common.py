@@ -21,6 +21,9 @@ CHUNK_BYTES = 1 << 20
 BATCH_ROWS = 500
 #: Ids that may be broadcast (8 MB of longs); larger sets take a shuffled join.
 BROADCAST_IDS = 1_000_000
+#: A join key with more rows than this, and more than 1 / HOT_PARTS of all rows, is dealt over several tasks.
+HOT_ROWS = 1000
+HOT_PARTS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +50,14 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table of materialise() that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Have Spark pass rows to Python in small Arrow batches (a setting of the session; Spark only bounds batches by rows)."""
     ready(df.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
@@ -70,6 +81,26 @@ def anti_by_id(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids, key, "left_anti")
 
 
+def split_join(rows: DataFrame, ones: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined with ones (one row per key), where no key's rows land in one task whole.
+
+    A key is hot if it has more than 1 / HOT_PARTS of all rows (and over HOT_ROWS), so there are fewer than HOT_PARTS hot keys at
+    any size, and these may be broadcast.  The rows of a hot key are dealt over parts by the hash of all their columns, its one
+    row is repeated for each part.  rows should be a table: it is read twice.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT_ROWS)
+    hot = materialise(counts, "hot")
+    found = hot.agg(F.count("*"), F.max("__n")).first()
+    if not found[0]:
+        return rows.join(ones, key, how)
+    limit = max(HOT_ROWS, rows.count() // HOT_PARTS)
+    hot = hot.where(F.col("__n") > limit).select(key, F.ceil(F.col("__n") / limit).cast("int").alias("__parts"))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("__parts")), F.lit(0)).cast("int"))
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
+    repeated = ones.join(F.broadcast(hot), key, "left").withColumn("__part", each)
+    return dealt.drop("__parts").join(repeated.drop("__parts"), [key, "__part"], how).drop("__part")
+
+
 # ---------------------------------------------------------------- texts as bytes
 
 
@@ -167,19 +198,20 @@ def word_hashes(norm: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 # ---------------------------------------------------------------- connected components
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected links (a, b): columns node, component (the smallest node).
 
-    Alternates the two star operations on the link table until it no longer changes.  The state is a table in the shared
-    scratch folder; only a count and a checksum reach the driver.  Nodes without links are absent.
+    Alternates the two star operations on the link table until it no longer changes, however many rounds that takes (their
+    number grows with the logarithm of the links).  The state is a table in the shared scratch folder; a count and a
+    checksum reach the driver, and a table is removed once the next one is written.  Nodes without links are absent.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     e, before = materialise(e, "links"), None
-    for _ in range(rounds):
+    while True:
         stamp = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(stamp) == before or not stamp[0]:
             break
-        before = tuple(stamp)
+        before, old = tuple(stamp), e
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -187,6 +219,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         step = large.join(low, "u").select("u", "v", "m")
         small = step.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
         e = materialise(small, "links")
+        discard(old)
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component"))
     ).groupBy("node").agg(F.min("component").alias("component"))

@@ -7,11 +7,12 @@ consistent weighted sampling draws ``BANDS * BAND_ROWS`` samples from each set;
 equal to their weighted Jaccard similarity.  Samples are banded, documents of a band's bucket are candidates, and a link
 needs an exact weighted Jaccard similarity of ``SIMILARITY`` or more.
 
-Buckets are never expanded into all their pairs.  Equal word sequences are one class from the start.  Then each member
-of a bucket is compared with the bucket's first document; members still apart, with three more leaders; and only
-documents of a bucket that are then in different components are paired for the exact comparison, but for those whose weights,
-added up in ``SUMS`` slots by shingle, already rule the similarity out.  That bound holds for every pair, so no link between
-components of a bucket is lost.
+Buckets are never expanded into their pairs.  Equal word sequences are one class from the start.  Then each member of a
+bucket is compared with the bucket's first document; members still apart, with three more leaders.  The documents of
+buckets that then still hold several components are searched exactly, by weighted prefixes: a document's shingles are ordered from
+the rarest on, and two documents of the similarity share a shingle in the short part of that order beyond which too little weight
+is left.  Only pairs of different components whose remaining weights at a shared shingle still allow the similarity are
+compared.  That bound holds for every pair, so no link between components of a bucket is lost, whatever the bucket's size.
 
 Defined cases: a text of one to four words is a single shingle; a null text or one without words is alone in its class; a null
 doc_id is kept and alone; repeated rows of one document are copies of each other; the document with the smallest id of a
@@ -23,10 +24,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_LUT, anti_by_id, byte_chunks, components, materialise, mix64, semi_by_id, small_batches, word_hashes, words_of
+from .common import HOT_ROWS, WORD_LUT, anti_by_id, byte_chunks, components, materialise, mix64, semi_by_id, small_batches, split_join, word_hashes, words_of
 from .labelled import unique_features
 
 SHINGLE = 5
@@ -37,9 +38,7 @@ DF_BITS = 18
 SEGMENT = 4096
 ROWS = 1 << 13
 LEADERS = 3
-#: Slots of the weight sums that bound a pair's similarity from above in the last round.
-SUMS = 256
-#: Room for the rounding of the sums to 32 bits.
+#: Relative room for the rounding of weights and their sums.
 SLACK = 1e-5
 _U = np.uint64
 _LOW = _U((1 << 48) - 1)
@@ -108,7 +107,7 @@ def weighted_sets(data: np.ndarray, offs: np.ndarray, idf: np.ndarray):
 
 
 def sampling_tables(seed: int = 11) -> tuple[np.ndarray, ...]:
-    """Random numbers of the sampler by 16 bits of a turned hash: r, 1 / r, beta, ln c."""
+    """Random numbers of the sampler, r and 1 / r by 16 bits of a turned hash, beta and ln c by 16 others."""
     rng = np.random.default_rng(seed)
     r, c, beta = rng.gamma(2.0, 1.0, 1 << 16), rng.gamma(2.0, 1.0, 1 << 16), rng.random(1 << 16)
     return tuple(x.astype(np.float32) for x in (r, 1 / r, beta, np.log(c)))
@@ -125,10 +124,11 @@ def samples(key: np.ndarray, weight: np.ndarray, n_samples: int, tables, seed: i
     row = np.repeat(np.arange(len(begin)), size)
     out = np.empty((len(begin), n_samples), _U)
     for k in range(n_samples):
-        at = ((h * turns[k]) >> _U(48)).astype(np.intp)
-        r, beta = r_.take(at), beta_.take(at)
+        turned = h * turns[k]
+        at, by = (turned >> _U(48)).astype(np.intp), (turned >> _U(32) & _U(0xFFFF)).astype(np.intp)
+        r, beta = r_.take(at), beta_.take(by)
         t = np.floor(logs * inv_.take(at) + beta)
-        a = c_.take(at) - r * (t - beta + np.float32(1))
+        a = c_.take(by) - r * (t - beta + np.float32(1))
         low = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, begin), size))
         if len(low) != len(begin):
             low = low[np.searchsorted(row[low], np.arange(len(begin)))]
@@ -205,52 +205,65 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: fl
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    with_a = split_join(pairs.select("a", "b"), left, "a")
+    hot_b = pairs.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS)
+    if hot_b.isEmpty():
+        joined = with_a.join(right, "b")
+    else:  # few texts are compared with very many on this side too
+        joined = split_join(materialise(with_a, "with_text"), right, "b")
+    return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def slot_sums(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Documents that have shingles, and their weights added up by slot of the shingle [document, SUMS]."""
-    have, at = np.unique((key >> _U(48)).astype(np.int64), return_inverse=True)
-    slot = (key & _U(SUMS - 1)).astype(np.int64)
-    return have, np.bincount(at * SUMS + slot, weight, len(have) * SUMS).reshape(-1, SUMS).astype(np.float32)
-
-
-def possible(similarity: float):
-    """Whether a pair of rows (sums, total) and (sums_, total_) can have the similarity: no two documents share more weight
-    than the smaller sum of each slot."""
-    shared = F.aggregate(F.zip_with("sums", "sums_", lambda x, y: F.least(x, y)), F.lit(0.0), lambda a, x: a + x)
-    least = similarity - SLACK
-    return F.coalesce(shared * (1 + least) >= least * (F.col("total") + F.col("total_")), F.lit(True))
-
-
-def with_sums(rows: DataFrame, marks: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Bucket rows (key, x, c) with the document's bands, bucket keys, weight sums and total weight.
-
-    An id with several texts has the largest sum of each slot and the smallest total, so that the bound holds for each of its
-    texts; its bands are null if they differ.
-    """
-    ids = materialise(rows.select(F.col("x").alias("id")).distinct(), "ids")
+def shingle_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """x, t (the text), total (its weight), tokens (array of shingle hash and weight) of each text (id, text) with words."""
     model = texts.sparkSession.sparkContext.broadcast(idf)
+    names = ["x", "t", "total", "tokens"]
 
     def run(batches):
         for batch in batches:
-            for lo, hi, data, offs in byte_chunks(batch.column(1), rows=ROWS):
+            for lo, hi, data, offs in byte_chunks(batch.column(2), rows=ROWS):
                 key, weight, _, _ = weighted_sets(data, offs, model.value)
                 if not len(key):
                     continue
-                have, sums = slot_sums(key, weight)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * SUMS), pa.array(sums.ravel()))
-                total = pa.array(sums.sum(axis=1, dtype=np.float64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(have)), lists, total], ["x", "sums", "total"])
+                have, begin, size = np.unique((key >> _U(48)).astype(np.int64), return_index=True, return_counts=True)
+                both = pa.StructArray.from_arrays([pa.array((key & _LOW).astype(np.int64)), pa.array(weight.astype(np.float64))], ["token", "w"])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(key)).astype(np.int32)), both)
+                total = pa.array(np.add.reduceat(weight.astype(np.float64), begin))
+                own = [batch.column(i).slice(lo, hi - lo).take(pa.array(have)) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*own, total, lists], names)
+
+    rows = small_batches(texts).select("id", F.xxhash64("text").alias("t"), "text")
+    return rows.mapInArrow(run, "x long, t long, total double, tokens array<struct<token:long,w:double>>")
+
 
-    summed = semi_by_id(small_batches(texts), ids, "id").select("id", "text").mapInArrow(run, "x long, sums array<float>, total double")
-    largest = F.aggregate("all", F.element_at("all", 1), lambda a, s: F.zip_with(a, s, lambda x, y: F.greatest(x, y)))
-    summed = summed.groupBy("x").agg(F.collect_set("sums").alias("all"), F.min("total").alias("total"))
-    summed = summed.select("x", F.when(F.size("all") == 1, F.element_at("all", 1)).otherwise(largest).alias("sums"), "total")
-    drawn = semi_by_id(marks, ids, "id").groupBy(F.col("id").alias("x")).agg(F.min("bands").alias("bands"), F.max("bands").alias("last"))
-    drawn = drawn.select("x", F.when(F.col("bands") == F.col("last"), F.col("bands")).alias("bands"))
-    keys = F.transform("bands", lambda v, i: F.xxhash64(i, v)).alias("keys")
-    return rows.select("key", "x", "c").join(drawn.select("x", "bands", keys), "x").join(summed, "x", "left")
+def prefix_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Pairs (x, y) of documents of apart (x, c: document and its component; one row each) in different components that a bound
+    doesn't rule out.
+
+    Shingles that only one of the documents has come first in the order and are left out, since nothing is shared there.
+    ``rest`` is a document's weight from a shingle on.  Two documents of similarity s share s / (1 + s) of their summed
+    weights, so at their first common shingle both have that much left; the lighter one then has 2 s / (1 + s) of its own
+    weight left, the other one s.  Pairs inside the most frequent component of a shingle are not even looked at.
+    """
+    ids = materialise(apart.select(F.col("x").alias("id")), "ids")
+    rows = materialise(shingle_rows(semi_by_id(texts, ids, "id").select("id", "text"), idf), "shingles")
+    rows = rows.join(apart, "x").select("x", "t", "c", "total", F.explode("tokens").alias("s")).select("x", "t", "c", "total", "s.token", "s.w")
+    shared = rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    onwards = Window.partitionBy("x", "t").orderBy(F.col("n").desc(), "token").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.join(shared, "token").withColumn("rest", F.sum("w").over(onwards) * (1 + SLACK))
+    rows = materialise(rows.where(F.col("rest") >= similarity * F.col("total")).select("token", "x", "c", "total", "rest"), "prefixes")
+    per = rows.groupBy("token", "c").agg(F.count("*").alias("n"))
+    per = per.groupBy("token").agg(F.max_by("c", F.struct("n", "c")).alias("top"), F.count("*").alias("several")).where("several > 1")
+    rows = materialise(rows.join(per.select("token", "top"), "token"), "prefixes")
+    light = rows.where(F.col("rest") >= 2 * similarity / (1 + similarity) * F.col("total"))
+    heavy = rows.select("token", *[F.col(c).alias(f"{c}_") for c in ("x", "c", "total", "rest", "top")])
+    enough = F.least("rest", "rest_") >= similarity / (1 + similarity) * (F.col("total") + F.col("total_"))
+    possible = (F.col("c") != F.col("c_")) & (F.col("total") <= F.col("total_")) & enough
+    found = [
+        one.join(other, "token").where(possible).select("x", F.col("x_").alias("y"))
+        for one, other in ((light.where("c != top"), heavy), (light.where("c = top"), heavy.where("c_ != top_")))
+    ]
+    return found[0].union(found[1])
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -270,37 +283,30 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         texts = anti_by_id(texts, many, "id").union(semi_by_id(texts, many, "id").distinct())
     buckets = copies.select("rep", F.posexplode("bands").alias("band", "value"))
     buckets = materialise(buckets.select(F.xxhash64("band", "value").alias("key"), F.col("rep").alias("x")), "buckets")
-    lead = buckets.groupBy("key").agg(F.min("x").alias("y"), F.max("x").alias("z")).where("y < z").select("key", "y")
-    pairs = materialise(_ordered(buckets.join(lead, "key")), "pairs")
+    lead = materialise(buckets.groupBy("key").agg(F.min("x").alias("y"), F.max("x").alias("z")).where("y < z").select("key", "y"), "leads")
+    buckets = materialise(split_join(buckets, lead, "key"), "buckets")  # of two documents or more, with the first one
+    pairs = materialise(_ordered(buckets), "pairs")
     links = materialise(verified(pairs, texts, idf, similarity), "verified")
 
     def apart(found: DataFrame) -> DataFrame:
-        """Bucket rows with components, of buckets that hold more than one."""
+        """Rows (key, x, c) of the buckets that hold more than one component."""
         comp = components(found).withColumnRenamed("node", "x")
-        rows = buckets.join(comp, "x", "left").select("key", "x", F.coalesce("component", "x").alias("c"))
-        rows = materialise(rows, "placed")
+        rows = materialise(buckets.join(comp, "x", "left").select("key", "x", F.coalesce("component", "x").alias("c")), "placed")
         several = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        return materialise(rows.join(several, "key"), "apart")
-
-    done, rest = pairs, apart(links)
-    for final in (False, True):
-        if final:
-            rest = materialise(with_sums(rest, marks, texts, idf), "summed")
-            other = rest.select(*[F.col(c).alias(f"{c}_") for c in rest.columns])
-            first = F.array_position(F.zip_with("bands", "bands_", lambda x, y: x == y), True) == F.array_position("keys", F.col("key"))
-            new = rest.join(other, (F.col("key") == F.col("key_")) & (F.col("c") < F.col("c_")) & F.coalesce(first, F.lit(True)) & possible(similarity))
-            new = new.select("x", F.col("x_").alias("y"))
-        else:
-            firsts = rest.groupBy("key").agg(*[F.min_by(F.struct(F.col("x").alias("y"), F.col("c").alias("d")), F.xxhash64(F.lit(i), "x")).alias(f"l{i}") for i in range(LEADERS)])
-            firsts = firsts.select("key", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("l")).select("key", "l.y", "l.d")
-            new = rest.join(firsts, "key").where("c != d")
-        new = materialise(_ordered(new).join(done, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
-            continue
-        links = materialise(links.union(verified(new, texts, idf, similarity)), "verified")
-        if not final:
-            done = done.union(new)
-            rest = apart(links)
+        return materialise(split_join(rows, several, "key"), "apart")
+
+    rest = apart(links)
+    firsts = rest.groupBy("key").agg(*[F.min_by(F.struct(F.col("x").alias("y"), F.col("c").alias("d")), F.xxhash64(F.lit(i), "x")).alias(f"l{i}") for i in range(LEADERS)])
+    firsts = materialise(firsts.select("key", F.array(*[f"l{i}" for i in range(LEADERS)]).alias("leads")), "leads")
+    near = split_join(rest, firsts, "key").select("x", "c", F.explode("leads").alias("l")).where("c != l.d").select("x", "l.y")
+    pairs = materialise(_ordered(near).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        links = materialise(links.union(verified(pairs, texts, idf, similarity)), "verified")
+        rest = apart(links)
+    rest = materialise(rest.select("x", "c").distinct(), "open")
+    if not rest.isEmpty():
+        pairs = materialise(_ordered(prefix_pairs(rest, texts, idf, similarity)), "pairs")
+        links = materialise(links.union(verified(pairs, texts, idf, similarity)), "verified")
     comp = components(links).withColumnRenamed("node", "rep")
     of_copies = copies.select("f1", "f2", "rep").join(comp, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("class_id"))
     out = marks.select("id", "f1", "f2").join(of_copies, ["f1", "f2"]).select(F.col("id").alias("doc_id"), "class_id")
