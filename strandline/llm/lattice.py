@@ -10,7 +10,9 @@ The scale follows from the similarity bound and the number of dimensions, never
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, and rows without a label, link with
 nothing and are their own component; vectors of different lengths never link; repeated rows are vectors of their own that
-link with each other; a null vec_id takes part as a value that sorts last; an empty table gives an empty result.
+link with each other, and so do rows of one vec_id with different vectors, if these are near; a null vec_id takes part and is
+no candidate for the smallest vec_id of a component (which is null where no other is); extra columns are not read; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, mix64
+from .common import components, materialise, mix64, split_join
 
 COSINE = 0.93
 TABLES = 16
@@ -169,11 +171,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     """vec_id, n_links, component_id, kept - one row per row of vectors."""
     v = vectors.select("vec_id", "embedding", "label")
     good = v.where(usable() & F.col("label").isNotNull())
-    members = good.withColumn("name", F.sha2(F.to_json(F.struct("embedding")), 256))
-    sizes = members.groupBy("label", "name").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
-    sizes = materialise(sizes.withColumn("rep", F.coalesce("id", F.xxhash64("label", "name"))), "classes")
-    classes = sizes.select("rep", "n", "label", "embedding")
-    pairs = materialise(links(classes, cosine, tables, probes), "pairs")
+    # a class is a label and a vector; its own number is a hash of both, never a vec_id, which may be null or repeated
+    members = good.withColumn("rep", F.xxhash64("label", F.sha2(F.to_json(F.struct("embedding")), 256)))
+    sizes = members.groupBy("rep").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    sizes = materialise(sizes, "classes")
+    pairs = materialise(links(sizes.select("rep", "label", "embedding"), cosine, tables, probes), "pairs")
     both = pairs.union(pairs.select("b", "a"))
     n = sizes.select("rep", "n", "id")
     others = both.join(n.select(F.col("rep").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
@@ -182,9 +184,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
         .join(components(pairs).withColumnRenamed("node", "rep"), "rep", "left")
         .select("rep", "id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )
-    # a class of null ids only is known by a hash, which is no vector's id: the component has its smallest real one, or null
+    per_class = materialise(per_class, "per_class")
     named = per_class.groupBy("component").agg(F.min("id").alias("component_id"))
-    per_class = per_class.join(named, "component").select("rep", "n_links", "component_id")
-    linked = members.select("vec_id", "label", "name").join(sizes.select("label", "name", "rep"), ["label", "name"]).join(per_class, "rep")
+    per_class = materialise(per_class.join(named, "component").select("rep", "n_links", "component_id"), "named")
+    linked = split_join(members.select("vec_id", "rep"), per_class, "rep")
     alone = v.where(~usable() | F.col("label").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.select("vec_id", "n_links", "component_id").unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
