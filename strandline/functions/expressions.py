@@ -5,6 +5,8 @@ Every function takes and returns Columns and stays inside Spark's built-in expre
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -188,6 +190,47 @@ def carrier_class(n: Column, total: Column, common: float = 0.05, rare: float =
 # ---------------------------------------------------------------- numbers, texts and lists
 
 
+#: Coefficients of Wichura's AS 241, from the constant term up, as (numerator, denominator) of the middle part
+#: and of both tails.
+QUANTILE_MIDDLE = (
+    (3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125, 45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727),
+    (1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077, 21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610),
+)
+QUANTILE_TAIL = (
+    (1.42343711074968357734, 4.63033784615654529590, 5.76949722146069140550, 3.64784832476320460504, 1.27045825245236838258, 0.241780725177450611770, 0.0227238449892691845833, 7.74545014278341407640e-4),
+    (1.0, 2.05319162663775882187, 1.67638483018380384940, 0.689767334985100004550, 0.148103976427480074590, 0.0151986665636164571966, 5.47593808499534494600e-4, 1.05075007164441684324e-9),
+)
+QUANTILE_FAR = (
+    (6.65790464350110377720, 5.46378491116411436990, 1.78482653991729133580, 0.296560571828504891230, 0.0265321895265761230930, 0.00124266094738807843860, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+    (1.0, 0.599832206555887937690, 0.136929880922735805310, 0.0148753612908506148525, 7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15),
+)
+
+
+def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
+    out = F.lit(coefficients[-1])
+    for c in coefficients[-2::-1]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def normal_quantile(p: Column) -> Column:
+    """Inverse of the standard normal distribution function (Wichura's AS 241); null outside (0, 1)."""
+    q = p - 0.5
+    ratio = lambda pair, x: _polynomial(pair[0], x) / _polynomial(pair[1], x)
+    r = F.sqrt(-F.log(F.least(p, 1 - p)))
+    tail = F.when(r <= 5, ratio(QUANTILE_TAIL, r - 1.6)).otherwise(ratio(QUANTILE_FAR, r - 5))
+    middle = q * ratio(QUANTILE_MIDDLE, 0.180625 - q * q)
+    return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, middle).otherwise(F.signum(q) * tail))
+
+
+def log_factorial(n: Column) -> Column:
+    """ln n! of whole numbers: exact below 20, by Stirling's series from there on."""
+    x = n.cast("double") + 1
+    series = (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(20)])
+    return F.when(n < 20, F.get(table, n.cast("int"))).otherwise(series)
+
+
 def number(text: Column) -> Column:
     """A finite number or null."""
     x = F.trim(text).try_cast("double")
@@ -219,6 +262,7 @@ def label_text(column: str, value: Column) -> Column:
 
 
 #: Accepted spellings of a sex.
+#: Spellings of a sex that sample sheets may hold.
 SEXES = {"M": "XY", "MALE": "XY", "XY": "XY", "1": "XY", "F": "XX", "FEMALE": "XX", "XX": "XX", "2": "XX"}
 
 

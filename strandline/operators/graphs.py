@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import admit_reason, allele_id
+from ..functions.expressions import admit_reason, allele_id, log_factorial
 
 
 def graph_sites(records: DataFrame, least: int, most: int) -> tuple[DataFrame, DataFrame]:
@@ -28,7 +27,7 @@ def graph_sites(records: DataFrame, least: int, most: int) -> tuple[DataFrame, D
 
 def pad_members(gt: DataFrame, sites: DataFrame, members: DataFrame) -> DataFrame:
     """Dense genotypes: every site with every member in cohort order; absent ones are missing."""
-    grid = sites.select("site_id").crossJoin(F.broadcast(members.select("sample_id", "position")))
+    grid = sites.select("site_id").crossJoin(members.select("sample_id", "position"))
     return grid.join(gt.select("site_id", "sample_id", "alt", "called"), ["site_id", "sample_id"], "left").withColumn("called", F.coalesce("called", F.lit(0)))
 
 
@@ -211,11 +210,10 @@ def growth(hist: DataFrame, n: int) -> DataFrame:
     """Expected union and core of k random members of n, k = 1..n, from sites carried by exactly c members.
 
     hist: c, sites.  A site of c carriers is missed by k members with probability C(n - c, k) / C(n, k); it is in all of
-    them with probability C(c, k) / C(n, k).  Log-factorials are a constant table of n + 1 numbers.
+    them with probability C(c, k) / C(n, k).
     """
-    table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(n + 1)])
-    at = lambda i: F.element_at(table, (i + 1).cast("int"))
-    ratio = lambda a, k: F.when(a >= k, F.exp(at(a) - at(a - k) - at(F.lit(n)) + at(F.lit(n) - k))).otherwise(0.0)
+    whole = F.lit(n)
+    ratio = lambda a, k: F.when(a >= k, F.exp(log_factorial(a) - log_factorial(a - k) - log_factorial(whole) + log_factorial(whole - k))).otherwise(0.0)
     rows = hist.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(n))))
     return rows.groupBy("k").agg(F.sum(F.col("sites") * (1 - ratio(F.lit(n) - F.col("c"), F.col("k")))).alias("union"), F.sum(F.col("sites") * ratio(F.col("c"), F.col("k"))).alias("core"))
 

@@ -7,18 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .skew import pairs_within
+
 
 def shared_sites(gt: DataFrame) -> DataFrame:
     """Counts per pair of members over the sites both are called at: shared_hets, ibs0 and n.
 
-    gt: site_id, sample_id, alt, called.  The self join runs on sites, so its size follows the carriers of a site.
+    gt: site_id, sample_id, alt, called.  The self join runs on sites, so its size follows the carriers of a site; the members
+    of a common site are dealt over several tasks.
     """
     full = gt.where("called = 2").select("site_id", "sample_id", "alt")
-    a, b = full.select("site_id", F.col("sample_id").alias("sample_a"), F.col("alt").alias("x")), full.select("site_id", F.col("sample_id").alias("sample_b"), F.col("alt").alias("y"))
-    both = a.join(b, "site_id").where("sample_a < sample_b")
+    both = pairs_within(full, "site_id", "sample_id", ["alt"]).withColumnsRenamed({"sample_id_a": "sample_a", "sample_id_b": "sample_b"})
     return both.groupBy("sample_a", "sample_b").agg(
-        F.count_if((F.col("x") == 1) & (F.col("y") == 1)).alias("shared_hets"),
-        F.count_if(F.abs(F.col("x") - F.col("y")) == 1).alias("ibs0"),
+        F.count_if((F.col("alt_a") == 1) & (F.col("alt_b") == 1)).alias("shared_hets"),
+        F.count_if(F.abs(F.col("alt_a") - F.col("alt_b")) == 1).alias("ibs0"),
         F.count("*").alias("n"),
     )
 
@@ -124,11 +126,12 @@ def related_hubs(spark: SparkSession, pairs: DataFrame, lo: float, hi: float, hu
     return spark.createDataFrame(hubs, "sample_id long, degree long")
 
 
-def connected(edges: DataFrame, save, rounds: int = 50) -> DataFrame:
-    """Components of (sample_a, sample_b): node and component (its smallest member), by passing on the smallest label."""
+def connected(edges: DataFrame, save) -> DataFrame:
+    """Components of (sample_a, sample_b): node and component (its smallest member), by passing on the smallest label until no
+    label changes."""
     both = save(edges.select(F.col("sample_a").alias("u"), F.col("sample_b").alias("v")).union(edges.select("sample_b", "sample_a")).distinct(), "edges")
     labels = save(both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node")), "labels")
-    for _ in range(rounds):
+    while True:
         heard = both.join(labels.select(F.col("node").alias("v"), "component"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("near"))
         new = labels.join(heard, "node").select("node", F.least("component", "near").alias("near"), "component")
         # a label's own label shortens long chains

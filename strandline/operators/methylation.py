@@ -100,8 +100,13 @@ def lineage_sums(fractions: DataFrame, lineages: dict[int, str]) -> DataFrame:
     return fractions.groupBy("sample_id", F.coalesce(F.try_element_at(table, F.col("cell").cast("int")), F.lit("other")).alias("lineage")).agg(F.sum("fraction").alias("fraction"))
 
 
-def composition_table(fractions: DataFrame, cells: Sequence[int]) -> DataFrame:
-    """One row per member: the largest cell type, its fraction, the sum of all, and one column per type."""
+def composition_table(fractions: DataFrame, cells: Sequence[int] | None = None) -> DataFrame:
+    """One row per member: the largest cell type, its fraction, the sum of all, and one column per type.
+
+    cells: the types that get a column; all types of the table without it (a dimension: as many as there are columns to make).
+    """
+    if cells is None:
+        cells = sorted(r["cell"] for r in fractions.select("cell").distinct().collect())
     columns = [F.max(F.when(F.col("cell") == c, F.col("fraction"))).alias(f"cell_{c}") for c in cells]
     top = F.max_by("cell", F.struct("fraction", -F.col("cell"))).alias("top_cell")
     return fractions.groupBy("sample_id").agg(top, F.max("fraction").alias("top_fraction"), F.sum("fraction").alias("fraction_sum"), *columns)

@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from ..functions.expressions import chrom_key, severity
-
-#: Buckets of an ordered prefix over a whole table.
-BUCKETS = 64
+from ..functions.expressions import chrom_key, normal_quantile, severity
+from .skew import BUCKET_ROWS, Save, join_one, ordered_counts
 
 
 def row_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -44,66 +40,41 @@ def lead_rows(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return row_first(df.select("*", size), [key], order)
 
 
-def bucket_bounds(df: DataFrame, column: str, buckets: int = BUCKETS) -> list[float]:
-    """Ascending, distinct values that cut the column into buckets of about equal size (a few dozen numbers)."""
-    found = df.approxQuantile(column, [i / buckets for i in range(1, buckets)], 0.002)
-    return sorted(set(found))
-
-
-def with_bucket(df: DataFrame, column: str, buckets: int = BUCKETS) -> DataFrame:
-    """df with __bucket: equal values share a bucket, and buckets are in the order of the column."""
-    bounds = bucket_bounds(df, column, buckets)
-    inside = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]), lambda x: x <= F.col(column))) if bounds else F.lit(0)
-    return df.withColumn("__bucket", inside)
-
-
-def _lookup(values: list, index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index)
-
-
-def bh(df: DataFrame, p: str = "p", buckets: int = BUCKETS) -> DataFrame:
+def bh(df: DataFrame, p: str = "p", save: Save | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Benjamini-Hochberg q-values over a whole table (null p: null q).
 
-    q is the smallest p * m / rank among the same and larger p.  Rows are cut into ordered buckets; ranks and running
-    minima are windows inside a bucket, and one number per bucket carries them on.  No task sees the whole table.
+    q is the smallest p * m / rank among the same and larger p.  Equal p are one counted row, so a large group of ties is no
+    large task; counts and running minima are windows inside ordered buckets, and one number per bucket is carried on.
     """
-    rows = with_bucket(df.where(F.col(p).isNotNull()), p, buckets)
-    sizes = {r["__bucket"]: r["n"] for r in rows.groupBy("__bucket").agg(F.count("*").alias("n")).collect()}
-    last = max(sizes, default=0)
-    before, total = [0], 0
-    for k in range(last + 1):
-        total += sizes.get(k, 0)
-        before.append(total)
-    inside = Window.partitionBy("__bucket").orderBy(p)
-    rank = F.row_number().over(inside) + _lookup(before[:-1], F.col("__bucket"))
-    rows = rows.withColumn("__raw", F.col(p) * total / rank)
-    lows = {r["__bucket"]: r["m"] for r in rows.groupBy("__bucket").agg(F.min("__raw").alias("m")).collect()}
-    after, low = [], 1.0
-    for k in range(last, -1, -1):
-        after.append(low)
-        low = min(low, lows.get(k, 1.0))
-    after = after[::-1] or [1.0]
-    own = F.min("__raw").over(inside.rangeBetween(0, Window.unboundedFollowing))
-    rows = rows.withColumn("q", F.least(own, _lookup([float(x) for x in after], F.col("__bucket"))))
+    rows = df.where(F.col(p).isNotNull()).withColumn("__p", F.col(p))
+    counted = ordered_counts(rows.groupBy("__p").agg(F.count("*").alias("n")), [], "__p", save, bucket_rows)
+    counted = save(counted, "ranked") if save else counted
+    total, buckets = counted.agg(F.sum("n"), F.max("bucket")).first()
+    down = Window.partitionBy("bucket").orderBy(F.col("__p").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    counted = counted.withColumn("raw", F.col("__p") * F.lit(total) / (F.col("before") + F.col("n")))
+    counted = counted.withColumn("q", F.least(F.min("raw").over(down), F.lit(1.0)))
+    if buckets:
+        beyond = Window.partitionBy(F.lit(0)).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        lows = counted.groupBy("bucket").agg(F.min("raw").alias("low"))  # one row a bucket
+        counted = counted.join(lows.select("bucket", F.min("low").over(beyond).alias("later")), "bucket").withColumn("q", F.least("q", "later"))
+    q = counted.select("__p", "q")
     rest = df.where(F.col(p).isNull()).withColumn("q", F.lit(None).cast("double"))
-    return rows.drop("__bucket", "__raw").unionByName(rest)
-
+    return join_one(rows, q, ["__p"], counted.select("__p", "n"), total or 0).drop("__p").unionByName(rest)
 
-def mean_rank(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Ranks with ties at their mean, and the group's size."""
-    over = Window.partitionBy(group)
-    ties = F.count("*").over(Window.partitionBy(group, value))
-    rank = F.rank().over(over.orderBy(value)) + (ties - 1) / 2
-    return df.select("*", rank.alias("mean_rank"), F.count("*").over(over).alias("group_size"))
 
+def mean_rank(df: DataFrame, group: str, value: str, save: Save | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Ranks with ties at their mean, and the number of the group's rows with a value (null value: null rank).
 
-@F.pandas_udf(DoubleType())
-def normal_quantile(p: pd.Series) -> pd.Series:
-    """Inverse of the standard normal distribution function."""
-    from statistics import NormalDist
-
-    inverse = NormalDist().inv_cdf
-    return p.map(lambda x: inverse(x) if x is not None and 0 < x < 1 else None)
+    Ranks are counts of distinct values in ordered buckets of a group, so a group of very many rows is no single task.
+    """
+    rows = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+    counted = ordered_counts(rows.groupBy(group, value).agg(F.count("*").alias("n")), [group], value, save, bucket_rows)
+    sizes = rows.groupBy(group).agg(F.count("*").alias("group_size"))
+    ranks = counted.select(group, value, (F.col("before") + (F.col("n") + 1) / 2).alias("mean_rank"))
+    ranked = join_one(rows, ranks, [group, value], counted.select(group, value, "n"), rows.count())
+    ranked = ranked.join(sizes, group).select(*df.columns, "mean_rank", "group_size")
+    rest = df.where(F.col(value).isNull() | F.col(group).isNull())
+    return ranked.unionByName(rest.withColumns({"mean_rank": F.lit(None).cast("double"), "group_size": F.lit(None).cast("long")}))
 
 
 def rank_normal(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -124,7 +95,7 @@ def carried_forward(values: DataFrame, keys: DataFrame, positions: DataFrame, ke
 
     keys and positions are dimension tables (contigs and members): the grid is as large as the result needs.
     """
-    grid = keys.crossJoin(F.broadcast(positions)).join(values, [key, position], "left")
+    grid = keys.crossJoin(positions).join(values, [key, position], "left")
     last = F.last(value, ignorenulls=True).over(Window.partitionBy(key).orderBy(position).rowsBetween(Window.unboundedPreceding, 0))
     return grid.select(position, F.coalesce(last, F.lit(0)).alias("v")).groupBy(position).agg(F.sum("v").cast("long").alias("total"))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -112,6 +114,25 @@ def correlations(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumns({"df": df, "t": F.col("r") * F.sqrt(F.try_divide(df.cast("double"), 1 - F.col("r") * F.col("r")))})
 
 
+def sparse_correlations(pairs: DataFrame, values: DataFrame, doses: DataFrame) -> DataFrame:
+    """Pair tests without covariates where a missing dose is 0: island, variant, n, df, r, t, slope.
+
+    pairs: island, variant; values: island, sample_id, y; doses: variant, sample_id, x (absent: 0).  Sums over an island are
+    taken once, and only carriers are looked up in it, so a pair costs as many rows as its variant has carriers.
+    """
+    y = values.where("y is not null")
+    of = y.groupBy("island").agg(F.count("*").alias("n"), F.avg("y").alias("my"), F.stddev_pop("y").alias("sy"))
+    known = pairs.join(of, "island")
+    carried = known.select("island", "variant", "my").join(doses.where("x <> 0"), "variant").join(y, ["island", "sample_id"])
+    sums = carried.groupBy("island", "variant").agg(F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * (F.col("y") - F.col("my"))).alias("sxy"))
+    rows = known.join(sums, ["island", "variant"], "left").na.fill(0, ["sx", "sxx", "sxy"])
+    mean = F.col("sx") / F.col("n")
+    rows = rows.withColumns({"c": F.col("sxy") / F.col("n"), "vx": F.col("sxx") / F.col("n") - mean * mean, "df": F.col("n") - 2})
+    rows = rows.withColumns({"r": F.try_divide("c", F.sqrt("vx") * F.col("sy")), "slope": F.try_divide("c", "vx")})
+    t = F.col("r") * F.sqrt(F.try_divide(F.col("df").cast("double"), 1 - F.col("r") * F.col("r")))
+    return rows.select("island", "variant", "n", "df", "r", t.alias("t"), "slope")
+
+
 def basis(covariates: np.ndarray) -> np.ndarray:
     """Orthonormal columns of the covariates with an intercept; dependent columns are left out."""
     q: list[np.ndarray] = []
@@ -128,48 +149,72 @@ def basis(covariates: np.ndarray) -> np.ndarray:
 def residual_tests(pairs: DataFrame, values: DataFrame, doses: DataFrame, design: DataFrame, names: Sequence[str]) -> DataFrame:
     """Partial correlation of each (island, variant) on the covariates: r, t, df, slope.
 
-    values: island, sample_id, value; doses: variant, sample_id, dose (absent: 0); design: sample_id, covariates (some
-    hundreds of members, broadcast).  One row per island carries its values and the doses of the variants in its window, so
-    the residuals are taken once per island and all its variants are tested in one matrix product.
+    pairs: island, variant and, if islands near each other shall be tested together, their block (a stretch of a contig);
+    values: island, sample_id, value; doses: variant, sample_id, dose (absent: 0); design: sample_id, covariates (of members that
+    have values; a row of a few numbers for each member of the cohort reaches the driver and is broadcast).  Values and doses of
+    a block meet in one task as two matrices, so each island is read once and a variant once a block; a task holds one block.
     """
-    rows = design.orderBy("sample_id").collect()  # members of a cohort x covariates
+    design = design.join(values.select("sample_id").distinct(), "sample_id", "left_semi")
+    rows = design.orderBy("sample_id").collect()
     ids = np.array([r["sample_id"] for r in rows], np.int64)
     held = design.sparkSession.sparkContext.broadcast((ids, np.array([[float(r[c]) for c in names] for r in rows]).reshape(len(rows), len(names))))
-    lists = lambda df, key, value, to: df.where(f"{value} is not null and sample_id is not null").groupBy(key).agg(F.collect_list("sample_id").alias(f"{to}_id"), F.collect_list(value).alias(f"{to}_v"))
-    y = lists(values, "island", "value", "y")
-    x = lists(doses, "variant", "dose", "x")
-    near = pairs.select("island", "variant").join(x, "variant").groupBy("island").agg(F.collect_list(F.struct("variant", "x_id", "x_v")).alias("xs"))
-
-    def placed(ids: np.ndarray, own, values, fill: float) -> np.ndarray:
-        out = np.full(len(ids), fill)
-        own, values = np.asarray(own, np.int64), np.asarray(values, float)
-        at = np.minimum(np.searchsorted(ids, own), max(0, len(ids) - 1))
-        hit = ids[at] == own if len(ids) else np.zeros(len(own), bool)
-        out[at[hit]] = values[hit]
-        return out
-
-    def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    if "block" not in pairs.columns:
+        pairs = pairs.withColumn("block", F.col("island"))
+    pairs = pairs.select("block", "island", "variant")
+    left = values.where("value is not null and sample_id is not null").join(pairs.select("block", "island").distinct(), "island").select(F.col("block").alias("block_y"), "island", "sample_id", F.col("value").cast("double").alias("value"))
+    right = doses.where("dose is not null and sample_id is not null").join(pairs.select("block", "variant").distinct(), "variant")
+    right = right.select("block", "variant", "sample_id", F.col("dose").cast("double").alias("dose"), F.lit(None).cast("long").alias("island"))
+    right = right.unionByName(pairs.withColumns({"sample_id": F.lit(None).cast("long"), "dose": F.lit(None).cast("double")})).withColumn("block_x", F.expr("block + 0L")).drop("block")
+
+    def test(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, design_ = held.value
-        for f in frames:
-            for island, y_id, y_v, xs in zip(f["island"], f["y_id"], f["y_v"], f["xs"]):
-                full = placed(ids, y_id, y_v, np.nan)
-                mask = ~np.isnan(full)
-                q = basis(design_[mask])
-                b = full[mask] - q @ (q.T @ full[mask])
-                a = np.array([placed(ids, v["x_id"], v["x_v"], 0.0) for v in xs])[:, mask]
-                a = a - (a @ q) @ q.T
-                df = int(mask.sum()) - q.shape[1] - 1
-                va, vb = np.einsum("ij,ij->i", a, a), float(b @ b)
-                ok = (va >= 1e-12) & (vb >= 1e-12) & (df > 0)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    r = np.clip(a @ b / np.sqrt(va * vb), -1, 1)
-                    t = r * np.sqrt(max(df, 0) / np.maximum(1e-15, 1 - r * r))
-                    slope = a @ b / va
-                known = lambda v, ok=ok: pd.Series(np.where(ok, v, np.nan)).astype(object).where(ok, None)
-                yield pd.DataFrame({"island": island, "variant": [v["variant"] for v in xs], "r": known(r), "t": known(t), "df": df, "slope": known(slope)})
-
-    joined = near.join(y, "island").select("island", "y_id", "y_v", "xs")
-    return joined.mapInPandas(test, "island long, variant long, r double, t double, df long, slope double")
+
+        def dense(row: np.ndarray, n: int, sample: np.ndarray, value: np.ndarray, fill: float) -> np.ndarray:
+            out = np.full((n, len(ids)), fill)
+            at = np.minimum(np.searchsorted(ids, sample), max(0, len(ids) - 1))
+            hit = ids[at] == sample if len(ids) else np.zeros(len(sample), bool)
+            out[row[hit], at[hit]] = value[hit]
+            return out
+
+        island, row = np.unique(left.column("island").to_numpy(), return_inverse=True)
+        y = dense(row, len(island), left.column("sample_id").to_numpy(), left.column("value").to_numpy(), np.nan)
+        is_pair = right.column("island").is_valid()
+        carried, wanted = right.filter(pc.invert(is_pair)), right.filter(is_pair)
+        variant, row = np.unique(wanted.column("variant").to_numpy(), return_inverse=True)
+        at = np.searchsorted(variant, carried.column("variant").to_numpy())
+        x = dense(at, len(variant), carried.column("sample_id").to_numpy(), carried.column("dose").to_numpy(), 0.0)
+        of = wanted.column("island").to_numpy()
+        own = np.minimum(np.searchsorted(island, of), max(0, len(island) - 1))
+        hit = island[own] == of if len(island) else np.zeros(len(of), bool)
+        own, row = own[hit], row[hit]
+        order = np.argsort(own, kind="stable")
+        own, row = own[order], row[order]
+        r, t, slope, df = np.full(len(own), np.nan), np.full(len(own), np.nan), np.full(len(own), np.nan), np.zeros(len(own), np.int64)
+        bases: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else []
+        for lo, hi in zip(starts, np.append(starts[1:], len(own))):
+            known = ~np.isnan(y[own[lo]])
+            name = known.tobytes()
+            if name not in bases:  # islands with values of the same members share their basis
+                bases[name] = (np.flatnonzero(known), basis(design_[known]))
+            members, q = bases[name]
+            b = y[own[lo], members]
+            b = b - q @ (q.T @ b)
+            a = x[row[lo:hi]][:, members]
+            a = a - (a @ q) @ q.T
+            degrees = len(members) - q.shape[1] - 1
+            va, vb, both = np.einsum("ij,ij->i", a, a), float(b @ b), a @ b
+            ok = (va >= 1e-12) & (vb >= 1e-12) & (degrees > 0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                c = np.clip(both / np.sqrt(va * vb), -1, 1)
+                r[lo:hi] = np.where(ok, c, np.nan)
+                t[lo:hi] = np.where(ok, c * np.sqrt(max(degrees, 0) / np.maximum(1e-15, 1 - c * c)), np.nan)
+                slope[lo:hi] = np.where(ok, both / va, np.nan)
+            df[lo:hi] = degrees
+        columns = [pa.array(island[own], pa.int64()), pa.array(variant[row], pa.int64()), *[pa.array(v, pa.float64(), from_pandas=True) for v in (r, t)], pa.array(df), pa.array(slope, pa.float64(), from_pandas=True)]
+        return pa.Table.from_arrays(columns, ["island", "variant", "r", "t", "df", "slope"])
+
+    return left.groupBy("block_y").cogroup(right.groupBy("block_x")).applyInArrow(test, "island long, variant long, r double, t double, df long, slope double")
 
 
 def calibration(tests: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import Save, ordered_counts
+
 BIN = 4096
 
 
@@ -90,17 +92,32 @@ def cis_pairs(islands: DataFrame, variants: DataFrame, window: int, width: int =
     return point_join(variants, wide, width).withColumn("distance", gap.cast("long")).drop("b_start", "b_end")
 
 
-def far_pairs(islands: DataFrame, variants: DataFrame, far_bp: int, k: int, seed: int, island: str, variant: str) -> DataFrame:
-    """k variants per island at least far_bp away on the same contig: the smallest hashes of (seed, island, variant).
+def far_pairs(islands: DataFrame, variants: DataFrame, far_bp: int, k: int, seed: int, island: str, variant: str, save: Save | None = None) -> DataFrame:
+    """k variants per island at least far_bp away on the same contig (all, if there are fewer), drawn at random by the seed.
 
-    Only the 4 k smallest hashes of each megabase take part, so the contig join is small and the sample spreads over the contig.
+    The far variants of an island are two runs of the contig's variants in order.  They are cut into k strata of equal size, and
+    one place of each is drawn by a hash of seed, island and stratum; the place is then looked up by its number.  Nothing is
+    joined by contig alone, so the work grows with islands and variants, not with their product.
     """
-
-    by_contig = Window.partitionBy("chrom", F.floor(F.col("pos") / 1_000_000)).orderBy(F.xxhash64(F.lit(seed), variant))
-    thin = variants.withColumn("__r", F.row_number().over(by_contig)).where(F.col("__r") <= 4 * k).drop("__r")
-    gap = F.greatest(F.col("a_start") - F.col("pos"), F.col("pos") - F.col("a_end") + 1)
-    pairs = islands.join(thin, "chrom").where(gap >= far_bp).withColumn("__h", F.xxhash64(F.lit(seed), island, variant))
-    return pairs.withColumn("__n", F.row_number().over(Window.partitionBy(island).orderBy("__h", variant))).where(F.col("__n") <= k).drop("__n", "__h")
+    ends = islands.select("chrom", F.explode(F.array(F.col("a_start") - far_bp + 1, F.col("a_end") + far_bp - 1)).alias("pos"))
+    known = variants.groupBy("chrom", "pos").agg(F.count("*").alias("n"))
+    both = known.unionByName(ends.select("chrom", "pos", F.lit(0).cast("long").alias("n")))
+    placed = ordered_counts(both.groupBy("chrom", "pos").agg(F.sum("n").alias("n")), ["chrom"], "pos", save)
+    placed = (save(placed, "placed") if save else placed).select("chrom", "pos", "before")
+    same = Window.partitionBy("chrom", "pos").orderBy(variant)
+    numbered = variants.join(placed, ["chrom", "pos"]).withColumn("__no", F.col("before") + F.row_number().over(same) - 1)
+    at = lambda name, pos: placed.select("chrom", F.col("pos").alias(pos), F.col("before").alias(name))
+    rows = islands.withColumns({"__left": F.col("a_start") - far_bp + 1, "__right": F.col("a_end") + far_bp - 1})
+    rows = rows.join(at("__below", "__left"), ["chrom", "__left"]).join(at("__until", "__right"), ["chrom", "__right"])
+    rows = rows.join(variants.groupBy("chrom").agg(F.count("*").alias("__all")), "chrom").withColumn("__far", F.col("__below") + F.col("__all") - F.col("__until"))
+    rows = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    start = lambda j: F.floor(F.col("__far") * j / F.lit(k))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed).cast("string"), F.col(island).cast("string"), F.col("__j").cast("string"))), 1, 8), 16, 10).cast("long")
+    rows = rows.withColumns({"__from": start(F.col("__j")), "__size": start(F.col("__j") + 1) - start(F.col("__j"))}).where("__size > 0")
+    place = F.col("__from") + F.pmod(draw, F.col("__size"))
+    rows = rows.withColumn("__no", F.when(place < F.col("__below"), place).otherwise(place - F.col("__below") + F.col("__until")).cast("long"))
+    found = rows.select(*islands.columns, "__no").join(numbered.select("chrom", "__no", *[c for c in variants.columns if c != "chrom"]), ["chrom", "__no"])
+    return found.drop("__no")
 
 
 def merge_intervals(df: DataFrame, keys: Sequence[str] = ("chrom",)) -> DataFrame:

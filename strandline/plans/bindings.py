@@ -65,15 +65,15 @@ VIEWS: dict[str, str] = {
         count(CASE WHEN a.alt = 1 AND b.alt = 1 THEN 1 END) AS shared_hets,
         count(CASE WHEN (a.alt = 2 AND b.alt = 1) OR (a.alt = 1 AND b.alt = 2) THEN 1 END) AS ibs0, count(*) AS n
         FROM {genotypes} a JOIN {genotypes} b ON a.site_id = b.site_id AND a.sample_id < b.sample_id
-        WHERE a.sample_id < 60 AND b.sample_id < 60 AND a.called = 2 AND b.called = 2 GROUP BY a.sample_id, b.sample_id""",
+        WHERE a.called = 2 AND b.called = 2 GROUP BY a.sample_id, b.sample_id""",
     # cell composition: fractions of a vector's magnitude
     "fractions": """SELECT vec_id AS sample_id, cell, fraction FROM (SELECT v.vec_id, v.cell, abs(v.x) / sum(abs(v.x)) OVER (PARTITION BY v.vec_id) AS fraction
         FROM {cells} v) t""",
 }
 #: Exploding an array is spelled differently in the two engines.
 CELLS = {
-    "spark": "SELECT vec_id, CAST(i AS BIGINT) AS cell, CAST(x AS DOUBLE) AS x FROM {embeddings} LATERAL VIEW posexplode(slice(embedding, 1, 8)) t AS i, x",
-    "duckdb": "SELECT vec_id, CAST(i - 1 AS BIGINT) AS cell, CAST(embedding[i] AS DOUBLE) AS x FROM (SELECT vec_id, embedding, unnest(range(1, 9)) AS i FROM {embeddings}) t",
+    "spark": "SELECT vec_id, CAST(i AS BIGINT) AS cell, CAST(x AS DOUBLE) AS x FROM {embeddings} LATERAL VIEW posexplode(embedding) t AS i, x",
+    "duckdb": "SELECT vec_id, CAST(i - 1 AS BIGINT) AS cell, CAST(embedding[i] AS DOUBLE) AS x FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM {embeddings}) t",
 }
 
 
@@ -125,6 +125,8 @@ def with_views(sql: str) -> str:
     body = plain(sql).strip()
     if not parts:
         return body
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ", ".join([*parts, body[15:]])
     return "WITH " + ", ".join(parts) + (", " + body[5:] if body[:5].upper() == "WITH " else " " + body)
 
 

@@ -50,9 +50,13 @@ def jon02(b: Bound):
     return op.merge_callsets(_halves(b), ["site_id"]).select("site_id", "sample_id", "called", "n_sets")
 
 
-@query("jon03", "SELECT s.site_id, m.sample_id, g.alt, coalesce(g.called, 0) AS called, m.position FROM {sites} s CROSS JOIN {members} m LEFT JOIN {genotypes} g ON g.site_id = s.site_id AND g.sample_id = m.sample_id WHERE m.sample_id < 100 AND s.site_id % 4 = 0")
+@query("jon03", "SELECT site_id, count(*) AS n_members, count(CASE WHEN called = 0 THEN 1 END) AS n_missing, CAST(sum(coalesce(alt, 0)) AS BIGINT) AS alt_sum, CAST(sum(position * (called + 3 * coalesce(alt, 0) + 1)) AS BIGINT) AS digest FROM (SELECT s.site_id, m.sample_id, g.alt, coalesce(g.called, 0) AS called, m.position FROM {sites} s CROSS JOIN {members} m LEFT JOIN {genotypes} g ON g.site_id = s.site_id AND g.sample_id = m.sample_id) t GROUP BY site_id")
 def jon03(b: Bound):
-    return op.pad_members(b.genotypes, b.sites.where("site_id % 4 = 0"), b.members.where("sample_id < 100"))
+    """The whole dense grid of sites and members, added up by site."""
+    grid = op.pad_members(b.genotypes, b.sites, b.members)
+    return grid.groupBy("site_id").agg(
+        F.count("*").alias("n_members"), F.count_if(F.col("called") == 0).alias("n_missing"), F.sum(F.coalesce("alt", F.lit(0))).cast("long").alias("alt_sum"), F.sum(F.col("position") * (F.col("called") + 3 * F.coalesce("alt", F.lit(0)) + 1)).cast("long").alias("digest")
+    )
 
 
 @query("jon01", "SELECT sample_id FROM {members} WHERE sample_id NOT IN (SELECT user_id FROM {events})")
@@ -168,36 +172,51 @@ def agg35(b: Bound):
 
 
 def _small(b: Bound):
-    return b.genotypes.where("alt > 0 AND sample_id < 100").select("site_id", "sample_id")
+    return b.genotypes.where("alt > 0").select("site_id", "sample_id")
 
 
-@query("sta18")
+def _greedy_sql(steps: int, first: int) -> str:
+    """Each pick is a statement over the carriers that the earlier picks left uncovered."""
+    out = ["""c1 AS MATERIALIZED (SELECT site_id, sample_id, count(*) OVER (PARTITION BY site_id) >= 3 AS common FROM {genotypes} WHERE alt > 0)""", "pool AS (SELECT DISTINCT sample_id FROM c1)"]
+    gain = "count(CASE WHEN common THEN 1 END) AS c, count(site_id) AS n"
+    for i in range(1, steps + 1):
+        if i == 1:
+            out.append(f"p1 AS MATERIALIZED (SELECT {first} AS sample_id, {gain} FROM c1 WHERE sample_id = {first})")
+        else:
+            out.append(f"c{i} AS MATERIALIZED (SELECT * FROM c{i - 1} WHERE site_id NOT IN (SELECT site_id FROM c{i - 1} WHERE sample_id = (SELECT sample_id FROM p{i - 1})))")
+            taken = " UNION ALL ".join(f"SELECT sample_id FROM p{k}" for k in range(1, i))
+            out.append(f"p{i} AS MATERIALIZED (SELECT sample_id, {gain} FROM pool LEFT JOIN c{i} USING (sample_id) WHERE sample_id NOT IN ({taken}) GROUP BY 1 ORDER BY c DESC, n DESC, sample_id LIMIT 1)")
+    rows = " UNION ALL ".join(f"SELECT {i} AS rank, sample_id, '{'first' if i == 1 else 'unrelated'}' AS tier, c AS new_common, n AS new_all FROM p{i}" for i in range(1, steps + 1))
+    return "WITH " + ",\n ".join(out) + f" {rows}"
+
+
+@query("sta18", _greedy_sql(12, 1))
 def sta18(b: Bound):
     c = b.genotypes.where("alt > 0").select("site_id", "sample_id")
     n = c.groupBy("site_id").agg(F.count("*").alias("n"))
     return op.greedy_rank(b.spark, c.join(n, "site_id").select("site_id", "sample_id", (F.col("n") >= 3).alias("common")), 12, saver(b), first=[1])
 
 
-_HIST = "SELECT n AS c, count(*) AS sites FROM (SELECT site_id, count(DISTINCT sample_id) AS n FROM {genotypes} WHERE alt > 0 AND sample_id < 40 GROUP BY 1) t GROUP BY 1"
+_HIST = "SELECT n AS c, count(*) AS sites FROM (SELECT site_id, count(DISTINCT sample_id) AS n FROM {genotypes} WHERE alt > 0 GROUP BY 1) t GROUP BY 1"
 
 
-@query("sta19", f"""WITH h AS ({_HIST}), g AS (SELECT *, unnest(range(1, 41)) AS k FROM h) SELECT CAST(k AS INTEGER) AS k,
- round(sum(sites * (1 - CASE WHEN 40 - c >= k THEN exp(lgamma(41 - c) - lgamma(41 - c - k) - lgamma(41) + lgamma(41 - k)) ELSE 0 END)), 4) AS "union",
- round(sum(sites * CASE WHEN c >= k THEN exp(lgamma(c + 1) - lgamma(c + 1 - k) - lgamma(41) + lgamma(41 - k)) ELSE 0 END), 4) AS core FROM g GROUP BY 1""")
+@query("sta19", f"""WITH h AS ({_HIST}), m AS (SELECT count(*) AS n FROM {{members}}), g AS (SELECT *, unnest(range(1, n + 1)) AS k FROM h, m) SELECT CAST(k AS INTEGER) AS k,
+ round(sum(sites * (1 - CASE WHEN n - c >= k THEN exp(lgamma(n + 1 - c) - lgamma(n + 1 - c - k) - lgamma(n + 1) + lgamma(n + 1 - k)) ELSE 0 END)), 4) AS "union",
+ round(sum(sites * CASE WHEN c >= k THEN exp(lgamma(c + 1) - lgamma(c + 1 - k) - lgamma(n + 1) + lgamma(n + 1 - k)) ELSE 0 END), 4) AS core FROM g GROUP BY 1""")
 def sta19(b: Bound):
-    per = b.genotypes.where("alt > 0 AND sample_id < 40").groupBy("site_id").agg(F.count_distinct("sample_id").alias("c"))
+    per = b.genotypes.where("alt > 0").groupBy("site_id").agg(F.count_distinct("sample_id").alias("c"))
     hist = per.groupBy("c").agg(F.count("*").alias("sites"))
-    return op.growth(hist, 40).withColumns({"union": F.round("union", 4), "core": F.round("core", 4)})
+    return op.growth(hist, b.members.count()).withColumns({"union": F.round("union", 4), "core": F.round("core", 4)})
 
 
-@query("sta20", """WITH p AS (SELECT DISTINCT site_id, sample_id, sample_id + 1 AS rank FROM {genotypes} WHERE alt > 0 AND sample_id < 100), f AS (SELECT site_id, min(rank) AS first FROM p GROUP BY 1), k AS (SELECT unnest([10, 25, 50]) AS k),
+@query("sta20", """WITH p AS (SELECT DISTINCT site_id, sample_id, sample_id + 1 AS rank FROM {genotypes} WHERE alt > 0), f AS (SELECT site_id, min(rank) AS first FROM p GROUP BY 1), k AS (SELECT unnest([10, 25, 50]) AS k),
  s AS (SELECT k, sample_id, avg(CASE WHEN first <= k THEN 1.0 ELSE 0 END) AS share FROM p JOIN f USING (site_id) JOIN k ON rank > k GROUP BY 1, 2) SELECT k, round(median(share), 6) AS median, round(quantile_cont(share, 0.05), 6) AS p05, round(min(share), 6) AS min, count(*) AS n FROM s GROUP BY 1""")
 def sta20(b: Bound):
     order = b.members.select("sample_id", (F.col("sample_id") + 1).alias("rank"))
     return op.held_out(_small(b).distinct(), order, [10, 25, 50]).withColumns({c: F.round(c, 6) for c in ("median", "p05", "min")})
 
 
-@query("prj22", """WITH c AS (SELECT site_id, count(DISTINCT sample_id) AS n FROM {genotypes} WHERE alt > 0 AND sample_id < 100 GROUP BY 1) SELECT CASE WHEN n >= 5 THEN '>=5%' WHEN n >= 2 THEN 'common' WHEN n > 1 THEN 'rare' ELSE 'singleton' END AS class, count(*) AS sites FROM c GROUP BY 1""")
+@query("prj22", """WITH c AS (SELECT site_id, count(DISTINCT sample_id) AS n FROM {genotypes} WHERE alt > 0 GROUP BY 1), m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM {members}) SELECT CASE WHEN n >= 0.05 * m THEN '>=5%' WHEN n >= 0.02 * m THEN 'common' WHEN n > 1 THEN 'rare' ELSE 'singleton' END AS class, count(*) AS sites FROM c, m GROUP BY 1""")
 def prj22(b: Bound):
     per = _small(b).groupBy("site_id").agg(F.count_distinct("sample_id").alias("n"))
-    return per.groupBy(X.carrier_class(F.col("n"), F.lit(100.0), 0.05, 0.02).alias("class")).agg(F.count("*").alias("sites"))
+    return per.groupBy(X.carrier_class(F.col("n"), F.lit(float(b.members.count())), 0.05, 0.02).alias("class")).agg(F.count("*").alias("sites"))

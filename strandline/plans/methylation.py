@@ -123,9 +123,10 @@ def agg40_lineage(b: Bound):
     return _r(op.lineage_sums(b.fractions, {0: "blood", 1: "blood", 2: "blood", 3: "epithelial", 4: "epithelial", 5: "epithelial"}), "fraction")
 
 
-@query("agg53", "SELECT sample_id, arg_max(cell, fraction) AS top_cell, round(max(fraction), 6) AS top_fraction, round(sum(fraction), 6) AS fraction_sum, " + ", ".join(f"round(max(CASE WHEN cell = {i} THEN fraction END), 6) AS cell_{i}" for i in range(8)) + " FROM {fractions} GROUP BY 1")
+@query("agg53", "SELECT sample_id, arg_max(cell, fraction) AS top_cell, round(max(fraction), 6) AS top_fraction, round(sum(fraction), 6) AS fraction_sum, " + ", ".join(f"round(max(CASE WHEN cell = {i} THEN fraction END), 6) AS cell_{i}" for i in range(64)) + " FROM {fractions} GROUP BY 1")
 def agg53(b: Bound):
-    return _r(op.composition_table(b.fractions, range(8)), "top_fraction", "fraction_sum", *[f"cell_{i}" for i in range(8)])
+    out = op.composition_table(b.fractions)
+    return _r(out, *[c for c in out.columns if c not in ("sample_id", "top_cell")])
 
 
 @query("sta21", """WITH m AS (SELECT cell, median(fraction) AS med FROM {fractions} GROUP BY 1), g AS (SELECT sample_id, cell, abs(fraction - med) AS gap FROM {fractions} JOIN m USING (cell)),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import identity, ordering as op
 from .bindings import Bound, query
+from .formulas import normal_quantile_sql
 
 
 @query("win01", """SELECT run_id, subject_id, stage, attempt FROM (SELECT *, row_number() OVER (PARTITION BY subject_id, stage ORDER BY attempt DESC, run_id DESC) AS n
@@ -40,7 +41,7 @@ _REL = """SELECT p.sample_a, p.sample_b, (p.shared_hets - 2.0 * p.ibs0) / least(
 @query("win04", f"""WITH r AS ({_REL}), s AS (SELECT sample_a AS sample_id, sample_b AS relative, relatedness FROM r UNION ALL SELECT sample_b, sample_a, relatedness FROM r)
  SELECT sample_id, relative, round(relatedness, 6) AS relatedness FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY relatedness DESC, relative) AS n FROM s) t WHERE n = 1""")
 def win04(b: Bound):
-    return op.closest(identity.with_relatedness(b.pairs, b.genotypes)).withColumn("relatedness", F.round("relatedness", 6))
+    return op.closest(identity.with_relatedness(identity.shared_sites(b.genotypes), b.genotypes)).withColumn("relatedness", F.round("relatedness", 6))
 
 
 @query("win05", """SELECT region_label, site_id, pos, n_rows FROM (SELECT *, row_number() OVER (PARTITION BY region_label ORDER BY svlen DESC, site_id) AS n, count(*) OVER (PARTITION BY region_label) AS n_rows FROM {sites}) t WHERE n = 1""")
@@ -62,7 +63,8 @@ def win07(b: Bound):
     return op.mean_rank(b.events, "event_type", "value").select("event_id", "mean_rank", "group_size")
 
 
-@query("win07_normal")
+@query("win07_normal", f"""WITH r AS (SELECT event_id, rank() OVER (PARTITION BY event_type ORDER BY value) + (count(*) OVER (PARTITION BY event_type, value) - 1) / 2.0 AS mean_rank, count(*) OVER (PARTITION BY event_type) AS n FROM {{events}})
+ SELECT event_id, mean_rank, round({normal_quantile_sql("p")}, 6) AS z FROM (SELECT *, CAST((mean_rank - 0.5) / n AS DOUBLE) AS p FROM r) t""")
 def win07_normal(b: Bound):
     return op.rank_normal(b.events, "event_type", "value").select("event_id", "mean_rank", F.round("z", 6).alias("z"))
 
@@ -74,15 +76,15 @@ def win08(b: Bound):
     return op.cumulative(m, ["batch"], ["position"], "w").select("sample_id", "batch", F.round("running", 4).alias("running"), F.round("share", 6).alias("share"))
 
 
-@query("win09", """WITH g AS (SELECT chrom, min(sample_id) AS position, site_id FROM {genotypes} JOIN {sites} USING (site_id) WHERE alt > 0 AND sample_id < 100 GROUP BY chrom, site_id),
+@query("win09", """WITH g AS (SELECT chrom, min(sample_id) AS position, site_id FROM {genotypes} JOIN {sites} USING (site_id) WHERE alt > 0 GROUP BY chrom, site_id),
  n AS (SELECT chrom, position, count(*) AS new FROM g GROUP BY 1, 2), c AS (SELECT chrom, position, sum(new) OVER (PARTITION BY chrom ORDER BY position) AS v FROM n),
- k AS (SELECT DISTINCT chrom FROM {sites}), p AS (SELECT sample_id AS position FROM {members} WHERE sample_id < 100)
+ k AS (SELECT DISTINCT chrom FROM {sites}), p AS (SELECT sample_id AS position FROM {members})
  SELECT p.position, CAST(sum(coalesce((SELECT max(v) FROM c WHERE c.chrom = k.chrom AND c.position <= p.position), 0)) AS BIGINT) AS total FROM k CROSS JOIN p GROUP BY 1""")
 def win09(b: Bound):
-    first = b.genotypes.where("alt > 0 AND sample_id < 100").join(b.sites.select("site_id", "chrom"), "site_id").groupBy("chrom", "site_id").agg(F.min("sample_id").alias("position"))
+    first = b.genotypes.where("alt > 0").join(b.sites.select("site_id", "chrom"), "site_id").groupBy("chrom", "site_id").agg(F.min("sample_id").alias("position"))
     new = first.groupBy("chrom", "position").agg(F.count("*").alias("new"))
     values = op.cumulative(new, ["chrom"], ["position"], "new").select("chrom", "position", F.col("running").alias("v"))
-    members = b.members.where("sample_id < 100").select(F.col("sample_id").alias("position"))
+    members = b.members.select(F.col("sample_id").alias("position"))
     return op.carried_forward(values, b.sites.select("chrom").distinct(), members, "chrom", "position", "v")
 
 

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.expressions import contig_class
+from ..functions.expressions import contig_class, normal_quantile
 from ..operators import ordering, qtl as op, ranges
 from .bindings import Bound, query
+from .formulas import normal_quantile_sql
+from .saving import saver
+
+#: Length of a block of islands that are tested in one task.
+BLOCK_BP = 1_000_000
 
 
 @query("sta01", """SELECT sample_id, island, round(CASE WHEN cov >= 12 THEN value END, 6) AS value, count(CASE WHEN cov >= 12 THEN value END) OVER w AS n_members, round(avg(CASE WHEN cov >= 12 THEN value END) OVER w, 6) AS mean,
@@ -26,19 +31,19 @@ def sta02(b: Bound):
     return op.covariates(m, ["depth_mean", "pc1"])[0]
 
 
-_ISLANDS = "SELECT r.region_id AS island, r.chrom, m.sample_id, m.value FROM {regions} r JOIN {methyl} m ON m.island = CASE r.region_id % 5 WHEN 0 THEN 'view' WHEN 1 THEN 'signup' WHEN 2 THEN 'click' WHEN 3 THEN 'purchase' ELSE 'error' END WHERE m.cov >= 8 + r.region_id % 9 AND r.region_id % 10 < 5"
+_ISLANDS = "SELECT r.region_id AS island, r.chrom, m.sample_id, m.value FROM {regions} r JOIN {methyl} m ON m.island = CASE r.region_id % 5 WHEN 0 THEN 'view' WHEN 1 THEN 'signup' WHEN 2 THEN 'click' WHEN 3 THEN 'purchase' ELSE 'error' END WHERE m.cov >= 8 + r.region_id % 9"
 
 
 def _islands(b: Bound):
     return b.spark.sql(_ISLANDS, regions=b.regions, methyl=b.methyl)
 
 
-_WHY = "CASE WHEN NOT regexp_matches(chrom, '^chr([1-9]|1[0-9]|2[0-2])$') THEN 'not autosomal' WHEN n < 0.5 * 150 THEN 'member share' WHEN n < 90 THEN 'few members' WHEN coalesce(sd, 0) < 18 THEN 'little variation' END"
+_WHY = "CASE WHEN NOT regexp_matches(chrom, '^chr([1-9]|1[0-9]|2[0-2])$') THEN 'not autosomal' WHEN n < 0.5 * (SELECT count(DISTINCT sample_id) FROM {methyl}) THEN 'member share' WHEN n < 90 THEN 'few members' WHEN coalesce(sd, 0) < 18 THEN 'little variation' END"
 
 
 @query("sta03", f"WITH x AS ({_ISLANDS}), g AS (SELECT island, count(value) AS n, stddev_samp(value) AS sd, min(chrom) AS chrom FROM x GROUP BY 1) SELECT island, n, round(sd, 6) AS sd, {_WHY} AS reason FROM g")
 def sta03(b: Bound):
-    out = op.admit_islands(_islands(b), lambda c: contig_class(c) == "autosome", 150, 0.5, 90, 18.0)
+    out = op.admit_islands(_islands(b), lambda c: contig_class(c) == "autosome", b.methyl.select("sample_id").distinct().count(), 0.5, 90, 18.0)
     return out.withColumn("sd", F.round("sd", 6))
 
 
@@ -52,49 +57,87 @@ def sta04(b: Bound):
     return op.admit_variants(b.spark.sql(_DOSE, genotypes=b.genotypes), 25, 0.8, 3)
 
 
-_PAIRS = """SELECT r.region_id AS island, s.site_id AS variant FROM {regions} r JOIN {sites} s ON s.chrom = r.chrom AND s.pos >= r.start_pos - 20000 AND s.pos < r.end_pos + 20000 WHERE r.region_id % 10 < 5"""
+_PAIRS = """SELECT r.region_id AS island, s.site_id AS variant FROM {regions} r JOIN {sites} s ON s.chrom = r.chrom AND s.pos >= r.start_pos - 20000 AND s.pos < r.end_pos + 20000"""
 _XY = f"""SELECT p.island, p.variant, x.sample_id, x.value AS y, coalesce(g.alt, 0) AS x FROM ({_PAIRS}) p JOIN ({_ISLANDS}) x USING (island) LEFT JOIN {{genotypes}} g ON g.site_id = p.variant AND g.sample_id = x.sample_id"""
 
 
 def _pairs(b: Bound):
-    islands = b.regions.where("region_id % 10 < 5").select(F.col("region_id").alias("island"), "chrom", F.col("start_pos").alias("a_start"), F.col("end_pos").alias("a_end"))
-    return ranges.cis_pairs(islands, b.sites.select(F.col("site_id").alias("variant"), "chrom", "pos"), 20000).select("island", "variant")
+    islands = b.regions.select(F.col("region_id").alias("island"), "chrom", F.col("start_pos").alias("a_start"), F.col("end_pos").alias("a_end"))
+    return ranges.cis_pairs(islands, b.sites.select(F.col("site_id").alias("variant"), "chrom", "pos"), 20000).select("island", "variant", F.xxhash64("chrom", F.floor(F.col("a_start") / BLOCK_BP)).alias("block"))
 
 
 def _tests(b: Bound):
-    values = _islands(b)
-    x = _pairs(b).join(values.select("island", "sample_id", F.col("value").alias("y")), "island")
-    g = b.genotypes.select(F.col("site_id").alias("variant"), "sample_id", "alt")
-    return op.correlations(x.join(g, ["variant", "sample_id"], "left").withColumn("x", F.coalesce("alt", F.lit(0))), ["island", "variant"])
+    values = _islands(b).select("island", "sample_id", F.col("value").alias("y"))
+    doses = b.genotypes.where("alt > 0").select(F.col("site_id").alias("variant"), "sample_id", F.col("alt").alias("x"))
+    return op.sparse_correlations(_pairs(b).select("island", "variant"), values, doses)
+
+
+#: Two sums of the same numbers differ in their last bits; a relative nudge far above that rounds exact halves one way.
+_NUDGE = 1 + 1e-11
+
+
+def _rounded(column: str, digits: int = 6):
+    return F.round(F.col(column) * _NUDGE, digits).alias(column)
+
+
+def _rounded_sql(expression: str, name: str, digits: int = 6) -> str:
+    return f"round({expression} * {_NUDGE!r}, {digits}) AS {name}"
 
 
 _T = f"""SELECT *, n - 2 AS df, r * sqrt((n - 2) / nullif(1 - r * r, 0)) AS t FROM (SELECT island, variant, CASE WHEN isnan(r) THEN NULL ELSE r END AS r, slope, n FROM (SELECT island, variant, CASE WHEN stddev_pop(x) > 0 AND stddev_pop(y) > 0 THEN corr(x, y) END AS r, regr_slope(y, x) AS slope, count(*) AS n FROM ({_XY}) q GROUP BY 1, 2) w) z"""
 
 
-@query("sta06", f"SELECT island, variant, n, df, round(r, 6) AS r, round(t, 6) AS t, round(slope, 6) AS slope FROM ({_T}) u")
+@query("sta06", f"SELECT island, variant, n, df, {', '.join(_rounded_sql(c, c) for c in ('r', 't', 'slope'))} FROM ({_T}) u")
 def sta06(b: Bound):
-    return _tests(b).select("island", "variant", "n", "df", F.round("r", 6).alias("r"), F.round("t", 6).alias("t"), F.round("slope", 6).alias("slope"))
+    return _tests(b).select("island", "variant", "n", "df", *[_rounded(c) for c in ("r", "t", "slope")])
 
 
 def _residual(b: Bound):
     doses = b.genotypes.where("alt > 0").select(F.col("site_id").alias("variant"), "sample_id", F.col("alt").cast("double").alias("dose"))
-    m = b.members.where("sex <> '' and sample_id < 150")
+    m = b.members.where("sex <> ''")
     design, names = op.covariates(m, ["depth_mean"])
     return op.residual_tests(_pairs(b), _islands(b), doses, design, names)
 
 
-@query("sta05")
+def _screen(columns: str, tail: str) -> str:
+    """The screen in SQL: covariates, doses and values are made orthogonal one after the other by window sums."""
+    w = "WINDOW w AS (PARTITION BY island)"
+    return f"""WITH d AS (SELECT x.island, x.sample_id, x.value AS y, CASE WHEN m.sex = 'XX' THEN 1.0 ELSE 0.0 END::DOUBLE AS c1, m.depth_mean AS c2 FROM ({_ISLANDS}) x JOIN {{members}} m USING (sample_id) WHERE m.sex <> ''),
+ a AS (SELECT *, c1 - avg(c1) OVER w AS u1, c2 - avg(c2) OVER w AS v2, y - avg(y) OVER w AS y0, count(*) OVER w AS n FROM d {w}),
+ b AS (SELECT *, sum(u1 * u1) OVER w AS g1, sum(u1 * v2) OVER w AS h, sum(y0 * u1) OVER w AS y1 FROM a {w}),
+ c AS (SELECT *, CASE WHEN g1 > 1e-9 THEN v2 - h / g1 * u1 ELSE v2 END AS u2 FROM b),
+ e AS (SELECT *, sum(u2 * u2) OVER w AS g2, sum(y0 * u2) OVER w AS y2 FROM c {w}),
+ f AS (SELECT *, y0 - CASE WHEN g1 > 1e-9 THEN y1 / g1 * u1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN y2 / g2 * u2 ELSE 0 END AS yr, n - 2 - CASE WHEN g1 > 1e-9 THEN 1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN 1 ELSE 0 END AS df FROM e),
+ o AS (SELECT island, any_value(n) AS n, any_value(g1) AS g1, any_value(g2) AS g2, any_value(df) AS df, sum(yr * yr) AS vb FROM f GROUP BY 1),
+ s AS (SELECT p.island, p.variant, sum(g.alt) AS sx, sum(g.alt * g.alt) AS sxx, sum(g.alt * u1) AS s1, sum(g.alt * u2) AS s2, sum(g.alt * yr) AS both_ FROM ({_PAIRS}) p JOIN {{genotypes}} g ON g.site_id = p.variant AND g.alt > 0 JOIN f ON f.island = p.island AND f.sample_id = g.sample_id GROUP BY 1, 2),
+ v AS (SELECT p.island, p.variant, o.df, vb, coalesce(both_, 0) AS both_, coalesce(sxx - sx * sx / CAST(n AS DOUBLE) - CASE WHEN g1 > 1e-9 THEN s1 * s1 / g1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN s2 * s2 / g2 ELSE 0 END, 0) AS va FROM ({_PAIRS}) p JOIN o USING (island) LEFT JOIN s ON s.island = p.island AND s.variant = p.variant),
+ k AS (SELECT *, va >= 1e-9 AND vb >= 1e-9 AND df > 0 AS ok FROM v), l AS (SELECT *, CASE WHEN ok THEN greatest(-1, least(1, both_ / sqrt(va * vb))) END AS r, CASE WHEN ok THEN both_ / va END AS slope FROM k),
+ t AS (SELECT island, variant, r, r * sqrt(df / greatest(1e-15, 1 - r * r)) AS t, CAST(df AS BIGINT) AS df, slope FROM l){tail} SELECT {columns}"""
+
+
+def _student_sql(rows: str) -> str:
+    """(t, df, p) of distinct t and whole df: two-sided p by the finite sums of the distribution in the angle of t."""
+    odd = "2 / pi() * (th + sin(th) * coalesce(list_sum([sqrt(pi()) / 2 * exp(lgamma(j) - lgamma(j + 0.5)) * pow(cos(th), 2 * j - 1) for j in range(1, (df - 1) // 2 + 1)]), 0))"
+    even = "sin(th) * list_sum([exp(lgamma(j + 0.5) - lgamma(j + 1)) / sqrt(pi()) * pow(cos(th), 2 * j) for j in range(0, df // 2)])"
+    return f"SELECT t, df, 1 - CASE WHEN df % 2 = 1 THEN {odd} ELSE {even} END AS p FROM (SELECT DISTINCT t, df, atan(abs(t) / sqrt(df)) AS th FROM {rows} WHERE t IS NOT NULL AND df > 0) u"
+
+
+@query("sta05", _screen("island, variant, df, " + ", ".join(_rounded_sql(c, c) for c in ("r", "t", "slope")) + " FROM t", ""))
 def sta05(b: Bound):
-    return _residual(b).withColumns({c: F.round(c, 6) for c in ("r", "t", "slope")})
+    return _residual(b).select("island", "variant", "df", *[_rounded(c) for c in ("r", "t", "slope")])
 
 
-@query("sta07")
+@query("sta07", _screen("island, variant, df, " + _rounded_sql("t", "t") + ", round(p, 8) AS p, round(q, 8) AS q, n_pairs FROM z WHERE no = 1", f""",
+ st AS ({_student_sql("t")}), tp AS (SELECT t.*, st.p FROM t LEFT JOIN st ON st.t = t.t AND st.df = t.df), rk AS (SELECT *, row_number() OVER (ORDER BY p) AS rk, count(*) OVER () AS m FROM tp WHERE p IS NOT NULL),
+ qs AS (SELECT island, variant, least(1.0, min(p * m / rk) OVER (ORDER BY p RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM rk),
+ z AS (SELECT tp.*, q, row_number() OVER (PARTITION BY tp.island ORDER BY round(p, 10) NULLS LAST, tp.variant) AS no, count(*) OVER (PARTITION BY tp.island) AS n_pairs FROM tp LEFT JOIN qs USING (island, variant))"""))
 def sta07(b: Bound):
     """The whole screen: window join, residual tests, p, q, and the best variant of each island."""
-    tested = _residual(b).withColumn("p", op.t_p("t", F.col("df").cast("double")))
-    hits = ordering.bh(tested)
-    lead = ordering.lead_rows(hits, "island", [F.col("p").asc_nulls_last(), F.col("variant")])
-    return lead.select("island", "variant", "df", F.round("t", 6).alias("t"), F.round("p", 8).alias("p"), F.round("q", 8).alias("q"), F.col("n_rows").alias("n_pairs"))
+    save = saver(b)
+    tested = save(_residual(b).withColumn("p", op.t_p("t", F.col("df").cast("double"))), "tested")
+    hits = ordering.bh(tested, save=save)
+    lead = ordering.lead_rows(hits, "island", [F.round("p", 10).asc_nulls_last(), F.col("variant")])
+    return lead.select("island", "variant", "df", _rounded("t"), F.round("p", 8).alias("p"), F.round("q", 8).alias("q"), F.col("n_rows").alias("n_pairs"))
 
 
 @query("sta08", f"SELECT count(*) AS n, round(median(t * t) / 0.4549364, 6) AS inflation, round(avg(CASE WHEN t * t > 3.841459 THEN 1.0 ELSE 0 END), 6) AS share_5pct FROM ({_T}) u WHERE t IS NOT NULL")
@@ -102,12 +145,12 @@ def sta08(b: Bound):
     return op.calibration(_tests(b)).withColumns({c: F.round(c, 6) for c in ("inflation", "share_5pct")})
 
 
-@query("scl13")
+@query("scl13", f"""WITH v AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) / 10 AS t, l_linenumber * 5 AS df FROM {{lineitem}}), s AS ({_student_sql("v")}) SELECT l_orderkey, l_linenumber, round(p, 8) AS p FROM v JOIN s USING (t, df)""")
 def scl13(b: Bound):
     rows = b.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 10).alias("t"), (F.col("l_linenumber") * 5).cast("double").alias("df"))
     return rows.select("l_orderkey", "l_linenumber", F.round(op.t_p("t", "df"), 8).alias("p"))
 
 
-@query("scl14")
+@query("scl14", f"SELECT l_orderkey, l_linenumber, round({normal_quantile_sql('p')}, 8) AS z FROM (SELECT l_orderkey, l_linenumber, (CAST(l_quantity AS DOUBLE) - 0.5) / 50 AS p FROM {{lineitem}}) v")
 def scl14(b: Bound):
-    return b.lineitem.select("l_orderkey", "l_linenumber", F.round(ordering.normal_quantile((F.col("l_quantity") - 0.5) / 50), 8).alias("z"))
+    return b.lineitem.select("l_orderkey", "l_linenumber", F.round(normal_quantile((F.col("l_quantity") - 0.5) / 50), 8).alias("z"))

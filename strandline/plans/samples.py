@@ -74,14 +74,14 @@ def agg38(b: Bound):
     return _r(op.haplogroups(first.withColumn("major", F.lit(True))), "fraction")
 
 
-_MT = "SELECT l_partkey AS site, o_custkey AS sample_id, l_linenumber % 3 AS allele, sum(l_quantity) AS w FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE o_custkey < 300 GROUP BY 1, 2, 3"
+_MT = "SELECT l_partkey AS site, o_custkey AS sample_id, l_linenumber % 3 AS allele, sum(l_quantity) AS w FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY 1, 2, 3"
 _COLLAPSE = f"""SELECT site, sample_id, a1, coalesce(a2, a1) AS a2, w1, w2 FROM (SELECT site, sample_id, max(CASE WHEN n = 1 THEN allele END) AS a1, max(CASE WHEN n = 2 THEN allele END) AS a2, max(CASE WHEN n = 1 THEN w END) AS w1, coalesce(max(CASE WHEN n = 2 THEN w END), 0) AS w2
  FROM (SELECT *, row_number() OVER (PARTITION BY site, sample_id ORDER BY CASE WHEN allele <> 0 THEN 1 ELSE 0 END, w DESC, allele) AS n FROM ({_MT}) t) u GROUP BY 1, 2) v"""
 _VAF = "(CASE WHEN a1 <> 0 THEN w1 ELSE 0 END + CASE WHEN a2 <> 0 THEN w2 ELSE 0 END) / (w1 + w2)"
 
 
 def _collapsed(b: Bound):
-    rows = b.lineitem.join(b.orders.where("o_custkey < 300"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = b.lineitem.join(b.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return op.haplotype_collapse(rows.select(F.col("l_partkey").alias("site"), F.col("o_custkey").alias("sample_id"), (F.col("l_linenumber") % 3).alias("allele"), F.col("l_quantity").alias("abundance")))
 
 

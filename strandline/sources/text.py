@@ -144,7 +144,7 @@ def read_manifest(spark: SparkSession, path, aliases: dict[str, Sequence[str]],
 
 def read_paf(spark: SparkSession, path, min_mapq: int = 0) -> DataFrame:
     """Primary alignments (tag tp:A:P or tp:A:I, or untagged) of some mapping quality."""
-    tags = F.filter(F.slice(F.split("value", "\t"), 13, 1000), lambda t: t.startswith("tp:A:"))
+    tags = F.filter(F.split("value", "\t"), lambda t, i: (i >= 12) & t.startswith("tp:A:"))
     primary = (F.size(tags) == 0) | F.exists(tags, lambda t: t.isin("tp:A:P", "tp:A:I"))
     long = lambda i: _cell(i).try_cast("long")
     rows = lines(spark, path).where(primary)

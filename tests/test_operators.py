@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import expressions as X
-from strandline.operators import frequency, graphs, identity, methylation, ordering, qtl, ranges, repeats, samples
+from strandline.operators import frequency, graphs, identity, methylation, ordering, qtl, ranges, repeats, samples, skew
 from strandline.sources import sinks, text
 
 
@@ -51,7 +51,7 @@ def test_value_frequencies(spark):
 def test_benjamini_hochberg(spark):
     p = [0.01, 0.04, 0.03, 0.005, 0.8, None, 0.03]
     df = spark.createDataFrame(list(enumerate(p)), "i int, p double")
-    got = {r["i"]: r["q"] for r in ordering.bh(df, buckets=3).collect()}
+    got = {r["i"]: r["q"] for r in ordering.bh(df, bucket_rows=2).collect()}
     vals = sorted(x for x in p if x is not None)
     for i, x in enumerate(p):
         want = None if x is None else min(min(v * len(vals) / (k + 1) for k, v in enumerate(vals) if v >= x), 1.0)
@@ -252,3 +252,74 @@ def test_pass_list_in_rounds_equals_brute_force(spark, save):
     out = identity.identity_pass(*frames, 0.5, save)
     assert {r["sample_id"]: r["reason"] for r in out.collect()} == want and all(r["kept"] == (not r["reason"]) for r in out.collect())
     assert "InPandas" not in out._jdf.queryExecution().toString()
+
+
+def test_ranks_and_q_values_over_several_buckets(spark, save):
+    rng = np.random.default_rng(5)
+    rows = [(i, "ab"[int(rng.integers(2))], float(rng.integers(0, 60)) / 7, float(rng.integers(1, 50)) / 50) for i in range(400)] + [(900, "a", None, None), (901, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "i long, g string, v double, p double")
+    got = {r["i"]: (r["mean_rank"], r["group_size"]) for r in ordering.mean_rank(df, "g", "v", save, bucket_rows=7).collect()}
+    for i, g, v, _ in rows:
+        own = [x for _, h, x, _ in rows if h == g and x is not None]
+        want = (None, None) if v is None or g is None else (sum(x < v for x in own) + (sum(x == v for x in own) + 1) / 2, len(own))
+        assert got[i] == want
+    q = {r["i"]: r["q"] for r in ordering.bh(df, save=save, bucket_rows=7).collect()}
+    known = sorted(p for *_, p in rows if p is not None)
+    for i, *_, p in rows:
+        assert q[i] == (None if p is None else pytest.approx(min(1.0, *(x * len(known) / sum(y <= x for y in known) for x in known if x >= p))))
+
+
+def test_hot_keys_are_dealt_over_tasks(spark):
+    rows = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 7), (None, 8)], "k long, v long")
+    ones = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k long, w string")
+    joined = skew.join_one(rows, ones, ["k"], rows.groupBy("k").agg(F.count("*").alias("n")), rows.count(), hot_rows=5)
+    assert sorted(tuple(r) for r in joined.collect()) == sorted([(1, i, "x") for i in range(50)] + [(2, 7, "y")])
+    both = skew.pairs_within(rows, "k", "v", [], part_rows=4)
+    assert sorted((r["v_a"], r["v_b"]) for r in both.collect()) == [(a, b) for a in range(50) for b in range(a + 1, 50)]
+
+
+def test_normal_quantile_equals_the_standard_library(spark):
+    from statistics import NormalDist
+
+    p = [1e-300, 1e-12, 1e-5, 0.02, 0.0749, 0.0751, 0.3, 0.5, 0.77, 0.925, 0.99, 1 - 1e-9]
+    rows = spark.createDataFrame([(x,) for x in [*p, 0.0, 1.0, None]], "p double").select("p", X.normal_quantile(F.col("p")).alias("z")).collect()
+    assert all(r["z"] == pytest.approx(NormalDist().inv_cdf(r["p"]), rel=1e-12, abs=1e-12) for r in rows[: len(p)])
+    assert [r["z"] for r in rows[len(p) :]] == [None] * 3
+
+
+def test_log_factorials(spark):
+    n = [0, 1, 5, 19, 20, 21, 500, 10**6]
+    got = spark.createDataFrame([(x,) for x in n], "n long").select(X.log_factorial(F.col("n"))).collect()
+    assert [r[0] for r in got] == [pytest.approx(math.lgamma(x + 1), rel=1e-13, abs=1e-12) for x in n]
+
+
+def test_far_pairs_are_far_and_as_many_as_there_are(spark, save):
+    islands = spark.createDataFrame([(1, "c", 1000, 1010), (2, "c", 100, 2830), (3, "d", 0, 5), (4, "e", 0, 5)], "island long, chrom string, a_start long, a_end long")
+    variants = spark.createDataFrame([(i, "c", i * 10) for i in range(300)] + [(900, "d", 7), (901, "d", 200)], "variant long, chrom string, pos long")
+    got = ranges.far_pairs(islands, variants, 100, 7, 3, "island", "variant", save).collect()
+    by = {i: [r for r in got if r["island"] == i] for i in (1, 2, 3, 4)}
+    assert len({r["variant"] for r in by[1]}) == 7 and [r["variant"] for r in by[3]] == [901] and not by[4]
+    for r in by[1] + by[2] + by[3]:
+        assert max(r["a_start"] - r["pos"], r["pos"] - r["a_end"] + 1) >= 100
+    far = [v for v in range(300) if max(100 - v * 10, v * 10 - 2830 + 1) >= 100]
+    assert sorted(r["variant"] for r in by[2]) == far[:7]
+
+
+def test_sparse_correlations_equal_the_long_form(spark):
+    rng = np.random.default_rng(8)
+    values = [(i, m, float(rng.normal())) for i in range(3) for m in range(20) if (i + m) % 5]
+    doses = [(v, m, int(rng.integers(1, 3))) for v in range(4) for m in range(v * 5, 20) if rng.random() < 0.5]
+    pairs = spark.createDataFrame([(i, v) for i in range(3) for v in range(5)], "island long, variant long")
+    y = spark.createDataFrame(values, "island long, sample_id long, y double")
+    x = spark.createDataFrame(doses, "variant long, sample_id long, x int")
+    long = pairs.join(y, "island").join(x, ["variant", "sample_id"], "left").withColumn("x", F.coalesce("x", F.lit(0)))
+    key = lambda rows: {(r["island"], r["variant"]): [r[c] for c in ("n", "df", "r", "t", "slope")] for r in rows}
+    got, want = key(qtl.sparse_correlations(pairs, y, x).collect()), key(qtl.correlations(long, ["island", "variant"]).collect())
+    assert got.keys() == want.keys() and got[0, 4][2:] == [None] * 3
+    assert all(a == (None if b is None else pytest.approx(b)) for k in want for a, b in zip(got[k], want[k]))
+
+
+def test_path_tags_beyond_a_thousand(spark, tmp_path):
+    row = ["q", "9", "0", "9", "+", "t", "9", "0", "9", "9", "9", "60"]
+    (tmp_path / "a.paf").write_text("\t".join(row + ["xx:i:1"] * 1200 + ["tp:A:S"]) + "\n" + "\t".join(row + ["tp:A:P"]) + "\n")
+    assert text.read_paf(spark, str(tmp_path / "a.paf")).count() == 1
