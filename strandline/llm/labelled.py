@@ -6,21 +6,37 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_chunks, fold, small_batches
 
-#: Labelled documents a model is fitted on, per class, and the longest text among them in bytes: bounds the driver's memory.
+#: Labelled documents a model is fitted on, per class, and bytes of their texts, per class: bounds the driver's memory.
 SAMPLE_PER_CLASS = 2000
-SAMPLE_BYTES = 1 << 16
+SAMPLE_BYTES = 1 << 25
 FOLDS = 5
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: list[str], per_class: int = SAMPLE_PER_CLASS) -> tuple[list, dict[int, int]]:
+def rows_within(docs: DataFrame, picked: DataFrame, columns: list[str], group: str, most_bytes: int) -> list:
+    """Rows (*columns, group) of docs for picked (doc_id, group; a bounded table), with whole texts, in order of their id's hash
+    until a group's texts have most_bytes.
+
+    One row stands for a repeated id: that with the smallest hash.  Sizes are looked at before any text is gathered.
+    """
+    rows = docs.join(F.broadcast(picked.withColumnRenamed(group, "__group")), "doc_id").withColumn("__h", F.xxhash64(*columns))
+    sizes = rows.groupBy("doc_id", "__group").agg(F.min_by(F.coalesce(F.octet_length("text"), F.lit(0)), "__h").alias("bytes"), F.min("__h").alias("__h"))
+    until = Window.partitionBy("__group").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = sizes.withColumn("before", F.coalesce(F.sum("bytes").over(until), F.lit(0))).where(F.col("before") + F.col("bytes") <= most_bytes)
+    chosen = F.broadcast(chosen.select("doc_id", "__group", "__h"))
+    got = rows.join(chosen, ["doc_id", "__group", "__h"]).select("doc_id", "__h", *columns, "__group").dropDuplicates(["doc_id", "__h", "__group"]).collect()
+    return [tuple(r)[2:] for r in sorted(got, key=lambda r: (r["doc_id"], r["__h"], str(r["__group"])))]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: list[str], per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> tuple[list, dict[int, int]]:
     """Rows (*columns, label) of a bounded sample of the training fold, and the number of labelled documents per class.
 
-    The sample takes the smallest hashes of the id in each class, so it is the same in every run.  Contradicting repeated
+    The sample takes the smallest hashes of the id in each class, so it is the same in every run: per_class documents and
+    most_bytes of text at most, texts of any length among them (a text that alone passes most_bytes is left out).  Contradicting repeated
     labels of one document count once, by the larger; null labels and labels other than 0 and 1 are left out.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != 0)).groupBy("doc_id").agg(F.max(label).alias("__y"))
@@ -31,10 +47,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: lis
         picked = part if picked is None else picked.unionByName(part)
     if picked is None:
         return [], {}
-    # at most two classes of per_class rows: a few tens of kilobytes
-    rows = docs.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(picked), "doc_id").select("doc_id", *columns, "__y")
-    got = sorted(rows.limit(4 * per_class).collect(), key=lambda r: (r["doc_id"], str(r)))
-    return [tuple(r)[1:] for r in got], counts
+    return rows_within(docs.where("text is not null"), picked, columns, "__y", most_bytes), counts
 
 
 def prior_shift(y: np.ndarray, counts: dict[int, int]) -> float:

@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LETTER_LUT, byte_chunks, fold, small_batches, words_of
+from .labelled import rows_within
 
 BITS = 16
-#: Texts a language model is fitted on, per language, and the longest text among them in bytes.
+#: Texts a language model is fitted on, per language, and bytes of them, per language.
 SAMPLE_PER_LANGUAGE = 600
-SAMPLE_BYTES = 1 << 16
+SAMPLE_BYTES = 1 << 24
 STEPS = 8
 ROWS = 1 << 13
 #: Cost of a language in the set, in units of log(number of words); and its least share.
@@ -120,8 +121,9 @@ def mixtures(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.
     return shares, words
 
 
-def language_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> tuple[list[str], list[str]]:
-    """Texts and languages of the training folds: the smallest hashes of the id in each language."""
+def language_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
+    """Texts and languages of the training folds: the smallest hashes of the id in each language, per_language documents and
+    most_bytes of text at most, texts of any length among them."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "lang", F.xxhash64("doc_id").alias("__h"))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -131,8 +133,9 @@ def language_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) ->
     close = known.where((F.col("__h") / F.lit(2.0**64) + 0.5) < F.element_at(rate, F.col("lang")))
     turn = Window.partitionBy("lang").orderBy("__h", "doc_id")
     picked = close.withColumn("__n", F.row_number().over(turn)).where(F.col("__n") <= per_language).select("doc_id", "lang").distinct()
-    rows = docs.where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
-    got = sorted((r["lang"], r["text"]) for r in rows.limit(2 * per_language * len(counts)).collect())
+    picked = picked.withColumnRenamed("lang", "__lang")
+    got = rows_within(docs.select("doc_id", "text", "lang").where("text is not null"), picked, ["text", "lang"], "__lang", most_bytes)
+    got = sorted((lang, text) for text, lang, own in got if lang == own)
     return [t for _, t in got], [g for g, _ in got]
 
 

@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the hashed byte n-grams (``SIZES``) of the lower-cased text, any run of other characters a single border, each
-counted once per document.  The log ratio of a feature's smoothed document frequencies in toxic and clean labelled
-documents scales it; a logistic regression with an L2 penalty is fitted on the scaled features.
+Features are the hashed byte n-grams (``SIZES``) of the lower-cased text, any run of other characters a single border.  A
+feature's value is 1 + ln of its count in the document, scaled by the log ratio of its smoothed document frequencies in toxic and
+clean labelled documents.  Features whose frequencies differ by fewer than ``LEAST_Z`` standard errors, or that are in fewer than
+``LEAST_DOCS`` labelled documents, say nothing and are left out; a logistic regression with an L2 penalty is fitted on the others.
 
 Defined cases: null and empty texts get the score of a text without features; without labels of both classes every
 score is the share of toxic labels (0 without any); repeated rows are scored alike; columns other than doc_id and text
@@ -16,16 +17,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import LETTER_LUT, byte_chunks
-from .labelled import adam, labelled_sample, prior_shift, score_texts, sigmoid, unique_features
+from .labelled import adam, labelled_sample, prior_shift, score_texts, sigmoid
 
 SIZES = (4, 5, 6)
 BITS = 20
 ROWS = 1 << 11
 THRESHOLD = 0.5
+LEAST_Z = 2.0
+LEAST_DOCS = 5  # these three were chosen on one fold of the training rows (see README)
+PENALTY = 1e-2
 
 
-def ngram_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, hashed n-gram) of a chunk."""
+def ngram_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, hashed n-gram) of a chunk, with 1 + ln of the count."""
     norm = LETTER_LUT[data]
     keep = np.ones(len(norm), bool)
     keep[1:] = (norm[1:] != 0) | (norm[:-1] != 0)  # one border for a run of other characters
@@ -48,11 +52,15 @@ def ngram_features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.n
         docs.append(doc[: len(h)][same])
         feats.append((h >> np.uint32(32 - BITS))[same])
     if not docs:
-        return np.zeros(0, np.uint32), np.zeros(0, np.uint32)
-    return unique_features(np.concatenate(docs), np.concatenate(feats), BITS)
+        return np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.float32)
+    key = np.sort(np.concatenate(docs) << np.uint32(BITS) | np.concatenate(feats))
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    times = np.diff(np.append(first, len(key)))
+    key = key[first]
+    return key >> np.uint32(BITS), key & np.uint32((1 << BITS) - 1), 1 + np.log(times).astype(np.float32)
 
 
-def fit(texts: list[str], y: np.ndarray, counts: dict[int, int], penalty: float = 2e-4, steps: int = 150) -> tuple[np.ndarray, float]:
+def fit(texts: list[str], y: np.ndarray, counts: dict[int, int], penalty: float = PENALTY, steps: int = 100) -> tuple[np.ndarray, float]:
     """Weights of the hashed n-grams and the intercept."""
     size = 1 << BITS
     if not len(y) or y.min() == y.max():
@@ -61,24 +69,28 @@ def fit(texts: list[str], y: np.ndarray, counts: dict[int, int], penalty: float
     column = pa.array(texts, pa.large_string())
     toxic, clean = np.ones(size, np.int32), np.ones(size, np.int32)
     for lo, _, data, offs in byte_chunks(column, rows=ROWS):
-        doc, feat = ngram_features(data, offs)
+        doc, feat, _ = ngram_features(data, offs)
         bad = y[doc.astype(np.int64) + lo] == 1
         toxic += np.bincount(feat[bad], minlength=size).astype(np.int32)
         clean += np.bincount(feat[~bad], minlength=size).astype(np.int32)
     ratio = np.log((toxic / (y.sum() + 2)) / (clean / ((1 - y).sum() + 2))).astype(np.float32)
-    useful = (np.abs(ratio) >= 0.4) & (toxic + clean >= 5)
-    docs, feats = [], []  # the second pass keeps useful features only, so the driver holds little
+    both = toxic + clean - 1
+    share = np.minimum(both / len(y), 1 - 1e-9)
+    error = np.sqrt(share * (1 - share) * (1 / y.sum() + 1 / (1 - y).sum()))
+    useful = (np.abs(toxic / (y.sum() + 2) - clean / ((1 - y).sum() + 2)) >= LEAST_Z * error) & (both > LEAST_DOCS)
+    docs, feats, values = [], [], []  # the second pass keeps useful features only, so the driver holds little
     for lo, _, data, offs in byte_chunks(column, rows=ROWS):
-        doc, feat = ngram_features(data, offs)
+        doc, feat, value = ngram_features(data, offs)
         keep = useful[feat]
         docs.append(doc[keep].astype(np.int32) + lo)
         feats.append(feat[keep])
+        values.append(value[keep])
     cols = np.flatnonzero(useful)
     place = np.zeros(size, np.int32)
     place[cols] = np.arange(len(cols))
     doc, feat = np.concatenate(docs), place[np.concatenate(feats)]
-    del docs, feats
-    x = ratio[cols][feat]
+    x = ratio[cols][feat] * np.concatenate(values)
+    del docs, feats, values
     w, b = np.zeros(len(cols)), np.zeros(1)
 
     def gradient(params, _):
@@ -95,8 +107,8 @@ def fit(texts: list[str], y: np.ndarray, counts: dict[int, int], penalty: float
 
 def scorer(weights: np.ndarray, bias: float):
     def score(data, offs, _):
-        doc, feat = ngram_features(data, offs)
-        return sigmoid(np.bincount(doc, weights[feat], len(offs) - 1) + bias)
+        doc, feat, value = ngram_features(data, offs)
+        return sigmoid(np.bincount(doc, weights[feat] * value, len(offs) - 1) + bias)
 
     return score
 
