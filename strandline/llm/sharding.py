@@ -4,7 +4,8 @@ Records are hashed by their id into ``slots`` virtual slots, a number that never
 per slot (a table of at most ``slots`` rows), and a versioned map says which shard holds which slot.  Growing, shrinking
 or rebalancing edits the map: whole slots move, records are never hashed again.
 
-Law ``bytes``: the first map gives slots to shards from the largest down, each to the lightest shard so far, so the
+Law ``bytes``: a map that starts out even (version 1: equal runs of slots) is rebalanced by the slots' bytes, as any later map
+is: overfull shards give slots away, the lightest shards take them, and the edited map is stored as the next version, so the
 shards' bytes come out near equal.  A place inside a shard is the rows of the shard's earlier slots plus the place inside
 the slot, so no task ever sorts a whole shard.
 
@@ -34,41 +35,39 @@ class SlotMap:
     shard_of: tuple[int, ...]
 
     @classmethod
-    def balanced(cls, weight: dict[int, int], shards: int, slots: int = SLOTS) -> SlotMap:
-        """The first map: heaviest slot first, each to the lightest shard."""
-        heap, out = [(0, 0, s) for s in range(shards)], [0] * slots
-        for slot in sorted(range(slots), key=lambda s: (-weight.get(s, 0), s)):
-            load, n, shard = heap[0]
-            out[slot] = shard
-            heapq.heapreplace(heap, (load + weight.get(slot, 0), n + 1, shard))
-        return cls(1, shards, tuple(out))
-
-    def rebalanced(self, weight: dict[int, int], shards: int, tolerance: float = 0.01) -> SlotMap:
+    def even(cls, shards: int, slots: int = SLOTS) -> SlotMap:
+        """A map before any data: consecutive runs of slots of equal number."""
+        return cls(1, shards, tuple(slot * shards // slots for slot in range(slots)))
+
+    def rebalanced(self, weight: dict[int, int], shards: int, tolerance: float = 0.002) -> SlotMap:
         """The next version for new weights or another number of shards, moving few slots.
 
         Slots of closed shards are free; a shard above the mean gives its heaviest slots that leave it within the tolerance
-        of the mean; free slots go to the lightest shards, heaviest first.
+        of the mean; free slots go to the lightest shards, heaviest first.  A slot may overfill its new shard, so this is
+        repeated as long as the fullest shard gets lighter.
         """
-        load, own, free = [0] * shards, [[] for _ in range(shards)], []
-        for slot, shard in enumerate(self.shard_of):
-            if shard < shards:
-                own[shard].append(slot)
-                load[shard] += weight.get(slot, 0)
-            else:
-                free.append(slot)
-        least = sum(weight.values()) / shards * (1 - tolerance)
-        for shard in range(shards):
-            for slot in sorted(own[shard], key=lambda s: (-weight.get(s, 0), s)):
-                if load[shard] - weight.get(slot, 0) >= least and weight.get(slot, 0):
-                    free.append(slot)
-                    load[shard] -= weight.get(slot, 0)
-        out, heap = list(self.shard_of), [(x, s) for s, x in enumerate(load)]
-        heapq.heapify(heap)
-        for slot in sorted(free, key=lambda s: (-weight.get(s, 0), s)):
-            x, shard = heap[0]
-            out[slot] = shard
-            heapq.heapreplace(heap, (x + weight.get(slot, 0), shard))
-        return SlotMap(self.version + 1, shards, tuple(out))
+        of = lambda slot: weight.get(slot, 0)
+        out, mean = list(self.shard_of), sum(weight.values()) / shards
+        free, best, kept = [slot for slot, shard in enumerate(out) if shard >= shards], None, out
+        while True:
+            load, own = [0] * shards, [[] for _ in range(shards)]
+            for slot in set(range(len(out))).difference(free):
+                own[out[slot]].append(slot)
+                load[out[slot]] += of(slot)
+            for shard in range(shards):
+                for slot in sorted(own[shard], key=lambda s: (-of(s), s)):
+                    if of(slot) and load[shard] - of(slot) >= mean * (1 - tolerance):
+                        free.append(slot)
+                        load[shard] -= of(slot)
+            heap = [(x, s) for s, x in enumerate(load)]
+            heapq.heapify(heap)
+            for slot in sorted(free, key=lambda s: (-of(s), s)):
+                x, out[slot] = heap[0]
+                heapq.heapreplace(heap, (x + of(slot), out[slot]))
+            fullest = max(x for x, _ in heap)
+            if best is not None and fullest >= best:
+                return SlotMap(self.version + 1, shards, tuple(kept))
+            best, kept, free = fullest, list(out), []
 
     def moved(self, other: SlotMap) -> int:
         return sum(a != b for a, b in zip(self.shard_of, other.shard_of))
@@ -95,6 +94,17 @@ def looked_up(values, index: Column) -> Column:
     return F.element_at(constant, (index + 1).cast("int"))
 
 
+def newest_map(spark: SparkSession, path: str | None, shards: int, slots: int) -> SlotMap:
+    """The newest version of the map table; an even map, stored as its first version, where there is none."""
+    folder = path and spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder and folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return SlotMap.load(spark, path)
+    first = SlotMap.even(shards, slots)
+    if path:
+        first.save(spark, path)
+    return first
+
+
 def slot_of(key: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(slots))
 
@@ -116,13 +126,19 @@ def sized(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS, held: SlotMap | None = None, map_path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot (place in the shard), grown_shard, virtual_slot, map_version.
 
-    held: an earlier map to keep (its number of shards then counts); map_path: where the map table is kept.
+    held: a map to keep as it is.  map_path: where the map table is kept, every version of it; without one it starts with an
+    even map.  The newest version there is rebalanced by the slots' bytes (and to the number of shards), and if slots move, the
+    edited map is stored as the next version.
     """
     stats = {r["virtual_slot"]: (r["rows"], r["bytes"]) for r in slot_statistics(sized(docs, slots)).collect()}  # at most `slots` rows
-    held = held or SlotMap.balanced({k: v[1] for k, v in stats.items()}, shards, slots)
-    if map_path:
-        held.save(docs.sparkSession, map_path)
-        held = SlotMap.load(docs.sparkSession, map_path, held.version)
+    if held is None:
+        held = newest_map(docs.sparkSession, map_path, shards, slots)
+        edited = held.rebalanced({k: v[1] for k, v in stats.items()}, shards)
+        if edited.shards != held.shards or edited.moved(held):
+            held = edited
+            if map_path:
+                held.save(docs.sparkSession, map_path)
+                held = SlotMap.load(docs.sparkSession, map_path)
     before, filled = [0] * slots, [0] * held.shards
     for slot, shard in enumerate(held.shard_of):
         before[slot] = filled[shard]
