@@ -5,9 +5,10 @@ A window is ``window`` consecutive words of an item (a shorter item that has wor
 match is mapped to the words it covers and to the byte offsets of the original text.
 
 Defined cases: a null or empty text has no words and no hits; an empty benchmark hits nothing; repeated items count by
-their distinct item_id; null item_ids are left out of the id list but their windows hit.  The automaton holds at most
-``MAX_WINDOWS`` windows; a larger benchmark is cut into several automata (each text is then scanned once per automaton and
-the hits are united), so nothing is dropped.
+their distinct item_id; null item_ids are left out of the id list but their windows hit.  The automaton holds the windows of
+``GROUP_WORDS`` benchmark words; Spark cuts a larger benchmark into segments (with an overlap, so every window is whole in one)
+and deals these into groups.  Only one group at a time is on the driver; each is broadcast and scanned over the documents in turn,
+and the hits are united, so nothing is dropped.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_LUT, small_batches
+from .common import WORD_LUT, materialise, small_batches
 
 WINDOW = 13
-#: Windows per automaton (about 60 nodes each): some 150 MB a worker at most.
-MAX_WINDOWS = 40_000
-#: Bytes of benchmark text per automaton, checked before it is sent to the executors.
-MAX_BYTES = 8 << 20
+#: Benchmark words of one automaton (some 150 MB a worker at most), and of one segment of an item.
+GROUP_WORDS = 40_000
+SEGMENT_WORDS = 4_000
+#: Groups that are scanned in one pass over the documents, each by Python workers of its own.
+CHAIN = 4
+WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 _TABLE = bytes(int(b) or 32 for b in WORD_LUT)
 _built: dict[str, object] = {}
@@ -98,18 +101,21 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _groups(benchmark: DataFrame, window: int) -> list[list]:
-    """Benchmark items in groups that fit one automaton; the whole is streamed, only one group is held besides the result."""
-    rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    out, held, size = [[]], 0, 0
-    for item, text in rows.orderBy("item_id", "text").toLocalIterator():
-        n = len(windows_of(text, window))
-        if out[-1] and (held + n > MAX_WINDOWS or size + len(text) > MAX_BYTES):
-            out.append([])
-            held = size = 0
-        out[-1].append((item, text))
-        held, size = held + n, size + len(text)
-    return out
+def segments(benchmark: DataFrame, window: int = WINDOW, length: int | None = None) -> DataFrame:
+    """item_id, text (normalised words), n_words of overlapping segments: each window of an item is whole in one of them."""
+    length = max(window, length or SEGMENT_WORDS)
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = benchmark.select("item_id", F.regexp_extract_all(low, F.lit(WORDS), F.lit(0)).alias("w")).where(F.size("w") > 0).distinct()
+    at = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - window + 1), F.lit(length - window + 1)))
+    cut = words.select("item_id", "w", at.alias("at")).select("item_id", F.expr(f"slice(w, at, {length})").alias("w"))
+    return cut.select("item_id", F.array_join("w", " ").alias("text"), F.size("w").alias("n_words"))
+
+
+def grouped(parts: DataFrame) -> tuple[DataFrame, int]:
+    """Segments with the number of their group, and the number of groups: at most about GROUP_WORDS words each."""
+    total = parts.agg(F.sum("n_words")).first()[0] or 0
+    n = max(1, -(-int(total) * 3 // (GROUP_WORDS * 2))) if total > GROUP_WORDS else 1
+    return parts.withColumn("group", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), n
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
@@ -121,37 +127,57 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int, keep: str) -> DataFrame:
-    """docs with __n_words, __words (hit word ranges), __items and __spans (byte ranges) for each row."""
-    groups = _groups(benchmark, window)
+    """docs with __n_words, __n_hit (words), __items and __spans (byte ranges) for each row."""
     names = [c for c in docs.columns if c != "text" or keep == "*"]
-    rows = docs if keep == "*" else docs.select(*dict.fromkeys([*names, "text"]))
-    types = dict(small_batches(rows).dtypes)
-    shape = ", ".join(f"`{n}` {types[n]}" for n in names) + ", __n_words long, __n_hit long, __items array<string>, __spans array<struct<a:long,b:long>>"
+    rows = small_batches(docs if keep == "*" else docs.select(*dict.fromkeys([*names, "text"])))
+    types, carried = dict(rows.dtypes), list(rows.columns)
     places = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-
-    def run(batches):
-        # one automaton in the usual case; beyond its bound each group scans the batch in turn
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            total = [[0, [], set()] for _ in texts]
-            for group in groups:
-                found = automaton(group, window)
-                for got, t in zip(total, texts):
-                    got[0], spans, items = scan(t, found)
-                    got[1] += spans
-                    got[2] |= items
-            runs = [merged(x[1]) for x in total]
-            where = [[{"a": o[a][0], "b": o[b - 1][1]} for a, b in r] if r and (o := word_offsets(t)) else [] for r, t in zip(runs, texts)]
-            added = [
-                pa.array([x[0] for x in total], pa.int64()),
-                pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()),
-                pa.array([sorted(str(i) for i in x[2] if i is not None) for x in total], pa.list_(pa.string())),
-                pa.array(where, places),
-            ]
-            kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*kept, *added], [*names, "__n_words", "__n_hit", "__items", "__spans"])
-
-    return rows.mapInArrow(run, shape)
+    parts, n = grouped(segments(benchmark, window))
+    parts = materialise(parts, "segments") if n > 1 else parts
+    context = docs.sparkSession.sparkContext
+
+    def of(batch: pa.RecordBatch, name: str) -> pa.Array:
+        return batch.column(batch.schema.get_field_index(name))
+
+    def scanner(model, first: bool, last: bool):
+        """One pass of one group: adds its hit word ranges (flat: from, to, ...) and items to those of the groups before."""
+
+        def run(batches):
+            automaton_ = automaton(model.value, window)
+            for batch in batches:
+                texts = of(batch, "text").to_pylist()
+                words, items, size = [], [], []
+                for t in texts:
+                    n_words, spans, own = scan(t, automaton_)
+                    size.append(n_words)
+                    words.append([x for s in merged(spans) for x in s])
+                    items.append({str(x) for x in own if x is not None})
+                if not first:
+                    for got, old in zip(words, of(batch, "__words").to_pylist()):
+                        got.extend(old)
+                    for got, old in zip(items, of(batch, "__items").to_pylist()):
+                        got.update(old)
+                held = [pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+                if not last:
+                    kept = [of(batch, c) for c in carried]
+                    yield pa.RecordBatch.from_arrays([*kept, pa.array(words, pa.list_(pa.int64())), *held], [*carried, "__words", "__items"])
+                    continue
+                runs = [merged(list(zip(w[::2], w[1::2]))) for w in words]
+                where = [[{"a": o[a][0], "b": o[b - 1][1]} for a, b in r] if r and (o := word_offsets(t)) else [] for r, t in zip(runs, texts)]
+                added = [pa.array(size, pa.int64()), pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()), *held, pa.array(where, places)]
+                yield pa.RecordBatch.from_arrays([*[of(batch, c) for c in names], *added], [*names, "__n_words", "__n_hit", "__items", "__spans"])
+
+        return run
+
+    between = ", ".join(f"`{c}` {types[c]}" for c in carried) + ", __words array<long>, __items array<string>"
+    final = ", ".join(f"`{c}` {types[c]}" for c in names) + ", __n_words long, __n_hit long, __items array<string>, __spans array<struct<a:long,b:long>>"
+    for g in range(n):
+        own = parts.where(F.col("group") == g).select("item_id", "text").collect()  # about GROUP_WORDS words
+        model = context.broadcast(sorted(((r["item_id"], r["text"]) for r in own), key=str))
+        rows = rows.mapInArrow(scanner(model, g == 0, g == n - 1), final if g == n - 1 else between)
+        if g % CHAIN == CHAIN - 1 and g < n - 1:
+            rows = materialise(rows, "scanned")
+    return rows
 
 
 def judged(found: DataFrame, share: int) -> DataFrame:
