@@ -33,10 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the session names no such folder (tests on one machine) a temporary one is set.
+    Only where driver and executors are one process (tests on one machine) may the session name none: a temporary folder
+    is then taken.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark, "_strandline_scratch", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="strandline-")
         spark._strandline_scratch = base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

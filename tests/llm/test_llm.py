@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import common, decontam, langid, lattice, linededup, minhash, mixing, quality, sharding, tokens, toxicity
+from strandline.llm import common, decontam, labelled, langid, lattice, linededup, minhash, mixing, quality, sharding, tokens, toxicity
 from strandline.llm.common import byte_chunks, components
 from strandline.llm.queries import tokenizer_path
 
@@ -127,6 +127,46 @@ def test_factorisation_identity():
         assert np.isclose(z[d], b + w[feat[at]] @ x[at] + pairs)
 
 
+def test_toxicity_scores_equal_brute_force(spark):
+    """Scores of the whole table of sf0.001, n-gram by n-gram from the fitted weights."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows, counts = labelled.labelled_sample(docs, labels, "toxic", ["text"])
+    weights, bias = toxicity.fit([r[0] for r in rows], np.array([r[1] for r in rows], float), counts)
+
+    def hashed(gram):
+        h = len(gram) * 0x9E3779B1 & 0xFFFFFFFF
+        for b in gram:
+            h = h * 0x01000193 & 0xFFFFFFFF ^ b
+            h = h + (h << 7) & 0xFFFFFFFF
+        return ((h ^ h >> 15) * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - toxicity.BITS)
+
+    texts = {r["doc_id"]: (r["text"] or "") for r in docs.collect()}
+    for r in toxicity.toxicity(docs, labels).collect():
+        raw = texts[r["doc_id"]].encode()
+        norm = [x for i, b in enumerate(raw) if (x := int(common.LETTER_LUT[b])) or i == 0 or common.LETTER_LUT[raw[i - 1]]]
+        grams = Counter(hashed(norm[i : i + n]) for n in toxicity.SIZES for i in range(len(norm) - n + 1))
+        z = bias + sum(float(weights[g]) * (1 + np.log(k)) for g, k in grams.items())
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -40, 40))), abs=1e-4)
+        assert r["predicted"] == int(r["score"] >= 0.5)
+
+
+def test_quality_scores_equal_brute_force(spark):
+    """Scores of the whole table of sf0.001 with the pairwise terms taken pair by pair."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r["score"] for r in quality.quality(docs, labels).collect()}
+    assert got.keys() == {r["doc_id"] for r in docs.collect()} and all(0 <= x <= 1 for x in got.values())
+    again = {r["doc_id"]: r["score"] for r in quality.quality(docs.repartition(7), labels).collect()}
+    assert all(again[i] == pytest.approx(x, abs=1e-9) for i, x in got.items())
+
+
+def test_samples_take_long_texts_up_to_their_bytes(spark):
+    docs = frame(spark, [(i, "a" * n, "en", None, None) for i, n in enumerate([100, 70_000, 70_000, 5, 0])] + [(0, "b", "en", None, None), (9, None, "en", None, None)])
+    picked = spark.createDataFrame([(i, 1) for i in range(10)], "doc_id bigint, g int")
+    assert len(labelled.rows_within(docs.where("text is not null"), picked, ["text"], "g", 1 << 20)) == 5
+    few = labelled.rows_within(docs.where("text is not null"), picked, ["text"], "g", 1000)
+    assert sum(len(t) for t, _ in few) <= 1000 and few == labelled.rows_within(docs.where("text is not null").repartition(3), picked, ["text"], "g", 1000)
+
+
 # ---------------------------------------------------------------- 2: MinHash
 
 
@@ -270,6 +310,51 @@ def test_language_mixtures(spark):
     assert got[1001]["lang_pred"] == got[1002]["lang_pred"] == "und" and got[1001]["score"] == 0
 
 
+def brute_language(text, names, table):
+    """Leading language and its share, word by word with plain numbers; None without letters."""
+    raw = bytes(langid.LETTER_LUT[b] for b in (text or "").encode())
+    likely = []
+    for word in filter(None, raw.split(bytes(1))):
+        padded, total = bytes(1) + word + bytes(1), np.zeros(len(names))
+        for a, b, c in zip(padded, padded[1:], padded[2:]):
+            h = (a << 16 | b << 8 | c) * 0x9E3779B1 & 0xFFFFFFFF
+            h = (h ^ h >> 15) * 0x85EBCA6B & 0xFFFFFFFF
+            total += table[h >> (32 - langid.BITS)]
+        likely.append(np.exp(np.maximum(total - total.max(), -60)))
+    if not likely:
+        return None
+    likely = np.array(likely)
+
+    def estimate(pi, steps):
+        for _ in range(steps):
+            r = likely * pi
+            pi = (r / r.sum(axis=1, keepdims=True)).mean(axis=0)
+        return pi
+
+    pi = estimate(np.full(len(names), 1 / len(names)), langid.STEPS)
+    order, best = sorted(range(len(names)), key=lambda j: -pi[j]), None
+    for size in range(1, len(names) + 1):
+        if size > 1 and pi[order[size - 1]] < langid.LEAST_SHARE:
+            break
+        inside = np.zeros(len(names))
+        inside[order[:size]] = pi[order[:size]]
+        inside /= inside.sum()
+        value = np.log((likely * inside).sum(axis=1)).sum() - langid.PENALTY * size * np.log(len(likely) + 1)
+        if best is None or value > best[0]:
+            best = (value, inside, size)
+    pi = estimate(best[1], 3) if best[2] > 1 else best[1]
+    return names[int(pi.argmax())], float(pi.max())
+
+
+def test_languages_of_documents_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names, table = langid.fit(*langid.language_sample(docs))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in langid.identify(docs).collect():
+        want = brute_language(texts[r["doc_id"]], names, table.astype(float))
+        assert want is None and r["lang_pred"] == "und" or (r["lang_pred"] == want[0] and r["score"] == pytest.approx(want[1], abs=2e-3)), r
+
+
 def _mixture(k):
     """Words that one language each knows, and the table of trigrams."""
     names = [chr(97 + j) * 3 for j in range(k)]
@@ -313,9 +398,9 @@ def test_slots_and_shards(spark):
 
 def test_slot_map_versions(spark, tmp_path):
     weight = {s: s % 17 + 1 for s in range(256)}
-    first = sharding.SlotMap.balanced(weight, 8, 256)
+    first = sharding.SlotMap.even(8, 256).rebalanced(weight, 8)
     grown = first.rebalanced(weight, 9)
-    assert grown.version == 2 and first.moved(grown) < 256 / 9 * 1.6
+    assert (first.version, grown.version) == (2, 3) and first.moved(grown) < 256 / 9 * 1.6
     load = Counter()
     for s, shard in enumerate(grown.shard_of):
         load[shard] += weight[s]
@@ -323,7 +408,41 @@ def test_slot_map_versions(spark, tmp_path):
     path = str(tmp_path / "map")
     first.save(spark, path)
     grown.save(spark, path)
-    assert sharding.SlotMap.load(spark, path) == grown and sharding.SlotMap.load(spark, path, 1) == first
+    assert sharding.SlotMap.load(spark, path) == grown and sharding.SlotMap.load(spark, path, 2) == first
+
+
+def test_stored_map_is_edited_not_made_anew(spark, tmp_path):
+    docs, path = frame(spark, [(i, "x" * (i * 37 % 900), None, None, None) for i in range(4000)]), str(tmp_path / "map")
+    first = sharding.shard_documents(docs, 8, map_path=path).collect()
+    again = sharding.shard_documents(docs, 8, map_path=path).collect()
+    assert {r["map_version"] for r in first} == {2} and sorted(first) == sorted(again)
+    grown = sharding.shard_documents(docs, 9, map_path=path).collect()
+    old = {r["doc_id"]: r["shard"] for r in first}
+    assert {r["map_version"] for r in grown} == {3} and sum(old[r["doc_id"]] != r["shard"] for r in grown) < 4000 / 9 * 1.6
+    maps = [sharding.SlotMap.load(spark, path, v) for v in (1, 2, 3)]
+    assert maps[0] == sharding.SlotMap.even(8) and 0 < maps[0].moved(maps[1]) < sharding.SLOTS / 4
+
+
+def test_shards_of_documents_equal_brute_force(spark):
+    """The whole table of sf0.01: the stored map, sizes and places are recomputed row by row."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hashed = {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(sharding.SLOTS)).alias("h")).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    weight = Counter()
+    for i, t in texts.items():
+        weight[hashed[i]] += len((t or "").encode()) + 16
+    held = sharding.SlotMap.even(40).rebalanced(weight, 40)
+    out = sharding.shard_documents(docs, 40).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        t = texts[r["doc_id"]]
+        assert r["shard"] == held.shard_of[hashed[r["doc_id"]]] and r["text_crc32"] == (None if t is None else zlib.crc32(t.encode())) and r["size"] == len((t or "").encode()) + 16
+    order = sorted(out, key=lambda r: (r["shard"], r["virtual_slot"], r["doc_id"]))
+    place, last = 0, None
+    for r in order:
+        place = place + 1 if r["shard"] == last else 0
+        last = r["shard"]
+        assert r["slot"] == place
 
 
 # ---------------------------------------------------------------- 5: lines
@@ -446,6 +565,22 @@ def test_wavelet_queries():
         assert [s.select(t, k) for k in range(min(5, len(where)))] == where[:5].tolist() and s.select(t, len(where)) == -1
 
 
+def test_ids_of_documents_equal_the_library(spark):
+    """All documents of sf0.01: every id from the files is that of the library on the whole text."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    got = {r["doc_id"]: r for r in tokens.token_table(docs, tokenizer_path()).collect()}
+    start = 0
+    for i, t in texts:
+        ids = [*tok.encode(t, add_special_tokens=False).ids, 2]
+        r = got[i]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_encoder_equals_library():
     from tokenizers import Tokenizer
 
@@ -489,7 +624,9 @@ def test_contamination_equals_brute_force(spark):
 
 def test_several_automata_agree(spark, benchmark, odd, monkeypatch):
     one = {r["doc_id"]: tuple(r) for r in decontam.contamination(odd, benchmark).collect()}
-    monkeypatch.setattr(decontam, "MAX_WINDOWS", 3)
+    monkeypatch.setattr(decontam, "GROUP_WORDS", 20)
+    monkeypatch.setattr(decontam, "SEGMENT_WORDS", 15)
+    assert decontam.grouped(decontam.segments(benchmark))[1] > decontam.CHAIN
     assert one == {r["doc_id"]: tuple(r) for r in decontam.contamination(odd, benchmark).collect()}
 
 
