@@ -1,15 +1,16 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Each source's documents are hashed into ``BLOCKS`` blocks; a seeded hash puts the blocks of a source in a random order.
-A source's target in words becomes block draws: whole passes over all its blocks, then blocks of one more pass until the
-target is met.  The last block is entered document by document; a document is taken if at least half of it is still due.
-A tree then splits the draws among the output shards: each node gives its left half an exact number of draws, shared among
-the sources by a multivariate-hypergeometric draw, so every shard's quotas are whole numbers that add up.  A source's
-shards take consecutive runs of its permuted draws - disjoint by construction - and rows are ordered inside each shard by a
-seeded hash.  All random numbers come from the seed, so reruns agree.
-
-Only per-source totals (``MAX_SOURCES`` at most, checked) and block draws per source reach the driver; documents stay in
-Spark, and a source with a third of all rows is spread over its blocks.
+Each source's documents are hashed into blocks of about ``BLOCK_ROWS`` documents; a seeded hash puts the blocks of a source in
+a random order.  A source's target in words becomes block draws: whole passes over all its blocks, then blocks of one more
+pass until the target is met.  The last block is entered document by document; a document is taken if at least half of it is
+still due.  A tree then splits the draws among the output shards: each node gives its left half an exact number of draws,
+shared among the sources by a multivariate-hypergeometric draw, so every shard's quotas are whole numbers that add up.  A
+source's shards take consecutive runs of its permuted draws - disjoint by construction - and rows are ordered inside each
+shard by a seeded hash.  All random numbers come from the seed, so reruns agree.
+
+Blocks grow in number with a source's rows and shards with all words, so neither grows in size.  Sources, blocks and draws are
+tables; sums of two numbers per round reach the driver while targets are levelled.  Trees are drawn inside tasks, each for
+``TREE_SOURCES`` sources at most (the shards' totals are then at most one apart per tree and level).
 
 Defined cases: a null or blank text has size 0 and nothing is taken; a null source is a source of its own, sorted last;
 repeated rows are separate documents; an empty table gives an empty mix; a source without words has target 0.
@@ -18,6 +19,7 @@ repeated rows are separate documents; an empty table gives an empty mix; a sourc
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,66 +27,92 @@ from .common import materialise
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
-BLOCKS = 1024
-SHARDS = 64
-MAX_SOURCES = 50_000
-#: Rows of the block table that may be broadcast.
-BROADCAST_BLOCKS = 200_000
+#: Documents of a block, and the least number of blocks that a source is hashed into.
+BLOCK_ROWS = 2_000
+LEAST_BLOCKS = 1_024
+#: Words of a shard (some 50 MB of text), and the least number of shards.
+SHARD_WORDS = 8_000_000
+LEAST_SHARDS = 64
+#: Sources of one tree.
+TREE_SOURCES = 10_000
+#: Rows of a source or block table that may be broadcast.
+BROADCAST_ROWS = 200_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
-def targets(sizes: list[int], weights: list[float], most: float = MOST_PASSES) -> list[float]:
-    """Shares of the sum of sizes by weight; a target stops at most * size and the excess is reshared by weight."""
-    out, open_, left = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
-    while open_:
-        scale = left / sum(weights[i] for i in open_)
-        full = [i for i in open_ if weights[i] * scale > most * sizes[i]]
-        if not full:
-            for i in open_:
-                out[i] = weights[i] * scale
-            break
-        for i in full:
-            out[i] = float(most * sizes[i])
-            left -= out[i]
-            open_.discard(i)
-    return out
-
-
-def split_tree(draws: list[int], shards: int, seed: int) -> np.ndarray:
-    """Quotas [shard, source]: exact, summing to the draws of each source, shards' totals at most one apart per level."""
-    out = np.zeros((shards, len(draws)), np.int64)
-
-    def split(counts: np.ndarray, lo: int, hi: int) -> None:
-        if hi - lo == 1 or not counts.sum():
-            out[lo] = counts
-            return
+def with_targets(sources: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES) -> DataFrame:
+    """sources (src, words, weight) with target: shares of all words by weight, none above most * words.
+
+    The level is what a unit of weight gets.  Sources that are full at a level stop there and the rest is shared anew, which
+    only raises the level; each round is one aggregation of the source table, until the level stays.
+    """
+    full = lambda level: F.col("weight") * level > most * F.col("words")
+    total, weight = sources.agg(F.sum("words"), F.sum("weight")).first()
+    level, before = (total / weight if weight else 0.0), None
+    while level != before:
+        stopped, open_ = sources.agg(F.sum(F.when(full(level), most * F.col("words")).otherwise(0.0)), F.sum(F.when(full(level), 0.0).otherwise(F.col("weight")))).first()
+        level, before = (max(level, (total - stopped) / open_) if open_ else level), level
+    return sources.withColumn("target", F.when(full(level), most * F.col("words").cast("double")).otherwise(F.col("weight") * float(level)))
+
+
+def split_tree(draws: np.ndarray, shards: int, seed: int) -> list[tuple[int, int, int]]:
+    """(source number, shard, quota) of the quotas above 0: exact, summing to the draws of each source; the shards' totals are at
+    most one apart per level."""
+    out: list[tuple[int, int, int]] = []
+    todo = [(np.flatnonzero(draws), draws[draws > 0].astype(np.int64), 0, shards)]
+    while todo:
+        at, counts, lo, hi = todo.pop()
+        if not len(at):
+            continue
+        if hi - lo == 1:
+            out += [(int(s), lo, int(c)) for s, c in zip(at, counts)]
+            continue
         mid = (lo + hi) // 2
         n = int(counts.sum()) * (mid - lo) // (hi - lo)
         left = np.random.default_rng([seed, lo, hi]).multivariate_hypergeometric(counts, n, method="marginals") if n else counts * 0
-        split(left, lo, mid)
-        split(counts - left, mid, hi)
+        for part, a, b in ((left, lo, mid), (counts - left, mid, hi)):
+            todo.append((at[part > 0], part[part > 0], a, b))
+    return sorted(out)
+
+
+def shard_runs(per_source: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(__src, __draw, __shard): the shard of every draw.  per_source: __src, no (place in code-point order), drawn."""
+
+    def tree(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("no", ignore_index=True)
+        quotas = pd.DataFrame(split_tree(rows["drawn"].to_numpy(np.int64), shards, seed + int(rows["no"].iloc[0])), columns=["at", "__shard", "n"])
+        ends = quotas.groupby("at")["n"].cumsum()
+        return pd.DataFrame({"__src": rows["__src"].to_numpy()[quotas["at"]], "__shard": quotas["__shard"], "lo": ends - quotas["n"], "hi": ends})
 
-    split(np.array(draws, np.int64), 0, shards)
-    return out
+    grouped = per_source.withColumn("tree", F.floor((F.col("no") - 1) / TREE_SOURCES)).groupBy("tree")
+    runs = grouped.applyInPandas(tree, "__src string, __shard int, lo long, hi long")
+    return runs.select("__src", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("__draw"), "__shard")
 
 
 def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7, weights=WEIGHTS, most: int = MOST_PASSES, size: str | None = None) -> DataFrame:
+def _small(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast if its counted rows are few."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def mix(docs: DataFrame, shards: int | None = None, seed: int = 7, weights=WEIGHTS, most: int = MOST_PASSES, size: str | None = None, text_hash: str | None = None) -> DataFrame:
     """docs with __size, __source_size, __target, __copies (times the document is taken) and __shards (one per copy).
 
-    size: a column that already holds the word count.
+    size, text_hash: columns that already hold the word count and a hash of the text.
     """
-    spark = docs.sparkSession
+    source = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # a null source sorts last
+    counted = materialise(docs.groupBy(source.alias("__src")).agg(F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int").alias("__blocks")), "sources")
     rows = docs.withColumns(
         {
             "__size": F.col(size) if size else word_count(F.col("text")),
-            "__src": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")),
-            "__order": F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source")),
+            "__src": source,
+            "__order": F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col(text_hash) if text_hash else F.xxhash64("text")),
         }
-    ).withColumn("__block", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("__order")), F.lit(BLOCKS)).cast("int"))
+    )
+    rows = rows.join(_small(counted), "__src").withColumn("__block", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("__order")), F.col("__blocks")).cast("int")).drop("__blocks")
     blocks = rows.groupBy("__src", "__block").agg(F.sum("__size").alias("words"))
     turn = Window.partitionBy("__src").orderBy(F.xxhash64(F.lit(seed + 2), F.col("__src"), F.col("__block")), "__block")
     blocks = blocks.select(
@@ -95,50 +123,34 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7, weights=WEIGHTS, m
         F.sum("words").over(turn.rowsBetween(Window.unboundedPreceding, 0)).alias("until"),
     )
     blocks = materialise(blocks, "blocks")
-    totals = blocks.groupBy("__src").agg(F.sum("words").alias("words"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
-    totals.sort(key=lambda r: (r["__src"] == "n", r["__src"]))
-    goal = targets([r["words"] for r in totals], [weights[i % len(weights)] for i in range(len(totals))], most)
-    passes = [min(most, int(g // r["words"])) if r["words"] else 0 for g, r in zip(goal, totals)]
-    due = [g - p * r["words"] if r["words"] else 0.0 for g, p, r in zip(goal, passes, totals)]
-    facts = spark.createDataFrame(
-        [(r["__src"], r["words"], g, p, d, r["n"]) for r, g, p, d in zip(totals, goal, passes, due)],
-        "__src string, source_words long, goal double, passes int, due double, n_blocks long",
-    )
-    blocks = blocks.join(F.broadcast(facts), "__src").withColumns(
+    sources = blocks.groupBy("__src").agg(F.sum("words").alias("words"), F.count("*").alias("n_blocks"))
+    sources = sources.withColumn("no", F.row_number().over(Window.orderBy("__src")).cast("long"))  # one row a source
+    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("no") - 1) % len(weights)).cast("int"))
+    facts = with_targets(materialise(sources.withColumn("weight", weight), "sources"), weights, most)
+    passes = F.when(F.col("words") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.col("words")))).otherwise(0)
+    facts = facts.withColumn("passes", passes.cast("long")).withColumn("due", F.col("target") - F.col("passes") * F.col("words"))
+    facts = materialise(facts.withColumnRenamed("words", "source_words"), "facts")
+    blocks = blocks.join(_small(facts), "__src").withColumns(
         {
-            "whole": (F.col("passes") + (F.col("until") <= F.col("due")).cast("int")).cast("long"),
+            "whole": F.col("passes") + (F.col("until") <= F.col("due")).cast("int"),
             "entered": (F.col("due") < F.col("until")) & (F.col("due") > F.col("until") - F.col("words")),
         }
     )
     # Draws are numbered pass by pass; the entered block is drawn once more than the whole ones.
     blocks = materialise(blocks.withColumn("drawn", F.col("whole") + F.col("entered").cast("long")), "drawn")
-    per_source = {r["__src"]: r["d"] for r in blocks.groupBy("__src").agg(F.sum("drawn").alias("d")).collect()}  # one row a source
-    quotas = split_tree([per_source[r["__src"]] for r in totals], shards, seed)
-    ends = np.cumsum(quotas, axis=0)
-    runs = [(totals[i]["__src"], [int(x) for x in ends[:, i]]) for i in range(len(totals))]
-    runs = spark.createDataFrame(runs, "__src string, ends array<long>")
-    number = F.expr("transform(sequence(0, cast(drawn as int) - 1), p -> p * n_blocks + nth)")
-    shard_of = F.expr("transform(numbers, d -> cast(size(filter(ends, e -> e <= d)) as int))")
-    plan = (
-        blocks.join(F.broadcast(runs), "__src")
-        .withColumn("numbers", F.when(F.col("drawn") > 0, number).otherwise(F.expr("cast(array() as array<bigint>)")))
-        .select(
-            "__src",
-            "__block",
-            F.col("source_words").alias("__source_words"),
-            F.col("goal").alias("__goal"),
-            F.col("whole").alias("__whole"),
-            F.when(F.col("entered"), F.col("due") - (F.col("until") - F.col("words"))).alias("__rest"),
-            shard_of.alias("__shards"),
-        )
-    )
-    few = blocks.count() <= BROADCAST_BLOCKS
-    rows = rows.join(F.broadcast(plan) if few else plan, ["__src", "__block"])
+    per_source = blocks.groupBy("__src", "no").agg(F.sum("drawn").alias("drawn"))
+    shards = shards or max(LEAST_SHARDS, -(-int(facts.agg(F.sum("source_words")).first()[0] or 0) // SHARD_WORDS))
+    draws = blocks.where("drawn > 0").select("__src", "__block", "n_blocks", "nth", F.posexplode(F.sequence(F.lit(1).cast("long"), "drawn")).alias("pass", "_"))
+    draws = draws.select("__src", "__block", "pass", (F.col("pass") * F.col("n_blocks") + F.col("nth")).alias("__draw"))
+    of_shards = draws.join(shard_runs(per_source, shards, seed), ["__src", "__draw"]).groupBy("__src", "__block")
+    of_shards = of_shards.agg(F.transform(F.array_sort(F.collect_list(F.struct("pass", "__shard"))), lambda s: s["__shard"]).alias("__shards"))
+    rest = F.when(F.col("entered"), F.col("due") - (F.col("until") - F.col("words"))).alias("__rest")
+    plan = blocks.select("__src", "__block", F.col("source_words").alias("__source_words"), F.col("target").alias("__goal"), F.col("whole").alias("__whole"), rest)
+    plan = plan.join(of_shards, ["__src", "__block"], "left").withColumn("__shards", F.coalesce("__shards", F.array().cast("array<int>")))
+    rows = rows.join(_small(materialise(plan, "plan")), ["__src", "__block"])
     inside = Window.partitionBy("__src", "__block").orderBy("__order", "__size").rowsBetween(Window.unboundedPreceding, -1)
     plain = rows.where("__rest is null").withColumn("__copies", F.col("__whole"))
-    cut = (
+    cut = (  # one block of each source
         rows.where("__rest is not null")
         .withColumn("__before", F.coalesce(F.sum("__size").over(inside), F.lit(0)))
         .withColumn("__copies", F.col("__whole") + (F.col("__before") + F.col("__size") / 2 <= F.col("__rest")).cast("long"))
@@ -156,17 +168,17 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7, weights=WEIGHTS, m
     )
 
 
-def mixed_rows(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
+def mixed_rows(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
     """The mix itself: one row per copy, the columns of docs, __shard and __turn (the shuffled order inside the shard)."""
     taken = mix(docs, shards, seed).where("__copies > 0")
     copies = taken.select(*docs.columns, "__order", F.posexplode("__shards").alias("__pass", "__shard"))
     return copies.select(*docs.columns, "__shard", F.xxhash64(F.lit(seed + 3), "__shard", "__order", "__pass").alias("__turn"))
 
 
-def mix_table(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken, shards.  Texts are read once, for their word counts."""
-    sizes = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    return mix(sizes, shards, seed, size="size").select(
+def mix_table(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
+    """Per document: doc_id, size, source_size, target, taken, shards.  Texts are read once, for word counts and hashes."""
+    sizes = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")), "sizes")
+    return mix(sizes, shards, seed, size="size", text_hash="text_hash").select(
         "doc_id",
         F.col("__size").alias("size"),
         F.col("__source_size").alias("source_size"),
