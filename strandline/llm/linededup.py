@@ -1,7 +1,8 @@
 """Line deduplication by a deletion-neighbourhood join (DataFrame functions only).
 
 A line is its lower-cased blank-separated words.  A line is dropped if an earlier line - by document id, then place - has
-the same words, or (both of ``MIN_WORDS`` words or more) is within one word edit of it: a word inserted, deleted or changed.
+the same words, or is within one word edit of it (a word inserted, deleted or changed) that leaves ``SIMILARITY`` of the words: both
+lines then have ``MIN_WORDS`` words or more.
 
 1. Equal lines meet by a fingerprint; only the earliest of each goes on.
 2. Two lines within one edit share the words of their first or of their last half, so only lines that share such a half with
@@ -16,7 +17,8 @@ A variant's hash is the exclusive or of 64-bit hashes of its words with their pl
 words, and all variants of a line cost one pass over it.
 
 Defined cases: null and empty texts have no lines to drop; blank lines are never dropped; rows that repeat a doc_id count as
-one document; a null doc_id sorts first; an empty table gives an empty result.
+one document (equal lines at the same place of them are one line, and each row loses the lines that it shares with an earlier
+place); a null doc_id sorts first; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +28,10 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, materialise
 
-MIN_WORDS = 5
+#: Near lines keep at least this share of their words.
+SIMILARITY = 0.8
+#: One word is less than the rest of the share from here on; in shorter lines one edit changes more, so they only match as equals.
+MIN_WORDS = round(1 / (1 - SIMILARITY))
 
 
 def words(line: Column) -> Column:
@@ -157,9 +162,13 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
-    """docs with the kept lines of each text; columns unchanged.  doc_id must be unique."""
-    gone = line_dedup(docs).where(F.size("dropped") > 0).select(F.col("doc_id").alias("__id"), "dropped")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped"), i))
+    """docs with the kept lines of each text; columns unchanged.
+
+    A dropped line is known by its document, place and words, so rows that repeat a doc_id with other texts keep their own lines.
+    """
+    gone = dropped_lines(docs).where("exact or near").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.struct(F.col("line_no").alias("i"), "f1")).alias("dropped"))
+    same = lambda x, i: F.array_contains(F.col("dropped"), F.struct(i.alias("i"), F.xxhash64(words(x)).alias("f1")))
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~same(x, i))
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")), "left")
     text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])

@@ -487,6 +487,12 @@ def test_line_dedup_equals_brute_force(spark):
     assert all(kept[d] == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[d]) for d, t, *_ in rows)
 
 
+def test_drop_lines_of_repeated_ids(spark):
+    rows = [(1, "a b\nc d", None, None, None), (1, "x y\nc d\na b", None, None, None), (2, "a b\nq", None, None, None), (None, None, None, None, None)]
+    got = sorted((str(r["doc_id"]), r["text"]) for r in linededup.drop_lines(frame(spark, rows)).collect() if r["text"] is not None)
+    assert got == [("1", "a b\nc d"), ("1", "x y\nc d"), ("2", "q")]
+
+
 def test_lines_of_the_same_words_in_another_order(spark):
     rows = [(1, "the cat the dog the end now"), (2, "the dog the cat the end now"), (3, "the dog the cat the end today")]
     rows += [(4, "a - b - c - d"), (5, "b - a - c - d"), (6, "b - a - c - d x"), (7, "c - b - a - d x y"), (8, "b - a - c x")]
@@ -511,13 +517,50 @@ def test_lines_of_the_same_words_in_another_order(spark):
 # ---------------------------------------------------------------- 6: mixing
 
 
-def test_targets_and_tree():
-    assert mixing.targets([100, 100, 100], [5, 2, 1]) == [187.5, 75.0, 37.5]
-    t = mixing.targets([10, 1000], [5, 2])
-    assert t == [30.0, 980.0]
-    q = mixing.split_tree([100, 50, 7], 8, 3)
-    assert q.sum(axis=0).tolist() == [100, 50, 7] and q.sum(axis=1).max() - q.sum(axis=1).min() <= 3
-    assert (q == mixing.split_tree([100, 50, 7], 8, 3)).all()
+def plain_targets(sizes, weights, most=3.0):
+    """Shares by weight; a source stops at most * size and the excess is shared anew."""
+    goal = {}
+    while len(goal) < len(sizes):
+        rest = [i for i in range(len(sizes)) if i not in goal]
+        unit = (sum(sizes) - sum(goal.values())) / sum(weights[i] for i in rest)
+        full = [i for i in rest if weights[i] * unit > most * sizes[i]]
+        goal |= {i: most * sizes[i] for i in full} if full else {i: weights[i] * unit for i in rest}
+    return [goal[i] for i in range(len(sizes))]
+
+
+def test_targets_and_tree(spark):
+    for sizes in ([100, 100, 100], [10, 1000], [0, 5, 0, 7000, 1, 2, 900], [0, 0], [1], [3] * 40 + [100_000]):
+        weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
+        rows = spark.createDataFrame([(i, n, float(w)) for i, (n, w) in enumerate(zip(sizes, weights))], "src long, words long, weight double")
+        got = [r["target"] for r in mixing.with_targets(rows).orderBy("src").collect()]
+        assert got == pytest.approx(plain_targets(sizes, weights)) and sum(got) == pytest.approx(sum(sizes))
+    draws = np.array([100, 50, 0, 7])
+    for shards in (8, 5, 1):
+        quotas = np.zeros((4, shards), int)
+        for source, shard, n in mixing.split_tree(draws, shards, 3):
+            quotas[source, shard] = n
+        assert (quotas.sum(axis=1) == draws).all() and np.ptp(quotas.sum(axis=0)) <= 3
+    assert mixing.split_tree(draws, 8, 3) == mixing.split_tree(draws, 8, 3) != mixing.split_tree(draws, 8, 4)
+
+
+def test_many_sources_and_shards(spark, monkeypatch):
+    """Several trees, joins without broadcasts, small blocks and shards, repeated ids with other texts: nothing is lost, reruns agree."""
+    for name, value in (("TREE_SOURCES", 7), ("BROADCAST_ROWS", 10), ("BLOCK_ROWS", 3), ("LEAST_BLOCKS", 2), ("SHARD_WORDS", 50), ("LEAST_SHARDS", 3)):
+        monkeypatch.setattr(mixing, name, value)
+    r = random.Random(4)
+    rows = [(i // 2, prose(i, r.randint(0, 20)), None, f"s{r.randrange(30)}" if i % 11 else None, 1) for i in range(600)]
+    out = mixing.mix_table(frame(spark, rows))
+    got = out.collect()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix_table(frame(spark, rows).repartition(5)).collect())) and len(got) == len(rows)
+    assert all(len(x["shards"]) * x["size"] == x["taken"] for x in got)
+    taken, goal = Counter(), {}
+    for x in mixing.mix(frame(spark, rows)).collect():
+        taken[x["source"]] += x["__copies"] * x["__size"]
+        goal[x["source"]] = (x["__target"], x["__source_size"])
+    assert len(goal) == 31 and all(abs(taken[s] - t) <= 10 for s, (t, _) in goal.items())
+    order = sorted(goal, key=lambda s: (s is None, s))
+    assert [goal[s][0] for s in order] == pytest.approx(plain_targets([goal[s][1] for s in order], [(5, 2, 1)[i % 3] for i in range(31)]))
+    assert max(s for x in got for s in x["shards"]) > 3 and sum(n for _, n in goal.values()) == sum(x["size"] for x in got)
 
 
 def test_mix_meets_targets(spark):
