@@ -577,7 +577,7 @@ def test_mix_meets_targets(spark):
         assert r["taken"] <= 3 * r["size"] and r["size"] == len(rows[r["doc_id"]][1].split()) and len(r["shards"]) * r["size"] == r["taken"]
     assert np.isclose(sum(goal.values()), total)
     order = sorted((s for s in sizes if s), key=str) + [None]
-    assert [goal[s] for s in order] == pytest.approx(mixing.targets([sizes[s] for s in order], [5, 2, 1, 5]))
+    assert [goal[s] for s in order] == pytest.approx(plain_targets([sizes[s] for s in order], [5, 2, 1, 5]))
     assert all(abs(taken[s] - goal[s]) <= 40 for s in goal)
 
 
