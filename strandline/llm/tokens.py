@@ -1,6 +1,6 @@
 """Token ids in wavelet-matrix shards.
 
-``encode`` turns texts into packed token ids with a public tokenizer.  ``build_shards`` range-partitions documents by id
+``encode`` turns whole texts into packed token ids with the tokenizers library.  ``build_shards`` range-partitions documents by id
 and writes one compressed shard per partition: a document table and the wavelet matrix of the ids, one succinct bit-plane
 per bit of the vocabulary.  ``WaveletShard`` opens one shard and answers ``access``, ``rank`` (occurrences before a
 place), ``select`` (place of the k-th occurrence), ``count`` and ``decode`` from it.
@@ -13,8 +13,7 @@ separate documents, next to each other; an empty table gives no shard and no row
 from __future__ import annotations
 
 import io
-import json
-import re
+import os
 import struct
 import zlib
 
@@ -25,158 +24,55 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, materialise, scratch, small_batches, word_hashes
+from .common import byte_chunks, materialise, scratch, small_batches
 
 MAGIC = b"WMX1"
 #: Ids per shard aimed at: 8 MB of ids before compression.
 SHARD_IDS = 4_000_000
 SUPER = 512
-#: Distinct pre-tokens kept by a worker, about 40 bytes each.
-CACHE_PIECES = 3_000_000
+#: Bytes of text given to the library at a time, so that few of its encodings are held.
+CHUNK_TEXT = 1 << 18
 
 # ---------------------------------------------------------------- tokenizer
 
-#: Characters whose composition, lower case and class are the same in every Unicode version; others go to the library.
-OTHER = re.compile("[^\\t\\n\\r\\x20-\\x7e\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0132-\\u017e]")
-CONTROL = re.compile("[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]")
-_CLASS = np.full(256, 3, np.uint8)
-_CLASS[[9, 10, 13, 32]] = 0
-_CLASS[list(range(97, 123)) + list(range(128, 256))] = 1
-_CLASS[48:58] = 2
-
-
-def cut_pieces(data: np.ndarray):
-    """Pre-tokens of lower-cased texts of safe characters: a contraction, a run of letters, one digit, or a run of others."""
-    kind = _CLASS[data]
-    norm = np.where(kind == 0, np.uint8(0), data)
-    if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), norm
-    begin = np.ones(len(data), bool)
-    begin[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
-    tail = np.concatenate([data, np.zeros(3, np.uint8)])
-    quote = np.flatnonzero((data == 39) & begin)
-    if len(quote):
-        one, two = tail[quote + 1], tail[quote + 2]
-        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
-        long = (np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == 101)) | ((one == 108) & (two == 108))
-        hit = short | long
-        quote, size = quote[hit], np.where(short, 2, 3)[hit]
-        begin[quote + 1] = False
-        after = quote + size
-        after = after[after < len(data)]
-        begin[after] |= kind[after] == 1
-    begin &= kind != 0
-    starts = np.flatnonzero(begin)
-    stops = np.flatnonzero(begin | (kind == 0))
-    nxt = np.searchsorted(stops, starts, "right")
-    ends = np.append(stops, len(data))[nxt]
-    return starts, ends, norm
-
-
-
-class PieceEncoder:
-    """Packed ids of whole texts.  The library is asked once for each distinct pre-token; its ids are kept (bounded).
-
-    Pre-tokens are encoded independently of each other, so a text's ids are those of its pre-tokens, one after the other.
-    They are cut, hashed and looked up for a whole chunk of texts at a time.
-    """
+
+class TextEncoder:
+    """Packed ids of whole texts, each text encoded by the tokenizers library."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        spec = json.loads(self.tok.to_str())
-        suffix = spec["model"].get("end_of_word_suffix")
-        self.plain = bool(suffix) and "Lowercase" in json.dumps(spec.get("normalizer")) and "'re|'ve|'m|'ll|'d|[\\\\p{L}]+|[\\\\p{N}]|" in json.dumps(spec.get("pre_tokenizer"))
-        if self.plain:
-            self.last = np.zeros(self.tok.get_vocab_size(), bool)
-            self.last[[i for t, i in self.tok.get_vocab().items() if t.endswith(suffix)]] = True
-        self.forget()
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        """Equal to encoding each whole text with the library."""
-        safe = [self.safe(t) for t in texts]
-        data = "\n".join([t.replace("\n", " ").lower() if s else "" for t, s in zip(texts, safe)] + [""]).encode()
-        data = np.frombuffer(data, np.uint8)
-        starts, ends, norm = cut_pieces(data)
-        if len(starts) and int((ends - starts).max()) > 255:  # the hash is made for short pieces
-            if len(texts) > 1:
-                return [x for t in texts for x in self.texts([t])]
-            return [self.whole(texts[0])]
-        uniq, back = np.unique(word_hashes(norm, starts, ends), return_inverse=True)
-        at = np.searchsorted(self.known, uniq)
-        new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != uniq) if len(self.known) else np.arange(len(uniq))
-        if len(new):
-            if len(self.known) + len(new) > CACHE_PIECES:
-                self.forget()
-                new = np.arange(len(uniq))
-            first = np.zeros(len(uniq), np.int64)
-            first[back] = np.arange(len(back))
-            raw = data.tobytes()
-            self.learn(uniq[new], [raw[starts[i] : ends[i]].decode() for i in first[new]])
-            at = np.searchsorted(self.known, uniq)
-        at = at[back]
-        n, place = self.sizes[at], self.places[at]
-        total = np.cumsum(n)
-        flat = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(place - (total - n), n)
-        ids = self.pool[flat]
-        lines = np.flatnonzero(data == 10)[: len(texts)]  # line ends inside a text are blanks, see safe()
-        bounds = np.concatenate([[0], total])[np.searchsorted(starts, lines)] if len(total) else np.zeros(len(texts), int)
-        out, lo = [], 0
-        for t, s, hi in zip(texts, safe, bounds):
-            out.append(ids[lo:hi].tobytes() if s else self.whole(t))
-            lo = hi
-        return out
-
-    def forget(self) -> None:
-        self.known, self.sizes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, self.kind)
-
-    def learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        """Encode many pre-tokens in one call; each ends with a token that closes a word."""
-        ids = np.array(self.tok.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, self.kind)
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(pieces):
-            parts = [np.frombuffer(self.whole(p), self.kind) for p in pieces]
-            ids, ends = np.concatenate(parts), np.cumsum([len(x) for x in parts])
-        sizes = np.diff(ends, prepend=0)
-        places = ends - sizes + len(self.pool)
-        self.pool = np.concatenate([self.pool, ids])
-        known = np.concatenate([self.known, keys])
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.sizes = np.concatenate([self.sizes, sizes])[order]
-        self.places = np.concatenate([self.places, places])[order]
-
-    def safe(self, text: str) -> bool:
-        """False where only the library is sure to cut the text its way."""
-        return self.plain and not (CONTROL if text.isascii() else OTHER).search(text) and not any(s in text for s in self.special)
-
-
-_encoders: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
+        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+
+_encoders: dict[str, TextEncoder] = {}
+
+
+def encoder(path: str) -> TextEncoder:
     """The worker's encoder: kept between the tasks of a reused Python worker."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = TextEncoder(path)
     return _encoders[path]
 
 
 def encode(docs: DataFrame, path: str, end_id: int | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, ids (packed little-endian ids, the end id appended)."""
+    """key, ids (packed little-endian ids, the end id appended).
+
+    A worker holds the tokens of texts of CHUNK_TEXT bytes together, or of one longer text.
+    """
 
     def run(batches):
         enc = encoder(path)
         end = b"" if end_id is None else np.array([end_id], enc.kind).tobytes()
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            for lo, hi, _, _ in byte_chunks(texts):
+            for lo, hi, _, _ in byte_chunks(texts, CHUNK_TEXT):
                 ids = [b + end for b in enc.texts(texts.slice(lo, hi - lo).fill_null("").to_pylist())]
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array(ids, pa.binary())], ["key", "ids"])
 

@@ -627,7 +627,7 @@ def test_ids_of_documents_equal_the_library(spark):
 def test_encoder_equals_library():
     from tokenizers import Tokenizer
 
-    tok, enc = Tokenizer.from_file(tokenizer_path()), tokens.PieceEncoder(tokenizer_path())
+    tok, enc = Tokenizer.from_file(tokenizer_path()), tokens.TextEncoder(tokenizer_path())
     texts = ["don't we'll o'clock ''s 's's 12.5%%%", "", "a\x1cb\x85c <|endoftext|>", "ΟΣ Σας", "ﬁ İ é É\r\n\tñ", "x" * 600, prose(1, 500)]
     assert [np.frombuffer(b, enc.kind).tolist() for b in enc.texts(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
