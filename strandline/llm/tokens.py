@@ -238,7 +238,10 @@ def build_shards(encoded: DataFrame, path: str, vocabulary: int, shard_ids: int
         types = [pa.int64(), pa.int64(), pa.int64(), pa.large_binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["shard", "n_docs", "n_ids", "payload"])
 
-    ordered = encoded.repartitionByRange(parts, F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "ids")
+    # a key of many rows is cut by its rows' ids, equal rows by their place in the table: their order makes no difference
+    order = [F.col("key").asc_nulls_first(), "tie", "row"]
+    rows = encoded.select("key", "ids", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("row"))
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("key", "ids")
     shape = "shard long, n_docs long, n_ids long, payload binary"
     ordered.mapInArrow(run, shape).write.parquet(path)
     return encoded.sparkSession.read.schema(shape).parquet(path)

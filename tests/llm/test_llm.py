@@ -624,6 +624,20 @@ def test_ids_of_documents_equal_the_library(spark):
         start += len(ids)
 
 
+def test_one_id_of_many_rows_fills_several_shards(spark):
+    """A repeated id, and one repeated row, are dealt over shards; every document's ids come back."""
+    many = spark.range(600).select(F.lit(7).cast("long").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.lit("the same row")).otherwise(F.concat(F.lit("row "), F.col("id").cast("string"))).alias("text"))
+    docs = many.union(spark.createDataFrame([(3, "first"), (9, "last")], "doc_id long, text string"))
+    encoded = common.materialise(tokens.encode(docs, tokenizer_path(), 2), "ids")
+    shards = tokens.build_shards(encoded, common.scratch(spark, "shards"), 49408, shard_ids=500)
+    got = sorted(tokens.read_shards(shards).collect(), key=lambda r: r["start"])
+    assert shards.where("n_docs > 1").count() >= 4 and shards.agg(F.max("n_docs")).first()[0] < 400
+    assert [r["key"] for r in got] == [3] + [7] * 600 + [9]
+    assert [r["start"] for r in got] == np.cumsum([0] + [r["n_tokens"] for r in got])[:-1].tolist()
+    ids = [np.frombuffer(r["ids"], "<u2").astype("<u4") for r in encoded.collect()]
+    assert sorted(r["ids_crc32"] for r in got) == sorted(zlib.crc32(x.tobytes()) for x in ids)
+
+
 def test_encoder_equals_library():
     from tokenizers import Tokenizer
 
