@@ -48,7 +48,12 @@ class SlotMap:
         """
         of = lambda slot: weight.get(slot, 0)
         out, mean = list(self.shard_of), sum(weight.values()) / shards
-        free, best, kept = [slot for slot, shard in enumerate(out) if shard >= shards], None, out
+        free, best, kept = [slot for slot, shard in enumerate(out) if shard >= shards], None, list(out)
+        if not free:  # the map itself is the one to better: else it stays as it is
+            held = [0] * shards
+            for slot, shard in enumerate(out):
+                held[shard] += of(slot)
+            best = max(held)
         while True:
             load, own = [0] * shards, [[] for _ in range(shards)]
             for slot in set(range(len(out))).difference(free):
