@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_chunks, fold, small_batches
@@ -17,17 +17,35 @@ SAMPLE_BYTES = 1 << 25
 FOLDS = 5
 
 
+def fitting(sizes: list[tuple], most_bytes: int) -> list[tuple]:
+    """Of (group, order, bytes, ...) the rows that are taken in order while their group's bytes stay within most_bytes.
+
+    A row that doesn't fit is passed over and counts nothing, so one long text keeps no other one out.
+    """
+    left: dict = {}
+    out = []
+    for row in sorted(sizes, key=lambda r: (str(r[0]), r[1])):
+        if row[2] <= left.setdefault(row[0], most_bytes):
+            left[row[0]] -= row[2]
+            out.append(row)
+    return out
+
+
 def rows_within(docs: DataFrame, picked: DataFrame, columns: list[str], group: str, most_bytes: int) -> list:
     """Rows (*columns, group) of docs for picked (doc_id, group; a bounded table), with whole texts, in order of their id's hash
-    until a group's texts have most_bytes.
+    as long as a group's texts have most_bytes together; a text that doesn't fit is passed over.
 
-    One row stands for a repeated id: that with the smallest hash.  Sizes are looked at before any text is gathered.
+    One row stands for a repeated id: that with the smallest hash.  Sizes (a number for each picked document) are looked at before
+    any text is gathered.
     """
     rows = docs.join(F.broadcast(picked.withColumnRenamed(group, "__group")), "doc_id").withColumn("__h", F.xxhash64(*columns))
     sizes = rows.groupBy("doc_id", "__group").agg(F.min_by(F.coalesce(F.octet_length("text"), F.lit(0)), "__h").alias("bytes"), F.min("__h").alias("__h"))
-    until = Window.partitionBy("__group").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    chosen = sizes.withColumn("before", F.coalesce(F.sum("bytes").over(until), F.lit(0))).where(F.col("before") + F.col("bytes") <= most_bytes)
-    chosen = F.broadcast(chosen.select("doc_id", "__group", "__h"))
+    known = sizes.select("doc_id", "__group", "__h", "bytes", F.xxhash64("doc_id").alias("turn"))
+    chosen = fitting([(r["__group"], (r["turn"], r["doc_id"]), r["bytes"], r["doc_id"], r["__h"]) for r in known.collect()], most_bytes)
+    if not chosen:
+        return []
+    shape = known.select("doc_id", "__group", "__h").schema
+    chosen = F.broadcast(docs.sparkSession.createDataFrame([(r[3], r[0], r[4]) for r in chosen], shape))
     got = rows.join(chosen, ["doc_id", "__group", "__h"]).select("doc_id", "__h", *columns, "__group").dropDuplicates(["doc_id", "__h", "__group"]).collect()
     return [tuple(r)[2:] for r in sorted(got, key=lambda r: (r["doc_id"], r["__h"], str(r["__group"])))]
 
@@ -36,7 +54,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: lis
     """Rows (*columns, label) of a bounded sample of the training fold, and the number of labelled documents per class.
 
     The sample takes the smallest hashes of the id in each class, so it is the same in every run: per_class documents and
-    most_bytes of text at most, texts of any length among them (a text that alone passes most_bytes is left out).  Contradicting repeated
+    most_bytes of text at most, texts of any length among them (one that no longer fits is passed over, the next are not).  Contradicting repeated
     labels of one document count once, by the larger; null labels and labels other than 0 and 1 are left out.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != 0)).groupBy("doc_id").agg(F.max(label).alias("__y"))

@@ -123,16 +123,17 @@ def mixtures(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.
 
 def language_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
     """Texts and languages of the training folds: the smallest hashes of the id in each language, per_language documents and
-    most_bytes of text at most, texts of any length among them."""
+    most_bytes of text at most, texts of any length among them (see rows_within)."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "lang", F.xxhash64("doc_id").alias("__h"))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: max(1, r["n"]) for r in known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
     if not counts:
         return [], []
-    # a hash range that holds twice the sample on average, then the exact smallest: no language is gathered whole
+    # a hash range that holds twice the sample's ids on average, then the smallest: no language is gathered whole, and an id
+    # counts once, however many rows repeat it
     rate = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, (2.0 * per_language + 50) / n))])
-    close = known.where((F.col("__h") / F.lit(2.0**64) + 0.5) < F.element_at(rate, F.col("lang")))
+    close = known.where((F.col("__h") / F.lit(2.0**64) + 0.5) < F.element_at(rate, F.col("lang"))).distinct()
     turn = Window.partitionBy("lang").orderBy("__h", "doc_id")
-    picked = close.withColumn("__n", F.row_number().over(turn)).where(F.col("__n") <= per_language).select("doc_id", "lang").distinct()
+    picked = close.withColumn("__n", F.row_number().over(turn)).where(F.col("__n") <= per_language).select("doc_id", "lang")
     picked = picked.withColumnRenamed("lang", "__lang")
     got = rows_within(docs.select("doc_id", "text", "lang").where("text is not null"), picked, ["text", "lang"], "__lang", most_bytes)
     got = sorted((lang, text) for text, lang, own in got if lang == own)
