@@ -17,8 +17,8 @@ A variant's hash is the exclusive or of 64-bit hashes of its words with their pl
 words, and all variants of a line cost one pass over it.
 
 Defined cases: null and empty texts have no lines to drop; blank lines are never dropped; rows that repeat a doc_id count as
-one document (equal lines at the same place of them are one line, and each row loses the lines that it shares with an earlier
-place); a null doc_id sorts first; an empty table gives an empty result.
+one document (equal lines at the same place of them are one line, different lines at one place are each compared with earlier
+places, and each row loses the lines that it shares with an earlier place); a null doc_id sorts first; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from .common import BROADCAST_IDS, materialise
 SIMILARITY = 0.8
 #: One word is less than the rest of the share from here on; in shorter lines one edit changes more, so they only match as equals.
 MIN_WORDS = round(1 / (1 - SIMILARITY))
+#: What a variant is: the whole line, the line short of a word, the line with a word left open.
+WHOLE, SHORT, OPEN = 0, 1, 2
 
 
 def words(line: Column) -> Column:
@@ -73,7 +75,7 @@ def marked_lines(docs: DataFrame) -> DataFrame:
 
 
 def variants_of(lines: DataFrame) -> DataFrame:
-    """(o, key, role) of each line (o, w): x the line itself, y the line without one word, s the line with one word left open.
+    """(o, key, role) of each line (o, w): the line whole, the line without one word, the line with one word left open.
 
     A word is hashed with its place, and with the place before it, where it stands once an earlier word is gone.  One row per
     place is made first, so the keys are plain expressions over numbers.
@@ -86,12 +88,12 @@ def variants_of(lines: DataFrame) -> DataFrame:
     # c[i]: hashes of the words before place i under both places, from nothing before the first word to all words
     before = F.aggregate(F.zip_with("a", "b", either), F.array(none), lambda c, x: F.concat(c, F.array(either(F.element_at(c, -1), x))))
     rows = rows.withColumn("c", before)
-    own = rows.select("o", F.xxhash64(F.lit("d"), "n", "t").alias("key"), F.lit("x").alias("role"))
+    own = rows.select("o", F.xxhash64(F.lit("d"), "n", "t").alias("key"), F.lit(WHOLE).alias("role"))
     moved = either(F.col("t"), F.element_at("c", -1)).alias("tb")  # all words at the place before theirs
     places = rows.select("o", "n", "t", moved, F.posexplode(F.arrays_zip("a", "b", F.slice("c", F.lit(1), F.col("n")).alias("c"))).alias("i", "at"))
-    open_ = places.select("o", F.xxhash64(F.lit("s"), "n", "i", either(F.col("t"), F.col("at.a"))).alias("key"), F.lit("s").alias("role"))
+    open_ = places.select("o", F.xxhash64(F.lit("s"), "n", "i", either(F.col("t"), F.col("at.a"))).alias("key"), F.lit(OPEN).alias("role"))
     gone = either(either(F.col("tb"), F.col("at.c")), F.col("at.b"))
-    less = places.where(F.col("n") > MIN_WORDS).select("o", F.xxhash64(F.lit("d"), F.col("n") - 1, gone).alias("key"), F.lit("y").alias("role"))
+    less = places.where(F.col("n") > MIN_WORDS).select("o", F.xxhash64(F.lit("d"), F.col("n") - 1, gone).alias("key"), F.lit(SHORT).alias("role"))
     return own.unionByName(open_).unionByName(less)
 
 
@@ -111,28 +113,31 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 
 def near_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """Places (o: doc_id, line_no) of first lines that have an earlier line within one edit.
+    """Fingerprints f1, f2 of first lines that have a line of an earlier place within one edit.
 
-    first: f1, f2, o, halves - one row per distinct line.
+    first: f1, f2, o (place: doc_id, line_no), halves - one row per distinct line.  A line is known by its place and f1, since rows
+    that repeat an id may have several lines at one place; of those none is earlier than another.
     """
     halves = first.where(F.size("halves") > 0).select("f1", "f2", "o", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("o").alias("lo"), F.max("o").alias("hi")).where("lo < hi").select("half")
-    chosen = materialise(halves.join(shared, "half").select("o").distinct().select("o.doc_id", "o.line_no"), "lines")
+    shared = halves.groupBy("half").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo < hi").select("half")
+    chosen = materialise(halves.join(shared, "half").select("o.doc_id", "o.line_no", "f1", "f2").distinct(), "lines")
     few = chosen.count() <= BROADCAST_IDS
     ids = chosen.select("doc_id").distinct()
     docs = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    chosen = chosen.select(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("no_id"), "line_no")
+    chosen = chosen.select(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("no_id"), "line_no", "f1", "f2")
     texts = lines_of(docs).withColumns({"d": F.coalesce("doc_id", F.lit(0)), "no_id": F.col("doc_id").isNull()})
-    texts = texts.join(F.broadcast(chosen) if few else chosen, ["d", "no_id", "line_no"]).select(F.struct("doc_id", "line_no").alias("o"), words(F.col("line")).alias("w"))
-    texts = materialise(texts.dropDuplicates(["o"]), "candidates")
+    texts = texts.join(F.broadcast(chosen) if few else chosen, ["d", "no_id", "line_no"]).withColumn("w", words(F.col("line")))
+    texts = texts.where((F.xxhash64("w") == F.col("f1")) & (F.hash("w") == F.col("f2"))).dropDuplicates(["f1", "f2"])
+    texts = materialise(texts.select(F.struct("doc_id", "line_no", "f1").alias("o"), "f2", "w"), "candidates")
     variants = materialise(variants_of(texts), "variants")
-    least = lambda role: F.min(F.when(F.col("role") == role, F.col("o"))).alias(role)
-    buckets = variants.groupBy("key").agg(least("x"), least("y"), least("s"), F.count("*").alias("n")).where("n > 1").drop("n")
-    earlier = F.when(F.col("role") == "x", F.col("y")).when(F.col("role") == "y", F.col("x")).otherwise(F.col("s"))
-    pairs = variants.join(buckets, "key").select("o", earlier.alias("m")).where("m < o").distinct()
+    least = lambda role: F.min(F.when(F.col("role") == role, F.col("o"))).alias(f"o{role}")
+    buckets = variants.groupBy("key").agg(*[least(r) for r in (WHOLE, SHORT, OPEN)], F.count("*").alias("n")).where("n > 1").drop("n")
+    earlier = F.when(F.col("role") == WHOLE, F.col(f"o{SHORT}")).when(F.col("role") == SHORT, F.col(f"o{WHOLE}")).otherwise(F.col(f"o{OPEN}"))
+    place = lambda c: F.struct(F.col(c)["doc_id"], F.col(c)["line_no"])
+    pairs = variants.join(buckets, "key").select("o", earlier.alias("m")).where(place("m") < place("o")).distinct()
     pairs = materialise(pairs, "pairs")
-    a, b = texts.select("o", F.col("w").alias("wa")), texts.select(F.col("o").alias("m"), F.col("w").alias("wb"))
-    return pairs.join(a, "o").join(b, "m").where(within_one_edit(F.col("wa"), F.col("wb"))).select("o").distinct()
+    a, b = texts.select("o", "f2", F.col("w").alias("wa")), texts.select(F.col("o").alias("m"), F.col("w").alias("wb"))
+    return pairs.join(a, "o").join(b, "m").where(within_one_edit(F.col("wa"), F.col("wb"))).select("o.f1", "f2").distinct()
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
@@ -142,7 +147,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     first = lines.where("f1 is not null").groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "line_no")).alias("o"), F.min("halves").alias("halves"))
     first = materialise(first, "first")
     near = near_lines(docs, first).withColumn("near", F.lit(True))
-    known = first.select("f1", "f2", "o").join(near, "o", "left").select("f1", "f2", "o", F.coalesce("near", F.lit(False)).alias("near"))
+    known = first.select("f1", "f2", "o").join(near, ["f1", "f2"], "left").select("f1", "f2", "o", F.coalesce("near", F.lit(False)).alias("near"))
     own = F.struct("doc_id", "line_no")
     out = lines.select("doc_id", "line_no", "f1", "f2").join(materialise(known, "known"), ["f1", "f2"], "left")
     exact = F.coalesce(~own.eqNullSafe(F.col("o")) & F.col("o").isNotNull(), F.lit(False))
