@@ -38,7 +38,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark, "_strandline_scratch", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="strandline-")
         spark._strandline_scratch = base
@@ -72,13 +72,13 @@ def fold(column: str, parts: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(0))
 
 
-def semi_by_id(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def semi_by_id(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of df whose key is in ids (distinct).  Few ids are broadcast after counting them, more are shuffled."""
     small = ids.count() <= BROADCAST_IDS
     return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
 
 
-def anti_by_id(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def anti_by_id(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of df whose key is not in ids (distinct), null keys included; see semi_by_id."""
     small = ids.count() <= BROADCAST_IDS
     return df.join(F.broadcast(ids) if small else ids, key, "left_anti")

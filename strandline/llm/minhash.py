@@ -15,19 +15,21 @@ is left.  Only pairs of different components whose remaining weights at a shared
 compared.  That bound holds for every pair, so no link between components of a bucket is lost, whatever the bucket's size.
 
 Defined cases: a text of one to four words is a single shingle; a null text or one without words is alone in its class; a null
-doc_id is kept and alone; repeated rows of one document are copies of each other; the document with the smallest id of a
-class stays; an empty table gives an empty result.
+doc_id is kept and alone; repeated rows of one document are copies of each other; rows of different texts under one id are judged by
+their texts, each in its own class; the document with the smallest id of a class stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HOT_ROWS, WORD_LUT, anti_by_id, byte_chunks, components, materialise, mix64, semi_by_id, small_batches, split_join, word_hashes, words_of
+from .common import BROADCAST_IDS, HOT_ROWS, WORD_LUT, anti_by_id, byte_chunks, components, materialise, mix64, semi_by_id, small_batches, split_join, word_hashes, words_of
 from .labelled import unique_features
 
 SHINGLE = 5
@@ -137,18 +139,18 @@ def samples(key: np.ndarray, weight: np.ndarray, n_samples: int, tables, seed: i
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """id, f1, f2 (fingerprint of the word sequence; null without words), bands (one key per band)."""
+    """id, t (hash of the whole text), f1, f2 (fingerprint of the word sequence; null without words), bands (one key per band)."""
     model = docs.sparkSession.sparkContext.broadcast(idf)  # 2^DF_BITS floats
 
     def run(batches):
-        tables, names = sampling_tables(), ["id", "f1", "f2", "bands"]
+        tables, names = sampling_tables(), ["id", "t", "f1", "f2", "bands"]
         for batch in batches:
-            for lo, hi, data, offs in byte_chunks(batch.column(1), rows=ROWS):
+            for lo, hi, data, offs in byte_chunks(batch.column(2), rows=ROWS):
                 key, weight, h, doc = weighted_sets(data, offs, model.value)
-                ids = batch.column(0).slice(lo, hi - lo)
+                ids = [batch.column(i).slice(lo, hi - lo) for i in (0, 1)]
                 if not len(key):
                     none = pa.nulls(hi - lo, pa.int64())
-                    yield pa.RecordBatch.from_arrays([ids, none, none, pa.nulls(hi - lo, pa.list_(pa.int64()))], names)
+                    yield pa.RecordBatch.from_arrays([*ids, none, none, pa.nulls(hi - lo, pa.list_(pa.int64()))], names)
                     continue
                 have, s = samples(key, weight, bands * rows, tables)
                 key_of = np.zeros((len(have), bands), _U)
@@ -163,9 +165,9 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int =
                 take = pa.array(np.maximum(at, 0), mask=at < 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * bands), pa.array(key_of.ravel().view(np.int64)))
                 first_two = [pa.array(p.view(np.int64)).take(take) for p in prints]
-                yield pa.RecordBatch.from_arrays([ids, *first_two, lists.take(take)], names)
+                yield pa.RecordBatch.from_arrays([*ids, *first_two, lists.take(take)], names)
 
-    return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(run, "id long, f1 long, f2 long, bands array<long>")
+    return docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"), "text").mapInArrow(run, "id long, t long, f1 long, f2 long, bands array<long>")
 
 
 def similarities(a: pa.Array, b: pa.Array, idf: np.ndarray) -> np.ndarray:
@@ -192,11 +194,11 @@ def similarities(a: pa.Array, b: pa.Array, idf: np.ndarray) -> np.ndarray:
     return out
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose texts have the similarity or more.  pairs should be a table."""
-    model = texts.sparkSession.sparkContext.broadcast(idf)
+def verified(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], idf: np.ndarray, similarity: float) -> DataFrame:
+    """Pairs (a, b) whose texts have the similarity or more.  pairs should be a table; texts_of gives (id, text) for ids."""
+    model = pairs.sparkSession.sparkContext.broadcast(idf)
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    texts = semi_by_id(small_batches(texts), ids, "id")
+    texts = small_batches(texts_of(ids))
 
     def run(batches):
         for batch in batches:
@@ -238,15 +240,14 @@ def shingle_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
 
 def prefix_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
     """Pairs (x, y) of documents of apart (x, c: document and its component; one row each) in different components that a bound
-    doesn't rule out.
+    doesn't rule out.  texts: (id, text) of those documents.
 
     Shingles that only one of the documents has come first in the order and are left out, since nothing is shared there.
     ``rest`` is a document's weight from a shingle on.  Two documents of similarity s share s / (1 + s) of their summed
     weights, so at their first common shingle both have that much left; the lighter one then has 2 s / (1 + s) of its own
     weight left, the other one s.  Pairs inside the most frequent component of a shingle are not even looked at.
     """
-    ids = materialise(apart.select(F.col("x").alias("id")), "ids")
-    rows = materialise(shingle_rows(semi_by_id(texts, ids, "id").select("id", "text"), idf), "shingles")
+    rows = materialise(shingle_rows(texts, idf), "shingles")
     rows = rows.join(apart, "x").select("x", "t", "c", "total", F.explode("tokens").alias("s")).select("x", "t", "c", "total", "s.token", "s.w")
     shared = rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     onwards = Window.partitionBy("x", "t").orderBy(F.col("n").desc(), "token").rowsBetween(Window.unboundedPreceding, 0)
@@ -271,22 +272,34 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of its class) for every row with an id and words; others are absent."""
+    """doc_id, t (hash of the text), class_id (smallest doc_id of its class), class_key (the class's own name), kept - for every row
+    with an id and words; others are absent.
+
+    Equal word sequences are one node, numbered once and for all in a table: an id that rows with different texts repeat is in the
+    class of each of its texts, and joins no classes.
+    """
     idf = inverse_frequencies(*document_frequencies(docs))
     marks = materialise(signatures(docs, idf), "signatures").where("id is not null and f1 is not null")
-    copies = marks.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands"))
-    copies = materialise(copies, "copies")
-    # An id with several texts has several rows; its texts are compared under the id of their own class of copies.
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    if marks.select("id").count() != marks.select("id").distinct().count():
-        many = materialise(marks.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated")
-        texts = anti_by_id(texts, many, "id").union(semi_by_id(texts, many, "id").distinct())
+    row = F.struct("id", "t")
+    copies = marks.groupBy("f1", "f2").agg(F.min(row).alias("lead"), F.min_by("bands", row).alias("bands"))
+    copies = materialise(copies.withColumn("rep", F.monotonically_increasing_id()), "copies")
+    repeated = marks.select("id", "t").count() != marks.select("id", "t").distinct().count()
+    rows = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), "text")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """(id, text) of the nodes in ids."""
+        at = copies.select(F.col("rep").alias("id"), F.col("lead.id").alias("d"), F.col("lead.t").alias("t"))
+        at = materialise(semi_by_id(at, ids, "id"), "wanted")
+        few = at.count() <= BROADCAST_IDS
+        found = rows.join(F.broadcast(at) if few else at, ["d", "t"]).select("id", "text")
+        return found.dropDuplicates(["id"]) if repeated else found
+
     buckets = copies.select("rep", F.posexplode("bands").alias("band", "value"))
     buckets = materialise(buckets.select(F.xxhash64("band", "value").alias("key"), F.col("rep").alias("x")), "buckets")
     lead = materialise(buckets.groupBy("key").agg(F.min("x").alias("y"), F.max("x").alias("z")).where("y < z").select("key", "y"), "leads")
     buckets = materialise(split_join(buckets, lead, "key"), "buckets")  # of two documents or more, with the first one
     pairs = materialise(_ordered(buckets), "pairs")
-    links = materialise(verified(pairs, texts, idf, similarity), "verified")
+    links = materialise(verified(pairs, texts_of, idf, similarity), "verified")
 
     def apart(found: DataFrame) -> DataFrame:
         """Rows (key, x, c) of the buckets that hold more than one component."""
@@ -301,23 +314,35 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     near = split_join(rest, firsts, "key").select("x", "c", F.explode("leads").alias("l")).where("c != l.d").select("x", "l.y")
     pairs = materialise(_ordered(near).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        links = materialise(links.union(verified(pairs, texts, idf, similarity)), "verified")
+        links = materialise(links.union(verified(pairs, texts_of, idf, similarity)), "verified")
         rest = apart(links)
     rest = materialise(rest.select("x", "c").distinct(), "open")
     if not rest.isEmpty():
-        pairs = materialise(_ordered(prefix_pairs(rest, texts, idf, similarity)), "pairs")
-        links = materialise(links.union(verified(pairs, texts, idf, similarity)), "verified")
+        pairs = materialise(_ordered(prefix_pairs(rest, texts_of(rest.select(F.col("x").alias("id"))), idf, similarity)), "pairs")
+        links = materialise(links.union(verified(pairs, texts_of, idf, similarity)), "verified")
     comp = components(links).withColumnRenamed("node", "rep")
-    of_copies = copies.select("f1", "f2", "rep").join(comp, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("class_id"))
-    out = marks.select("id", "f1", "f2").join(of_copies, ["f1", "f2"]).select(F.col("id").alias("doc_id"), "class_id")
-    return out
+    linked = materialise(comp.join(copies.select("rep", "f1", "f2", "lead"), "rep"), "linked")
+    lead = linked.groupBy("component").agg(F.min("lead").alias("first"), F.min_by(F.struct("f1", "f2"), "lead").alias("key"))
+    linked = split_join(linked.select("component", "rep"), lead, "component").drop("component")
+    of_copies = copies.select("f1", "f2", "rep", "lead").join(linked, "rep", "left").select(
+        "f1", "f2", F.coalesce("first", "lead").alias("first"), F.coalesce("key", F.struct("f1", "f2")).alias("key")
+    )
+    key = F.lower(F.concat(F.lpad(F.hex("key.f1"), 16, "0"), F.lpad(F.hex("key.f2"), 16, "0")))
+    kept = (F.col("id") == F.col("first.id")) & (F.col("t") == F.col("first.t"))
+    out = marks.select("id", "t", "f1", "f2").join(of_copies, ["f1", "f2"])
+    return out.select(F.col("id").alias("doc_id"), "t", F.col("first.id").alias("class_id"), key.alias("class_key"), kept.alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row of docs: doc_id, class_id, kept (the document with the smallest id of its class)."""
-    grouped = classes(docs.select("doc_id", "text"), similarity).withColumn("grouped", F.lit(True))
-    rest = docs.where(F.col("doc_id").isNull() | F.col("text").isNull() | ~has_words()).select("doc_id", F.col("doc_id").alias("class_id"))
-    return grouped.drop("grouped").unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    """One row per row of docs: doc_id, class_id, kept, class_key.
+
+    class_id is the smallest id of the class and kept marks that document's rows.  Where rows of different texts repeat an id, two
+    classes may have the same smallest id: class_key tells them apart (null for rows without an id or words, each alone).
+    """
+    grouped = classes(docs.select("doc_id", "text"), similarity).drop("t")
+    rest = docs.where(F.col("doc_id").isNull() | F.col("text").isNull() | ~has_words())
+    rest = rest.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("string").alias("class_key"), F.lit(True).alias("kept"))
+    return grouped.unionByName(rest).select("doc_id", "class_id", "kept", "class_key")
 
 
 def has_words():
@@ -325,11 +350,18 @@ def has_words():
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents that stay; columns unchanged.  Repeated rows of a document that stays are one document."""
+    """The documents that stay; columns unchanged.
+
+    A class keeps the text with the smallest id (of one id's texts in a class, that with the smallest hash), so each text of a
+    repeated id is judged by its own class.  Of repeated rows of that text one stays: the first by all its columns as JSON.
+    """
     found = materialise(classes(docs.select("doc_id", "text"), similarity), "classes")
-    gone = materialise(found.where("doc_id != class_id").select("doc_id").distinct(), "gone")
-    kept = anti_by_id(docs, gone, "doc_id")
-    many = materialise(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    key, t = ["doc_id", "__near_text"], F.col("t").alias("__near_text")
+    gone = materialise(found.where("not kept").select("doc_id", t).distinct(), "gone")
+    kept = anti_by_id(docs.withColumn("__near_text", F.xxhash64("text")), gone, key)
+    many = materialise(found.where("kept").groupBy("doc_id", t).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
     if many.isEmpty():
-        return kept
-    return anti_by_id(kept, many, "doc_id").union(semi_by_id(kept, many, "doc_id").dropDuplicates(["doc_id"]))
+        return kept.select(*docs.columns)
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = semi_by_id(kept, many, key).groupBy(*key).agg(F.min_by(every, F.to_json(every)).alias("__row")).select("__row.*")
+    return anti_by_id(kept, many, key).select(*docs.columns).union(one)
