@@ -50,12 +50,11 @@ def rows_within(docs: DataFrame, picked: DataFrame, columns: list[str], group: s
     return [tuple(r)[2:] for r in sorted(got, key=lambda r: (r["doc_id"], r["__h"], str(r["__group"])))]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: list[str], per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> tuple[list, dict[int, int]]:
-    """Rows (*columns, label) of a bounded sample of the training fold, and the number of labelled documents per class.
+def labelled_ids(labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame | None, dict[int, int]]:
+    """doc_id, __y of the per_class smallest hashes of the id in each class of the training fold (None without labels), and the
+    number of labelled documents per class.
 
-    The sample takes the smallest hashes of the id in each class, so it is the same in every run: per_class documents and
-    most_bytes of text at most, texts of any length among them (one that no longer fits is passed over, the next are not).  Contradicting repeated
-    labels of one document count once, by the larger; null labels and labels other than 0 and 1 are left out.
+    Contradicting repeated labels of one document count once, by the larger; null labels and labels other than 0 and 1 are left out.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != 0)).groupBy("doc_id").agg(F.max(label).alias("__y"))
     counts = {int(r["__y"]): r["n"] for r in known.groupBy("__y").agg(F.count("*").alias("n")).collect()}
@@ -63,6 +62,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: lis
     for y in sorted(counts):
         part = known.where(F.col("__y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
+    return picked, counts
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: list[str], per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> tuple[list, dict[int, int]]:
+    """Rows (*columns, label) of a bounded sample of the training fold, and the number of labelled documents per class.
+
+    The sample takes the smallest hashes of the id in each class, so it is the same in every run: per_class documents and
+    most_bytes of text at most, texts of any length among them (one that no longer fits is passed over, the next are not).
+    """
+    picked, counts = labelled_ids(labels, label, per_class)
     if picked is None:
         return [], {}
     return rows_within(docs.where("text is not null"), picked, columns, "__y", most_bytes), counts
