@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lattice, linededup, minhash, mixing, quality, sharding, tokens, toxicity
+from . import collocations, decontam, langid, lattice, linededup, minhash, mixing, quality, rules, sharding, tokens, toxicity, trie
 from .common import scratch, table
 
 
@@ -56,6 +56,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,6 +81,9 @@ QUERIES = {
         op8_decontamination,
         op9_lattice_neighbours,
         op10_toxicity,
+        op11_decision_list,
+        op12_son_collocations,
+        op13_prefix_trie,
     )
 }
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -100,9 +115,37 @@ _VECTORS = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBL
  r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT k.b, r.c FROM r JOIN k ON k.a = r.vec_id)
  SELECT vec_id, (SELECT count(*) FROM k WHERE k.a = v.vec_id) AS n_links, (SELECT min(c) FROM r WHERE r.vec_id = v.vec_id) AS component_id, vec_id = (SELECT min(c) FROM r WHERE r.vec_id = v.vec_id) AS kept FROM v"""
 
+_PHRASES = """WITH w AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM (SELECT coalesce(lang, 'und') AS lang,
+   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece FROM documents) t),
+ n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+ g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) ks(k)) t),
+ f AS (SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+ c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1),
+ s AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+ x AS (SELECT s.lang, s.phrase, s.a, s.cut, l.f AS l, r.f AS r, (CAST(1000000 AS HUGEINT) * s.a * s.a) // (CAST(l.f AS HUGEINT) * r.f) AS score FROM s
+   JOIN f l ON l.lang = s.lang AND l.phrase = array_to_string(s.p[1:s.cut], ' ') JOIN f r ON r.lang = s.lang AND r.phrase = array_to_string(s.p[s.cut + 1:s.k], ' ')),
+ b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ o AS (SELECT lang, phrase, max(a) AS around FROM (SELECT lang, a, array_to_string(p[i:i + 1], ' ') AS phrase FROM (SELECT lang, a, p, unnest([1, 2]) AS i FROM c WHERE k = 3) t) t GROUP BY ALL)
+ SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n.n, CAST(score AS BIGINT) AS score
+  FROM b JOIN n ON n.lang = b.lang LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE around IS NULL OR 100 * around < 50 * a QUALIFY rank <= 2000"""
+_TRIE = """WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, k) - 1 AS i, k, words FROM (SELECT conv_id, turn, coalesce(role, '') AS role,
+   sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS k, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL) t),
+ h AS (SELECT conv_id, xor(list_reduce(list_concat([CAST(4294967295 AS UBIGINT)], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS UBIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+   lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t) d),
+ q AS (SELECT h.conv_id, t.i, k, words FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 20 AND t.i < h.h UNION ALL SELECT h.conv_id, t.i, k, words FROM h JOIN t ON t.conv_id = h.conv_id AND t.i >= h.h),
+ m AS (SELECT conv_id, row_number() OVER o AS d, list(k) OVER o AS p, words FROM q WINDOW o AS (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING) UNION ALL SELECT conv_id, 0, [], 0 FROM h),
+ n AS (SELECT p, d, min(conv_id) AS c, count(*) AS members, (count(*) - 1) * any_value(words) AS own FROM m GROUP BY p, d),
+ kids AS (SELECT p[1:d - 1] AS p, count(*) AS children FROM n WHERE d > 0 GROUP BY 1),
+ sub AS (SELECT p[1:j] AS p, count(CASE WHEN leaf THEN 1 END) AS leaves, CAST(sum(own) AS BIGINT) AS saved FROM (SELECT n.p, n.own, kids.p IS NULL AS leaf, unnest(range(0, d + 1)) AS j FROM n LEFT JOIN kids ON kids.p = n.p) t GROUP BY 1),
+ e AS (SELECT p, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, arg_max(p, d) AS p FROM m GROUP BY conv_id) t GROUP BY p)
+ SELECT n.c AS conv_id, n.d AS depth, up.c AS parent_conv_id, n.members AS n_convs, coalesce(children, 0) AS n_children, leaves AS n_leaves, saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+  FROM n LEFT JOIN kids ON kids.p = n.p JOIN sub ON sub.p = n.p LEFT JOIN e ON e.p = n.p LEFT JOIN n up ON n.d > 0 AND up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]"""
+
 #: Operators that DuckDB can express; the others are tested against brute force (tests/llm).
 ORACLES: dict[str, str] = {
     "op5_line_neighbourhood": _LINES,
     "op8_decontamination": _CONTAMINATION,
     "op9_lattice_neighbours": _VECTORS,
+    "op12_son_collocations": _PHRASES,
+    "op13_prefix_trie": _TRIE,
 }
