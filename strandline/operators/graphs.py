@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -163,47 +165,133 @@ def karyotype(cov: DataFrame, x_min: float, y_min: float) -> DataFrame:
 # ---------------------------------------------------------------- ranking and growth
 
 
-def greedy_rank(spark: SparkSession, carriers: DataFrame, steps: int, save, first: Sequence = (), related: DataFrame | None = None) -> DataFrame:
-    """Order members by greedy cover: most uncovered common sites, then most uncovered sites, then the smallest id.
+#: Candidates looked at together in the ranking, if they have so many uncovered sites at most; beyond that, FEW of them.
+CANDIDATES, CANDIDATE_SITES, FEW = 62, 200_000, 16
+#: Members that follow together once nothing is left to cover.
+TAIL = 2000
+#: Carrier classes of a site: a twentieth of the members or more, common, rare, one carrier.
+CLASSES = ("ge5", "common", "rare", "single")
+_RANK = "rank int, sample_id long, tier string, related_to long, relatedness double, new_common long, new_all long, " + ", ".join(f"cum_{c} long" for c in CLASSES)
 
-    carriers: site_id, sample_id, common (boolean).  first: placed at the top.  related: sample_a, sample_b - a relative of
-    a pick is held back, and the held-back are ranked the same way afterwards.  Members, relations and uncovered carriers stay
-    tables; each step is one aggregation of the uncovered carriers and brings one row to the driver.  save(df, name) keeps the
-    shrinking table of uncovered carriers.
+
+def carrier_classes(carriers: DataFrame, members: int, common_min: float) -> DataFrame:
+    """site_id, class (place in CLASSES) of every site by its carriers among so many members."""
+    n = carriers.groupBy("site_id").agg(F.count_distinct("sample_id").alias("n"))
+    kind = F.when(F.col("n") == 1, 3).when(F.col("n") / members >= 0.05, 0).when(F.col("n") / members >= common_min, 1).otherwise(2)
+    return n.select("site_id", kind.alias("class"))
+
+
+class _Cover:
+    """Uncovered sites of some members, counted by class and by which of them carry a site (a bit for each member)."""
+
+    def __init__(self, members: Sequence, rows: list):
+        self.bit = {m: i for i, m in enumerate(members)}
+        self.mask = np.array([r["mask"] for r in rows], np.int64)
+        self.kind = np.array([r["class"] for r in rows], np.int64)
+        self.n = np.array([r["n"] for r in rows], np.int64)
+        self.gain = np.zeros((len(members), 2), np.int64)  # common sites and all sites that each adds
+        self._count(np.arange(len(rows)), 1)
+
+    def _count(self, rows: np.ndarray, sign: int) -> None:
+        for i in range(len(self.gain)):
+            hit = rows[self.mask[rows] >> i & 1 == 1]
+            self.gain[i] += sign * np.array([self.n[hit][self.kind[hit] <= 1].sum(), self.n[hit].sum()])
+
+    def of(self, member) -> tuple[int, int]:
+        return tuple(map(int, self.gain[self.bit[member]]))
+
+    def take(self, member) -> np.ndarray:
+        """Sites per class that the member covers; they are gone for the others."""
+        hit = np.flatnonzero(self.mask >> self.bit[member] & 1 == 1)
+        new = np.bincount(self.kind[hit], self.n[hit], minlength=len(CLASSES)).astype(np.int64)
+        self._count(hit, -1)
+        keep = np.setdiff1d(np.arange(len(self.n)), hit)
+        self.mask, self.kind, self.n = self.mask[keep], self.kind[keep], self.n[keep]
+        return new
+
+
+def greedy_rank(spark: SparkSession, carriers: DataFrame, members: DataFrame, save, first: Sequence = (), related: DataFrame | None = None) -> DataFrame:
+    """Order all members by greedy cover: most uncovered common sites (class 0 and 1), then most uncovered sites, then the
+    cohort's order, with running totals of covered sites per class.
+
+    carriers: site_id, sample_id, class (one row a site and carrier); members: sample_id, position - who is ranked, with or without
+    sites.  first: placed at the top as given.  related: sample_a, sample_b, relatedness - who is related to a pick that is itself
+    not held back is held back, and the held-back are ranked the same way when nobody else is left.
+
+    What a member adds only falls, so its last count bounds it.  A round takes the members with the highest bounds and counts, in one job,
+    the uncovered sites by which of these members carry them.  That is enough to follow the greedy order among them exactly, and
+    picks are taken from it as long as no bound outside is higher; then their sites leave the table of uncovered carriers, written
+    once a round.  Once no bound is left above 0, the rest follows in the cohort's order.
+
+    The driver holds a few numbers a member (the result has as many rows), the relatives of a round's members, and the counts by carriers:
+    2^FEW of them, or CANDIDATE_SITES, in each class.
     """
-    left = save(carriers, "carriers")
-    pool = save(left.where("sample_id is not null").select("sample_id").distinct(), "members")
-    friends = None
+    left = save(carriers.select("site_id", "sample_id", "class"), "carriers")
+    place = {r["sample_id"]: (r["position"], r["sample_id"]) for r in members.select("sample_id", "position").collect()}
+    gains = left.groupBy("sample_id").agg(F.count_if(F.col("class") <= 1).alias("c"), F.count("*").alias("n"))
+    bound = dict.fromkeys(place, (0, 0)) | {r["sample_id"]: (r["c"], r["n"]) for r in gains.collect() if r["sample_id"] in place}
     if related is not None:
-        both = related.select("sample_a", "sample_b")
-        friends = save(both.union(both.select("sample_b", "sample_a")), "relatives")
-    picked: list[tuple] = []
-
-    def gains() -> DataFrame:
-        return left.groupBy("sample_id").agg(F.count_if("common").alias("c"), F.count("*").alias("n"))
-
-    def pick(member, tier: str, common: int, all_: int) -> None:
-        nonlocal left
-        picked.append((len(picked) + 1, member, tier, common, all_))
-        covered = left.where(F.col("sample_id") == member).select("site_id").distinct()
-        left = save(left.join(covered, "site_id", "left_anti"), "carriers")
-
-    for member in first:
-        got = gains().where(F.col("sample_id") == member).collect()
-        pick(member, "first", got[0]["c"] if got else 0, got[0]["n"] if got else 0)
-    while len(picked) < steps:
-        rest = pool.where(~F.col("sample_id").isin([p[1] for p in picked]))
-        if friends is not None:
-            of = friends.where(F.col("sample_a").isin([p[1] for p in picked if p[2] != "related"])).select(F.col("sample_b").alias("sample_id")).distinct()
-            rest = rest.join(of.withColumn("held", F.lit(1)), "sample_id", "left").withColumn("held", F.coalesce("held", F.lit(0)))
-        else:
-            rest = rest.withColumn("held", F.lit(0))
-        rest = rest.join(gains(), "sample_id", "left").select("sample_id", "held", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("n", F.lit(0)).alias("n"))
-        best = rest.orderBy("held", F.col("c").desc(), F.col("n").desc(), "sample_id").limit(1).collect()
-        if not best:
-            break
-        pick(best[0]["sample_id"], "related" if best[0]["held"] else "unrelated", best[0]["c"], best[0]["n"])
-    return spark.createDataFrame(picked, "rank int, sample_id long, tier string, new_common long, new_all long")
+        both = related.select("sample_a", "sample_b", "relatedness")
+        friends = save(both.union(both.select("sample_b", "sample_a", "relatedness")), "relatives")
+    pool, held, why, out, total = set(place), set(), {}, [], np.zeros(len(CLASSES), np.int64)
+    queue = [m for m in dict.fromkeys(first) if m in place]
+    before = lambda m: (-bound[m][0], -bound[m][1], place[m])
+
+    def relatives(some: Sequence) -> dict:
+        found: dict = {}
+        if related is not None:
+            for r in friends.where(F.col("sample_a").isin(list(some))).collect():
+                found.setdefault(r["sample_a"], []).append((r["sample_b"], r["relatedness"]))
+        return found
+
+    def pick(member, tier: str, new: tuple[int, int], covers: np.ndarray, near: dict) -> list:
+        """Places the member; who is held back for it."""
+        total[:] += covers
+        pool.discard(member)
+        held.discard(member)
+        out.append((len(out) + 1, member, tier, *(why.get(member, (None, None)) if tier == "related" else (None, None)), *new, *map(int, total)))
+        back = [(m, v) for m, v in near.get(member, []) if m in pool and m not in queue] if tier != "related" else []
+        for m, value in back:
+            pool.discard(m)
+            held.add(m)
+            why[m] = (member, value)
+        return [m for m, _ in back]
+
+    while pool or held:
+        tier = "first" if queue else "unrelated" if pool else "related"
+        waiting = queue[: CANDIDATES + 1] if queue else heapq.nsmallest(CANDIDATES + 1, pool or held, key=before)
+        if not queue and bound[waiting[0]][1] == 0:  # nothing is left to cover
+            order = sorted(pool or held, key=place.get)
+            for at in range(0, len(order), TAIL):
+                near = relatives(order[at : at + TAIL]) if tier != "related" else {}
+                for m in order[at : at + TAIL]:
+                    if m in pool or tier == "related":
+                        pick(m, tier, (0, 0), np.zeros(len(CLASSES), np.int64), near)
+            continue
+        some = waiting[:CANDIDATES]
+        if sum(bound[m][1] for m in some) > CANDIDATE_SITES:
+            some = waiting[:FEW]
+        rest = before(waiting[len(some)]) if len(waiting) > len(some) and not queue else None
+        mark = F.create_map(*[x for i, m in enumerate(some) for x in (F.lit(m), F.lit(1 << i).cast("long"))])
+        own = left.where(F.col("sample_id").isin(some)).withColumn("bit", F.element_at(mark, F.col("sample_id")))
+        masks = own.groupBy("site_id", "class").agg(F.bit_or("bit").alias("mask")).groupBy("mask", "class").agg(F.count("*").alias("n"))
+        cover, near = _Cover(some, masks.collect()), relatives(some) if tier != "related" else {}
+        open_, done = list(some), []
+        while open_:
+            order = lambda m: (-cover.of(m)[0], -cover.of(m)[1], place[m])
+            best = open_[0] if queue else min(open_, key=order)
+            if rest is not None and order(best) > rest:
+                break  # somebody outside may add more
+            queue = queue[1:]
+            new = cover.of(best)
+            back = pick(best, tier, new, cover.take(best), near)
+            done.append(best)
+            open_ = [m for m in open_ if m != best and m not in back]
+        bound.update({m: cover.of(m) for m in some})
+        if done and (pool or held):
+            covered = left.where(F.col("sample_id").isin(done)).select("site_id").distinct()
+            left = save(left.join(covered, "site_id", "left_anti"), "carriers")
+    return spark.createDataFrame(out, _RANK)
 
 
 def growth(hist: DataFrame, n: int) -> DataFrame:

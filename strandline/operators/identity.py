@@ -3,34 +3,138 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import pairs_within
+from .skew import quantiles
 
 
-def shared_sites(gt: DataFrame) -> DataFrame:
-    """Counts per pair of members over the sites both are called at: shared_hets, ibs0 and n.
+#: Members and sites of a block: a block's packed genotypes are 16 MB at most, the counters of two blocks 24 MB.
+MEMBER_BLOCK = 1024
+SITE_BLOCK = 4096
+HET, HOM, MISSING = 1, 2, 3
+#: Pairs of genotypes that are looked at together.
+STEP = 1 << 20
+_PAIR = "sample_a long, sample_b long, shared_hets long, ibs0 long, ibs2 long, n long, hets_a long, hets_b long"
 
-    gt: site_id, sample_id, alt, called.  The self join runs on sites, so its size follows the carriers of a site; the members
-    of a common site are dealt over several tasks.
-    """
-    full = gt.where("called = 2").select("site_id", "sample_id", "alt")
-    both = pairs_within(full, "site_id", "sample_id", ["alt"]).withColumnsRenamed({"sample_id_a": "sample_a", "sample_id_b": "sample_b"})
-    return both.groupBy("sample_a", "sample_b").agg(
-        F.count_if((F.col("alt_a") == 1) & (F.col("alt_b") == 1)).alias("shared_hets"),
-        F.count_if(F.abs(F.col("alt_a") - F.col("alt_b")) == 1).alias("ibs0"),
-        F.count("*").alias("n"),
-    )
 
+class _BlockPair:
+    """Counts over all sites of the members of two blocks (or of one with itself).
+
+    Only genotypes that are not called hom-ref are given.  What hom-ref is counted in follows from each member's own counts and from
+    the sites at which both members have a row, so no dense genotypes are made.
+    """
 
-def with_relatedness(pairs: DataFrame, gt: DataFrame) -> DataFrame:
-    """(shared hets - 2 ibs0) / the smaller number of hets of the two."""
-    hets = gt.where("alt = 1 and called = 2").groupBy("sample_id").agg(F.count("*").alias("h"))
-    named = lambda side: hets.select(F.col("sample_id").alias(f"sample_{side}"), F.col("h").alias(f"h{side}"))
-    joined = pairs.join(named("a"), "sample_a").join(named("b"), "sample_b")
-    return joined.withColumn("relatedness", F.try_divide(F.col("shared_hets") - 2.0 * F.col("ibs0"), F.least("ha", "hb"))).drop("ha", "hb")
+    def __init__(self, low: int, high: int, size: int):
+        self.low, self.high, self.size = low, high, size
+        self.sums = np.zeros((6, size * size), np.int64)  # shared, het and het, same, both missing, rows of both, hom with a row
+        self.own = np.zeros((2, 4, size), np.int64)  # rows by code of each member
+
+    def _decoded(self, packed: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        code, rest = packed & 3, packed >> 2
+        member = rest % self.size
+        self.own[side] += np.bincount(code * self.size + member, minlength=4 * self.size).reshape(4, self.size)
+        return rest // self.size, member, code
+
+    def add(self, first: np.ndarray | None, second: np.ndarray | None) -> None:
+        """Packed genotypes (site, member, code; sorted) of one block of sites; those of one block come alone, as first."""
+        a = None if first is None else self._decoded(first, 0)
+        b = a if self.low == self.high else None if second is None else self._decoded(second, 1)
+        if a is None or b is None:
+            return
+        begin, end = np.searchsorted(b[0], a[0], "left"), np.searchsorted(b[0], a[0], "right")
+        until = np.cumsum(end - begin)
+        lo = 0
+        while lo < len(until):
+            hi = max(lo + 1, int(np.searchsorted(until, (until[lo - 1] if lo else 0) + STEP, "right")))
+            many = (end - begin)[lo:hi]
+            left = np.repeat(np.arange(lo, hi), many)
+            right = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin[lo:hi], many)
+            x, y = a[2][left], b[2][right]
+            at = a[1][left] * self.size + b[1][right]
+            for i, hit in enumerate(((x < 3) & (y < 3), (x == HET) & (y == HET), (x == y) & (x < 3), (x == MISSING) & (y == MISSING), None)):
+                self.sums[i] += np.bincount(at if hit is None else at[hit], minlength=self.sums.shape[1])
+            for hit in (x == HOM, y == HOM):
+                self.sums[5] += np.bincount(at[hit], minlength=self.sums.shape[1])
+            lo = hi
+
+    def rows(self, sites: int, every: bool):
+        """Record batches of the pairs that share a site at which both carry an allele, or of every pair."""
+        own = self.own if self.low != self.high else self.own[[0, 0]]
+        have = own[:, 1:].sum(axis=1)
+        wanted = (have[0][:, None] > 0) & (have[1][None, :] > 0) if every else self.sums[0].reshape(self.size, self.size) > 0
+        if self.low == self.high:
+            wanted = np.triu(wanted, 1)
+        i, j = np.nonzero(wanted)
+        for at in range(0, len(i), 1 << 16):
+            a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            _, hets, same, missing, rows, homs = self.sums[:, a * self.size + b]
+            ibs0 = own[0][HOM][a] + own[1][HOM][b] - homs
+            n = sites - own[0][MISSING][a] - own[1][MISSING][b] + missing
+            ibs2 = same + sites - have[0][a] - have[1][b] + rows
+            columns = [self.low * self.size + a, self.high * self.size + b, hets, ibs0, ibs2, n, own[0][HET][a], own[1][HET][b]]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], [c.split()[0] for c in _PAIR.split(", ")])
+
+
+def pair_counts(gt: DataFrame, every: bool = False, member_block: int = MEMBER_BLOCK, site_block: int = SITE_BLOCK) -> DataFrame:
+    """Counts per pair of members over the sites both are fully called at: shared_hets, ibs0 (hom-ref against hom-alt), ibs2 (the same
+    genotype), n, and the hets of each.  Pairs that carry an allele at a common site, or every pair of members with a row.
+
+    gt: site_id, sample_id, alt, called; a member without a row at a site is called hom-ref there, one with fewer than two called alleles
+    is missing.  Genotypes are packed by blocks of members and sites; each pair of member blocks is one group of rows, passed site block
+    by site block over counters of fixed size.  So what is exchanged is each packed block once for every block of members, and
+    never a row for a site and a pair; a site that everybody carries is no larger than its blocks.
+    """
+    code = F.when(F.coalesce("called", F.lit(0)) < 2, MISSING).otherwise(F.coalesce("alt", F.lit(0)))
+    rows = gt.select("site_id", "sample_id", code.alias("code")).where("code > 0")
+    by = lambda c, n: F.floor(F.col(c) / n).cast("long")
+    packed = ((F.pmod("site_id", F.lit(site_block)) * member_block + F.pmod("sample_id", F.lit(member_block))) * 4 + F.col("code")).cast("int")
+    blocks = rows.groupBy(by("sample_id", member_block).alias("block"), by("site_id", site_block).alias("stretch")).agg(F.sort_array(F.collect_list(packed)).alias("packed"))
+    known = sorted(r["block"] for r in rows.select(by("sample_id", member_block).alias("block")).distinct().collect())  # one for a block of members
+    sites = gt.select("site_id").distinct().count()
+    other = F.explode(F.array(*[F.lit(k).cast("long") for k in known])) if known else F.lit(None).cast("long")
+    dealt = blocks.withColumn("other", other).select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "stretch", "block", "packed")
+    dealt = dealt.repartition("low", "high").sortWithinPartitions("low", "high", "stretch", "block")
+
+    def run(batches):
+        now, held = None, None
+        for batch in batches:
+            low, high, stretch, block = (c.to_pylist() for c in batch.columns[:4])
+            for i in range(len(batch)):
+                if now is None or (now.low, now.high) != (low[i], high[i]):
+                    if now is not None:
+                        if held is not None:
+                            now.add(held[1], None)
+                        yield from now.rows(sites, every)
+                    now, held = _BlockPair(low[i], high[i], member_block), None
+                own = batch.column(4)[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+                if held is not None and held[0] != stretch[i]:
+                    now.add(held[1], None)
+                    held = None
+                if block[i] == high[i] != low[i]:
+                    now.add(held[1] if held is not None else None, own)
+                    held = None
+                else:
+                    held = (stretch[i], own)
+        if now is not None:
+            if held is not None:
+                now.add(held[1], None)
+            yield from now.rows(sites, every)
+
+    return dealt.mapInArrow(run, _PAIR)
+
+
+def with_relatedness(pairs: DataFrame) -> DataFrame:
+    """(shared hets - 2 ibs0) / the smaller number of hets of the two; null where one has none."""
+    return pairs.withColumn("relatedness", F.try_divide(F.col("shared_hets") - 2.0 * F.col("ibs0"), F.least("hets_a", "hets_b"))).drop("hets_a", "hets_b")
+
+
+def relatedness(gt: DataFrame) -> DataFrame:
+    return with_relatedness(pair_counts(gt))
 
 
 def pedigree(members: DataFrame) -> DataFrame:
@@ -79,51 +183,77 @@ def resolve_sex(df: DataFrame, xx_min: float, xy_max: float) -> DataFrame:
     return out.select("sample_id", F.coalesce(sheet, "coverage_sex", called, F.lit("")).alias("sex"), source.alias("source"), F.array_join(said, "; ").alias("messages"))
 
 
-def qc_members(pairs: DataFrame, samples: DataFrame) -> DataFrame:
+def qc_members(pairs: DataFrame, samples: DataFrame, close: float = 0.2) -> DataFrame:
     """Per member: het ratio, number of close pairs and the largest relatedness."""
     both = pairs.select(F.col("sample_a").alias("sample_id"), "relatedness").unionByName(pairs.select(F.col("sample_b").alias("sample_id"), "relatedness"))
-    near = both.groupBy("sample_id").agg(F.count_if(F.col("relatedness") >= 0.2).alias("close_pairs"), F.round(F.max("relatedness"), 6).alias("max_relatedness"))
+    near = both.groupBy("sample_id").agg(F.count_if(F.col("relatedness") >= close).alias("close_pairs"), F.round(F.max("relatedness"), 6).alias("max_relatedness"))
     return samples.select("sample_id", F.round(F.try_divide(F.col("n_het"), F.col("n_called")), 6).alias("het_ratio")).join(near, "sample_id", "left")
 
 
-def identity_flags(pairs: DataFrame, members: DataFrame, duplicate: float, related: float) -> DataFrame:
-    """Rows (sample_id, code, severity): duplicates, undeclared relatives, failed parents and het outliers.
+def identity_flags(pairs: DataFrame, members: DataFrame, hubs: DataFrame, duplicate: float, related: float, parent: tuple[float, float], mads: float, save) -> DataFrame:
+    """Rows (sample_id, code, severity): duplicates, undeclared relatives (neither of them a hub), hubs, parents outside their range,
+    het outliers and sex mismatches.
 
-    pairs: sample_a, sample_b, relatedness, expected (null if not declared); members: sample_id, het_ratio, sex, called_sex.
+    pairs: sample_a, sample_b, relatedness, expected (null if not declared); members: sample_id, het_ratio, sex, called_sex;
+    hubs: sample_id.
     """
-    kind = (
-        F.when(F.col("relatedness") >= duplicate, "duplicate")
-        .when((F.col("relatedness") >= related) & F.col("expected").isNull(), "related")
-        .when((F.col("expected") > 0) & (F.col("relatedness") < related), "pedigree_mismatch")
-    )
-    of_pairs = pairs.withColumn("code", kind).where("code is not null").select(F.explode(F.array("sample_a", "sample_b")).alias("sample_id"), "code").distinct()
-    middle = members.agg(F.median("het_ratio").alias("med"))
-    spread = members.crossJoin(F.broadcast(middle)).agg(F.first("med").alias("med"), F.median(F.abs(F.col("het_ratio") - F.col("med"))).alias("mad"))
-    odd = members.crossJoin(F.broadcast(spread)).where((F.col("mad") > 0) & (F.abs(F.col("het_ratio") - F.col("med")) > 3 * 1.4826 * F.col("mad"))).select("sample_id", F.lit("het_outlier").alias("code"))
+    declared = F.coalesce("expected", F.lit(0.0)) > 0
+    ends = hubs.select("sample_id")
+    kind = F.when(F.col("relatedness") >= duplicate, "duplicate").when((F.col("relatedness") >= related) & ~declared, "related")
+    found = pairs.withColumn("code", kind).where("code is not null").select("sample_a", "sample_b", "code")
+    clear = found.where("code = 'related'")
+    for side in ("sample_a", "sample_b"):
+        clear = clear.join(ends.withColumnRenamed("sample_id", side), side, "left_anti")
+    off = pairs.where(declared & ~F.col("relatedness").between(*parent)).select("sample_a", "sample_b", F.lit("pedigree_mismatch").alias("code"))
+    both = found.where("code = 'duplicate'").unionByName(clear).unionByName(off)
+    of_pairs = both.select(F.explode(F.array("sample_a", "sample_b")).alias("sample_id"), "code").distinct()
+    of_hubs = ends.distinct().select("sample_id", F.lit("related_hub").alias("code"))
+    odd = median_outliers(members.select("sample_id", "het_ratio"), "het_ratio", mads, save).select("sample_id", F.lit("het_outlier").alias("code"))
     sex = members.where("sex <> '' and called_sex is not null and sex <> called_sex").select("sample_id", F.lit("sex_mismatch").alias("code"))
-    level = F.when(F.col("code").isin("duplicate", "sex_mismatch", "pedigree_mismatch"), "fail").otherwise("warn")
-    return of_pairs.unionByName(odd).unionByName(sex).withColumn("severity", level)
+    level = F.when(F.col("code").isin("duplicate", "sex_mismatch", "pedigree_mismatch", "related_hub"), "fail").otherwise("warn")
+    return of_pairs.unionByName(of_hubs).unionByName(odd).unionByName(sex).withColumn("severity", level)
+
+
+def median_outliers(rows: DataFrame, value: str, mads: float, save, least: int = 4) -> DataFrame:
+    """Rows further from the median than so many scaled median deviations; none if fewer than least values or no deviation."""
+    rows = save(rows, "values")
+    middle = quantiles(rows, [], value, {"med": 0.5}, save)
+    away = save(rows.crossJoin(F.broadcast(middle)).withColumn("away", F.abs(F.col(value) - F.col("med"))), "away")  # one row beside each
+    spread = quantiles(away, [], "away", {"mad": 0.5}, save)
+    far = away.crossJoin(F.broadcast(spread.withColumnRenamed("n", "values")))
+    return far.where((F.col("values") >= least) & (F.col("mad") > 0) & (F.col("away") > mads * 1.4826 * F.col("mad"))).select(*rows.columns)
 
 
-def related_hubs(spark: SparkSession, pairs: DataFrame, lo: float, hi: float, hub_min: int, save) -> DataFrame:
-    """Hubs peeled off one by one, the most connected first, until no member has hub_min related pairs.
+def related_hubs(pairs: DataFrame, lo: float, hi: float, hub_min: int, save) -> DataFrame:
+    """Hubs (sample_id, degree when it left) as peeled off one by one, the most connected first, until no member has hub_min related
+    pairs.  Ties go to the larger id; pairs with an ``expected`` above 0 are declared and don't count, if that column is there.
 
-    save(df, name) writes a table and reads it back.  Each round is one aggregation of the remaining pairs; one row (the
-    hub) reaches the driver.  Ties go to the larger id.
+    Only candidates (members with hub_min pairs or more) and the pairs between them matter: degrees only fall, so no other member
+    becomes one.  A candidate that comes before all its neighbours keeps its pairs until its turn, whatever is peeled elsewhere; so all
+    such candidates leave together.  A round lowers the degrees of their neighbours by what left; the number of rounds grows with
+    the longest chain of falling candidates and not with the hubs.  State is kept in tables by save(df, name).
     """
-    edges = save(pairs.where((F.col("relatedness") >= lo) & (F.col("relatedness") < hi)).select("sample_a", "sample_b"), "edges")
-    hubs: list[tuple] = []
+    near = (F.col("relatedness") >= lo) & (F.col("relatedness") < hi)
+    if "expected" in pairs.columns:
+        near &= ~(F.coalesce("expected", F.lit(0.0)) > 0)
+    edges = pairs.where(near).select(F.col("sample_a").alias("u"), F.col("sample_b").alias("v"))
+    edges = save(edges.union(edges.select("v", "u")), "edges")  # both ways
+    able = save(edges.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= hub_min), "candidates")
+    edges = save(edges.join(able.select("u"), "u", "left_semi").join(able.select(F.col("u").alias("v")), "v", "left_semi").select("u", "v"), "edges")
+    state = save(able.withColumn("left", F.lit(False)), "hubs")
+    rounds = [state]
     while True:
-        degree = edges.select(F.explode(F.array("sample_a", "sample_b")).alias("m")).groupBy("m").agg(F.count("*").alias("n"))
-        top = degree.orderBy(F.col("n").desc(), F.col("m").desc()).limit(1).collect()
-        if not top or top[0]["n"] < hub_min:
+        able = state.where(~F.col("left") & (F.col("n") >= hub_min)).select("u", "n")
+        if able.isEmpty():
             break
-        hubs.append((top[0]["m"], top[0]["n"]))
-        gone = [h for h, _ in hubs]
-        edges = edges.where(~F.col("sample_a").isin(*gone[-1:]) & ~F.col("sample_b").isin(*gone[-1:]))
-        if len(hubs) % 10 == 0:
-            edges = save(edges, "edges")
-    return spark.createDataFrame(hubs, "sample_id long, degree long")
+        between = edges.join(able, "u").join(able.select(F.col("u").alias("v"), F.col("n").alias("m")), "v")
+        beaten = between.where(F.struct("n", "u") < F.struct("m", "v")).select("u").distinct().withColumn("beaten", F.lit(True))
+        marked = able.join(beaten, "u", "left").select("u", "n", F.col("beaten").isNull().alias("left"))
+        lost = edges.join(marked.where("left").select("u"), "u", "left_semi").groupBy(F.col("v").alias("u")).agg(F.count("*").alias("lost"))
+        lower = F.when(F.col("left"), F.col("n")).otherwise(F.col("n") - F.coalesce("lost", F.lit(0)))
+        state = save(marked.join(lost, "u", "left").select("u", lower.alias("n"), "left"), "hubs")
+        rounds.append(state)
+    return reduce(DataFrame.union, rounds).where("left").select(F.col("u").alias("sample_id"), F.col("n").alias("degree"))
 
 
 def connected(edges: DataFrame, save) -> DataFrame:

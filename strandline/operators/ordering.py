@@ -26,12 +26,26 @@ def next_attempt(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return runs.groupBy(*keys).agg((F.max("attempt") + 1).cast("long").alias("next_attempt"))
 
 
-def closest(pairs: DataFrame, value: str = "relatedness") -> DataFrame:
-    """Each member's closest relative: pairs are read both ways; the first by value, then by id."""
-    both = pairs.select(F.col("sample_a").alias("sample_id"), F.col("sample_b").alias("relative"), value)
-    both = both.unionByName(pairs.select(F.col("sample_b").alias("sample_id"), F.col("sample_a").alias("relative"), value))
-    best = F.max_by(F.struct("relative", value), F.struct(F.col(value), -F.col("relative"))).alias("best")
-    return both.where(F.col(value).isNotNull()).groupBy("sample_id").agg(best).select("sample_id", "best.*")
+def closest(pairs: DataFrame, hubs: DataFrame | None = None, value: str = "relatedness") -> DataFrame:
+    """Each member's closest relative: pairs are read both ways; the first by value, then by id.
+
+    With hubs (sample_id), also the closest where neither is one: clean_relative, clean_relatedness and clean_ibs0; null for hubs and members
+    that only hubs are listed with.
+    """
+    extra = [] if hubs is None else ["ibs0", "clear"]
+    if hubs is not None:
+        gone = lambda side: hubs.select(F.col("sample_id").alias(f"sample_{side}"), F.lit(True).alias(f"hub_{side}"))
+        pairs = pairs.join(gone("a"), "sample_a", "left").join(gone("b"), "sample_b", "left").withColumn("clear", F.col("hub_a").isNull() & F.col("hub_b").isNull())
+    both = pairs.select(F.col("sample_a").alias("sample_id"), F.col("sample_b").alias("relative"), value, *extra)
+    both = both.unionByName(pairs.select(F.col("sample_b").alias("sample_id"), F.col("sample_a").alias("relative"), value, *extra))
+    order = F.struct(F.col(value), -F.col("relative"))
+    found = [F.max_by(F.struct("relative", value), order).alias("best")]
+    named = ["best.*"]
+    if hubs is not None:
+        row = F.struct(F.col("relative").alias("clean_relative"), F.col(value).alias(f"clean_{value}"), F.col("ibs0").alias("clean_ibs0"))
+        found.append(F.max_by(row, F.when(F.col("clear"), order)).alias("clean"))
+        named.append("clean.*")
+    return both.where(F.col(value).isNotNull()).groupBy("sample_id").agg(*found).select("sample_id", *named)
 
 
 def lead_rows(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:

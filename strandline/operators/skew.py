@@ -33,20 +33,6 @@ def join_one(rows: DataFrame, ones: DataFrame, keys: Sequence[str], counts: Data
     return dealt.join(repeated, [*keys, "__part"]).drop("__part")
 
 
-def pairs_within(rows: DataFrame, key: str, member: str, values: Sequence[str], part_rows: int = 2000) -> DataFrame:
-    """Pairs (member_a < member_b) of the rows of each key, with the values of both as <value>_a and <value>_b.
-
-    The rows of a frequent key are dealt over parts on one side and repeated for each part on the other, so no task pairs
-    more than about part_rows rows with all rows of a key.
-    """
-    n = rows.groupBy(key).agg(F.ceil(F.count("*") / part_rows).cast("int").alias("__parts"))
-    rows = rows.join(n, key)
-    side = lambda df, s: df.select(key, "__part", *[F.col(c).alias(f"{c}_{s}") for c in (member, *values)])
-    a = side(rows.withColumn("__part", F.pmod(F.xxhash64(member), F.col("__parts")).cast("int")), "a")
-    b = side(rows.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))), "b")
-    return a.join(b, [key, "__part"]).where(F.col(f"{member}_a") < F.col(f"{member}_b")).drop("__part")
-
-
 def ordered_counts(counted: DataFrame, keys: Sequence[str], value: str, save: Save | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """counted (keys, value, n; one row per keys and value) with ``before``: the sum of n of smaller values of the same keys,
     and ``bucket``: the ordered bucket of the value.
@@ -69,3 +55,36 @@ def ordered_counts(counted: DataFrame, keys: Sequence[str], value: str, save: Sa
     sizes = rows.groupBy(*keys, "bucket").agg(F.sum("n").alias("__n"))  # one row per keys and bucket
     sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(across), F.lit(0))).drop("__n")
     return rows.join(sizes, [*keys, "bucket"]).withColumn("before", F.col("before") + F.col("__before")).drop("__before")
+
+
+def quantiles(rows: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], save: Save | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """keys, n (values that are not null) and a column for each share: the exact quantile, interpolated between its two neighbours.
+
+    Equal values are counted once and numbered over ordered buckets (see ordered_counts); a quantile then lies on the one or two values
+    whose numbers hold its place.  No task has all values of a key.
+    """
+    return _placed(rows, keys, value, shares, save, bucket_rows, True)
+
+
+def order_statistics(rows: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], save: Save | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """As quantiles, without interpolation: the first value with at least the share of all values at or below it."""
+    return _placed(rows, keys, value, shares, save, bucket_rows, False)
+
+
+def _placed(rows: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], save: Save | None, bucket_rows: int, between: bool) -> DataFrame:
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("n"))
+    ranked = ordered_counts(counted, keys, "__v", save, bucket_rows)
+    total = counted.groupBy(*keys).agg(F.sum("n").alias("__total"))
+    at = ranked.join(total, list(keys)) if keys else ranked.crossJoin(F.broadcast(total))  # one row
+    found = []
+    for name, p in shares.items():
+        place = F.lit(p) * (F.col("__total") - 1) if between else F.greatest(F.ceil(F.lit(p) * F.col("__total")) - 1, F.lit(0))
+        low = F.floor(place)
+        holds = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
+        under, over = (F.max(F.when(holds(k), F.col("__v"))) for k in (low, F.ceil(place)))
+        found += [under.alias(f"__low_{name}"), over.alias(f"__high_{name}"), F.max(place - low).alias(f"__part_{name}")]
+    out = at.groupBy(*keys).agg(F.max("__total").alias("n"), *found)
+    if not keys:
+        out = out.where("n is not null")
+    step = lambda c: F.col(f"__low_{c}") + (F.col(f"__high_{c}") - F.col(f"__low_{c}")) * F.col(f"__part_{c}") if between else F.col(f"__low_{c}")
+    return out.select(*keys, "n", *[step(c).alias(c) for c in shares])

@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ready
+from ..session import ready, shared_folder
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -60,12 +60,15 @@ VIEWS: dict[str, str] = {
         p_size / 10 AS benign_min, p_size AS benign_max, p_size + 5 AS intermediate_min, p_size + 10 AS intermediate_max,
         CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size + 11 END AS pathogenic_min,
         CASE WHEN p_size % 9 = 0 THEN 'no' ELSE 'yes' END AS assessable FROM {part}""",
-    # relatives: pairs of members that share sites
-    "pairs": """SELECT a.sample_id AS sample_a, b.sample_id AS sample_b,
-        count(CASE WHEN a.alt = 1 AND b.alt = 1 THEN 1 END) AS shared_hets,
-        count(CASE WHEN (a.alt = 2 AND b.alt = 1) OR (a.alt = 1 AND b.alt = 2) THEN 1 END) AS ibs0, count(*) AS n
-        FROM {genotypes} a JOIN {genotypes} b ON a.site_id = b.site_id AND a.sample_id < b.sample_id
-        WHERE a.called = 2 AND b.called = 2 GROUP BY a.sample_id, b.sample_id""",
+    # relatives: pairs of members that carry an allele at a common site; a member without a row at a site is called hom-ref there, one
+    # with fewer than two called alleles is missing.  What hom-ref is counted in follows from each member's own counts.
+    "pairs": """WITH g AS (SELECT site_id, sample_id, CASE WHEN called < 2 THEN 3 ELSE alt END AS code FROM {genotypes}), s AS (SELECT count(DISTINCT site_id) AS sites FROM {genotypes}),
+        t AS (SELECT sample_id, count(*) AS r, count(CASE WHEN code = 1 THEN 1 END) AS het, count(CASE WHEN code = 2 THEN 1 END) AS hom, count(CASE WHEN code = 3 THEN 1 END) AS miss FROM g WHERE code > 0 GROUP BY sample_id),
+        j AS (SELECT a.sample_id AS sample_a, b.sample_id AS sample_b, count(CASE WHEN a.code < 3 AND b.code < 3 THEN 1 END) AS shared, count(CASE WHEN a.code = 1 AND b.code = 1 THEN 1 END) AS hets,
+         count(CASE WHEN a.code = b.code AND a.code < 3 THEN 1 END) AS same, count(CASE WHEN a.code = 3 AND b.code = 3 THEN 1 END) AS miss, count(*) AS r, count(CASE WHEN a.code = 2 THEN 1 END) + count(CASE WHEN b.code = 2 THEN 1 END) AS hom
+         FROM g a JOIN g b ON a.site_id = b.site_id AND a.sample_id < b.sample_id WHERE a.code > 0 AND b.code > 0 GROUP BY a.sample_id, b.sample_id)
+        SELECT j.sample_a, j.sample_b, j.hets AS shared_hets, x.hom + y.hom - j.hom AS ibs0, j.same + s.sites - x.r - y.r + j.r AS ibs2, s.sites - x.miss - y.miss + j.miss AS n, x.het AS hets_a, y.het AS hets_b
+        FROM j JOIN t x ON x.sample_id = j.sample_a JOIN t y ON y.sample_id = j.sample_b CROSS JOIN s WHERE j.shared > 0""",
     # cell composition: fractions of a vector's magnitude
     "fractions": """SELECT vec_id AS sample_id, cell, fraction FROM (SELECT v.vec_id, v.cell, abs(v.x) / sum(abs(v.x)) OVER (PARTITION BY v.vec_id) AS fraction
         FROM {cells} v) t""",
@@ -97,11 +100,9 @@ class Bound:
     @cached_property
     def scratch(self) -> str:
         """A fresh folder that driver and executors share."""
-        import tempfile
         import uuid
 
-        base = self.spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="strandline-")
-        return f"{base.rstrip('/')}/{uuid.uuid4().hex[:12]}"
+        return f"{shared_folder(self.spark)}/{uuid.uuid4().hex[:12]}"
 
 
 def needed(text: str) -> list[str]:

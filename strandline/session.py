@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -20,3 +21,16 @@ def ready(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Only where they are one process (``local``) may the session name none: a temporary folder is then taken, one for a session.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark, "_strandline_folder", None)
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":  # local-cluster has executors of its own
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = spark._strandline_folder = tempfile.mkdtemp(prefix="strandline-")
+    return base.rstrip("/")
