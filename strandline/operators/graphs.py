@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import admit_reason, allele_id, log_factorial
+from .skew import quantiles
 
 
 def graph_sites(records: DataFrame, least: int, most: int) -> tuple[DataFrame, DataFrame]:
@@ -306,13 +307,13 @@ def growth(hist: DataFrame, n: int) -> DataFrame:
     return rows.groupBy("k").agg(F.sum(F.col("sites") * (1 - ratio(F.lit(n) - F.col("c"), F.col("k")))).alias("union"), F.sum(F.col("sites") * ratio(F.col("c"), F.col("k"))).alias("core"))
 
 
-def held_out(carriers: DataFrame, order: DataFrame, checkpoints: Sequence[int]) -> DataFrame:
+def held_out(carriers: DataFrame, order: DataFrame, checkpoints: Sequence[int], save=None) -> DataFrame:
     """Share of later members' sites first covered before position K: median, 5th percentile and minimum per K."""
     placed = carriers.select("site_id", "sample_id").join(order.select("sample_id", "rank"), "sample_id")
     first = placed.groupBy("site_id").agg(F.min("rank").alias("first"))
     rows = placed.join(first, "site_id").withColumn("k", F.explode(F.array(*[F.lit(k) for k in checkpoints]))).where(F.col("rank") > F.col("k"))
     shares = rows.groupBy("k", "sample_id").agg(F.avg((F.col("first") <= F.col("k")).cast("int")).alias("share"))
-    return shares.groupBy("k").agg(F.median("share").alias("median"), F.percentile("share", 0.05).alias("p05"), F.min("share").alias("min"), F.count("*").alias("n"))
+    return quantiles(save(shares, "shares") if save else shares, ["k"], "share", {"median": 0.5, "p05": 0.05, "min": 0.0}, save)
 
 
 def call_stats(sites: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import quantiles
+from .skew import spreads
 
 
 #: Members and sites of a block: a block's packed genotypes are 16 MB at most, the counters of two blocks 24 MB.
@@ -217,11 +217,9 @@ def identity_flags(pairs: DataFrame, members: DataFrame, hubs: DataFrame, duplic
 def median_outliers(rows: DataFrame, value: str, mads: float, save, least: int = 4) -> DataFrame:
     """Rows further from the median than so many scaled median deviations; none if fewer than least values or no deviation."""
     rows = save(rows, "values")
-    middle = quantiles(rows, [], value, {"med": 0.5}, save)
-    away = save(rows.crossJoin(F.broadcast(middle)).withColumn("away", F.abs(F.col(value) - F.col("med"))), "away")  # one row beside each
-    spread = quantiles(away, [], "away", {"mad": 0.5}, save)
-    far = away.crossJoin(F.broadcast(spread.withColumnRenamed("n", "values")))
-    return far.where((F.col("values") >= least) & (F.col("mad") > 0) & (F.col("away") > mads * 1.4826 * F.col("mad"))).select(*rows.columns)
+    far = rows.crossJoin(F.broadcast(spreads(rows, [], value, save)))  # one row beside each
+    away = F.abs(F.col(value) - F.col("median"))
+    return far.where((F.col("n") >= least) & (F.col("mad") > 0) & (away > mads * 1.4826 * F.col("mad"))).select(*rows.columns)
 
 
 def related_hubs(pairs: DataFrame, lo: float, hi: float, hub_min: int, save) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import Save, quantiles, spreads
+
 
 def background(profiles: DataFrame, leave_one_out: bool = False) -> DataFrame:
     """Per region and label: datasets, mean and standard deviation of the value (and per member without itself).
@@ -87,10 +89,10 @@ def annotate_regions(df: DataFrame, regions: DataFrame, key: str, defaults: dict
 # ---------------------------------------------------------------- cell composition
 
 
-def composition_stats(fractions: DataFrame, quantiles) -> DataFrame:
+def composition_stats(fractions: DataFrame, weighted) -> DataFrame:
     """Per cell type: median, nearest-rank p5 and p95, maximum and members with at least 5 %."""
     counts = fractions.groupBy("cell", "fraction").agg(F.count("*").alias("w"))
-    q = quantiles(counts, "cell", "fraction", "w", {"p5": 0.05, "p95": 0.95}).select("cell", "median", "p5", "p95")
+    q = weighted(counts, "cell", "fraction", "w", {"p5": 0.05, "p95": 0.95}).select("cell", "median", "p5", "p95")
     return fractions.groupBy("cell").agg(F.max("fraction").alias("max"), F.count_if(F.col("fraction") >= 0.05).alias("n_5pct")).join(q, "cell")
 
 
@@ -112,19 +114,19 @@ def composition_table(fractions: DataFrame, cells: Sequence[int] | None = None)
     return fractions.groupBy("sample_id").agg(top, F.max("fraction").alias("top_fraction"), F.sum("fraction").alias("fraction_sum"), *columns)
 
 
-def composition_outliers(fractions: DataFrame, floor: float, k: float) -> DataFrame:
+def composition_outliers(fractions: DataFrame, floor: float, k: float, save: Save | None = None) -> DataFrame:
     """Members whose composition is far from the cohort's: half the summed absolute differences from the medians.
 
     The limit is the larger of a floor and median + k * 1.4826 * MAD of the distances; the three most different types are listed.
+    Medians are found by their place among counted values; they are one row a cell type, and one row for the distances.
     """
-    middle = fractions.groupBy("cell").agg(F.median("fraction").alias("median"))
-    rows = fractions.join(F.broadcast(middle), "cell").withColumn("gap", F.abs(F.col("fraction") - F.col("median")))  # one row a cell type
+    middle = quantiles(fractions, ["cell"], "fraction", {"median": 0.5}, save).drop("n")
+    rows = fractions.join(middle, "cell").withColumn("gap", F.abs(F.col("fraction") - F.col("median")))
     order = Window.partitionBy("sample_id").orderBy(F.col("gap").desc(), "cell")
     ranked = rows.withColumn("n", F.row_number().over(order))
     top = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("n") <= 3, F.struct("n", "cell")))), lambda s: s["cell"].cast("string")), ",")
     far = ranked.groupBy("sample_id").agg((F.sum("gap") / 2).alias("distance"), top.alias("top_cells"))
-    med = far.agg(F.median("distance").alias("med"))
-    both = far.crossJoin(F.broadcast(med))
-    mad = both.agg(F.first("med").alias("m"), F.median(F.abs(F.col("distance") - F.col("med"))).alias("mad"))
-    limit = F.greatest(F.lit(floor), F.col("m") + k * 1.4826 * F.col("mad"))
-    return far.crossJoin(F.broadcast(mad)).withColumn("limit", limit).where(F.col("distance") > F.col("limit")).select("sample_id", "distance", "limit", "top_cells")
+    far = save(far, "distances") if save else far
+    spread = spreads(far, [], "distance", save).select("median", "mad")
+    limit = F.greatest(F.lit(floor), F.col("median") + k * 1.4826 * F.col("mad"))
+    return far.crossJoin(F.broadcast(spread)).withColumn("limit", limit).where(F.col("distance") > F.col("limit")).select("sample_id", "distance", "limit", "top_cells")

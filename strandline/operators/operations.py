@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import quantiles
+
 
 def fold_jobs(rows: DataFrame) -> DataFrame:
     """One record per base job id from accounting rows: the parent's state and the largest values over its steps.
@@ -170,5 +172,5 @@ def qc_rules(df: DataFrame, rules: Sequence[tuple[str, Column, str]], key: str)
 
 def missing_rate_flag(members: DataFrame, rate: str, excess: float) -> DataFrame:
     """Members whose missing share lies above the cohort's median by more than an excess."""
-    middle = members.agg(F.median(rate).alias("__med"))
+    middle = quantiles(members, [], rate, {"__med": 0.5}).select("__med")  # one row
     return members.crossJoin(F.broadcast(middle)).where(F.col(rate) > F.col("__med") + excess).drop("__med")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import chrom_key, normal_quantile, severity
+from .scan import STRETCH_ROWS, running
 from .skew import BUCKET_ROWS, Save, join_one, ordered_counts
 
 
@@ -97,11 +98,13 @@ def rank_normal(df: DataFrame, group: str, value: str) -> DataFrame:
     return ranked.withColumn("z", normal_quantile((F.col("mean_rank") - 0.5) / F.col("group_size")))
 
 
-def cumulative(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+def cumulative(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, save: Save | None = None, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Running sum and running share of the group's total."""
-    over = Window.partitionBy(*keys)
-    running = F.sum(value).over(over.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.select("*", running.alias("running"), F.try_divide(running, F.sum(value).over(over)).alias("share"))
+    rows = running(df, keys, order, value, "running", save=save, stretch_rows=stretch_rows)
+    total = df.groupBy(*keys).agg(F.sum(value).alias("__total"))
+    same = [F.col(f"__{k}").eqNullSafe(rows[k]) for k in keys]
+    total = total.select(*[F.col(k).alias(f"__{k}") for k in keys], "__total")
+    return rows.join(total, same).select(*df.columns, "running", F.try_divide("running", "__total").alias("share"))
 
 
 def carried_forward(values: DataFrame, keys: DataFrame, positions: DataFrame, key: str, position: str, value: str) -> DataFrame:
@@ -114,12 +117,15 @@ def carried_forward(values: DataFrame, keys: DataFrame, positions: DataFrame, ke
     return grid.select(position, F.coalesce(last, F.lit(0)).alias("v")).groupBy(position).agg(F.sum("v").cast("long").alias("total"))
 
 
-def concurrency(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """In-flight intervals over time per key: the step series; a start counts before an end at the same time."""
+def concurrency(df: DataFrame, key: str, start: str, end: str, save: Save | None = None, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+    """In-flight intervals over time per key: the step series; a start counts before an end at the same time.
+
+    A busy key's series is cut into stretches of time and the number in flight is carried on (scan.running).
+    """
     steps = df.select(key, F.col(start).alias("t"), F.lit(1).alias("d")).unionByName(df.select(key, F.col(end).alias("t"), F.lit(-1).alias("d")))
     steps = steps.groupBy(key, "t", "d").agg(F.sum("d").alias("n"))  # one row per change, whatever the number of intervals
-    running = F.sum("n").over(Window.partitionBy(key).orderBy("t", F.col("d").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    return steps.select(key, "t", "d", running.cast("long").alias("in_flight"))
+    steps = running(steps.withColumn("__turn", -F.col("d")), [key], ["t", "__turn"], "n", "in_flight", save=save, stretch_rows=stretch_rows)
+    return steps.select(key, "t", "d", F.col("in_flight").cast("long").alias("in_flight"))
 
 
 def peak(series: DataFrame, key: str) -> DataFrame:

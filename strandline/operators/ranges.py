@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import STRETCH_ROWS, running
 from .skew import Save, ordered_counts
 
 BIN = 4096
@@ -120,33 +121,41 @@ def far_pairs(islands: DataFrame, variants: DataFrame, far_bp: int, k: int, seed
     return found.drop("__no")
 
 
-def merge_intervals(df: DataFrame, keys: Sequence[str] = ("chrom",)) -> DataFrame:
-    """Union of overlapping or touching intervals: keys, start, end and the number of intervals in it."""
-    order = Window.partitionBy(*keys).orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0)
-    island = F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = df.select(*keys, "start", "end").withColumn("__new", new).withColumn("__island", island)
-    return rows.groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("__island")
+def merge_intervals(df: DataFrame, keys: Sequence[str] = ("chrom",), save: Save | None = None, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+    """Union of overlapping or touching intervals: keys, start, end and the number of intervals in it.
 
+    Intervals of one start are one row; the furthest end so far is carried from stretch to stretch of the starts (scan.running), so a contig
+    with most of the intervals is cut as well.
+    """
+    rows = df.groupBy(*keys, "start").agg(F.max("end").alias("end"), F.count("*").alias("n"))
+    rows = running(rows, keys, ["start"], "end", "__reach", "max", own=False, save=save, stretch_rows=stretch_rows)
+    new = F.when(F.col("__reach").isNull() | (F.col("start") > F.col("__reach")), 1).otherwise(0)
+    rows = running(rows, keys, ["start"], new, "__island", save=save, stretch_rows=stretch_rows)
+    return rows.groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("__island")
+
+
+def _unions(a: DataFrame, b: DataFrame, save: Save | None, stretch_rows: int) -> list[DataFrame]:
+    named = lambda df, s: merge_intervals(df, save=save, stretch_rows=stretch_rows).select("chrom", F.col("start").alias(f"{s}_start"), F.col("end").alias(f"{s}_end"))
+    return [named(a, "a"), named(b, "b")]
 
-def intersect_intervals(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
+
+def intersect_intervals(a: DataFrame, b: DataFrame, width: int = BIN, save: Save | None = None, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Parts of a that b's union covers: chrom, start, end."""
-    x = merge_intervals(a).select("chrom", F.col("start").alias("a_start"), F.col("end").alias("a_end"))
-    y = merge_intervals(b).select("chrom", F.col("start").alias("b_start"), F.col("end").alias("b_end"))
-    return overlap_join(x, y, width).select("chrom", F.greatest("a_start", "b_start").alias("start"), F.least("a_end", "b_end").alias("end"))
+    return overlap_join(*_unions(a, b, save, stretch_rows), width).select("chrom", F.greatest("a_start", "b_start").alias("start"), F.least("a_end", "b_end").alias("end"))
+
 
+def subtract_intervals(a: DataFrame, b: DataFrame, width: int = BIN, save: Save | None = None, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+    """Parts of a's union outside b's: what of each interval of a precedes a part of b starts where the part before it ended.
 
-def subtract_intervals(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
-    """Parts of a's union outside b's: each covered part closes one free part and opens the next."""
-    x = merge_intervals(a).select("chrom", F.col("start").alias("a_start"), F.col("end").alias("a_end"))
-    y = merge_intervals(b).select("chrom", F.col("start").alias("b_start"), F.col("end").alias("b_end"))
+    An interval of a may meet very many of b's: the part before is found by a running maximum over the starts, not by a window that holds
+    them all.
+    """
+    x, y = _unions(a, b, save, stretch_rows)
     found = overlap_join(x, y, width, "left")
-    order = Window.partitionBy("chrom", "a_start").orderBy("b_start")
-    found = found.withColumns({"__from": F.coalesce(F.lag("b_end").over(order), "a_start"), "__last": F.lead("b_start").over(order).isNull()})
-    tail = F.when(F.col("__last") & F.col("b_end").isNotNull(), F.col("b_end"))
-    parts = F.array(F.struct(F.col("__from").alias("start"), F.coalesce("b_start", "a_end").alias("end")), F.struct(tail.alias("start"), F.col("a_end").alias("end")))
-    return found.select("chrom", F.explode(parts).alias("p")).select("chrom", "p.*").where("start < end")
+    found = running(found, ["chrom", "a_start"], ["b_start"], "b_end", "__before", "max", own=False, save=save, stretch_rows=stretch_rows)
+    parts = found.select("chrom", F.coalesce("__before", "a_start").alias("start"), F.coalesce("b_start", "a_end").alias("end"))
+    tails = found.groupBy("chrom", "a_start").agg(F.max("b_end").alias("start"), F.max("a_end").alias("end")).where("start is not null")
+    return parts.unionByName(tails.select("chrom", "start", "end")).where("start < end")
 
 
 def twin_of(overlaps: DataFrame, ordinary: str, named: str) -> DataFrame:
@@ -161,9 +170,9 @@ def bin_mean(df: DataFrame, lengths: DataFrame, width: int) -> DataFrame:
     return grid.join(means, ["chrom", "bin"], "left")
 
 
-def bin_coverage(df: DataFrame, lengths: DataFrame, width: int) -> DataFrame:
+def bin_coverage(df: DataFrame, lengths: DataFrame, width: int, save: Save | None = None) -> DataFrame:
     """Covered bases and fraction per fixed bin; intervals are cut at bin borders, the last bin is scaled by its length."""
-    cut = merge_intervals(df).withColumn("bin", F.explode(bins(F.col("start"), F.col("end"), width)))
+    cut = merge_intervals(df, save=save).withColumn("bin", F.explode(bins(F.col("start"), F.col("end"), width)))
     part = F.least("end", (F.col("bin") + 1) * width) - F.greatest("start", F.col("bin") * width)
     covered = cut.groupBy("chrom", "bin").agg(F.sum(part).alias("bp"))
     grid = lengths.select("chrom", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / width))).alias("bin"))

@@ -73,7 +73,13 @@ def order_statistics(rows: DataFrame, keys: Sequence[str], value: str, shares: d
 
 def _placed(rows: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], save: Save | None, bucket_rows: int, between: bool) -> DataFrame:
     counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("n"))
-    ranked = ordered_counts(counted, keys, "__v", save, bucket_rows)
+    return _quantiles_of(counted, keys, shares, save, bucket_rows, between)
+
+
+def _quantiles_of(counted: DataFrame, keys: Sequence[str], shares: dict[str, float], save: Save | None, bucket_rows: int, between: bool) -> DataFrame:
+    """Quantiles of counted values (keys, __v, n)."""
+    counted = save(counted, "counted") if save else counted
+    ranked = ordered_counts(counted, keys, "__v", None, bucket_rows)
     total = counted.groupBy(*keys).agg(F.sum("n").alias("__total"))
     at = ranked.join(total, list(keys)) if keys else ranked.crossJoin(F.broadcast(total))  # one row
     found = []
@@ -88,3 +94,16 @@ def _placed(rows: DataFrame, keys: Sequence[str], value: str, shares: dict[str,
         out = out.where("n is not null")
     step = lambda c: F.col(f"__low_{c}") + (F.col(f"__high_{c}") - F.col(f"__low_{c}")) * F.col(f"__part_{c}") if between else F.col(f"__low_{c}")
     return out.select(*keys, "n", *[step(c).alias(c) for c in shares])
+
+
+def spreads(rows: DataFrame, keys: Sequence[str], value: str, save: Save | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """keys, n, median and mad (the median distance from the median) of the values that are not null."""
+    rows = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__x"))
+    middle = quantiles(rows, keys, "__x", {"median": 0.5}, save, bucket_rows)
+    middle = save(middle, "middle") if save else middle
+    counted = rows.groupBy(*keys, "__x").agg(F.count("*").alias("__w"))
+    beside = counted.join(middle, list(keys)) if keys else counted.crossJoin(F.broadcast(middle))  # one row
+    away = beside.groupBy(*keys, F.abs(F.col("__x") - F.col("median")).alias("__v")).agg(F.sum("__w").alias("n"))
+    spread = _quantiles_of(away, keys, {"mad": 0.5}, save, bucket_rows, True)
+    spread = spread.drop("n")
+    return middle.join(spread, list(keys)) if keys else middle.crossJoin(F.broadcast(spread))

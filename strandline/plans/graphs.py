@@ -223,7 +223,7 @@ def sta19(b: Bound):
  s AS (SELECT k, sample_id, avg(CASE WHEN first <= k THEN 1.0 ELSE 0 END) AS share FROM p JOIN f USING (site_id) JOIN k ON rank > k GROUP BY 1, 2) SELECT k, round(median(share), 6) AS median, round(quantile_cont(share, 0.05), 6) AS p05, round(min(share), 6) AS min, count(*) AS n FROM s GROUP BY 1""")
 def sta20(b: Bound):
     order = b.members.select("sample_id", (F.col("sample_id") + 1).alias("rank"))
-    return op.held_out(_small(b).distinct(), order, [10, 25, 50]).withColumns({c: F.round(c, 6) for c in ("median", "p05", "min")})
+    return op.held_out(_small(b).distinct(), order, [10, 25, 50], saver(b)).withColumns({c: F.round(c, 6) for c in ("median", "p05", "min")})
 
 
 @query("prj22", """WITH c AS (SELECT site_id, count(DISTINCT sample_id) AS n FROM {genotypes} WHERE alt > 0 GROUP BY 1), m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM {members}) SELECT CASE WHEN n >= 0.05 * m THEN '>=5%' WHEN n >= 0.02 * m THEN 'common' WHEN n > 1 THEN 'rare' ELSE 'singleton' END AS class, count(*) AS sites FROM c, m GROUP BY 1""")

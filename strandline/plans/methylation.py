@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import contig_class
 from ..operators import identity, methylation as op, repeats
 from .bindings import Bound, query
+from .saving import saver
 
 
 def _r(df, *columns):
@@ -133,4 +134,4 @@ def agg53(b: Bound):
  r AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY gap DESC, cell) AS n FROM g), d AS (SELECT sample_id, sum(gap) / 2 AS distance, string_agg(CASE WHEN n <= 3 THEN CAST(cell AS VARCHAR) END, ',' ORDER BY n) AS top_cells FROM r GROUP BY 1),
  x AS (SELECT median(distance) AS med FROM d), y AS (SELECT greatest(0.1, max(x.med) + 2 * 1.4826 * median(abs(distance - x.med))) AS lim FROM d, x) SELECT sample_id, round(distance, 6) AS distance, round(lim, 6) AS "limit", top_cells FROM d, y WHERE distance > lim""")
 def sta21(b: Bound):
-    return _r(op.composition_outliers(b.fractions, 0.1, 2.0), "distance", "limit")
+    return _r(op.composition_outliers(b.fractions, 0.1, 2.0, saver(b)), "distance", "limit")

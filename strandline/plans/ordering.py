@@ -104,7 +104,7 @@ def win09(b: Bound):
  SELECT stage, CAST(max(v) AS BIGINT) AS peak FROM k GROUP BY 1""")
 def win10(b: Bound):
     runs = b.runs.withColumn("ended_at", F.expr("started_at + make_dt_interval(cast(1 + run_id % 5 as int))"))
-    return op.peak(op.concurrency(runs, "stage", "started_at", "ended_at"), "stage")
+    return op.peak(op.concurrency(runs, "stage", "started_at", "ended_at", saver(b)), "stage")
 
 
 @query("win11", """SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS pixel, arg_min(value, (ts, event_id)) AS first, min(value) AS least, max(value) AS largest, arg_max(value, (ts, event_id)) AS last FROM {events} GROUP BY 1""")

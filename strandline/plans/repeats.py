@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import repeats as op
 from .bindings import Bound, query
+from .saving import saver
 
 _ALLELES = "(SELECT locus_id, sample_id, al1 AS al FROM {tr_alleles} UNION ALL SELECT locus_id, sample_id, al2 FROM {tr_alleles})"
 
@@ -109,12 +110,12 @@ def _rounded(df):
 
 @query("agg14", _MAD + "abs(value - median) > 3 * 1.4826 * mad")
 def agg14(b: Bound):
-    return _rounded(op.mad_outliers(b.events, "event_type", "event_id"))
+    return _rounded(op.mad_outliers(b.events, "event_type", "event_id", save=saver(b)))
 
 
 @query("agg14_plain", _MAD + "value - median > 5.0 * mad")
 def agg14_plain(b: Bound):
-    return _rounded(op.mad_outliers(b.events, "event_type", "event_id", 5.0, scaled=False, side="high"))
+    return _rounded(op.mad_outliers(b.events, "event_type", "event_id", 5.0, scaled=False, side="high", save=saver(b)))
 
 
 @query("agg15", """WITH t AS (SELECT o_custkey AS sample_id, max(o_totalprice) AS top, avg(o_totalprice) AS mean, CAST(count(*) AS DOUBLE) AS n_orders FROM {orders} GROUP BY 1),
@@ -123,7 +124,7 @@ def agg14_plain(b: Bound):
  SELECT metric, n, round(median, 6) AS median, round(mad, 6) AS mad, count(CASE WHEN mad > 0 AND abs(value - median) > 3 * 1.4826 * mad THEN 1 END) AS n_outliers FROM l JOIN m USING (metric) JOIN d USING (metric) GROUP BY 1, 2, 3, 4""")
 def agg15(b: Bound):
     t = b.orders.groupBy(F.col("o_custkey").alias("sample_id")).agg(F.max("o_totalprice").alias("top"), F.avg("o_totalprice").alias("mean"), F.count("*").cast("double").alias("n_orders"))
-    return _rounded(op.distributions(t, ["top", "mean", "n_orders"]))
+    return _rounded(op.distributions(t, ["top", "mean", "n_orders"], save=saver(b)))
 
 
 @query("agg16", """WITH r AS (SELECT l_suppkey AS hap, CAST(l_quantity AS BIGINT) AS len FROM {lineitem}), s AS (SELECT *, sum(len) OVER (PARTITION BY hap ORDER BY len DESC) AS run, sum(len) OVER (PARTITION BY hap) AS total FROM r)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import expressions as X
-from strandline.operators import frequency, graphs, identity, methylation, ordering, qtl, ranges, repeats, samples, skew
+from strandline.operators import frequency, graphs, identity, methylation, ordering, qtl, ranges, repeats, samples, scan, skew
 from strandline.sources import sinks, text
 
 
@@ -283,6 +283,48 @@ def test_greedy_order_of_many_members(spark, save):
     assert got[:10] == sorted(best) and len(got) == 20_000 and got[10:40] == list(range(30)) and got[40:] == sorted(got[40:])
 
 
+@pytest.mark.parametrize("stretch", [7, 1_000_000])
+def test_running_sums_and_maxima_over_stretches(spark, save, stretch):
+    rng = np.random.default_rng(3)
+    rows = [(["a", "b", None][int(rng.integers(3))], i, int(rng.integers(0, 30)), int(rng.integers(-5, 50))) for i in range(150)] + [("hot", 1000 + i, i, i % 5) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, i long, t long, v long")
+    for how, own in (("sum", True), ("sum", False), ("max", True), ("max", False)):
+        got = {r["i"]: r["x"] for r in scan.running(df, ["g"], ["t", "i"], "v", "x", how, own, save, stretch).collect()}
+        for g, i, t, _ in rows:
+            before = [v for h, j, u, v in rows if h == g and ((u, j) < (t, i) or own and j == i)]
+            assert got[i] == ((sum if how == "sum" else max)(before) if before else None)
+
+
+@pytest.mark.parametrize("stretch", [5, 1_000_000])
+def test_intervals_over_stretches_equal_bases(spark, save, stretch):
+    rng = np.random.default_rng(9)
+
+    def some(n, long):
+        starts = rng.integers(0, 400, n)
+        return [("chr1" if rng.random() < 0.8 else "chr2", int(s), int(s) + int(rng.integers(1, 15))) for s in starts] + [("chr1", 30, 30 + long)]
+
+    a, b = some(60, 90), some(50, 5)
+    frames = [spark.createDataFrame(x, "chrom string, start long, end long") for x in (a, b)]
+    bases = [{(c, p) for c, s, e in x for p in range(s, e)} for x in (a, b)]
+    covered = lambda df: [(r["chrom"], p) for r in df.collect() for p in range(r["start"], r["end"])]
+    merged = ranges.merge_intervals(frames[0], save=save, stretch_rows=stretch)
+    assert sorted(covered(merged)) == sorted(bases[0]) and merged.agg(F.sum("n")).first()[0] == len(a)
+    assert all((r["chrom"], r["end"]) not in bases[0] for r in merged.collect())  # no two of them touch
+    assert sorted(covered(ranges.intersect_intervals(*frames, width=16, save=save, stretch_rows=stretch))) == sorted(bases[0] & bases[1])
+    assert sorted(covered(ranges.subtract_intervals(*frames, width=16, save=save, stretch_rows=stretch))) == sorted(bases[0] - bases[1])
+
+
+@pytest.mark.parametrize("bucket", [6, 1_000_000])
+def test_medians_and_distances_of_hot_metrics(spark, save, bucket):
+    rng = np.random.default_rng(2)
+    rows = [("m", float(rng.integers(0, 25)) / 2) for _ in range(120)] + [("k", float(x)) for x in (1, 2, 2, 9)] + [("one", 3.0), ("none", None)]
+    got = {r["g"]: (r["n"], r["median"], r["mad"]) for r in skew.spreads(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", save, bucket).collect()}
+    assert set(got) == {"m", "k", "one"}
+    for g, (n, median, mad) in got.items():
+        own = [v for k, v in rows if k == g]
+        assert n == len(own) and median == pytest.approx(np.median(own)) and mad == pytest.approx(np.median(np.abs(np.array(own) - np.median(own))))
+
+
 def brute_hubs(pairs, lo, hi, least):
     open_ = [(a, b) for a, b, r, e in pairs if lo <= r < hi and not (e or 0) > 0]
     out = {}
