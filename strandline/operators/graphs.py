@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import admit_reason, allele_id, log_factorial
+from ..functions.expressions import admit_reason, allele_id, bin_label, binned, log_factorial
 from .skew import quantiles
 
 
@@ -316,12 +316,38 @@ def held_out(carriers: DataFrame, order: DataFrame, checkpoints: Sequence[int],
     return quantiles(save(shares, "shares") if save else shares, ["k"], "share", {"median": 0.5, "p05": 0.05, "min": 0.0}, save)
 
 
-def call_stats(sites: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Records, transitions, transversions and their ratio of single-base records (ref, alt)."""
-    pair = F.concat("ref", "alt")
-    ts = F.count_if(pair.isin("AG", "GA", "CT", "TC"))
-    snv = F.count_if((F.length("ref") == 1) & (F.length("alt") == 1) & (F.col("ref") != F.col("alt")))
-    return sites.groupBy(*keys).agg(F.count("*").alias("records"), snv.alias("snvs"), ts.alias("ts"), (snv - ts).alias("tv"), F.try_divide(ts, snv - ts).alias("ts_tv"))
+#: Fixed bin set of signed indel lengths: upper-exclusive edges and labels.
+INDEL_BINS = ([-49, -9, 1, 10, 50], ["<=-50", "-49..-10", "-9..-1", "+1..+9", "+10..+49", ">=+50"])
+
+
+def call_stats(calls: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows (keys, metric, key, value) per call set: records by kind, transitions and transversions and their ratio, het and hom and their
+    ratio, substitution types, indel lengths and depths.
+
+    calls: keys, ref, alt (one allele), dose (1 het, 2 hom; null: not called), depth.  A record adds one to a bin of each histogram: all
+    are one explosion of (metric, bin), counted before the shuffle, so the calls are read once and a hot call set is a few counts a task.
+    The ratios come from the counts.
+    """
+    ref, alt = F.col("ref"), F.col("alt")
+    size = F.length(alt) - F.length(ref)
+    single = (F.length(ref) == 1) & (F.length(alt) == 1) & (ref != alt)
+    kind = F.when(single, "snp").when(size != 0, "indel").when(ref != alt, "mnp").otherwise("other")
+    ts = F.when(F.concat(ref, alt).isin("AG", "GA", "CT", "TC"), "ts").otherwise("tv")
+    zygosity = F.when(F.col("dose") == 1, "het").when(F.col("dose") >= 2, "hom")
+    bins = {
+        "records": kind,
+        "tstv": F.when(single, ts),
+        "zygosity": zygosity,
+        "substitutions": F.when(single, F.concat(ref, F.lit(">"), alt)),
+        "indel_length": F.when(size != 0, bin_label(size, *INDEL_BINS)),
+        "depth": F.when(F.col("depth").isNotNull(), binned(F.col("depth"), "depth")),
+    }
+    each = F.explode(F.filter(F.array(*[F.struct(F.lit(m).alias("metric"), b.alias("key")) for m, b in bins.items()]), lambda x: x["key"].isNotNull())).alias("x")
+    counts = calls.select(*keys, each).groupBy(*keys, "x.metric", "x.key").agg(F.count("*").cast("double").alias("value"))
+    of = lambda m, k: F.sum(F.when((F.col("metric") == m) & (F.col("key") == k), F.col("value")))
+    ratios = counts.groupBy(*keys).agg(F.try_divide(of("tstv", "ts"), of("tstv", "tv")).alias("ts_tv"), F.try_divide(of("zygosity", "het"), of("zygosity", "hom")).alias("het_hom"))
+    ratios = ratios.unpivot(list(keys), ["ts_tv", "het_hom"], "key", "value").where("value is not null")
+    return counts.unionByName(ratios.select(*keys, F.lit("ratio").alias("metric"), "key", "value"))
 
 
 def substitution(ref: Column, alt: Column) -> Column:

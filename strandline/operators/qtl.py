@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from .ordering import rank_normal
+from .scan import running
+from .skew import quantiles
+
+#: Doses of a block of islands that are tested in one task (128 MB).
+BLOCK_CELLS = 1 << 24
+#: Bound of a correlation, so that t stays finite.
+MOST_R = 0.999999999
+
 
 def matrix(profiles: DataFrame, least_cov: int) -> DataFrame:
     """Long island x member values: null below the coverage floor, with the island's n, mean and sd."""
@@ -146,10 +156,24 @@ def basis(covariates: np.ndarray) -> np.ndarray:
     return np.array(q).T
 
 
+def blocked(pairs: DataFrame, islands: DataFrame, members: int, save, cells: int = BLOCK_CELLS) -> DataFrame:
+    """pairs with block: islands that follow each other on a contig, together with about cells doses (pairs times members) of theirs.
+
+    islands: island, chrom, a_start.  The pairs of an island stay together; a stretch dense in variants has more blocks.
+    """
+    per = pairs.groupBy("island").agg(F.count("*").alias("n")).join(islands.select("island", "chrom", "a_start"), "island")
+    upto = running(per, ["chrom"], ["a_start", "island"], "n", "upto", save=save)
+    block = F.xxhash64("chrom", F.floor(F.col("upto") / max(1, cells // max(1, members))))
+    return pairs.join(upto.select("island", block.alias("block")), "island")
+
+
 def residual_tests(pairs: DataFrame, values: DataFrame, doses: DataFrame, design: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Partial correlation of each (island, variant) on the covariates: r, t, df, slope.
+    """Partial correlation of each (island, variant) on the covariates: r, t, df, slope (and far, the pair's mark, if it has one).
+
+    r and t are those of the rank-normal values: ranks among the members of the design that have a value, ties at their mean rank, through the
+    inverse normal; the slope is that of the values themselves.
 
-    pairs: island, variant and, if islands near each other shall be tested together, their block (a stretch of a contig);
+    pairs: island, variant and, if islands near each other shall be tested together, their block (see blocked);
     values: island, sample_id, value; doses: variant, sample_id, dose (absent: 0); design: sample_id, covariates (of members that
     have values; a row of a few numbers for each member of the cohort reaches the driver and is broadcast).  Values and doses of
     a block meet in one task as two matrices, so each island is read once and a variant once a block; a task holds one block.
@@ -160,10 +184,12 @@ def residual_tests(pairs: DataFrame, values: DataFrame, doses: DataFrame, design
     held = design.sparkSession.sparkContext.broadcast((ids, np.array([[float(r[c]) for c in names] for r in rows]).reshape(len(rows), len(names))))
     if "block" not in pairs.columns:
         pairs = pairs.withColumn("block", F.col("island"))
-    pairs = pairs.select("block", "island", "variant")
-    left = values.where("value is not null and sample_id is not null").join(pairs.select("block", "island").distinct(), "island").select(F.col("block").alias("block_y"), "island", "sample_id", F.col("value").cast("double").alias("value"))
+    pairs = pairs.select("block", "island", "variant", F.coalesce("far", F.lit(False)).alias("far") if "far" in pairs.columns else F.lit(False).alias("far"))
+    ranked = values.where("value is not null and sample_id is not null").select("island", "sample_id", F.col("value").cast("double").alias("value"))
+    ranked = rank_normal(ranked.join(design.select("sample_id"), "sample_id", "left_semi"), "island", "value")
+    left = ranked.join(pairs.select("block", "island").distinct(), "island").select(F.col("block").alias("block_y"), "island", "sample_id", "value", "z")
     right = doses.where("dose is not null and sample_id is not null").join(pairs.select("block", "variant").distinct(), "variant")
-    right = right.select("block", "variant", "sample_id", F.col("dose").cast("double").alias("dose"), F.lit(None).cast("long").alias("island"))
+    right = right.select("block", "variant", "sample_id", F.col("dose").cast("double").alias("dose"), F.lit(None).cast("long").alias("island"), F.lit(None).cast("boolean").alias("far"))
     right = right.unionByName(pairs.withColumns({"sample_id": F.lit(None).cast("long"), "dose": F.lit(None).cast("double")})).withColumn("block_x", F.expr("block + 0L")).drop("block")
 
     def test(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -177,18 +203,18 @@ def residual_tests(pairs: DataFrame, values: DataFrame, doses: DataFrame, design
             return out
 
         island, row = np.unique(left.column("island").to_numpy(), return_inverse=True)
-        y = dense(row, len(island), left.column("sample_id").to_numpy(), left.column("value").to_numpy(), np.nan)
+        y, z = (dense(row, len(island), left.column("sample_id").to_numpy(), left.column(c).to_numpy(), np.nan) for c in ("value", "z"))
         is_pair = right.column("island").is_valid()
         carried, wanted = right.filter(pc.invert(is_pair)), right.filter(is_pair)
         variant, row = np.unique(wanted.column("variant").to_numpy(), return_inverse=True)
         at = np.searchsorted(variant, carried.column("variant").to_numpy())
         x = dense(at, len(variant), carried.column("sample_id").to_numpy(), carried.column("dose").to_numpy(), 0.0)
-        of = wanted.column("island").to_numpy()
+        of, mark = wanted.column("island").to_numpy(), np.array(wanted.column("far").to_pylist(), bool)
         own = np.minimum(np.searchsorted(island, of), max(0, len(island) - 1))
         hit = island[own] == of if len(island) else np.zeros(len(of), bool)
-        own, row = own[hit], row[hit]
+        own, row, mark = own[hit], row[hit], mark[hit]
         order = np.argsort(own, kind="stable")
-        own, row = own[order], row[order]
+        own, row, mark = own[order], row[order], mark[order]
         r, t, slope, df = np.full(len(own), np.nan), np.full(len(own), np.nan), np.full(len(own), np.nan), np.zeros(len(own), np.int64)
         bases: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else []
@@ -198,26 +224,43 @@ def residual_tests(pairs: DataFrame, values: DataFrame, doses: DataFrame, design
             if name not in bases:  # islands with values of the same members share their basis
                 bases[name] = (np.flatnonzero(known), basis(design_[known]))
             members, q = bases[name]
-            b = y[own[lo], members]
-            b = b - q @ (q.T @ b)
+            b, raw = (v - q @ (q.T @ v) for v in (z[own[lo], members], y[own[lo], members]))
             a = x[row[lo:hi]][:, members]
             a = a - (a @ q) @ q.T
             degrees = len(members) - q.shape[1] - 1
             va, vb, both = np.einsum("ij,ij->i", a, a), float(b @ b), a @ b
+            steep = a @ raw
             ok = (va >= 1e-12) & (vb >= 1e-12) & (degrees > 0)
             with np.errstate(divide="ignore", invalid="ignore"):
-                c = np.clip(both / np.sqrt(va * vb), -1, 1)
+                c = np.clip(both / np.sqrt(va * vb), -MOST_R, MOST_R)
                 r[lo:hi] = np.where(ok, c, np.nan)
-                t[lo:hi] = np.where(ok, c * np.sqrt(max(degrees, 0) / np.maximum(1e-15, 1 - c * c)), np.nan)
-                slope[lo:hi] = np.where(ok, both / va, np.nan)
+                t[lo:hi] = np.where(ok, c * np.sqrt(max(degrees, 0) / (1 - c * c)), np.nan)
+                slope[lo:hi] = np.where(ok, steep / va, np.nan)
             df[lo:hi] = degrees
-        columns = [pa.array(island[own], pa.int64()), pa.array(variant[row], pa.int64()), *[pa.array(v, pa.float64(), from_pandas=True) for v in (r, t)], pa.array(df), pa.array(slope, pa.float64(), from_pandas=True)]
-        return pa.Table.from_arrays(columns, ["island", "variant", "r", "t", "df", "slope"])
+        columns = [pa.array(island[own], pa.int64()), pa.array(variant[row], pa.int64()), *[pa.array(v, pa.float64(), from_pandas=True) for v in (r, t)], pa.array(df), pa.array(slope, pa.float64(), from_pandas=True), pa.array(mark)]
+        return pa.Table.from_arrays(columns, ["island", "variant", "r", "t", "df", "slope", "far"])
 
-    return left.groupBy("block_y").cogroup(right.groupBy("block_x")).applyInArrow(test, "island long, variant long, r double, t double, df long, slope double")
+    return left.groupBy("block_y").cogroup(right.groupBy("block_x")).applyInArrow(test, "island long, variant long, r double, t double, df long, slope double, far boolean")
 
 
-def calibration(tests: DataFrame) -> DataFrame:
-    """Inflation: median t^2 / 0.4549364 and the share of t^2 above 3.841459."""
-    t2 = F.col("t") * F.col("t")
-    return tests.where("t is not null").agg(F.count("*").alias("n"), (F.median(t2) / 0.4549364).alias("inflation"), F.avg((t2 > 3.841459).cast("int")).alias("share_5pct"))
+def calibration(tests: DataFrame, fdr: float, save=None) -> DataFrame:
+    """Rows (metric, key, value) of a screen: pairs and hits (q <= fdr) in all, by variant type and by region type, islands with a hit, and
+    inflation: the median t^2 of near and of far pairs over 0.4549364, and the share of far pairs with t^2 above 3.841459.
+
+    tests: island, t, q, far, variant_type, region_type.  Far pairs have no cis effect: a lambda of near pairs alone can't tell inflation
+    from signal.
+    """
+    rows = tests.where("t is not null").select("island", "q", "far", "variant_type", F.coalesce("region_type", F.lit("unannotated")).alias("region_type"), (F.col("t") * F.col("t")).alias("t2"))
+    rows = save(rows, "tests") if save else rows
+    near, far = rows.where("not far"), rows.where("far")
+    hits = near.where(F.col("q") <= fdr)
+    value = lambda metric, key, v: (F.lit(metric).alias("metric"), key.cast("string").alias("key"), v.cast("double").alias("value"))
+    by = lambda metric, c: hits.groupBy(c).agg(F.count("*").alias("n")).select(*value(metric, F.col(c), F.col("n")))
+    counts = near.agg(F.count("*").alias("pairs"), F.count_if(F.col("q") <= fdr).alias("hits"), F.count_distinct(F.when(F.col("q") <= fdr, F.col("island"))).alias("islands"))
+    out = [counts.select(*value(m, F.lit(k), F.col(c))) for m, k, c in (("pairs", "total", "pairs"), ("hits", "total", "hits"), ("hits", "islands", "islands"))]
+    out += [by("hits_by_variant_type", "variant_type"), by("hits_by_region_type", "region_type")]
+    for part, key in ((near, "lambda"), (far, "lambda_far")):
+        out.append(quantiles(part, [], "t2", {"m": 0.5}, save).select(*value("inflation", F.lit(key), F.col("m") / 0.4549364)))
+    share = far.agg(F.avg((F.col("t2") > 3.841459).cast("int")).alias("s")).where("s is not null")
+    out.append(share.select(*value("inflation", F.lit("far_p05_share"), F.col("s"))))
+    return reduce(DataFrame.unionByName, out)

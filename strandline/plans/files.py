@@ -233,15 +233,22 @@ def snk07(b: Bound):
     return b.spark.read.json(f"{b.scratch}/provenance", schema="subject string, members bigint")
 
 
-@query("str01", _COUNTS)
+@query("str01", "SELECT CASE WHEN event_type = 'view' THEN 'submit.progress' ELSE event_type END AS event, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, user_id AS run_id, count(*) AS count FROM {events} GROUP BY 1, 2, 3")
 def str01(b: Bound):
-    stream = streams.counts(streams.event_stream(b.spark, _event_files(b), 1))
+    stream = streams.counts(streams.event_stream(b.spark, _event_files(b), 1), "run_id")
     streams.run_available(stream, "complete", f"{b.scratch}/counts", f"{b.scratch}/state-counts")
     return b.spark.read.parquet(f"{b.scratch}/counts")
 
 
-@query("str02", _SERIES)
+@query("str01_windows", "SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, CASE WHEN event_type = 'view' THEN 'submit.progress' ELSE event_type END AS event, count(*) AS count FROM {events} GROUP BY 1, 2")
+def str01_windows(b: Bound):
+    stream = streams.windowed_counts(streams.event_stream(b.spark, _event_files(b), 1), "1 day", "2 days")
+    streams.run_available(stream, "complete", f"{b.scratch}/windows", f"{b.scratch}/state-windows")
+    return b.spark.read.parquet(f"{b.scratch}/windows")
+
+
+@query("str02", f"SELECT run_id, ts, done, total, share, round(CASE WHEN done > d0 THEN (total - done) * ((epoch_us(ts) - epoch_us(t0)) / 1e6) / (done - d0) END, 3) AS eta_seconds FROM (SELECT *, first_value(done) OVER w AS d0, first_value(ts) OVER w AS t0 FROM ({_SERIES}) s WINDOW w AS (PARTITION BY run_id ORDER BY ts, done ROWS BETWEEN {streams.POINTS} PRECEDING AND CURRENT ROW)) t")
 def str02(b: Bound):
-    stream = streams.progress_series(streams.event_stream(b.spark, _event_files(b)))
+    stream = streams.progress_with_eta(streams.progress_series(streams.event_stream(b.spark, _event_files(b))))
     streams.run_available(stream, "append", f"{b.scratch}/series", f"{b.scratch}/state-series")
-    return b.spark.read.parquet(f"{b.scratch}/series").withColumn("share", F.round("share", 6))
+    return b.spark.read.parquet(f"{b.scratch}/series").withColumns({"share": F.round("share", 6), "eta_seconds": F.round("eta_seconds", 3)})

@@ -111,12 +111,23 @@ def prj12(b: Bound):
     return op.graph_sites(_records(b), 20, 100)[1]
 
 
-@query("sta29", """WITH r AS (SELECT o_orderstatus AS callset, substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1) AS ref, substr('ACGT', CAST(l_suppkey % 4 + 1 AS INT), 1) AS alt FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey),
- c AS (SELECT callset, count(*) AS records, count(CASE WHEN ref <> alt THEN 1 END) AS snvs, count(CASE WHEN concat(ref, alt) IN ('AG','GA','CT','TC') THEN 1 END) AS ts FROM r GROUP BY 1) SELECT callset, records, snvs, ts, snvs - ts AS tv, round(ts / CAST(snvs - ts AS DOUBLE), 6) AS ts_tv FROM c""")
+_CALLS = """SELECT o_orderstatus AS callset, substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1) || repeat('T', CAST(CASE WHEN l_linenumber = 3 THEN l_quantity WHEN l_linenumber = 5 THEN 1 ELSE 0 END AS INT)) AS ref,
+ substr('ACGT', CAST(l_suppkey % 4 + 1 AS INT), 1) || repeat('G', CAST(CASE WHEN l_linenumber = 2 THEN l_quantity WHEN l_linenumber = 5 THEN 1 ELSE 0 END AS INT)) AS alt,
+ CASE WHEN l_tax < 0.005 THEN NULL WHEN l_linenumber % 4 = 0 THEN 2 ELSE 1 END AS dose, CASE WHEN l_discount < 0.005 THEN NULL ELSE CAST(l_quantity AS INT) END AS depth FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
+_EDGES = "CASE WHEN d < -49 THEN '<=-50' WHEN d < -9 THEN '-49..-10' WHEN d < 1 THEN '-9..-1' WHEN d < 10 THEN '+1..+9' WHEN d < 50 THEN '+10..+49' ELSE '>=+50' END"
+
+
+@query("sta29", f"""WITH r AS (SELECT *, length(alt) - length(ref) AS d, length(ref) = 1 AND length(alt) = 1 AND ref <> alt AS single FROM ({_CALLS}) q),
+ c AS (SELECT callset, 'records' AS metric, CASE WHEN single THEN 'snp' WHEN d <> 0 THEN 'indel' WHEN ref <> alt THEN 'mnp' ELSE 'other' END AS key, count(*) AS n FROM r GROUP BY ALL
+  UNION ALL SELECT callset, 'tstv', CASE WHEN ref || alt IN ('AG', 'GA', 'CT', 'TC') THEN 'ts' ELSE 'tv' END, count(*) FROM r WHERE single GROUP BY ALL
+  UNION ALL SELECT callset, 'zygosity', CASE dose WHEN 1 THEN 'het' ELSE 'hom' END, count(*) FROM r WHERE dose IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT callset, 'substitutions', ref || '>' || alt, count(*) FROM r WHERE single GROUP BY ALL UNION ALL SELECT callset, 'indel_length', {_EDGES}, count(*) FROM r WHERE d <> 0 GROUP BY ALL
+  UNION ALL SELECT callset, 'depth', CASE WHEN depth < 10 THEN '<10' WHEN depth < 20 THEN '10-19' WHEN depth < 30 THEN '20-29' WHEN depth < 40 THEN '30-39' ELSE '>=40' END, count(*) FROM r WHERE depth IS NOT NULL GROUP BY ALL)
+ SELECT callset, metric, key, CAST(n AS DOUBLE) AS value FROM c UNION ALL SELECT callset, 'ratio', 'ts_tv', round(sum(CASE WHEN key = 'ts' THEN n END) / CAST(sum(CASE WHEN key = 'tv' THEN n END) AS DOUBLE), 6) FROM c WHERE metric = 'tstv' GROUP BY 1
+ UNION ALL SELECT callset, 'ratio', 'het_hom', round(sum(CASE WHEN key = 'het' THEN n END) / CAST(sum(CASE WHEN key = 'hom' THEN n END) AS DOUBLE), 6) FROM c WHERE metric = 'zygosity' GROUP BY 1""")
 def sta29(b: Bound):
-    base = lambda c: F.substring(F.lit("ACGT"), (F.col(c) % 4 + 1).cast("int"), F.lit(1))
-    rows = b.lineitem.join(b.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderstatus").alias("callset"), base("l_partkey").alias("ref"), base("l_suppkey").alias("alt"))
-    return op.call_stats(rows, ["callset"]).withColumn("ts_tv", F.round("ts_tv", 6))
+    calls = b.spark.sql(_CALLS, lineitem=b.lineitem, orders=b.orders)
+    return op.call_stats(calls, ["callset"]).withColumn("value", F.round("value", 6))
 
 
 _PAF = "SELECT l_suppkey % 2 AS hap, l_partkey AS qname, concat('chr', l_orderkey % 22 + 1) AS chrom, l_linenumber * 1000 AS tstart, l_linenumber * 1000 + CAST(l_quantity AS BIGINT) * 10 AS tend FROM {lineitem}"

@@ -8,10 +8,9 @@ from ..functions.expressions import contig_class, normal_quantile
 from ..operators import ordering, qtl as op, ranges
 from .bindings import Bound, query
 from .formulas import normal_quantile_sql
+from .ranges import FAR, far_of
 from .saving import saver
 
-#: Length of a block of islands that are tested in one task.
-BLOCK_BP = 1_000_000
 
 
 @query("sta01", """SELECT sample_id, island, round(CASE WHEN cov >= 12 THEN value END, 6) AS value, count(CASE WHEN cov >= 12 THEN value END) OVER w AS n_members, round(avg(CASE WHEN cov >= 12 THEN value END) OVER w, 6) AS mean,
@@ -63,13 +62,13 @@ _XY = f"""SELECT p.island, p.variant, x.sample_id, x.value AS y, coalesce(g.alt,
 
 def _pairs(b: Bound):
     islands = b.regions.select(F.col("region_id").alias("island"), "chrom", F.col("start_pos").alias("a_start"), F.col("end_pos").alias("a_end"))
-    return ranges.cis_pairs(islands, b.sites.select(F.col("site_id").alias("variant"), "chrom", "pos"), 20000).select("island", "variant", F.xxhash64("chrom", F.floor(F.col("a_start") / BLOCK_BP)).alias("block"))
+    return ranges.cis_pairs(islands, b.sites.select(F.col("site_id").alias("variant"), "chrom", "pos"), 20000).select("island", "variant")
 
 
 def _tests(b: Bound):
     values = _islands(b).select("island", "sample_id", F.col("value").alias("y"))
     doses = b.genotypes.where("alt > 0").select(F.col("site_id").alias("variant"), "sample_id", F.col("alt").alias("x"))
-    return op.sparse_correlations(_pairs(b).select("island", "variant"), values, doses)
+    return op.sparse_correlations(_pairs(b), values, doses)
 
 
 #: Two sums of the same numbers differ in their last bits; a relative nudge far above that rounds exact halves one way.
@@ -92,27 +91,35 @@ def sta06(b: Bound):
     return _tests(b).select("island", "variant", "n", "df", *[_rounded(c) for c in ("r", "t", "slope")])
 
 
-def _residual(b: Bound):
+def _residual(b: Bound, save, far: bool = False):
     doses = b.genotypes.where("alt > 0").select(F.col("site_id").alias("variant"), "sample_id", F.col("alt").cast("double").alias("dose"))
     m = b.members.where("sex <> ''")
     design, names = op.covariates(m, ["depth_mean"])
-    return op.residual_tests(_pairs(b), _islands(b), doses, design, names)
+    islands = b.regions.select(F.col("region_id").alias("island"), "chrom", F.col("start_pos").alias("a_start"))
+    pairs = _pairs(b).withColumn("far", F.lit(False))
+    if far:
+        pairs = pairs.unionByName(far_of(b).select(F.col("region_id").alias("island"), F.col("site_id").alias("variant"), F.lit(True).alias("far")))
+    pairs = op.blocked(save(pairs, "pairs"), islands, m.count(), save)
+    return op.residual_tests(save(pairs, "blocks"), _islands(b), doses, design, names)
 
 
-def _screen(columns: str, tail: str) -> str:
-    """The screen in SQL: covariates, doses and values are made orthogonal one after the other by window sums."""
+def _screen(columns: str, tail: str, pairs: str = _PAIRS) -> str:
+    """The screen in SQL: covariates, doses, values and their rank-normal scores are made orthogonal one after the other by window sums."""
     w = "WINDOW w AS (PARTITION BY island)"
-    return f"""WITH d AS (SELECT x.island, x.sample_id, x.value AS y, CASE WHEN m.sex = 'XX' THEN 1.0 ELSE 0.0 END::DOUBLE AS c1, m.depth_mean AS c2 FROM ({_ISLANDS}) x JOIN {{members}} m USING (sample_id) WHERE m.sex <> ''),
- a AS (SELECT *, c1 - avg(c1) OVER w AS u1, c2 - avg(c2) OVER w AS v2, y - avg(y) OVER w AS y0, count(*) OVER w AS n FROM d {w}),
- b AS (SELECT *, sum(u1 * u1) OVER w AS g1, sum(u1 * v2) OVER w AS h, sum(y0 * u1) OVER w AS y1 FROM a {w}),
+    z = normal_quantile_sql("p")
+    return f"""WITH pr AS MATERIALIZED ({pairs}), d0 AS (SELECT x.island, x.sample_id, x.value AS y, CASE WHEN m.sex = 'XX' THEN 1.0 ELSE 0.0 END::DOUBLE AS c1, m.depth_mean AS c2 FROM ({_ISLANDS}) x JOIN {{members}} m USING (sample_id) WHERE m.sex <> '' AND x.value IS NOT NULL),
+ d1 AS (SELECT *, (rank() OVER (PARTITION BY island ORDER BY y) + (count(*) OVER (PARTITION BY island, y) - 1) / 2.0 - 0.5) / count(*) OVER (PARTITION BY island) AS p FROM d0), d AS (SELECT *, {z} AS z FROM d1),
+ a AS (SELECT *, c1 - avg(c1) OVER w AS u1, c2 - avg(c2) OVER w AS v2, y - avg(y) OVER w AS y0, z - avg(z) OVER w AS z0, count(*) OVER w AS n FROM d {w}),
+ b AS (SELECT *, sum(u1 * u1) OVER w AS g1, sum(u1 * v2) OVER w AS h, sum(y0 * u1) OVER w AS y1, sum(z0 * u1) OVER w AS z1 FROM a {w}),
  c AS (SELECT *, CASE WHEN g1 > 1e-9 THEN v2 - h / g1 * u1 ELSE v2 END AS u2 FROM b),
- e AS (SELECT *, sum(u2 * u2) OVER w AS g2, sum(y0 * u2) OVER w AS y2 FROM c {w}),
- f AS (SELECT *, y0 - CASE WHEN g1 > 1e-9 THEN y1 / g1 * u1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN y2 / g2 * u2 ELSE 0 END AS yr, n - 2 - CASE WHEN g1 > 1e-9 THEN 1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN 1 ELSE 0 END AS df FROM e),
- o AS (SELECT island, any_value(n) AS n, any_value(g1) AS g1, any_value(g2) AS g2, any_value(df) AS df, sum(yr * yr) AS vb FROM f GROUP BY 1),
- s AS (SELECT p.island, p.variant, sum(g.alt) AS sx, sum(g.alt * g.alt) AS sxx, sum(g.alt * u1) AS s1, sum(g.alt * u2) AS s2, sum(g.alt * yr) AS both_ FROM ({_PAIRS}) p JOIN {{genotypes}} g ON g.site_id = p.variant AND g.alt > 0 JOIN f ON f.island = p.island AND f.sample_id = g.sample_id GROUP BY 1, 2),
- v AS (SELECT p.island, p.variant, o.df, vb, coalesce(both_, 0) AS both_, coalesce(sxx - sx * sx / CAST(n AS DOUBLE) - CASE WHEN g1 > 1e-9 THEN s1 * s1 / g1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN s2 * s2 / g2 ELSE 0 END, 0) AS va FROM ({_PAIRS}) p JOIN o USING (island) LEFT JOIN s ON s.island = p.island AND s.variant = p.variant),
- k AS (SELECT *, va >= 1e-9 AND vb >= 1e-9 AND df > 0 AS ok FROM v), l AS (SELECT *, CASE WHEN ok THEN greatest(-1, least(1, both_ / sqrt(va * vb))) END AS r, CASE WHEN ok THEN both_ / va END AS slope FROM k),
- t AS (SELECT island, variant, r, r * sqrt(df / greatest(1e-15, 1 - r * r)) AS t, CAST(df AS BIGINT) AS df, slope FROM l){tail} SELECT {columns}"""
+ e AS (SELECT *, sum(u2 * u2) OVER w AS g2, sum(y0 * u2) OVER w AS y2, sum(z0 * u2) OVER w AS z2 FROM c {w}),
+ f AS (SELECT *, y0 - CASE WHEN g1 > 1e-9 THEN y1 / g1 * u1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN y2 / g2 * u2 ELSE 0 END AS yr, z0 - CASE WHEN g1 > 1e-9 THEN z1 / g1 * u1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN z2 / g2 * u2 ELSE 0 END AS zr,
+  n - 2 - CASE WHEN g1 > 1e-9 THEN 1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN 1 ELSE 0 END AS df FROM e),
+ o AS (SELECT island, any_value(n) AS n, any_value(g1) AS g1, any_value(g2) AS g2, any_value(df) AS df, sum(zr * zr) AS vb FROM f GROUP BY 1),
+ s AS (SELECT p.island, p.variant, sum(g.alt) AS sx, sum(g.alt * g.alt) AS sxx, sum(g.alt * u1) AS s1, sum(g.alt * u2) AS s2, sum(g.alt * zr) AS both_, sum(g.alt * yr) AS steep FROM pr p JOIN {{genotypes}} g ON g.site_id = p.variant AND g.alt > 0 JOIN f ON f.island = p.island AND f.sample_id = g.sample_id GROUP BY 1, 2),
+ v AS (SELECT p.island, p.variant, o.df, vb, coalesce(both_, 0) AS both_, coalesce(steep, 0) AS steep, coalesce(sxx - sx * sx / CAST(n AS DOUBLE) - CASE WHEN g1 > 1e-9 THEN s1 * s1 / g1 ELSE 0 END - CASE WHEN g2 > 1e-9 THEN s2 * s2 / g2 ELSE 0 END, 0) AS va FROM pr p JOIN o USING (island) LEFT JOIN s ON s.island = p.island AND s.variant = p.variant),
+ k AS (SELECT *, va >= 1e-9 AND vb >= 1e-9 AND df > 0 AS ok FROM v), l AS (SELECT *, CASE WHEN ok THEN greatest(-{op.MOST_R!r}, least({op.MOST_R!r}, both_ / sqrt(va * vb))) END AS r, CASE WHEN ok THEN steep / va END AS slope FROM k),
+ t AS (SELECT island, variant, r, r * sqrt(df / (1 - r * r)) AS t, CAST(df AS BIGINT) AS df, slope FROM l){tail} SELECT {columns}"""
 
 
 def _student_sql(rows: str) -> str:
@@ -124,7 +131,7 @@ def _student_sql(rows: str) -> str:
 
 @query("sta05", _screen("island, variant, df, " + ", ".join(_rounded_sql(c, c) for c in ("r", "t", "slope")) + " FROM t", ""))
 def sta05(b: Bound):
-    return _residual(b).select("island", "variant", "df", *[_rounded(c) for c in ("r", "t", "slope")])
+    return _residual(b, saver(b)).select("island", "variant", "df", *[_rounded(c) for c in ("r", "t", "slope")])
 
 
 @query("sta07", _screen("island, variant, df, " + _rounded_sql("t", "t") + ", round(p, 8) AS p, round(q, 8) AS q, n_pairs FROM z WHERE no = 1", f""",
@@ -134,15 +141,34 @@ def sta05(b: Bound):
 def sta07(b: Bound):
     """The whole screen: window join, residual tests, p, q, and the best variant of each island."""
     save = saver(b)
-    tested = save(_residual(b).withColumn("p", op.t_p("t", F.col("df").cast("double"))), "tested")
+    tested = save(_residual(b, save).withColumn("p", op.t_p("t", F.col("df").cast("double"))), "tested")
     hits = ordering.bh(tested, save=save)
     lead = ordering.lead_rows(hits, "island", [F.round("p", 10).asc_nulls_last(), F.col("variant")])
     return lead.select("island", "variant", "df", _rounded("t"), F.round("p", 8).alias("p"), F.round("q", 8).alias("q"), F.col("n_rows").alias("n_pairs"))
 
 
-@query("sta08", f"SELECT count(*) AS n, round(median(t * t) / 0.4549364, 6) AS inflation, round(avg(CASE WHEN t * t > 3.841459 THEN 1.0 ELSE 0 END), 6) AS share_5pct FROM ({_T}) u WHERE t IS NOT NULL")
+#: Random doses have no effect: the smallest q of the test tables lie just below 1.
+_FDR = 0.975
+_TAIL = f""",
+ fr AS (SELECT region_id AS island, site_id AS variant, TRUE AS far FROM ({FAR}) q), tf AS (SELECT t.*, coalesce(fr.far, FALSE) AS far FROM t LEFT JOIN fr USING (island, variant) WHERE t IS NOT NULL), nt AS (SELECT * FROM tf WHERE NOT far),
+ st AS ({_student_sql("nt")}), tp AS (SELECT nt.*, st.p FROM nt JOIN st ON st.t = nt.t AND st.df = nt.df), rk AS (SELECT *, row_number() OVER (ORDER BY p) AS rk, count(*) OVER () AS m FROM tp),
+ qs AS (SELECT *, least(1.0, min(p * m / rk) OVER (ORDER BY p RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM rk),
+ h AS (SELECT qs.island, s.svtype, r.region_label FROM qs JOIN {{sites}} s ON s.site_id = variant JOIN {{regions}} r ON r.region_id = island WHERE q <= {_FDR}),
+ z AS (SELECT 'pairs' AS metric, 'total' AS key, CAST(count(*) AS DOUBLE) AS value FROM nt UNION ALL SELECT 'hits', 'total', count(*) FROM h UNION ALL SELECT 'hits', 'islands', count(DISTINCT island) FROM h
+  UNION ALL SELECT 'hits_by_variant_type', svtype, count(*) FROM h GROUP BY svtype UNION ALL SELECT 'hits_by_region_type', region_label, count(*) FROM h GROUP BY region_label
+  UNION ALL SELECT 'inflation', 'lambda', median(t * t) / 0.4549364 FROM nt HAVING count(*) > 0 UNION ALL SELECT 'inflation', 'lambda_far', median(t * t) / 0.4549364 FROM tf WHERE far HAVING count(*) > 0 UNION ALL SELECT 'inflation', 'far_p05_share', avg(CASE WHEN t * t > 3.841459 THEN 1.0 ELSE 0 END) FROM tf WHERE far HAVING count(*) > 0)"""
+
+
+@query("sta08", _screen("metric, key, round(value, 6) AS value FROM z", _TAIL, f"{_PAIRS} UNION ALL SELECT region_id, site_id FROM ({FAR}) q"))
 def sta08(b: Bound):
-    return op.calibration(_tests(b)).withColumns({c: F.round(c, 6) for c in ("inflation", "share_5pct")})
+    """Near and far pairs in one pass over the blocks; q among the near ones."""
+    save = saver(b)
+    tested = save(_residual(b, save, far=True).withColumn("p", op.t_p("t", F.col("df").cast("double"))), "tested")
+    near = ordering.bh(tested.where("not far and t is not null"), save=save)
+    rows = near.select("island", "variant", "t", "q", "far").unionByName(tested.where("far").select("island", "variant", "t", F.lit(None).cast("double").alias("q"), "far"))
+    rows = rows.join(b.sites.select(F.col("site_id").alias("variant"), F.col("svtype").alias("variant_type")), "variant")
+    rows = rows.join(b.regions.select(F.col("region_id").alias("island"), F.col("region_label").alias("region_type")), "island")
+    return op.calibration(rows, _FDR, save).withColumn("value", F.round("value", 6))
 
 
 @query("scl13", f"""WITH v AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) / 10 AS t, l_linenumber * 5 AS df FROM {{lineitem}}), s AS ({_student_sql("v")}) SELECT l_orderkey, l_linenumber, round(p, 8) AS p FROM v JOIN s USING (t, df)""")

@@ -58,14 +58,21 @@ def jon09(b: Bound):
     return op.cis_pairs(_a(b), b.sites, 20000).select("region_id", "site_id", "distance")
 
 
-@query("jon10", f"""WITH v AS (SELECT chrom, site_id, pos, row_number() OVER (PARTITION BY chrom ORDER BY pos, site_id) - 1 AS no FROM {{sites}}),
+FAR = f"""WITH v AS (SELECT chrom, site_id, pos, row_number() OVER (PARTITION BY chrom ORDER BY pos, site_id) - 1 AS no FROM {{sites}}),
  i AS (SELECT region_id, a.chrom, count(*) AS n, count(CASE WHEN pos <= a_start - 100000 THEN 1 END) AS below, count(CASE WHEN pos < a_end + 99999 THEN 1 END) AS until FROM {_A} a JOIN {{sites}} s USING (chrom) GROUP BY 1, 2),
  d AS (SELECT *, below + n - until AS far, unnest([0, 1, 2]) AS j FROM i), e AS (SELECT *, far * j // 3 AS f, far * (j + 1) // 3 - far * j // 3 AS size, ('0x' || substr(md5('17-' || region_id || '-' || j), 1, 8))::BIGINT AS h FROM d),
- g AS (SELECT region_id, chrom, CASE WHEN f + h % size < below THEN f + h % size ELSE f + h % size - below + until END AS no FROM e WHERE size > 0) SELECT region_id, site_id FROM g JOIN v USING (chrom, no)""")
-def jon10(b: Bound):
+ g AS (SELECT region_id, chrom, CASE WHEN f + h % size < below THEN f + h % size ELSE f + h % size - below + until END AS no FROM e WHERE size > 0) SELECT region_id, site_id FROM g JOIN v USING (chrom, no)"""
+
+
+def far_of(b: Bound):
     return op.far_pairs(_a(b), b.sites.select("site_id", "chrom", "pos"), 100_000, 3, 17, "region_id", "site_id", saver(b)).select("region_id", "site_id")
 
 
+@query("jon10", FAR)
+def jon10(b: Bound):
+    return far_of(b)
+
+
 _MERGED = """SELECT chrom, min(s) AS s, max(e) AS e, count(*) AS n FROM (SELECT chrom, s, e, sum(CASE WHEN r IS NULL OR s > r THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k
  FROM (SELECT chrom, s, e, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM (%s) x) y) z GROUP BY chrom, k"""
 _MA = _MERGED % f"SELECT chrom, a_start AS s, a_end AS e FROM {_A} q"

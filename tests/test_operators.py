@@ -1,6 +1,7 @@
 """Small hand-checked cases of the operators."""
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pytest
@@ -236,10 +237,32 @@ def test_residual_tests_equal_regression(spark):
         if r["variant"] == 4:
             assert r["t"] is None
             continue
-        beta, rest, _, _ = np.linalg.lstsq(a, y[r["island"]][keep], rcond=None)
+        raw = y[r["island"]][keep]
+        z = np.array([NormalDist().inv_cdf((1 + (raw < v).sum() + ((raw == v).sum() - 1) / 2 - 0.5) / len(raw)) for v in raw])
+        slope = np.linalg.lstsq(a, raw, rcond=None)[0][3]
+        beta, rest, _, _ = np.linalg.lstsq(a, z, rcond=None)
         df = len(keep) - 4
         error = np.sqrt(rest[0] / df * np.linalg.inv(a.T @ a)[3, 3])
-        assert r["df"] == df and r["slope"] == pytest.approx(beta[3]) and r["t"] == pytest.approx(beta[3] / error)
+        assert r["df"] == df and r["slope"] == pytest.approx(slope) and r["t"] == pytest.approx(beta[3] / error) and r["far"] is False
+
+
+def test_calibration_and_blocks(spark, save):
+    rng = np.random.default_rng(1)
+    rows = [(int(i % 7), float(rng.normal() * 2), float(rng.random()), bool(i % 3 == 0), "AB"[i % 2], None if i % 5 == 0 else "x") for i in range(200)] + [(1, None, None, False, "A", "x")]
+    tests = spark.createDataFrame(rows, "island long, t double, q double, far boolean, variant_type string, region_type string")
+    got = {(r["metric"], r["key"]): r["value"] for r in qtl.calibration(tests, 0.3, save).collect()}
+    near = [r for r in rows if r[1] is not None and not r[3]]
+    far = [r for r in rows if r[1] is not None and r[3]]
+    hits = [r for r in near if r[2] <= 0.3]
+    assert got["pairs", "total"] == len(near) and got["hits", "total"] == len(hits) and got["hits", "islands"] == len({r[0] for r in hits})
+    assert got["hits_by_variant_type", "A"] == sum(r[4] == "A" for r in hits) and got["hits_by_region_type", "unannotated"] == sum(r[5] is None for r in hits)
+    assert got["inflation", "lambda"] == pytest.approx(np.median([r[1] ** 2 for r in near]) / 0.4549364)
+    assert got["inflation", "lambda_far"] == pytest.approx(np.median([r[1] ** 2 for r in far]) / 0.4549364)
+    assert got["inflation", "far_p05_share"] == pytest.approx(np.mean([r[1] ** 2 > 3.841459 for r in far]))
+    pairs = spark.createDataFrame([(i, v) for i in range(12) for v in range(10)], "island long, variant long")
+    islands = spark.createDataFrame([(i, "chr1" if i < 9 else "chr2", 100 - i) for i in range(12)], "island long, chrom string, a_start long")
+    blocks = qtl.blocked(pairs, islands, 5, save, cells=150).groupBy("block").agg(F.count("*").alias("n"), F.count_distinct("island").alias("islands")).collect()
+    assert sum(r["n"] for r in blocks) == 120 and max(r["n"] for r in blocks) <= 40 and all(r["n"] == 10 * r["islands"] for r in blocks)
 
 
 def test_shards_hold_every_region(spark, tmp_path):
