@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import frequency, identity, repeats
 from ..sources import sinks, text as src
 from ..streaming import events as streams
 from .bindings import Bound, query
@@ -186,9 +187,35 @@ def snk01(b: Bound):
     return b.spark.read.csv(f"{b.scratch}/out.tsv", sep="\t", header=True, schema="p_partkey string, name string, big string, list string", nullValue="\x00", emptyValue="").withColumn("name", F.coalesce("name", F.lit("")))
 
 
-@query("snk02", "SELECT 'members' AS domain, count(*) AS rows, '' AS note FROM {members} UNION ALL SELECT 'sites', count(*), '' FROM {sites} UNION ALL SELECT 'pgx', 0, 'no data'")
+_FREQ = """SELECT count(*) FROM (SELECT DISTINCT k, s, v FROM (SELECT stage AS v, unnest(['all', 'sex', 'ancestry']) AS k, unnest(['all', sex, ancestry]) AS s FROM {runs} JOIN {members} ON sample_id = subject_id WHERE status <> 'running') t WHERE v IS NOT NULL) u"""
+
+
+@query("snk02", f"""SELECT 'members' AS domain, 'members' AS file, count(*) AS rows, '' AS note, sum(length(concat_ws(chr(9), sample_id, sex, ancestry, batch)) + 1) AS bytes FROM {{members}} UNION ALL SELECT 'coverage', 'coverage', count(*), '', NULL FROM {{members}} UNION ALL SELECT 'variants', 'variants', count(DISTINCT (sample_id, svtype)), '', NULL FROM {{genotypes}} JOIN {{sites}} USING (site_id)
+ UNION ALL SELECT 'phasing', '', 0, 'no member has phase blocks', 0 UNION ALL SELECT 'cn', 'cn', count(*), '', NULL FROM {{regions}} UNION ALL SELECT 'pgx', 'pgx', count(*), '', NULL FROM {{runs}} UNION ALL SELECT 'pgx', 'pgx.freq', ({_FREQ}), '', NULL UNION ALL SELECT 'hla', '', 0, 'no data', 0 UNION ALL SELECT 'mito', 'mito', count(*), '', NULL FROM {{sites}} WHERE chrom = 'chrM'
+ UNION ALL SELECT 'identity', 'identity.pairs', count(*), '', NULL FROM {{pairs}} UNION ALL SELECT 'identity', 'identity.members', count(DISTINCT sample_id), '', NULL FROM {{genotypes}} UNION ALL SELECT 'tr', 'tr.spectrum', count(*), '', NULL FROM (SELECT DISTINCT locus_id, al FROM (SELECT locus_id, al1 AS al FROM {{tr_alleles}} UNION ALL SELECT locus_id, al2 FROM {{tr_alleles}}) q) q UNION ALL SELECT 'tr', 'tr.loci', count(*), '', NULL FROM {{loci}}
+ UNION ALL SELECT 'methyl', 'methyl.samples', count(*), '', NULL FROM {{methyl}} UNION ALL SELECT 'mqtl', 'mqtl.islands', count(*), '', NULL FROM {{regions}} UNION ALL SELECT 'graph_gt', 'graph_gt.members', count(DISTINCT (sample_id, svtype)), '', NULL FROM {{genotypes}} JOIN {{sites}} USING (site_id) UNION ALL SELECT 'graph_gt', 'graph_gt.skipped', count(*), '', NULL FROM {{sites}} WHERE filter <> 'PASS' UNION ALL SELECT 'assembly', '', 0, 'no member has an assembly', 0""")
 def snk02(b: Bound):
-    return sinks.export(b.spark, {"members": b.members, "sites": b.sites, "pgx": None}, f"{b.scratch}/export").drop("digest")
+    """All domains that the tables can fill, each with its files; bytes are compared where both engines write alike."""
+    typed = b.genotypes.join(b.sites.select("site_id", "svtype"), "site_id")
+    runs = b.runs.join(b.members, F.col("subject_id") == F.col("sample_id")).withColumn("value", F.when(F.col("status") != "running", F.col("stage")))
+    own = frequency.member_counts(typed)
+    domains = {
+        "members": {"": b.members.select("sample_id", "sex", "ancestry", "batch")},
+        "coverage": {"": b.members.select("sample_id", "depth_mean")},
+        "variants": {"": own},
+        "phasing": "no member has phase blocks",
+        "cn": {"": b.regions.select("region_id", "chrom", "region_label")},
+        "pgx": {"": b.runs.select("run_id", "subject_id", "stage", "status"), "freq": frequency.freq_table(runs, "value", {"sex": "sex", "ancestry": "ancestry"}, [])},
+        "mito": {"": b.sites.where("chrom = 'chrM'")},
+        "identity": {"pairs": identity.relatedness(b.genotypes), "members": b.genotypes.select("sample_id").distinct()},
+        "tr": {"spectrum": repeats.allele_spectrum(repeats.long_alleles(b.tr_alleles)), "loci": b.loci},
+        "methyl": {"samples": b.methyl},
+        "mqtl": {"islands": b.regions},
+        "graph_gt": {"members": own, "skipped": b.sites.where("filter <> 'PASS'")},
+        "assembly": "no member has an assembly",
+    }
+    out = sinks.export(b.spark, domains, f"{b.scratch}/export")
+    return out.select("domain", "file", "rows", "note", F.when((F.col("file") == "members") | (F.col("note") != ""), F.col("bytes")).alias("bytes"))
 
 
 @query("snk03", "SELECT sample_id, count(*) AS n FROM {genotypes} WHERE alt > 0 GROUP BY 1")

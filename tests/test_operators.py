@@ -509,3 +509,69 @@ def test_path_tags_beyond_a_thousand(spark, tmp_path):
     row = ["q", "9", "0", "9", "+", "t", "9", "0", "9", "9", "9", "60"]
     (tmp_path / "a.paf").write_text("\t".join(row + ["xx:i:1"] * 1200 + ["tp:A:S"]) + "\n" + "\t".join(row + ["tp:A:P"]) + "\n")
     assert text.read_paf(spark, str(tmp_path / "a.paf")).count() == 1
+
+
+def call_rows():
+    return [("x", "A", "G", 1, 12), ("x", "A", "C", 2, 9), ("x", "AT", "A", 1, 45), ("x", "A", "A" + "T" * 60, None, None), ("x", "AT", "GC", 1, 20), ("x", "C", "T", 1, 39), ("y", "A", "A", 1, 5)]
+
+
+def test_call_statistics(spark):
+    df = spark.createDataFrame(call_rows(), "callset string, ref string, alt string, dose int, depth int")
+    got = {(r["callset"], r["metric"], r["key"]): r["value"] for r in graphs.call_stats(df, ["callset"]).collect()}
+    want = {("records", "snp"): 3, ("records", "indel"): 2, ("records", "mnp"): 1, ("tstv", "ts"): 2, ("tstv", "tv"): 1, ("zygosity", "het"): 4, ("zygosity", "hom"): 1, ("ratio", "ts_tv"): 2, ("ratio", "het_hom"): 4}
+    want |= {("substitutions", k): 1 for k in ("A>G", "A>C", "C>T")} | {("indel_length", "-9..-1"): 1, ("indel_length", ">=+50"): 1}
+    want |= {("depth", "10-19"): 1, ("depth", "<10"): 1, ("depth", ">=40"): 1, ("depth", "20-29"): 1, ("depth", "30-39"): 1}
+    assert {k[1:]: v for k, v in got.items() if k[0] == "x"} == want
+    assert {k[1:]: v for k, v in got.items() if k[0] == "y"} == {("records", "other"): 1, ("zygosity", "het"): 1, ("depth", "<10"): 1}
+
+
+def test_observed_export(spark, tmp_path):
+    df = spark.createDataFrame([(1, "é", 0.5, None), (2, None, 3.0, [1, 2])], "id long, name string, x double, list array<int>").repartition(2)
+    out = sinks.export(spark, {"members": {"": df, "freq": df.where("id = 1")}, "hla": "not typed"}, str(tmp_path / "out"), ["members", "hla", "pgx"])
+    rows = {(r["domain"], r["file"]): r for r in out.collect()}
+    assert {k: (r["rows"], r["note"]) for k, r in rows.items()} == {("members", "members"): (2, ""), ("members", "members.freq"): (1, ""), ("hla", ""): (0, "not typed"), ("pgx", ""): (0, "no data")}
+    lines = [x for f in (tmp_path / "out" / "members").glob("part-*") for x in f.read_text().splitlines()]
+    body = [x for x in lines if x != "id\tname\tx\tlist"]
+    assert sorted(body) == ["1\té\t0.5\t", "2\t\t3\t1,2"] and rows["members", "members"]["bytes"] == sum(len(x.encode()) + 1 for x in body)
+    again = sinks.export(spark, {"members": {"": df.repartition(1)}}, str(tmp_path / "again"), ["members"]).first()
+    assert again["digest"] == rows["members", "members"]["digest"] != rows["members", "members.freq"]["digest"]
+    empty = sinks.export(spark, {"tr": {"": df.limit(0)}}, str(tmp_path / "empty"), ["tr"]).first()
+    assert (empty["rows"], empty["bytes"]) == (0, 0)
+    with pytest.raises(ValueError):
+        sinks.export(spark, {}, str(tmp_path / "none"), ["nothing"])
+
+
+def test_time_left_over_batches_equals_the_static_series(spark, tmp_path):
+    import datetime as dt
+
+    from strandline.streaming import events as streams
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(r, start + dt.timedelta(seconds=30 * i), min(100, 3 * i + r), 100, None) for r in (1, 2) for i in range(25)] + [(3, start, 5, 100, 0.05)]
+    df = spark.createDataFrame(rows, "run_id long, ts timestamp, done long, total long, share double")
+    for k in range(5):  # files in order of time, one a batch
+        part = df.where((F.col("ts") >= F.lit(start + dt.timedelta(seconds=150 * k))) & (F.col("ts") < F.lit(start + dt.timedelta(seconds=150 * k + 150))))
+        part.coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    streams.run_available(streams.progress_with_eta(stream), "append", str(tmp_path / "out"), str(tmp_path / "state"))
+    key = lambda r: (r["run_id"], r["ts"], r["done"])
+    got = sorted(spark.read.parquet(str(tmp_path / "out")).collect(), key=key)
+    want = sorted(streams.with_eta(df).collect(), key=key)
+    assert len(got) == 51 and [key(r) for r in got] == [key(r) for r in want]
+    assert all((a["eta_seconds"] is None) == (b["eta_seconds"] is None) and (a["eta_seconds"] is None or a["eta_seconds"] == pytest.approx(b["eta_seconds"])) for a, b in zip(got, want))
+    assert {r["eta_seconds"] for r in got if r["run_id"] == 3} == {None}
+
+
+def test_windows_of_late_events(spark, tmp_path):
+    import datetime as dt
+
+    from strandline.streaming import events as streams
+
+    day = dt.datetime(2024, 1, 1)
+    rows = [("a", "INFO", 1, day + dt.timedelta(hours=h), "{}") for h in (1, 5, 30, 31)] + [("b", "INFO", 1, day + dt.timedelta(hours=2), "{}")]
+    df = spark.createDataFrame(rows, "event string, level string, run_id long, ts timestamp, detail string")
+    df.write.json(str(tmp_path / "in"))
+    stream = streams.windowed_counts(streams.event_stream(spark, str(tmp_path / "in")), "1 day", "1 hour")
+    streams.run_available(stream, "complete", str(tmp_path / "out"), str(tmp_path / "state"))
+    got = {(r["start"], r["event"]): r["count"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(day, "a"): 2, (day + dt.timedelta(days=1), "a"): 2, (day, "b"): 1}
