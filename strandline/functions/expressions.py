@@ -324,18 +324,35 @@ def severity(level: Column) -> Column:
 
 # ---------------------------------------------------------------- motifs
 
-#: IUPAC codes and the bases they stand for.
-IUPAC = {"R": "[AG]", "Y": "[CT]", "S": "[CG]", "W": "[AT]", "K": "[GT]", "M": "[AC]", "B": "[CGT]", "D": "[AGT]", "H": "[ACT]", "V": "[ACG]", "N": "[ACGT]"}
+#: IUPAC codes and the bases they stand for.
+IUPAC = {"A": "A", "C": "C", "G": "G", "T": "T", "N": "ACGT", "R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG"}
+#: Kinds of match, the weakest last.
+MATCHES = ("exact", "rotation", "iupac")
 
 
-def motif_match(a: Column, b: Column) -> Column:
-    """exact, rotation, iupac_rotation or null: is motif b a spelling of the pattern motif a?"""
-    pattern = a
-    for code, bases in IUPAC.items():
-        pattern = F.replace(pattern, F.lit(code), F.lit(bases))
-    same = F.length(a) == F.length(b)
-    return (
-        F.when(a == b, "exact")
-        .when(same & F.contains(F.concat(a, a), b), "rotation")
-        .when(same & F.rlike(F.concat(b, b), pattern), "iupac_rotation")
-    )
+def motif_rank(p: Column, c: Column) -> Column:
+    """Place in MATCHES from 1, or null: equal, a rotation, or a rotation in which the bases at each place have one in common.
+
+    Both may hold codes: a code of p is read as the class of all codes that share a base with it.
+    """
+    classes = {x: "[" + "".join(y for y in IUPAC if set(IUPAC[x]) & set(IUPAC[y])) + "]" for x in IUPAC}
+    table = F.create_map(*[F.lit(v) for kv in classes.items() for v in kv])
+    p, c = F.upper(p), F.upper(c)
+    pattern = F.array_join(F.transform(F.filter(F.split(p, ""), lambda x: x != ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    same = F.length(p) == F.length(c)
+    return F.when(p == c, 1).when(same & F.contains(F.concat(p, p), c), 2).when(same & (F.length(p) > 0) & F.rlike(F.concat(c, c), pattern), 3)
+
+
+def motif_match(p: Column, c: Column) -> Column:
+    """exact, rotation, iupac or null."""
+    return F.get(F.array(*[F.lit(m) for m in MATCHES]), motif_rank(p, c) - 1)
+
+
+def match_motifs(pathogenic: Column, catalog: Column) -> Column:
+    """Of two lists of motifs: those of the catalogue that some pathogenic one matches (in the catalogue's order, once each), and the weakest kind
+    of match; `partial:` before it if a pathogenic motif matches none, `none` if none does."""
+    ranks = F.transform(pathogenic, lambda p: F.array_max(F.array_compact(F.transform(catalog, lambda c: motif_rank(p, c)))))
+    matched = F.filter(F.array_distinct(catalog), lambda c: F.exists(pathogenic, lambda p: motif_rank(p, c).isNotNull()))
+    weakest = F.get(F.array(*[F.lit(m) for m in MATCHES]), F.array_max(F.array_compact(ranks)) - 1)
+    kind = F.when(F.coalesce(F.size(matched), F.lit(0)) < 1, "none").otherwise(F.concat(F.when(F.exists(ranks, lambda r: r.isNull()), "partial:").otherwise(""), weakest))
+    return F.struct(matched.alias("matched"), kind.alias("motif_match"))

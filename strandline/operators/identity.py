@@ -183,11 +183,21 @@ def resolve_sex(df: DataFrame, xx_min: float, xy_max: float) -> DataFrame:
     return out.select("sample_id", F.coalesce(sheet, "coverage_sex", called, F.lit("")).alias("sex"), source.alias("source"), F.array_join(said, "; ").alias("messages"))
 
 
-def qc_members(pairs: DataFrame, samples: DataFrame, close: float = 0.2) -> DataFrame:
-    """Per member: het ratio, number of close pairs and the largest relatedness."""
+def qc_members(pairs: DataFrame, samples: DataFrame, close: float = 0.2, ancestry: DataFrame | None = None, xx_min: float = 0.3, xy_max: float = 0.15) -> DataFrame:
+    """Per member: het ratio, number of close pairs, the largest relatedness, the X call, and the likeliest ancestry.
+
+    samples: sample_id, n_het, n_called, x_het, x_called (at sites of chrX); the call is XX from xx_min hets a called site on, XY up to xy_max,
+    null between and without a site.  ancestry: sample_id, label, probability; ties go to the smaller label.
+    """
     both = pairs.select(F.col("sample_a").alias("sample_id"), "relatedness").unionByName(pairs.select(F.col("sample_b").alias("sample_id"), "relatedness"))
     near = both.groupBy("sample_id").agg(F.count_if(F.col("relatedness") >= close).alias("close_pairs"), F.round(F.max("relatedness"), 6).alias("max_relatedness"))
-    return samples.select("sample_id", F.round(F.try_divide(F.col("n_het"), F.col("n_called")), 6).alias("het_ratio")).join(near, "sample_id", "left")
+    share = F.try_divide(F.col("x_het"), F.col("x_called"))
+    call = F.when(share >= xx_min, "XX").when(share <= xy_max, "XY")
+    out = samples.select("sample_id", F.round(F.try_divide(F.col("n_het"), F.col("n_called")), 6).alias("het_ratio"), F.round(share, 6).alias("x_het_ratio"), call.alias("x_call")).join(near, "sample_id", "left")
+    if ancestry is None:
+        return out
+    best = ancestry.groupBy("sample_id").agg(F.max_by("label", F.struct("probability", -F.col("label"))).alias("ancestry"), F.round(F.max("probability"), 6).alias("ancestry_probability"))
+    return out.join(best, "sample_id", "left")
 
 
 def identity_flags(pairs: DataFrame, members: DataFrame, hubs: DataFrame, duplicate: float, related: float, parent: tuple[float, float], mads: float, save) -> DataFrame:

@@ -9,13 +9,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .ordering import rank_normal
 from .scan import running
-from .skew import quantiles
+from .skew import join_one, quantiles
 
 #: Doses of a block of islands that are tested in one task (128 MB).
 BLOCK_CELLS = 1 << 24
@@ -26,9 +26,9 @@ MOST_R = 0.999999999
 def matrix(profiles: DataFrame, least_cov: int) -> DataFrame:
     """Long island x member values: null below the coverage floor, with the island's n, mean and sd."""
     value = F.when(F.col("cov") >= least_cov, F.col("value"))
-    rows = profiles.select("sample_id", "island", value.alias("value"))
-    over = Window.partitionBy("island")
-    return rows.select("*", F.count("value").over(over).alias("n_members"), F.avg("value").over(over).alias("mean"), F.stddev_samp("value").over(over).alias("sd"))
+    rows = profiles.where("island is not null").select("sample_id", "island", value.alias("value"))
+    of = rows.groupBy("island").agg(F.count("value").alias("n_members"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.count("*").alias("n"))
+    return join_one(rows, of.drop("n"), ["island"], of.select("island", "n"), rows.count())  # few islands hold all rows
 
 
 def unused_members(profiles: DataFrame, members: DataFrame, excluded: Sequence) -> DataFrame:

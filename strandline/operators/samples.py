@@ -167,8 +167,9 @@ def stage_summary(stage: str, frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def ancestry(vectors: DataFrame, k: int = 4, seed: int = 1, sample: int = 20_000) -> DataFrame:
-    """PCA and multinomial logistic regression on labelled vectors; every vector gets its likeliest label and probability.
+def ancestry(vectors: DataFrame, k: int = 4, seed: int = 1, sample: int = 20_000, penalty: float = 1e-3) -> DataFrame:
+    """PCA and multinomial logistic regression on labelled vectors: every vector gets its components, the probability of each label, and the
+    likeliest one.
 
     The models are fitted on at most `sample` labelled vectors (a hash sample), a documented bound; all vectors are scored.
     """
@@ -179,5 +180,7 @@ def ancestry(vectors: DataFrame, k: int = 4, seed: int = 1, sample: int = 20_000
 
     rows = vectors.select("vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"), F.col("label").cast("double").alias("label"))
     train = rows.where("label is not null and vec_id % 5 <> 0").orderBy(F.xxhash64(F.lit(seed), "vec_id")).limit(sample)
-    model = Pipeline(stages=[PCA(k=k, inputCol="features", outputCol="pcs"), LogisticRegression(featuresCol="pcs", labelCol="label", maxIter=20)]).fit(train)
-    return model.transform(rows).select("vec_id", F.col("prediction").cast("int").alias("predicted"), F.array_max(vector_to_array("probability")).alias("probability"), (F.col("vec_id") % 5 == 0).alias("held_out"))
+    fit = LogisticRegression(featuresCol="pcs", labelCol="label", maxIter=200, tol=1e-9, regParam=penalty, family="multinomial")
+    model = Pipeline(stages=[PCA(k=k, inputCol="features", outputCol="pcs"), fit]).fit(train)
+    out = model.transform(rows).withColumns({"pcs": vector_to_array("pcs"), "probabilities": vector_to_array("probability")})
+    return out.select("vec_id", F.col("prediction").cast("int").alias("predicted"), F.array_max("probabilities").alias("probability"), (F.col("vec_id") % 5 == 0).alias("held_out"), "pcs", "probabilities")

@@ -131,7 +131,7 @@ def win14(b: Bound):
 
     labels = b.sites.select("region_label").distinct()
     order = labels.withColumn("position", F.row_number().over(Window.orderBy(F.col("region_label").desc())).cast("long"))  # the labels' dimension table
-    return op.restore_order(b.sites, F.broadcast(order), "region_label").select("site_id", "position")
+    return op.restore_order(b.sites, order, "region_label").select("site_id", "position")
 
 
 @query("srt01", "SELECT site_id, chrom, pos FROM {sites}")

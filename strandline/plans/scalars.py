@@ -125,13 +125,33 @@ def prj20(b: Bound):
     return b.lineitem.select("l_orderkey", "l_linenumber", F.array_join(X.repaired_slots(gt, F.array(F.lit("x"), F.lit("y"))), ",").alias("slots"))
 
 
-@query("prj21", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'rotation' WHEN 2 THEN 'iupac_rotation' END AS kind FROM {part}")
+@query("prj21", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'rotation' WHEN 2 THEN 'iupac' END AS kind FROM {part}")
 def prj21(b: Bound):
     a = F.when(F.col("p_partkey") % 4 == 2, "CNG").otherwise("CAG")
     other = F.when(F.col("p_partkey") % 4 == 0, "CAG").when(F.col("p_partkey") % 4 == 1, "GCA").when(F.col("p_partkey") % 4 == 2, "TGC").otherwise("CTG")
     return b.part.select("p_partkey", X.motif_match(a, other).alias("kind"))
 
 
+_MOTIF = "substr('ACGTNRYSWKMBDHVACGT', CAST({0} % 15 + 1 AS INT), CAST({1} AS INT))"
+_CODES = ", ".join(f"('{x}', '{y}')" for x, y in X.IUPAC.items())
+
+
+@query("prj21_lists", f"""WITH l AS (SELECT p_partkey, [{_MOTIF.format('p_partkey', '3')}, {_MOTIF.format('p_size', '2 + p_partkey % 3')}] AS path, [{_MOTIF.format('(p_size + 1)', '3')}, {_MOTIF.format('(p_partkey + p_size)', '3')}, {_MOTIF.format('p_size', '3')}] AS cat FROM {{part}}),
+ codes AS (SELECT * FROM (VALUES {_CODES}) v(code, bases)), k AS (SELECT a.code AS x, b.code AS y FROM codes a JOIN codes b ON len(list_intersect(string_split(a.bases, ''), string_split(b.bases, ''))) > 0),
+ u AS (SELECT p_partkey, i, path[i] AS p, j, cat[j] AS c FROM (SELECT *, unnest(range(1, 3)) AS i FROM l) t, range(1, 4) r(j)),
+ o AS (SELECT DISTINCT p, c FROM u WHERE length(p) = length(c)), q AS (SELECT p, c, s, t, substr(p || p, CAST(s + t + 1 AS INT), 1) AS x, substr(c, CAST(t + 1 AS INT), 1) AS y FROM (SELECT *, unnest(range(0, length(p))) AS t FROM (SELECT *, unnest(range(0, length(p))) AS s FROM o) a) b),
+ fits AS (SELECT DISTINCT p, c FROM (SELECT p, c, s FROM q LEFT JOIN k USING (x, y) GROUP BY 1, 2, 3 HAVING count(k.x) = count(*)) z),
+ m AS (SELECT u.*, CASE WHEN u.p = u.c THEN 1 WHEN length(u.p) = length(u.c) AND contains(u.p || u.p, u.c) THEN 2 WHEN fits.p IS NOT NULL THEN 3 END AS rank FROM u LEFT JOIN fits ON fits.p = u.p AND fits.c = u.c),
+ g AS (SELECT p_partkey, max(rank) AS worst, count(DISTINCT i) FILTER (WHERE rank IS NOT NULL) AS found FROM m GROUP BY 1), h AS (SELECT p_partkey, string_agg(c, ',' ORDER BY j) AS matched FROM (SELECT p_partkey, c, min(j) AS j FROM m WHERE rank IS NOT NULL GROUP BY 1, 2) t GROUP BY 1)
+ SELECT p_partkey, coalesce(matched, '') AS matched, CASE WHEN worst IS NULL THEN 'none' ELSE (CASE WHEN found < 2 THEN 'partial:' ELSE '' END) || CASE worst WHEN 1 THEN 'exact' WHEN 2 THEN 'rotation' ELSE 'iupac' END END AS motif_match FROM g LEFT JOIN h USING (p_partkey)""")
+def prj21_lists(b: Bound):
+    motif = lambda at, size: F.expr(_MOTIF.format(at, size))
+    path = F.array(motif("p_partkey", "3"), motif("p_size", "2 + p_partkey % 3"))
+    cat = F.array(motif("(p_size + 1)", "3"), motif("(p_partkey + p_size)", "3"), motif("p_size", "3"))
+    rows = b.part.select("p_partkey", path.alias("path"), cat.alias("cat")).withColumn("m", X.match_motifs(F.col("path"), F.col("cat")))
+    return rows.select("p_partkey", F.array_join("m.matched", ",").alias("matched"), "m.motif_match")
+
+
 @query("scl01", "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_retailprice END AS x FROM {part}")
 def scl01(b: Bound):
     text = F.when(F.col("p_size") % 6 == 0, "nan").when(F.col("p_size") % 3 == 0, "Infinity").otherwise(F.col("p_retailprice").cast("string"))

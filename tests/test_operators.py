@@ -189,7 +189,7 @@ def test_texts_and_numbers(spark):
     assert one(spark, X.variant_kind(F.lit("A"), F.array(F.lit("G"), F.lit("AT")))) == "MIXED"
     assert one(spark, X.repaired_slots(F.lit("2/0/1"), F.array(F.lit("a"), F.lit("b"), F.lit("c")))) == ["c", "a", "b"]
     assert one(spark, X.fixed(F.lit(2.5), 4)) == "2.5" and one(spark, X.fixed(F.lit(20.0), 2)) == "20"
-    assert one(spark, X.number(F.lit("inf"))) is None and one(spark, X.motif_match(F.lit("CNG"), F.lit("GCT"))) == "iupac_rotation"
+    assert one(spark, X.number(F.lit("inf"))) is None and one(spark, X.motif_match(F.lit("CNG"), F.lit("GCT"))) == "iupac" == one(spark, X.motif_match(F.lit("GCT"), F.lit("cng"))) and one(spark, X.motif_match(F.lit("CRG"), F.lit("GCY"))) is None
 
 
 def test_manifest_conflicts_and_tables(spark, tmp_path):
@@ -575,3 +575,40 @@ def test_windows_of_late_events(spark, tmp_path):
     streams.run_available(stream, "complete", str(tmp_path / "out"), str(tmp_path / "state"))
     got = {(r["start"], r["event"]): r["count"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(day, "a"): 2, (day + dt.timedelta(days=1), "a"): 2, (day, "b"): 1}
+
+
+def test_ancestry_equals_numpy(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    got = {r["vec_id"]: r for r in samples.ancestry(rows).collect()}
+    data = rows.orderBy("vec_id").collect()
+    x = np.array([r["embedding"] for r in data], float)
+    ids, labels = np.array([r["vec_id"] for r in data]), [r["label"] for r in data]
+    train = np.array([i for i, (v, y) in enumerate(zip(ids, labels)) if y is not None and v % 5])
+    values, vectors = np.linalg.eigh(np.cov(x[train].T))
+    top = vectors[:, np.argsort(-values)[:4]]
+    pcs = np.array([got[v]["pcs"] for v in ids])
+    assert len(got) == len(data) and np.allclose(np.abs(pcs), np.abs(x @ top), atol=1e-6)
+    y = np.array([int(labels[i]) for i in train])
+    scale = pcs[train].std(axis=0, ddof=1)
+    z = pcs / scale  # the penalty is on the weights of scaled components
+    w, b, one_hot = np.zeros((4, y.max() + 1)), np.zeros(y.max() + 1), np.eye(y.max() + 1)[y]
+
+    def softmax(s):
+        e = np.exp(s - s.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
+    middle = z[train].mean(axis=0)
+    for _ in range(20_000):
+        gap = (softmax((z[train] - middle) @ w + b) - one_hot) / len(y)
+        w -= 1.0 * ((z[train] - middle).T @ gap + 1e-3 * w)
+        b -= 1.0 * gap.sum(axis=0)
+    want = softmax((z - middle) @ w + b)
+    assert np.allclose(np.array([got[v]["probabilities"] for v in ids]), want, atol=5e-3)
+
+
+def test_motifs_of_two_lists(spark):
+    cases = [(["CAG"], ["GCA", "CAG", "CTG"], (["GCA", "CAG"], "rotation")), (["CAG", "TTT"], ["CAG"], (["CAG"], "partial:exact")), (["AAA"], ["CCC"], ([], "none")), (["CNG"], ["GCY", "CA"], (["GCY"], "iupac")), ([], ["A"], ([], "none"))]
+    for p, c, want in cases:
+        array = lambda x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
+        got = one(spark, X.match_motifs(array(p), array(c)))
+        assert (got["matched"], got["motif_match"]) == want
