@@ -171,22 +171,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     """vec_id, n_links, component_id, kept - one row per row of vectors."""
     v = vectors.select("vec_id", "embedding", "label")
     good = v.where(usable() & F.col("label").isNotNull())
-    # a class is a label and a vector; its own number is a hash of both, never a vec_id, which may be null or repeated
-    members = good.withColumn("rep", F.xxhash64("label", F.sha2(F.to_json(F.struct("embedding")), 256)))
-    sizes = members.groupBy("rep").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    sizes = materialise(sizes, "classes")
+    # a class is a label and a vector, known by the SHA-256 of both and never by a vec_id, which may be null or repeated; it is numbered
+    # once and for all in the table of classes
+    members = good.withColumn("key", F.unhex(F.sha2(F.to_json(F.struct("label", "embedding")), 256)))
+    sizes = members.groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    sizes = materialise(sizes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     pairs = materialise(links(sizes.select("rep", "label", "embedding"), cosine, tables, probes), "pairs")
     both = pairs.union(pairs.select("b", "a"))
-    n = sizes.select("rep", "n", "id")
+    n = sizes.select("rep", "key", "n", "id")
     others = both.join(n.select(F.col("rep").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
     per_class = (
         n.join(others.withColumnRenamed("a", "rep"), "rep", "left")
         .join(components(pairs).withColumnRenamed("node", "rep"), "rep", "left")
-        .select("rep", "id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+        .select("key", "id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )
     per_class = materialise(per_class, "per_class")
     named = per_class.groupBy("component").agg(F.min("id").alias("component_id"))
-    per_class = materialise(per_class.join(named, "component").select("rep", "n_links", "component_id"), "named")
-    linked = split_join(members.select("vec_id", "rep"), per_class, "rep")
+    per_class = materialise(per_class.join(named, "component").select("key", "n_links", "component_id"), "named")
+    linked = split_join(members.select("vec_id", "key"), per_class, "key")
     alone = v.where(~usable() | F.col("label").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.select("vec_id", "n_links", "component_id").unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
