@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, HOT_ROWS, WORD_LUT, anti_by_id, byte_chunks, components, materialise, mix64, semi_by_id, small_batches, split_join, word_hashes, words_of
+from .common import BROADCAST_IDS, HOT_ROWS, WORD_LUT, anti_by_id, byte_chunks, components, discard, materialise, mix64, semi_by_id, small_batches, split_join, word_hashes, words_of
 from .labelled import unique_features
 
 SHINGLE = 5
@@ -195,7 +195,7 @@ def similarities(a: pa.Array, b: pa.Array, idf: np.ndarray) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], idf: np.ndarray, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose texts have the similarity or more.  pairs should be a table; texts_of gives (id, text) for ids."""
+    """Pairs (a, b) whose texts have the similarity or more, as a table.  pairs should be a table; texts_of gives (id, text) for ids."""
     model = pairs.sparkSession.sparkContext.broadcast(idf)
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
     texts = small_batches(texts_of(ids))
@@ -213,7 +213,9 @@ def verified(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], idf:
         joined = with_a.join(right, "b")
     else:  # few texts are compared with very many on this side too
         joined = split_join(materialise(with_a, "with_text"), right, "b")
-    return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    out = materialise(joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "verified")
+    discard(ids)
+    return out
 
 
 def shingle_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -247,15 +249,17 @@ def prefix_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity
     weights, so at their first common shingle both have that much left; the lighter one then has 2 s / (1 + s) of its own
     weight left, the other one s.  Pairs inside the most frequent component of a shingle are not even looked at.
     """
-    rows = materialise(shingle_rows(texts, idf), "shingles")
-    rows = rows.join(apart, "x").select("x", "t", "c", "total", F.explode("tokens").alias("s")).select("x", "t", "c", "total", "s.token", "s.w")
+    shingles = materialise(shingle_rows(texts, idf), "shingles")
+    rows = shingles.join(apart, "x").select("x", "t", "c", "total", F.explode("tokens").alias("s")).select("x", "t", "c", "total", "s.token", "s.w")
     shared = rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     onwards = Window.partitionBy("x", "t").orderBy(F.col("n").desc(), "token").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(shared, "token").withColumn("rest", F.sum("w").over(onwards) * (1 + SLACK))
-    rows = materialise(rows.where(F.col("rest") >= similarity * F.col("total")).select("token", "x", "c", "total", "rest"), "prefixes")
-    per = rows.groupBy("token", "c").agg(F.count("*").alias("n"))
+    prefixes = materialise(rows.where(F.col("rest") >= similarity * F.col("total")).select("token", "x", "c", "total", "rest"), "prefixes")
+    discard(shingles)
+    per = prefixes.groupBy("token", "c").agg(F.count("*").alias("n"))
     per = per.groupBy("token").agg(F.max_by("c", F.struct("n", "c")).alias("top"), F.count("*").alias("several")).where("several > 1")
-    rows = materialise(rows.join(per.select("token", "top"), "token"), "prefixes")
+    rows = materialise(prefixes.join(per.select("token", "top"), "token"), "prefixes")
+    discard(prefixes)
     light = rows.where(F.col("rest") >= 2 * similarity / (1 + similarity) * F.col("total"))
     heavy = rows.select("token", *[F.col(c).alias(f"{c}_") for c in ("x", "c", "total", "rest", "top")])
     enough = F.least("rest", "rest_") >= similarity / (1 + similarity) * (F.col("total") + F.col("total_"))
@@ -264,7 +268,9 @@ def prefix_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity
         one.join(other, "token").where(possible).select("x", F.col("x_").alias("y"))
         for one, other in ((light.where("c != top"), heavy), (light.where("c = top"), heavy.where("c_ != top_")))
     ]
-    return found[0].union(found[1])
+    out = materialise(_ordered(found[0].union(found[1])), "pairs")
+    discard(rows)
+    return out.select(F.col("a").alias("x"), F.col("b").alias("y"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -295,30 +301,38 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return found.dropDuplicates(["id"]) if repeated else found
 
     buckets = copies.select("rep", F.posexplode("bands").alias("band", "value"))
-    buckets = materialise(buckets.select(F.xxhash64("band", "value").alias("key"), F.col("rep").alias("x")), "buckets")
-    lead = materialise(buckets.groupBy("key").agg(F.min("x").alias("y"), F.max("x").alias("z")).where("y < z").select("key", "y"), "leads")
-    buckets = materialise(split_join(buckets, lead, "key"), "buckets")  # of two documents or more, with the first one
+    rows_of = materialise(buckets.select(F.xxhash64("band", "value").alias("key"), F.col("rep").alias("x")), "buckets")
+    lead = materialise(rows_of.groupBy("key").agg(F.min("x").alias("y"), F.max("x").alias("z")).where("y < z").select("key", "y"), "leads")
+    buckets = materialise(split_join(rows_of, lead, "key"), "buckets")  # of two documents or more, with the first one
+    discard(rows_of)
+    discard(lead)
     pairs = materialise(_ordered(buckets), "pairs")
-    links = materialise(verified(pairs, texts_of, idf, similarity), "verified")
+    links = verified(pairs, texts_of, idf, similarity)
 
     def apart(found: DataFrame) -> DataFrame:
         """Rows (key, x, c) of the buckets that hold more than one component."""
         comp = components(found).withColumnRenamed("node", "x")
         rows = materialise(buckets.join(comp, "x", "left").select("key", "x", F.coalesce("component", "x").alias("c")), "placed")
         several = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        return materialise(split_join(rows, several, "key"), "apart")
+        out = materialise(split_join(rows, several, "key"), "apart")
+        discard(rows)
+        return out
 
     rest = apart(links)
     firsts = rest.groupBy("key").agg(*[F.min_by(F.struct(F.col("x").alias("y"), F.col("c").alias("d")), F.xxhash64(F.lit(i), "x")).alias(f"l{i}") for i in range(LEADERS)])
     firsts = materialise(firsts.select("key", F.array(*[f"l{i}" for i in range(LEADERS)]).alias("leads")), "leads")
     near = split_join(rest, firsts, "key").select("x", "c", F.explode("leads").alias("l")).where("c != l.d").select("x", "l.y")
-    pairs = materialise(_ordered(near).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
-        links = materialise(links.union(verified(pairs, texts_of, idf, similarity)), "verified")
+    more = materialise(_ordered(near).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    discard(pairs)
+    if not more.isEmpty():
+        links = materialise(links.union(verified(more, texts_of, idf, similarity)), "verified")
+        discard(rest)
         rest = apart(links)
-    rest = materialise(rest.select("x", "c").distinct(), "open")
-    if not rest.isEmpty():
-        pairs = materialise(_ordered(prefix_pairs(rest, texts_of(rest.select(F.col("x").alias("id"))), idf, similarity)), "pairs")
+    open_ = materialise(rest.select("x", "c").distinct(), "open")
+    discard(rest)
+    if not open_.isEmpty():
+        found = prefix_pairs(open_, texts_of(open_.select(F.col("x").alias("id"))), idf, similarity)
+        pairs = found.select(F.col("x").alias("a"), F.col("y").alias("b"))
         links = materialise(links.union(verified(pairs, texts_of, idf, similarity)), "verified")
     comp = components(links).withColumnRenamed("node", "rep")
     linked = materialise(comp.join(copies.select("rep", "f1", "f2", "lead"), "rep"), "linked")
