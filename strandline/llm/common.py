@@ -204,25 +204,33 @@ def word_hashes(norm: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected links (a, b): columns node, component (the smallest node).
 
-    Alternates the two star operations on the link table until it no longer changes, however many rounds that takes (their
-    number grows with the logarithm of the links).  The state is a table in the shared scratch folder; a count and a
-    checksum reach the driver, and a table is removed once the next one is written.  Nodes without links are absent.
+    Alternates the two star operations on the link table until it is a forest of stars around smallest nodes, however many rounds
+    that takes (their number grows with the logarithm of the links).  The state is a table in the shared scratch folder; a count
+    reaches the driver, and a table is removed once the next one is written.  Nodes without links are absent.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    e, before = materialise(e, "links"), None
-    while True:
-        stamp = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(stamp) == before or not stamp[0]:
-            break
-        before, old = tuple(stamp), e
-        both = e.union(e.select("v", "u"))
+    e = materialise(e, "links")
+    while not _stars(e):
+        old, both = e, e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         step = large.join(low, "u").select("u", "v", "m")
         small = step.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
         e = materialise(small, "links")
         discard(old)
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    ).groupBy("node").agg(F.min("component").alias("component"))
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
+
+
+def _stars(links: DataFrame) -> bool:
+    """Whether links (u > v, distinct) are stars: each u has one v, and no v is a u."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("lower")).union(links.select("v", F.lit(0)))
+    more = ends.groupBy("node").agg(F.sum("lower").alias("n"), F.min("lower").alias("least")).where("n > 1 or n = 1 and least = 0")
+    return not more.agg(F.count("*")).first()[0]
+
+
+def renamed(rows: DataFrame, column: str, comp: DataFrame) -> DataFrame:
+    """rows, a table, with the names in column replaced by their component in comp (node, component), where they have one."""
+    now = comp.select(F.col("node").alias(column), F.col("component").alias("__now"))
+    out = split_join(rows, now, column, "left")
+    return out.select(*[F.coalesce("__now", c).alias(c) if c == column else c for c in rows.columns])

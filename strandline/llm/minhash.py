@@ -22,6 +22,7 @@ their texts, each in its own class; the document with the smallest id of a class
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, HOT_ROWS, WORD_LUT, anti_by_id, byte_chunks, components, discard, materialise, mix64, semi_by_id, small_batches, split_join, word_hashes, words_of
+from .common import BROADCAST_IDS, HOT_ROWS, WORD_LUT, anti_by_id, byte_chunks, components, discard, materialise, mix64, renamed, semi_by_id, small_batches, split_join, word_hashes, words_of
 from .labelled import unique_features
 
 SHINGLE = 5
@@ -195,25 +196,27 @@ def similarities(a: pa.Array, b: pa.Array, idf: np.ndarray) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], idf: np.ndarray, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose texts have the similarity or more, as a table.  pairs should be a table; texts_of gives (id, text) for ids."""
+    """Pairs (a, b, further columns) whose texts have the similarity or more, as a table.  pairs should be a table of numbers; texts_of
+    gives (id, text) for ids."""
+    names = pairs.columns
     model = pairs.sparkSession.sparkContext.broadcast(idf)
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
     texts = small_batches(texts_of(ids))
 
     def run(batches):
         for batch in batches:
-            keep = pa.array(similarities(batch.column(2), batch.column(3), model.value) >= similarity)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+            keep = pa.array(similarities(batch.column(0), batch.column(1), model.value) >= similarity)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2, 2 + len(names))], names)
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    with_a = split_join(pairs.select("a", "b"), left, "a")
+    with_a = split_join(pairs, left, "a")
     hot_b = pairs.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS)
     if hot_b.isEmpty():
         joined = with_a.join(right, "b")
     else:  # few texts are compared with very many on this side too
         joined = split_join(materialise(with_a, "with_text"), right, "b")
-    out = materialise(joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "verified")
+    out = materialise(joined.select("ta", "tb", *names).mapInArrow(run, pairs.schema), "verified")
     discard(ids)
     return out
 
@@ -240,9 +243,9 @@ def shingle_rows(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, "x long, t long, total double, tokens array<struct<token:long,w:double>>")
 
 
-def prefix_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """Pairs (x, y) of documents of apart (x, c: document and its component; one row each) in different components that a bound
-    doesn't rule out.  texts: (id, text) of those documents.
+def component_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Pairs (a, b, their components of_a, of_b) of documents of apart (x, c: document and its component; one row each) in different
+    components that a bound doesn't rule out.  texts: (id, text) of those documents.
 
     Shingles that only one of the documents has come first in the order and are left out, since nothing is shared there.
     ``rest`` is a document's weight from a shingle on.  Two documents of similarity s share s / (1 + s) of their summed
@@ -265,16 +268,36 @@ def prefix_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity
     enough = F.least("rest", "rest_") >= similarity / (1 + similarity) * (F.col("total") + F.col("total_"))
     possible = (F.col("c") != F.col("c_")) & (F.col("total") <= F.col("total_")) & enough
     found = [
-        one.join(other, "token").where(possible).select("x", F.col("x_").alias("y"))
+        one.join(other, "token").where(possible).select("x", "c", F.col("x_").alias("y"), F.col("c_").alias("d"))
         for one, other in ((light.where("c != top"), heavy), (light.where("c = top"), heavy.where("c_ != top_")))
     ]
     out = materialise(_ordered(found[0].union(found[1])), "pairs")
     discard(rows)
-    return out.select(F.col("a").alias("x"), F.col("b").alias("y"))
+    return out
+
+
+def prefix_pairs(apart: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """The pairs of component_pairs as (x, y)."""
+    return component_pairs(apart, texts, idf, similarity).select(F.col("a").alias("x"), F.col("b").alias("y"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
+    """Distinct pairs (a < b) of pairs (x, y); of (x, c, y, d) with the components of both, of_a and of_b."""
+    if "c" not in pairs.columns:
+        return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct()
+    turn = [F.when(F.col("x") < F.col("y"), F.col(p)).otherwise(F.col(q)).alias(name) for p, q, name in (("x", "y", "a"), ("y", "x", "b"), ("c", "d", "of_a"), ("d", "c", "of_b"))]
+    return pairs.where("x != y").select(*turn).distinct()
+
+
+def _lone(joins: list[DataFrame], comp: DataFrame) -> DataFrame:
+    """Nodes of joins that are in no component of comp, each its own component."""
+    nodes = reduce(DataFrame.union, [j.select("node") for j in joins]).distinct()
+    return nodes.join(comp, "node", "left_anti").select("node", F.col("node").alias("component"))
+
+
+def _joined(links: DataFrame) -> DataFrame:
+    """(node, component) of the components that further links (of_a, of_b) join, as a table."""
+    return materialise(components(links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))), "joined")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -309,32 +332,35 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = materialise(_ordered(buckets), "pairs")
     links = verified(pairs, texts_of, idf, similarity)
 
-    def apart(found: DataFrame) -> DataFrame:
-        """Rows (key, x, c) of the buckets that hold more than one component."""
-        comp = components(found).withColumnRenamed("node", "x")
-        rows = materialise(buckets.join(comp, "x", "left").select("key", "x", F.coalesce("component", "x").alias("c")), "placed")
-        several = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        out = materialise(split_join(rows, several, "key"), "apart")
-        discard(rows)
+    def apart(placed: DataFrame) -> DataFrame:
+        """Rows (key, x, c) of placed in buckets that hold more than one component; placed is removed."""
+        several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+        out = materialise(split_join(placed, several, "key"), "apart")
+        discard(placed)
         return out
 
-    rest = apart(links)
+    comp = materialise(components(links), "components")
+    placed = buckets.join(comp.withColumnRenamed("node", "x"), "x", "left").select("key", "x", F.coalesce("component", "x").alias("c"))
+    rest, joins = apart(materialise(placed, "placed")), []
     firsts = rest.groupBy("key").agg(*[F.min_by(F.struct(F.col("x").alias("y"), F.col("c").alias("d")), F.xxhash64(F.lit(i), "x")).alias(f"l{i}") for i in range(LEADERS)])
     firsts = materialise(firsts.select("key", F.array(*[f"l{i}" for i in range(LEADERS)]).alias("leads")), "leads")
-    near = split_join(rest, firsts, "key").select("x", "c", F.explode("leads").alias("l")).where("c != l.d").select("x", "l.y")
+    near = split_join(rest, firsts, "key").select("x", "c", F.explode("leads").alias("l")).where("c != l.d").select("x", "c", "l.y", "l.d")
     more = materialise(_ordered(near).join(pairs, ["a", "b"], "left_anti"), "pairs")
     discard(pairs)
     if not more.isEmpty():
-        links = materialise(links.union(verified(more, texts_of, idf, similarity)), "verified")
+        joins.append(_joined(verified(more, texts_of, idf, similarity)))
+        placed = materialise(renamed(rest, "c", joins[-1]), "placed")
         discard(rest)
-        rest = apart(links)
+        rest = apart(placed)
     open_ = materialise(rest.select("x", "c").distinct(), "open")
     discard(rest)
     if not open_.isEmpty():
-        found = prefix_pairs(open_, texts_of(open_.select(F.col("x").alias("id"))), idf, similarity)
-        pairs = found.select(F.col("x").alias("a"), F.col("y").alias("b"))
-        links = materialise(links.union(verified(pairs, texts_of, idf, similarity)), "verified")
-    comp = components(links).withColumnRenamed("node", "rep")
+        pairs = component_pairs(open_, texts_of(open_.select(F.col("x").alias("id"))), idf, similarity)
+        joins.append(_joined(verified(pairs, texts_of, idf, similarity)))
+    comp = materialise(comp.union(_lone(joins, comp)), "components") if joins else comp
+    for j in joins:
+        comp = materialise(renamed(comp, "component", j), "components")
+    comp = comp.withColumnRenamed("node", "rep")
     linked = materialise(comp.join(copies.select("rep", "f1", "f2", "lead"), "rep"), "linked")
     lead = linked.groupBy("component").agg(F.min("lead").alias("first"), F.min_by(F.struct("f1", "f2"), "lead").alias("key"))
     linked = split_join(linked.select("component", "rep"), lead, "component").drop("component")
