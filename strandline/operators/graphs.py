@@ -166,8 +166,8 @@ def karyotype(cov: DataFrame, x_min: float, y_min: float) -> DataFrame:
 # ---------------------------------------------------------------- ranking and growth
 
 
-#: Candidates looked at together in the ranking, if they have so many uncovered sites at most; beyond that, FEW of them.
-CANDIDATES, CANDIDATE_SITES, FEW = 62, 200_000, 16
+#: Candidates looked at together in the ranking: as many as have CANDIDATE_SITES uncovered sites between them, but FEW at least.
+CANDIDATES, CANDIDATE_SITES, FEW = 2000, 200_000, 16
 #: Members that follow together once nothing is left to cover.
 TAIL = 2000
 #: Carrier classes of a site: a twentieth of the members or more, common, rare, one carrier.
@@ -183,31 +183,43 @@ def carrier_classes(carriers: DataFrame, members: int, common_min: float) -> Dat
 
 
 class _Cover:
-    """Uncovered sites of some members, counted by class and by which of them carry a site (a bit for each member)."""
+    """Uncovered sites of some members, counted by class and by which of them carry a site.
+
+    rows: carriers (places in members), class, n.  Kept as two sparse lists: the rows of a member and the members of a row.
+    """
 
     def __init__(self, members: Sequence, rows: list):
-        self.bit = {m: i for i, m in enumerate(members)}
-        self.mask = np.array([r["mask"] for r in rows], np.int64)
+        self.at = {m: i for i, m in enumerate(members)}
         self.kind = np.array([r["class"] for r in rows], np.int64)
         self.n = np.array([r["n"] for r in rows], np.int64)
-        self.gain = np.zeros((len(members), 2), np.int64)  # common sites and all sites that each adds
-        self._count(np.arange(len(rows)), 1)
-
-    def _count(self, rows: np.ndarray, sign: int) -> None:
-        for i in range(len(self.gain)):
-            hit = rows[self.mask[rows] >> i & 1 == 1]
-            self.gain[i] += sign * np.array([self.n[hit][self.kind[hit] <= 1].sum(), self.n[hit].sum()])
+        many = np.array([len(r["carriers"]) for r in rows], np.int64)
+        self.carriers = np.array([m for r in rows for m in r["carriers"]], np.int64)
+        self.begin = np.concatenate([[0], np.cumsum(many)])
+        row = np.repeat(np.arange(len(rows)), many)
+        self.rows = row[np.argsort(self.carriers, kind="stable")]
+        self.first = np.searchsorted(np.sort(self.carriers), np.arange(len(members) + 1))
+        self.open = np.ones(len(rows), bool)
+        self.gain = np.zeros((2, len(members)), np.int64)  # common sites and all sites that each adds
+        self._count(self.carriers, row, 1)
+
+    def _count(self, members: np.ndarray, rows: np.ndarray, sign: int) -> None:
+        np.add.at(self.gain[0], members, sign * np.where(self.kind[rows] <= 1, self.n[rows], 0))
+        np.add.at(self.gain[1], members, sign * self.n[rows])
 
     def of(self, member) -> tuple[int, int]:
-        return tuple(map(int, self.gain[self.bit[member]]))
+        return int(self.gain[0, self.at[member]]), int(self.gain[1, self.at[member]])
 
     def take(self, member) -> np.ndarray:
         """Sites per class that the member covers; they are gone for the others."""
-        hit = np.flatnonzero(self.mask >> self.bit[member] & 1 == 1)
-        new = np.bincount(self.kind[hit], self.n[hit], minlength=len(CLASSES)).astype(np.int64)
-        self._count(hit, -1)
-        keep = np.setdiff1d(np.arange(len(self.n)), hit)
-        self.mask, self.kind, self.n = self.mask[keep], self.kind[keep], self.n[keep]
+        i = self.at[member]
+        hit = self.rows[self.first[i] : self.first[i + 1]]
+        hit = hit[self.open[hit]]
+        new = np.zeros(len(CLASSES), np.int64)
+        np.add.at(new, self.kind[hit], self.n[hit])
+        many = self.begin[hit + 1] - self.begin[hit]
+        place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.begin[hit], many)
+        self._count(self.carriers[place], np.repeat(hit, many), -1)
+        self.open[hit] = False
         return new
 
 
@@ -224,8 +236,8 @@ def greedy_rank(spark: SparkSession, carriers: DataFrame, members: DataFrame, sa
     picks are taken from it as long as no bound outside is higher; then their sites leave the table of uncovered carriers, written
     once a round.  Once no bound is left above 0, the rest follows in the cohort's order.
 
-    The driver holds a few numbers a member (the result has as many rows), the relatives of a round's members, and the counts by carriers:
-    2^FEW of them, or CANDIDATE_SITES, in each class.
+    The driver holds a few numbers a member (the result has as many rows), the relatives of a round's members, and the counts by carriers,
+    which name CANDIDATE_SITES carriers at most, or are 2^FEW in each class.
     """
     left = save(carriers.select("site_id", "sample_id", "class"), "carriers")
     place = {r["sample_id"]: (r["position"], r["sample_id"]) for r in members.select("sample_id", "position").collect()}
@@ -269,28 +281,37 @@ def greedy_rank(spark: SparkSession, carriers: DataFrame, members: DataFrame, sa
                     if m in pool or tier == "related":
                         pick(m, tier, (0, 0), np.zeros(len(CLASSES), np.int64), near)
             continue
-        some = waiting[:CANDIDATES]
-        if sum(bound[m][1] for m in some) > CANDIDATE_SITES:
-            some = waiting[:FEW]
+        reach = np.searchsorted(np.cumsum([bound[m][1] for m in waiting[:CANDIDATES]]), CANDIDATE_SITES, "right")
+        some = waiting[: max(FEW, int(reach))] if len(waiting) > FEW else waiting
+        some = some[:CANDIDATES]
         rest = before(waiting[len(some)]) if len(waiting) > len(some) and not queue else None
-        mark = F.create_map(*[x for i, m in enumerate(some) for x in (F.lit(m), F.lit(1 << i).cast("long"))])
-        own = left.where(F.col("sample_id").isin(some)).withColumn("bit", F.element_at(mark, F.col("sample_id")))
-        masks = own.groupBy("site_id", "class").agg(F.bit_or("bit").alias("mask")).groupBy("mask", "class").agg(F.count("*").alias("n"))
-        cover, near = _Cover(some, masks.collect()), relatives(some) if tier != "related" else {}
-        open_, done = list(some), []
-        while open_:
-            order = lambda m: (-cover.of(m)[0], -cover.of(m)[1], place[m])
-            best = open_[0] if queue else min(open_, key=order)
-            if rest is not None and order(best) > rest:
+        number = spark.createDataFrame(list(zip(some, range(len(some)))), "sample_id long, at int")
+        own = left.join(F.broadcast(number), "sample_id")  # CANDIDATES at most
+        groups = own.groupBy("site_id", "class").agg(F.sort_array(F.collect_set("at")).alias("carriers")).groupBy("carriers", "class").agg(F.count("*").alias("n"))
+        cover, near = _Cover(some, groups.collect()), relatives(some) if tier != "related" else {}
+        order = lambda m: (-cover.of(m)[0], -cover.of(m)[1], place[m])
+        gone, done = set(), []
+        if queue:
+            for m in some:
+                gone.update(pick(m, tier, cover.of(m), cover.take(m), near))
+                done.append(m)
+            queue = queue[len(some) :]
+        heap = [] if done else [(order(m), m) for m in some]
+        heapq.heapify(heap)
+        while heap:
+            key, best = heapq.heappop(heap)
+            if best in gone:
+                continue
+            if order(best) != key:  # it adds less by now
+                heapq.heappush(heap, (order(best), best))
+                continue
+            if rest is not None and key > rest:
                 break  # somebody outside may add more
-            queue = queue[1:]
-            new = cover.of(best)
-            back = pick(best, tier, new, cover.take(best), near)
+            gone.update(pick(best, tier, cover.of(best), cover.take(best), near))
             done.append(best)
-            open_ = [m for m in open_ if m != best and m not in back]
         bound.update({m: cover.of(m) for m in some})
         if done and (pool or held):
-            covered = left.where(F.col("sample_id").isin(done)).select("site_id").distinct()
+            covered = left.join(F.broadcast(number.where(F.col("sample_id").isin(done))), "sample_id", "left_semi").select("site_id").distinct()
             left = save(left.join(covered, "site_id", "left_anti"), "carriers")
     return spark.createDataFrame(out, _RANK)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,6 +20,10 @@ SITE_BLOCK = 4096
 HET, HOM, MISSING = 1, 2, 3
 #: Pairs of genotypes that are looked at together.
 STEP = 1 << 20
+#: Counters of a block for one pair of genotypes at a time, from which on only the pair's counters are touched.
+SPARSE = 4
+#: Hub candidates that are peeled together on the driver, with the pairs between them (half a million at most).
+TOP = 1024
 _PAIR = "sample_a long, sample_b long, shared_hets long, ibs0 long, ibs2 long, n long, hets_a long, hets_b long"
 
 
@@ -40,6 +45,12 @@ class _BlockPair:
         self.own[side] += np.bincount(code * self.size + member, minlength=4 * self.size).reshape(4, self.size)
         return rest // self.size, member, code
 
+    def _count(self, i: int, at: np.ndarray) -> None:
+        if len(at) * SPARSE < self.sums.shape[1]:
+            np.add.at(self.sums[i], at, 1)  # few pairs: the counters are not gone through
+        else:
+            self.sums[i] += np.bincount(at, minlength=self.sums.shape[1])
+
     def add(self, first: np.ndarray | None, second: np.ndarray | None) -> None:
         """Packed genotypes (site, member, code; sorted) of one block of sites; those of one block come alone, as first."""
         a = None if first is None else self._decoded(first, 0)
@@ -57,9 +68,9 @@ class _BlockPair:
             x, y = a[2][left], b[2][right]
             at = a[1][left] * self.size + b[1][right]
             for i, hit in enumerate(((x < 3) & (y < 3), (x == HET) & (y == HET), (x == y) & (x < 3), (x == MISSING) & (y == MISSING), None)):
-                self.sums[i] += np.bincount(at if hit is None else at[hit], minlength=self.sums.shape[1])
+                self._count(i, at if hit is None else at[hit])
             for hit in (x == HOM, y == HOM):
-                self.sums[5] += np.bincount(at[hit], minlength=self.sums.shape[1])
+                self._count(5, at[hit])
             lo = hi
 
     def rows(self, sites: int, every: bool):
@@ -232,14 +243,37 @@ def median_outliers(rows: DataFrame, value: str, mads: float, save, least: int =
     return far.where((F.col("n") >= least) & (F.col("mad") > 0) & (away > mads * 1.4826 * F.col("mad"))).select(*rows.columns)
 
 
+def _peel(degree: dict, pairs: list, hub_min: int, outside: tuple | None) -> list[tuple]:
+    """(member, degree when it leaves) in the order of leaving, as long as the largest (degree, member) is above that of outside."""
+    near: dict = {m: [] for m in degree}
+    for a, b in pairs:
+        near[a].append(b)
+        near[b].append(a)
+    heap, out = [(-n, -m) for m, n in degree.items()], []
+    heapq.heapify(heap)
+    while heap:
+        n, m = (-x for x in heapq.heappop(heap))
+        if degree.get(m) != n:
+            continue  # left, or lowered since
+        if n < hub_min or (outside is not None and (n, m) < outside):
+            break
+        out.append((m, n))
+        del degree[m]
+        for other in near[m]:
+            if other in degree:
+                degree[other] -= 1
+                heapq.heappush(heap, (-degree[other], -other))
+    return out
+
+
 def related_hubs(pairs: DataFrame, lo: float, hi: float, hub_min: int, save) -> DataFrame:
     """Hubs (sample_id, degree when it left) as peeled off one by one, the most connected first, until no member has hub_min related
     pairs.  Ties go to the larger id; pairs with an ``expected`` above 0 are declared and don't count, if that column is there.
 
     Only candidates (members with hub_min pairs or more) and the pairs between them matter: degrees only fall, so no other member
-    becomes one.  A candidate that comes before all its neighbours keeps its pairs until its turn, whatever is peeled elsewhere; so all
-    such candidates leave together.  A round lowers the degrees of their neighbours by what left; the number of rounds grows with
-    the longest chain of falling candidates and not with the hubs.  State is kept in tables by save(df, name).
+    becomes one.  A round takes the TOP candidates with the most pairs and peels them in order as long as no candidate outside has more.
+    With them leave all candidates that come before each of their neighbours: such a one keeps its pairs until its turn, whatever is
+    peeled elsewhere.  The round then lowers the degrees of their neighbours by what left.  State is kept in tables by save(df, name).
     """
     near = (F.col("relatedness") >= lo) & (F.col("relatedness") < hi)
     if "expected" in pairs.columns:
@@ -248,19 +282,29 @@ def related_hubs(pairs: DataFrame, lo: float, hi: float, hub_min: int, save) ->
     edges = save(edges.union(edges.select("v", "u")), "edges")  # both ways
     able = save(edges.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= hub_min), "candidates")
     edges = save(edges.join(able.select("u"), "u", "left_semi").join(able.select(F.col("u").alias("v")), "v", "left_semi").select("u", "v"), "edges")
-    state = save(able.withColumn("left", F.lit(False)), "hubs")
-    rounds = [state]
+    state, rounds = save(able.withColumn("left", F.lit(False)), "hubs"), []
     while True:
         able = state.where(~F.col("left") & (F.col("n") >= hub_min)).select("u", "n")
-        if able.isEmpty():
+        top = able.orderBy(F.desc("n"), F.desc("u")).limit(TOP + 1).collect()
+        if not top:
+            break
+        number = F.broadcast(edges.sparkSession.createDataFrame([(r["u"], r["n"]) for r in top[:TOP]], "u long, n long"))
+        among = edges.where("u < v").join(number.select("u"), "u", "left_semi").join(number.select(F.col("u").alias("v")), "v", "left_semi").select("u", "v").collect()
+        outside = (top[TOP]["n"], top[TOP]["u"]) if len(top) > TOP else None
+        peeled = edges.sparkSession.createDataFrame(_peel({r["u"]: r["n"] for r in top[:TOP]}, among, hub_min, outside), "u long, peeled long")
+        if outside is None:
+            rounds.append(peeled.select("u", F.col("peeled").alias("n"), F.lit(True).alias("left")))
             break
         between = edges.join(able, "u").join(able.select(F.col("u").alias("v"), F.col("n").alias("m")), "v")
         beaten = between.where(F.struct("n", "u") < F.struct("m", "v")).select("u").distinct().withColumn("beaten", F.lit(True))
-        marked = able.join(beaten, "u", "left").select("u", "n", F.col("beaten").isNull().alias("left"))
+        marked = able.join(beaten, "u", "left").join(F.broadcast(peeled), "u", "left")  # TOP at most
+        marked = marked.select("u", F.coalesce("peeled", "n").alias("n"), (F.col("peeled").isNotNull() | F.col("beaten").isNull()).alias("left"))
         lost = edges.join(marked.where("left").select("u"), "u", "left_semi").groupBy(F.col("v").alias("u")).agg(F.count("*").alias("lost"))
         lower = F.when(F.col("left"), F.col("n")).otherwise(F.col("n") - F.coalesce("lost", F.lit(0)))
         state = save(marked.join(lost, "u", "left").select("u", lower.alias("n"), "left"), "hubs")
         rounds.append(state)
+    if not rounds:
+        return state.where("left").select(F.col("u").alias("sample_id"), F.col("n").alias("degree"))
     return reduce(DataFrame.union, rounds).where("left").select(F.col("u").alias("sample_id"), F.col("n").alias("degree"))
 
 

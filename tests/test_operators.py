@@ -374,6 +374,16 @@ def test_hubs_leave_as_one_by_one(spark, save, seed):
     assert got == brute_hubs(pairs, 0.2, 0.9, 4) and len(got) > 2
 
 
+@pytest.mark.parametrize("seed, top", [(0, 1), (0, 3), (1, 5), (1, 2)])
+def test_hubs_of_several_rounds_leave_as_one_by_one(spark, save, monkeypatch, seed, top):
+    monkeypatch.setattr(identity, "TOP", top)
+    test_hubs_leave_as_one_by_one(spark, save, seed)
+
+
+def test_no_pairs_have_no_hubs(spark, save):
+    assert identity.related_hubs(spark.createDataFrame([], "sample_a long, sample_b long, relatedness double"), 0.2, 0.9, 4, save).count() == 0
+
+
 @pytest.mark.parametrize("blocks", [(1024, 4096), (4, 8), (7, 1000)])
 @pytest.mark.parametrize("every", [False, True])
 def test_pair_counts_equal_dense_genotypes(spark, blocks, every, monkeypatch):
