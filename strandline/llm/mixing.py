@@ -10,7 +10,8 @@ shard by a seeded hash.  All random numbers come from the seed, so reruns agree.
 
 Blocks grow in number with a source's rows and shards with all words, so neither grows in size.  Sources, blocks and draws are
 tables; sums of two numbers per round reach the driver while targets are levelled.  Trees are drawn inside tasks, each for
-``TREE_SOURCES`` sources at most (the shards' totals are then at most one apart per tree and level).
+``TREE_SOURCES`` sources at most (the shards' totals are then at most one apart per tree and level); the upper levels of a tree are one
+task, each of its subtrees is another.
 
 Defined cases: a null or blank text has size 0 and nothing is taken; a null source is a source of its own, sorted last;
 repeated rows are separate documents; an empty table gives an empty mix; a source without words has target 0.
@@ -55,17 +56,18 @@ def with_targets(sources: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES)
     return sources.withColumn("target", F.when(full(level), most * F.col("words").cast("double")).otherwise(F.col("weight") * float(level)))
 
 
-def split_tree(draws: np.ndarray, shards: int, seed: int) -> list[tuple[int, int, int]]:
-    """(source number, shard, quota) of the quotas above 0: exact, summing to the draws of each source; the shards' totals are at
-    most one apart per level."""
-    out: list[tuple[int, int, int]] = []
-    todo = [(np.flatnonzero(draws), draws[draws > 0].astype(np.int64), 0, shards)]
+def split_nodes(draws: np.ndarray, low: int, high: int, seed: int, width: int = 1) -> list[tuple[int, int, int, int]]:
+    """(source number, lo, hi, quota) of the quotas above 0 of the nodes below (low, high) with width shards at most: exact, summing to
+    the draws of each source; the totals of shards are at most one apart per level.  A node's draw depends on seed, lo, hi and its own
+    counts alone, so a subtree can be split by itself."""
+    out: list[tuple[int, int, int, int]] = []
+    todo = [(np.flatnonzero(draws), draws[draws > 0].astype(np.int64), low, high)]
     while todo:
         at, counts, lo, hi = todo.pop()
         if not len(at):
             continue
-        if hi - lo == 1:
-            out += [(int(s), lo, int(c)) for s, c in zip(at, counts)]
+        if hi - lo <= width:
+            out += [(int(s), lo, hi, int(c)) for s, c in zip(at, counts)]
             continue
         mid = (lo + hi) // 2
         n = int(counts.sum()) * (mid - lo) // (hi - lo)
@@ -75,18 +77,38 @@ def split_tree(draws: np.ndarray, shards: int, seed: int) -> list[tuple[int, int
     return sorted(out)
 
 
+def split_tree(draws: np.ndarray, shards: int, seed: int) -> list[tuple[int, int, int]]:
+    """(source number, shard, quota) of the quotas above 0 of a whole tree."""
+    return [(s, lo, n) for s, lo, _, n in split_nodes(draws, 0, shards, seed)]
+
+
 def shard_runs(per_source: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(__src, __draw, __shard): the shard of every draw.  per_source: __src, no (place in code-point order), drawn."""
+    """(__src, __draw, __shard): the shard of every draw.  per_source: __src, no (place in code-point order, from 1), drawn.
 
-    def tree(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("no", ignore_index=True)
-        quotas = pd.DataFrame(split_tree(rows["drawn"].to_numpy(np.int64), shards, seed + int(rows["no"].iloc[0])), columns=["at", "__shard", "n"])
-        ends = quotas.groupby("at")["n"].cumsum()
-        return pd.DataFrame({"__src": rows["__src"].to_numpy()[quotas["at"]], "__shard": quotas["__shard"], "lo": ends - quotas["n"], "hi": ends})
+    The upper half of a tree's levels is drawn in one task, each subtree below in a task of its own: a task holds about the square root
+    of shards for each of its sources, and draws what one task for the whole tree would.
+    """
+    width = max(1, int(shards**0.5))
+    nodes = "tree long, no long, __src string, low int, high int, n long, begin long"
 
-    grouped = per_source.withColumn("tree", F.floor((F.col("no") - 1) / TREE_SOURCES)).groupBy("tree")
-    runs = grouped.applyInPandas(tree, "__src string, __shard int, lo long, hi long")
-    return runs.select("__src", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("__draw"), "__shard")
+    def split(rows: pd.DataFrame, low: int, high: int, least: int, of: str) -> pd.DataFrame:
+        rows = rows.sort_values("no", ignore_index=True)
+        own_seed = seed + int(rows["tree"].iloc[0]) * TREE_SOURCES + 1
+        out = pd.DataFrame(split_nodes(rows[of].to_numpy(np.int64), low, high, own_seed, least), columns=["at", "low", "high", "n"])
+        at = out["at"].to_numpy(np.int64)
+        begin = out.groupby("at")["n"].cumsum() - out["n"] + rows["begin"].to_numpy(np.int64)[at]
+        return pd.DataFrame({"tree": rows["tree"].to_numpy()[at], "no": rows["no"].to_numpy()[at], "__src": rows["__src"].to_numpy()[at], "low": out["low"], "high": out["high"], "n": out["n"], "begin": begin})
+
+    def upper(rows: pd.DataFrame) -> pd.DataFrame:
+        return split(rows, 0, shards, width, "drawn")
+
+    def lower(rows: pd.DataFrame) -> pd.DataFrame:
+        return split(rows, int(rows["low"].iloc[0]), int(rows["high"].iloc[0]), 1, "n")
+
+    trees = per_source.withColumns({"tree": F.floor((F.col("no") - 1) / TREE_SOURCES), "begin": F.lit(0).cast("long")})
+    runs = trees.groupBy("tree").applyInPandas(upper, nodes).groupBy("tree", "low").applyInPandas(lower, nodes)
+    draws = F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1)).alias("__draw")
+    return runs.select("__src", draws, F.col("low").alias("__shard"))
 
 
 def word_count(text):

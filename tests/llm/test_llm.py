@@ -543,6 +543,23 @@ def test_targets_and_tree(spark):
     assert mixing.split_tree(draws, 8, 3) == mixing.split_tree(draws, 8, 3) != mixing.split_tree(draws, 8, 4)
 
 
+@pytest.mark.parametrize("shards", [1, 2, 7, 40, 64])
+def test_subtrees_in_tasks_of_their_own_draw_what_one_tree_draws(spark, shards, monkeypatch):
+    monkeypatch.setattr(mixing, "TREE_SOURCES", 4)
+    drawn = [30, 0, 5, 1, 12, 900, 0]
+    rows = spark.createDataFrame([(f"s{i}", i + 1, n) for i, n in enumerate(drawn)], "__src string, no long, drawn long")
+    got = {(r["__src"], r["__draw"]): r["__shard"] for r in mixing.shard_runs(rows, shards, 3).collect()}
+    want = {}
+    for first in (0, 4):
+        own, place = np.array(drawn[first : first + 4]), {}
+        for source, shard, n in mixing.split_tree(own, shards, 3 + first + 1):
+            for _ in range(n):
+                name = f"s{first + source}"
+                want[name, place.get(name, 0)] = shard
+                place[name] = place.get(name, 0) + 1
+    assert got == want and len(got) == sum(drawn)
+
+
 def test_many_sources_and_shards(spark, monkeypatch):
     """Several trees, joins without broadcasts, small blocks and shards, repeated ids with other texts: nothing is lost, reruns agree."""
     for name, value in (("TREE_SOURCES", 7), ("BROADCAST_ROWS", 10), ("BLOCK_ROWS", 3), ("LEAST_BLOCKS", 2), ("SHARD_WORDS", 50), ("LEAST_SHARDS", 3)):
