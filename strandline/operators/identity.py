@@ -105,8 +105,9 @@ def pair_counts(gt: DataFrame, every: bool = False, member_block: int = MEMBER_B
     by = lambda c, n: F.floor(F.col(c) / n).cast("long")
     packed = ((F.pmod("site_id", F.lit(site_block)) * member_block + F.pmod("sample_id", F.lit(member_block))) * 4 + F.col("code")).cast("int")
     blocks = rows.groupBy(by("sample_id", member_block).alias("block"), by("site_id", site_block).alias("stretch")).agg(F.sort_array(F.collect_list(packed)).alias("packed"))
-    known = sorted(r["block"] for r in rows.select(by("sample_id", member_block).alias("block")).distinct().collect())  # one for a block of members
-    sites = gt.select("site_id").distinct().count()
+    here = F.when(code > 0, by("sample_id", member_block))
+    seen = gt.agg(F.count_distinct("site_id").alias("sites"), F.count_if(F.col("site_id").isNull()).alias("unplaced"), F.collect_set(here).alias("known")).first()
+    known, sites = sorted(seen["known"]), seen["sites"] + bool(seen["unplaced"])  # known: one for a block of members
     other = F.explode(F.array(*[F.lit(k).cast("long") for k in known])) if known else F.lit(None).cast("long")
     dealt = blocks.withColumn("other", other).select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "stretch", "block", "packed")
     dealt = dealt.repartition("low", "high").sortWithinPartitions("low", "high", "stretch", "block")
