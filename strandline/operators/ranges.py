@@ -8,6 +8,8 @@ A width near the usual interval length keeps the expansion small; it is a parame
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,16 +31,18 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, how: str = "inner
 
     a: chrom, a_start, a_end, ...; b: chrom, b_start, b_end, ...; other columns must differ in name.  how: inner or left.
     """
-    left = a.withColumn("__id", F.monotonically_increasing_id()) if how == "left" else a
-    x = left.withColumn("__bin", F.explode(bins(F.col("a_start"), F.col("a_end"), width)))
+    x = a.withColumn("__bin", F.explode(bins(F.col("a_start"), F.col("a_end"), width)))
     y = b.withColumn("__bin", F.explode(bins(F.col("b_start"), F.col("b_end"), width))).withColumnRenamed("chrom", "__chrom")
     low, high = F.greatest("a_start", "b_start"), F.least("a_end", "b_end")
     found = x.join(y.withColumnRenamed("__bin", "__bin_b"), (x["chrom"] == F.col("__chrom")) & (x["__bin"] == F.col("__bin_b")) & (low < high) & (F.floor(low / width) == x["__bin"]))
     found = found.withColumn("overlap_bp", (high - low).cast("long")).drop("__bin", "__bin_b", "__chrom")
     if how == "inner":
         return found
-    hits = found.select("__id", *[c for c in found.columns if c not in left.columns])
-    return left.join(hits, "__id", "left").drop("__id")
+    # whether a row has an overlap depends on its place alone; numbers given to rows would differ from one evaluation to the next
+    place = ["chrom", "a_start", "a_end"]
+    hit = found.select(*[F.col(c).alias(f"__{c}") for c in place]).distinct()
+    alone = a.join(hit, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in place]), "left_anti")
+    return found.unionByName(alone, allowMissingColumns=True)
 
 
 def point_join(points: DataFrame, regions: DataFrame, width: int = BIN) -> DataFrame:

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import identity
+from strandline.operators import identity, ranges, samples
+from strandline.session import small_tasks
 
 
 def test_only_blocks_that_share_a_site_are_dealt_to_each_other():
@@ -29,3 +30,27 @@ def test_both_ways_reads_the_pairs_once(spark):
     both = identity.both_ways(pairs, "u", "v", "relatedness")
     assert sorted(tuple(r) for r in both.collect()) == [(1, 2, 0.5), (2, 1, 0.5)]
     assert "Union" not in both._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_left_overlap_join_gives_no_numbers_to_rows(spark):
+    a = spark.createDataFrame([("c", 0, 9), ("c", 0, 9), ("c", 50, 60), (None, 1, 2)], "chrom string, a_start long, a_end long")
+    b = spark.createDataFrame([("c", 5, 7), ("c", 8, 20)], "chrom string, b_start long, b_end long")
+    found = ranges.overlap_join(a, b, 4, "left")
+    assert "monotonically" not in found._jdf.queryExecution().optimizedPlan().toString()  # they differ where a shuffle is read again
+    want = [("c", 0, 9, 5, 7, 2), ("c", 0, 9, 8, 20, 1)] * 2 + [("c", 50, 60, None, None, None), (None, 1, 2, None, None, None)]
+    assert sorted(map(str, (tuple(r[c] for c in ("chrom", "a_start", "a_end", "b_start", "b_end", "overlap_bp")) for r in found.collect()))) == sorted(map(str, want))
+
+
+def test_a_ratio_on_an_exact_half_or_bound_rounds_one_way(spark):
+    depths = [(1, "chr1", 0.1), (1, "chr2", 0.2), (1, "chr3", 0.3), (1, "chrY", 0.18)]  # 0.18 / 0.2, in floats either side of 0.9
+    for rows in (depths, depths[::-1]):
+        cov = spark.createDataFrame(rows, "sample_id long, chrom string, depth double").coalesce(1)
+        assert samples.coverage_ratios(cov, 0.9).first()["sex"] == "XY"
+
+
+def test_a_task_is_given_a_bounded_part(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    fresh = spark.newSession()
+    assert small_tasks(fresh).conf.get(key) == "8m"
+    fresh.conf.set(key, "3m")
+    assert small_tasks(fresh).conf.get(key) == "3m"
