@@ -20,15 +20,20 @@ def input_totals(files: DataFrame, floors: dict[str, float]) -> DataFrame:
     return totals.join(seen, "sample_id").select("sample_id", "n_files", "reads", "bases", "exact", (F.col("listed") - F.col("n_files")).alias("dropped"), warn.alias("warnings"))
 
 
+#: Means of the same depths added in another order differ in their last bits; a relative nudge far above that puts ratios on a bound or an
+#: exact half of the last digit on one side.
+NUDGE = 1 + 1e-11
+
+
 def coverage_ratios(cov: DataFrame, y_min: float) -> DataFrame:
-    """Per sample: chrX and chrY mean depth over the mean of the autosome means, and the sex they say."""
+    """Per sample: chrX and chrY mean depth over the mean of the autosome means, and the sex they say (ratios with NUDGE)."""
     from ..functions.expressions import contig_class
 
     kind = contig_class(F.col("chrom"))
     per = cov.groupBy("sample_id", "chrom").agg(F.avg("depth").alias("depth"))
     mean = lambda k: F.avg(F.when(kind == k, F.col("depth")))
     rows = per.groupBy("sample_id").agg(mean("autosome").alias("a"), mean("chrX").alias("x"), mean("chrY").alias("y"))
-    out = rows.select("sample_id", F.try_divide("x", "a").alias("x_ratio"), F.try_divide("y", "a").alias("y_ratio"))
+    out = rows.select("sample_id", *[(F.try_divide(c, "a") * NUDGE).alias(f"{c}_ratio") for c in ("x", "y")])
     return out.withColumn("sex", F.when(F.col("y_ratio") >= y_min, "XY").when(F.col("y_ratio").isNotNull(), "XX").otherwise(""))
 
 

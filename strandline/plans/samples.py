@@ -23,7 +23,7 @@ def agg55(b: Bound):
 
 
 @query("agg31", f"""WITH c AS (SELECT sample_id, chrom, avg(dp) AS d FROM {{genotypes}} JOIN {{sites}} USING (site_id) GROUP BY 1, 2), r AS (SELECT sample_id, avg(CASE WHEN regexp_matches(chrom, '^chr[0-9]+$') THEN d END) AS a, avg(CASE WHEN chrom = 'chrX' THEN d END) AS x, avg(CASE WHEN chrom = 'chrY' THEN d END) AS y FROM c GROUP BY 1)
- SELECT sample_id, round(x / a, 6) AS x_ratio, round(y / a, 6) AS y_ratio, CASE WHEN y / a >= 0.9 THEN 'XY' WHEN y / a IS NOT NULL THEN 'XX' ELSE '' END AS sex FROM r""")
+ SELECT sample_id, round(x / a * {op.NUDGE!r}, 6) AS x_ratio, round(y / a * {op.NUDGE!r}, 6) AS y_ratio, CASE WHEN y / a * {op.NUDGE!r} >= 0.9 THEN 'XY' WHEN y / a IS NOT NULL THEN 'XX' ELSE '' END AS sex FROM r""")
 def agg31(b: Bound):
     cov = b.genotypes.join(b.sites, "site_id").withColumnRenamed("dp", "depth")
     return _r(op.coverage_ratios(cov, 0.9), "x_ratio", "y_ratio")
