@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import identity, ranges, samples
+from strandline.operators import graphs, identity, ranges, samples
 from strandline.session import small_tasks
+from strandline.sources import sinks
 
 
 def test_only_blocks_that_share_a_site_are_dealt_to_each_other():
@@ -69,3 +70,27 @@ def test_values_of_islands_that_have_the_same_are_made_once(spark, tmp_path):
     whole = spark.sql(plans._ISLANDS, regions=b.regions, methyl=b.methyl).select("island", "sample_id", "value")
     named = of.select("island", "profile").join(values.select(F.col("island").alias("profile"), "sample_id", "value"), "profile").drop("profile")
     assert sorted(map(tuple, named.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_sums_of_the_grid_need_no_grid(spark):
+    gt = spark.createDataFrame([(1, 1, 2, 2), (1, 2, None, 0), (2, 3, 1, 1), (9, 1, 1, 1), (1, 99, 1, 2)], "site_id long, sample_id long, alt int, called int")
+    sites, members = spark.createDataFrame([(1,), (2,), (3,)], "site_id long"), spark.createDataFrame([(1, 5), (2, 7), (3, 11)], "sample_id long, position long")
+    found = graphs.padded_sums(gt, sites, members)
+    grid, alt = graphs.pad_members(gt, sites, members), F.coalesce("alt", F.lit(0))
+    want = grid.groupBy("site_id").agg(F.count("*"), F.count_if(F.col("called") == 0), F.sum(alt), F.sum(F.col("position") * (F.col("called") + 3 * alt + 1)))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_shard_is_one_file(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "c", i * 1000, i * 1000 + 10) for i in range(400)], "id long, chrom string, a_start long, a_end long").repartition(7)
+    shards = spark.createDataFrame([(f"c_{k}", "c", k * 200_000, (k + 1) * 200_000) for k in range(2)], "shard string, chrom string, b_start long, b_end long")
+    sinks.write_by_shard(rows, shards, str(tmp_path / "out"))
+    assert [len(list((tmp_path / "out" / f"shard=c_{k}").glob("*.parquet"))) for k in range(2)] == [1, 1]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 400
+
+
+def test_lines_of_a_cohort_are_written_small(spark, tmp_path):
+    body = spark.createDataFrame([("./.:.\t" * 5000,)], "value string")
+    sinks.write_vcf(body, str(tmp_path / "a.vcf"), spark.createDataFrame([(1, 1)], "sample_id long, position long"))
+    assert sum(f.stat().st_size for f in (tmp_path / "a.vcf").glob("part-*")) < 3000
+    assert spark.read.text(str(tmp_path / "a.vcf")).count() == 3
