@@ -1,10 +1,12 @@
 """Steps that hold on larger tables: what is exchanged, and the same rows by every way."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import graphs, identity, ranges, samples
+from strandline.operators import graphs, identity, ranges, repeats, samples
 from strandline.session import small_tasks
 from strandline.sources import sinks
 
@@ -94,3 +96,27 @@ def test_lines_of_a_cohort_are_written_small(spark, tmp_path):
     sinks.write_vcf(body, str(tmp_path / "a.vcf"), spark.createDataFrame([(1, 1)], "sample_id long, position long"))
     assert sum(f.stat().st_size for f in (tmp_path / "a.vcf").glob("part-*")) < 3000
     assert spark.read.text(str(tmp_path / "a.vcf")).count() == 3
+
+
+def test_the_repeat_screen_is_small_enough_to_be_compiled(spark):
+    from strandline.plans.catalogue import QUERIES
+
+    fresh = spark.newSession()
+    fresh.conf.set("spark.sql.adaptive.enabled", "false")  # adaptive plans have no code yet
+    plan = QUERIES["sta10"](fresh, "/root/testdata/sf0.001")
+    text = spark.sparkContext._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000  # a larger method stays interpreted, about six times as slow
+
+
+def test_classes_of_odd_thresholds(spark):
+    schema = "locus_id long, assessable string, inheritance string, motif_len int, benign_min double, benign_max double, intermediate_min double, intermediate_max double, pathogenic_min double"
+    loci = [(1, "no", "AD", 3, 1.0, 9.0, None, None, 2.0), (2, None, "AR", 3, None, 4.0, 6.0, 7.0, 9.0), (3, "yes", "AD", 3, None, None, 5.0, None, None), (4, "yes", "AD", 3, 2.0, None, None, None, 4.0)]
+    calls = [(m, c, 3 * a, 3 * a) for m in range(1, 5) for c, a in enumerate((0, 1, 3, 5, 6, 9))] + [(2, 9, 6, 60), (2, 8, None, None)]
+    screen = repeats.tr_screen(spark.createDataFrame(calls, "locus_id long, call_id long, al1 long, al2 long"), spark.createDataFrame(loci, schema), 3)
+    got = {(r["locus_id"], r["call_id"]): (r["class1"], r["class2"], r["class"], r["mode_match"], r["borderline"]) for r in screen.collect()}
+    of = lambda m: [got[m, c][0] for c in range(6)]
+    assert of(1) == ["not_assessable"] * 6 and of(3) == ["below_pathogenic"] * 6
+    assert of(2) == ["normal"] * 3 + ["above_benign", "intermediate", "pathogenic"] and of(4) == ["below_benign"] * 2 + ["below_pathogenic"] + ["pathogenic"] * 3
+    assert got[2, 9] == ("pathogenic", "normal", "pathogenic", "carrier", False) and got[2, 8] == ("above_benign", "above_benign", "above_benign", "none", True)
+    assert [got[2, c][4] for c in range(6)] == [False, False, False, True, True, True] and not any(got[1, c][4] for c in range(6))
