@@ -120,3 +120,10 @@ def test_classes_of_odd_thresholds(spark):
     assert of(2) == ["normal"] * 3 + ["above_benign", "intermediate", "pathogenic"] and of(4) == ["below_benign"] * 2 + ["below_pathogenic"] + ["pathogenic"] * 3
     assert got[2, 9] == ("pathogenic", "normal", "pathogenic", "carrier", False) and got[2, 8] == ("above_benign", "above_benign", "above_benign", "none", True)
     assert [got[2, c][4] for c in range(6)] == [False, False, False, True, True, True] and not any(got[1, c][4] for c in range(6))
+
+
+def test_shares_of_a_locus_need_no_second_reading_of_single_alleles(spark):
+    from strandline.plans.catalogue import QUERIES
+
+    plan = QUERIES["agg49"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
