@@ -47,14 +47,13 @@ _STATUS = "CASE WHEN n_called < 20 THEN 'below_min_called' WHEN n_carriers = 0 T
 
 def _outliers(b: Bound):
     stats = op.locus_stats(op.long_alleles(b.tr_alleles), b.loci, b.members)
-    return op.tr_outliers(b.tr_alleles, stats, 3, 30, 8.0, 20, 0.02, 1)
+    return op.tr_outliers(b.tr_alleles, stats, 3, 30, 8.0, 20, 0.02, 1, saver(b))
 
 
 @query("sta09", f"""WITH o AS ({_OUT}), c AS (SELECT locus_id, count(CASE WHEN hit THEN 1 END) AS n_carriers FROM o GROUP BY 1)
  SELECT locus_id, sample_id, call_id, call_no, round(excess, 6) AS excess, round(excess / scale, 6) AS z, n_carriers, {_STATUS} AS status, hit AND low_hit AS both FROM o JOIN c USING (locus_id) WHERE hit""")
 def sta09(b: Bound):
-    found = _outliers(b).where("hit")
-    return found.select("locus_id", "sample_id", "call_id", "call_no", F.round("excess", 6).alias("excess"), F.round("z", 6).alias("z"), "n_carriers", "status", "both")
+    return _outliers(b).select("locus_id", "sample_id", "call_id", "call_no", F.round("excess", 6).alias("excess"), F.round("z", 6).alias("z"), "n_carriers", "status", "both")
 
 
 def _class_sql(c: str) -> str:

@@ -122,6 +122,14 @@ def test_classes_of_odd_thresholds(spark):
     assert [got[2, c][4] for c in range(6)] == [False, False, False, True, True, True] and not any(got[1, c][4] for c in range(6))
 
 
+def test_statistics_of_a_locus_meet_the_calls_once(spark):
+    from strandline.plans.bindings import Bound
+    from strandline.plans.repeats import _outliers
+
+    plan = _outliers(Bound(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # the expansions found are kept; carriers are counted among them
+
+
 def test_shares_of_a_locus_need_no_second_reading_of_single_alleles(spark):
     from strandline.plans.catalogue import QUERIES
 
