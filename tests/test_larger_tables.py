@@ -135,3 +135,10 @@ def test_shares_of_a_locus_need_no_second_reading_of_single_alleles(spark):
 
     plan = QUERIES["agg49"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == 1
+
+
+def test_a_ranking_of_some_thousand_members_is_one_round(spark):
+    saved = []
+    frames = spark.range(3000).select(F.col("id").alias("site_id"), F.col("id").alias("sample_id"), F.lit(0).alias("class")), spark.range(3000).select(F.col("id").alias("sample_id"), F.col("id").alias("position"))
+    got = graphs.greedy_rank(spark, *frames, lambda df, name: saved.append(name) or df)
+    assert saved == ["carriers"] and [r["sample_id"] for r in got.orderBy("rank").collect()] == list(range(3000))
