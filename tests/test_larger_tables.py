@@ -59,6 +59,23 @@ def test_a_task_is_given_a_bounded_part(spark):
     assert small_tasks(fresh).conf.get(key) == "3m"
 
 
+def test_exchanges_have_parts_for_their_input(spark, monkeypatch):
+    from strandline import session
+    from strandline.plans.catalogue import QUERIES
+
+    data, key = "/root/testdata/sf0.001", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    size = sum(session.stored_bytes(spark, f"{data}/{t}.parquet") for t in ("customer", "orders", "lineitem"))
+    fresh = spark.newSession()
+    for share in (size // 50, size // 10, size):
+        monkeypatch.setattr(session, "INPUT_A_PART", share)
+        parts = max(-(-size // share), 4)  # 4: the session's shuffle partitions
+        plan = QUERIES["agg22"](fresh, data)._jdf.queryExecution().executedPlan().toString()
+        assert set(re.findall(r"hashpartitioning\(.*, (\d+)\)", plan)) == {str(parts)}
+    fresh.conf.set(key, "7")
+    QUERIES["agg22"](fresh, data)
+    assert fresh.conf.get(key) == "7"
+
+
 def test_values_of_islands_that_have_the_same_are_made_once(spark, tmp_path):
     from strandline.plans import qtl as plans
     from strandline.plans.bindings import Bound
