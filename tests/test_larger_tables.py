@@ -59,6 +59,20 @@ def test_a_task_is_given_a_bounded_part(spark):
     assert small_tasks(fresh).conf.get(key) == "3m"
 
 
+def test_a_task_reads_a_bounded_part(spark, monkeypatch):
+    from strandline import session
+    from strandline.plans.bindings import Bound
+
+    data, key = "/root/testdata/sf0.1", "spark.sql.files.maxPartitionBytes"
+    assert small_tasks(spark.newSession()).conf.get(key) == "32m"
+    size = session.stored_bytes(spark, f"{data}/lineitem.parquet")
+    monkeypatch.setattr(session, "READ", "1m")
+    assert Bound(spark.newSession(), data).lineitem.rdd.getNumPartitions() >= size >> 20
+    fresh = spark.newSession()
+    fresh.conf.set(key, "512k")
+    assert small_tasks(fresh).conf.get(key) == "512k"
+
+
 def test_exchanges_have_parts_for_their_input(spark, monkeypatch):
     from strandline import session
     from strandline.plans.catalogue import QUERIES
