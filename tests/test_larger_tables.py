@@ -173,3 +173,22 @@ def test_a_ranking_of_some_thousand_members_is_one_round(spark):
     frames = spark.range(3000).select(F.col("id").alias("site_id"), F.col("id").alias("sample_id"), F.lit(0).alias("class")), spark.range(3000).select(F.col("id").alias("sample_id"), F.col("id").alias("position"))
     got = graphs.greedy_rank(spark, *frames, lambda df, name: saved.append(name) or df)
     assert saved == ["carriers"] and [r["sample_id"] for r in got.orderBy("rank").collect()] == list(range(3000))
+
+
+def test_a_line_costs_its_genotypes_not_its_members(spark):
+    sites = spark.createDataFrame([(1, "c", 5, "DEL"), (2, "c", 6, "INS"), (3, "d", 7, "DUP")], "site_id long, chrom string, pos long, svtype string")
+    members = spark.createDataFrame([(10, 3), (11, 1), (12, 9), (13, 2), (14, 2)], "sample_id long, position long")
+    gt = spark.createDataFrame([(1, 11, 1, 2, 7), (1, 12, 2, 2, 8), (2, 14, None, 0, None), (2, 10, 1, 1, 4), (1, 99, 1, 2, 3)], "site_id long, sample_id long, alt int, called int, dp long")
+    body = sinks.vcf_lines(sites, gt, members)
+    none = "./.:."
+    want = {1: ["0/1:7", none, none, none, "1/1:8"], 2: [none, none, "./.:.", "./1:4", none], 3: [none] * 5}
+    assert {r["site_id"]: r["value"].split("\t")[9:] for r in body.collect()} == want
+    plan = body._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" not in plan and "try_element_at" not in plan  # no look-up for each member
+
+
+def test_two_genotypes_of_a_member_at_a_site_are_no_line(spark):
+    sites, members = spark.createDataFrame([(1, "c", 5, "DEL")], "site_id long, chrom string, pos long, svtype string"), spark.createDataFrame([(1, 1)], "sample_id long, position long")
+    gt = spark.createDataFrame([(1, 1, 1, 2, 7), (1, 1, 2, 2, 8)], "site_id long, sample_id long, alt int, called int, dp long")
+    with pytest.raises(Exception, match="two genotypes"):
+        sinks.vcf_lines(sites, gt, members).collect()
