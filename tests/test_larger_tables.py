@@ -192,3 +192,61 @@ def test_two_genotypes_of_a_member_at_a_site_are_no_line(spark):
     gt = spark.createDataFrame([(1, 1, 1, 2, 7), (1, 1, 2, 2, 8)], "site_id long, sample_id long, alt int, called int, dp long")
     with pytest.raises(Exception, match="two genotypes"):
         sinks.vcf_lines(sites, gt, members).collect()
+
+
+def test_pairs_take_about_two_bytes():
+    rng = np.random.default_rng(1)
+    values = np.concatenate([np.sort(rng.integers(0, 9 << 20, 600)), [7], np.sort(rng.integers(0, 1 << 34, 3))])
+    packed = identity._pack(values, np.array([0, 600, 601]))
+    assert len(packed[0].as_py()) < 600 * 3
+    back = identity._Unpacked(packed)
+    assert [list(back.row(i)) for i in range(3)] == [list(values[:600]), [7], list(values[601:])]
+    assert list(identity._Unpacked(packed.slice(1, 2)).row(1)) == list(values[601:])
+    assert list(identity._Unpacked(identity._pack(np.array([300, 0, 5]), np.array([0]), False)).plain(0)) == [300, 0, 5]
+    assert identity._Unpacked(identity.pa.nulls(2, identity.pa.binary())).begin.tolist() == [0, 0, 0]
+
+
+def _related(spark):
+    rng = np.random.default_rng(5)
+    rows = [(s, int(m), int(rng.integers(0, 3)), int(rng.integers(1, 3))) for s in range(60) for m in rng.choice(40, rng.integers(1, 9), replace=False)]
+    gt = spark.createDataFrame(rows, "site_id long, sample_id long, alt long, called long")
+    return gt, identity.relatedness(gt)
+
+
+def test_what_tasks_keep_of_pairs_gives_what_all_pairs_give(spark):
+    gt, pairs = _related(spark)
+    both = identity.both_ways(pairs, "sample_id", "relative", "relatedness")
+    order = F.struct("relatedness", -F.col("relative"))
+    top = lambda rows: sorted(map(tuple, rows.where("relatedness is not null").groupBy("sample_id").agg(F.max_by(F.struct("relative", "relatedness"), order)).collect()))
+    best = identity.relatedness(gt, identity.best_of_each)
+    assert best.count() < pairs.count() and top(identity.both_ways(best, "sample_id", "relative", "relatedness")) == top(both)
+    near = both.groupBy("sample_id").agg(F.count_if(F.col("relatedness") >= -1.0), F.max("relatedness"))
+    assert sorted(map(tuple, identity.close_partners(gt, -1.0).collect())) == sorted(map(tuple, near.collect()))
+    low = identity.relatedness(gt, identity.one_of_each(lambda found: found.relatedness < -0.5))
+    members = lambda rows: {r[0] for r in rows.select(F.explode(F.array("sample_a", "sample_b"))).collect()}
+    assert low.count() < pairs.where("relatedness < -0.5").count() and members(low) == members(pairs.where("relatedness < -0.5"))
+    some = identity.relatedness(gt, lambda found: found.relatedness >= -1.0, ("sample_a", "sample_b", "relatedness"))
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, pairs.where("relatedness >= -1").select("sample_a", "sample_b", "relatedness").collect()))
+
+
+def test_declared_pairs_are_counted_without_all_pairs(spark):
+    gt, pairs = _related(spark)
+    declared = spark.createDataFrame([(a, b, "father") for a in range(0, 40, 3) for b in (a // 2, a + 1, 999)], "child long, parent long, role string")
+    found = identity.declared_relatedness(declared, gt)
+    assert sorted(map(str, found.collect())) == sorted(map(str, identity.declared_pairs(declared, pairs).collect()))
+    assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_what_a_kept_table_was_shuffled_through_is_gone(spark):
+    import os
+
+    from strandline.plans.bindings import Bound
+    from strandline.plans.saving import kept_calls
+
+    b, key = Bound(spark.newSession(), "/root/testdata/sf0.001"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = lambda: {f for at in spark._jvm.org.apache.spark.util.Utils.getConfiguredLocalDirs(spark._jsc.sc().conf()) for d, _, files in os.walk(at) for f in files if f.startswith("shuffle_")}
+    before = own()
+    assert kept_calls(b).count() > 0
+    made = {f.split("_")[1] for f in own() - before}
+    assert len(made) <= 1  # the count's own; the genotypes went through three
+    assert key not in b.spark.conf.getAll
