@@ -250,3 +250,22 @@ def test_what_a_kept_table_was_shuffled_through_is_gone(spark):
     made = {f.split("_")[1] for f in own() - before}
     assert len(made) <= 1  # the count's own; the genotypes went through three
     assert key not in b.spark.conf.getAll
+
+
+def test_a_ranking_is_kept_as_it_grows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(graphs, "OUT", 700)
+    saved = []
+
+    def save(df, name):
+        saved.append(name)
+        df.write.parquet(str(tmp_path / str(len(saved))))
+        return spark.read.parquet(str(tmp_path / str(len(saved))))
+
+    carriers = spark.range(3000).select(F.col("id").alias("site_id"), F.col("id").alias("sample_id"), F.lit(0).alias("class"))
+    members = spark.range(3100).select(F.col("id").alias("sample_id"), (-F.col("id")).alias("position"))
+    related = spark.createDataFrame([(5, 9, 0.5), (9, 99999, 0.5)], "sample_a long, sample_b long, relatedness double")
+    got = graphs.greedy_rank(spark, carriers, members, save, related=related)
+    rows = [(r["rank"], r["sample_id"], r["tier"], r["related_to"], r["relatedness"], r["cum_ge5"]) for r in got.orderBy("rank").collect()]
+    first = [m for m in range(2999, -1, -1) if m != 5]
+    want = [(i + 1, m, "unrelated", None, None, i + 1) for i, m in enumerate(first)] + [(3000 + i, m, "unrelated", None, None, 2999) for i, m in enumerate(range(3099, 2999, -1))] + [(3100, 5, "related", 9, 0.5, 3000)]
+    assert rows == want and saved.count("ranks") == 4
