@@ -269,3 +269,13 @@ def test_a_ranking_is_kept_as_it_grows(spark, tmp_path, monkeypatch):
     first = [m for m in range(2999, -1, -1) if m != 5]
     want = [(i + 1, m, "unrelated", None, None, i + 1) for i, m in enumerate(first)] + [(3000 + i, m, "unrelated", None, None, 2999) for i, m in enumerate(range(3099, 2999, -1))] + [(3100, 5, "related", 9, 0.5, 3000)]
     assert rows == want and saved.count("ranks") == 4
+
+
+def test_files_of_samples_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "TASK_FILES", 5)
+    gt = spark.range(60).select((F.col("id") % 30).alias("sample_id"), F.col("id").alias("site_id"), F.lit(1).alias("alt"), F.lit(2).alias("called"))
+    sinks.write_by_sample(gt, str(tmp_path / "out"), False)
+    files = list((tmp_path / "out").glob("sample_id=*/*.parquet"))
+    assert len(files) == 30 and len({f.name.split("-")[1] for f in files}) > 1  # small rows were all written by one task
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 60
+    assert small_tasks(spark.newSession()).conf.get("spark.sql.files.openCostInBytes") == "1m"
